@@ -104,7 +104,7 @@ def delete_before(df: DataFrame, cutoff, ts: str = "ingestion_timestamp") -> Dat
     """Retention: what is left after deleting rows ingested before ``cutoff``.
     A row without a timestamp is not 'before' anything and stays."""
     t = F.col(ts)
-    return df.filter(t.isNull() | (t >= F.lit(cutoff).cast("timestamp")))
+    return df.filter(t.isNull() | (t >= F.lit(cutoff).cast(df.schema[ts].dataType)))
 
 
 def truncate(tables: dict[str, DataFrame], keep=("dim_date",)) -> dict[str, DataFrame]:

@@ -8,6 +8,8 @@ expressions, so there is no theta join however many titles there are.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,11 +33,10 @@ def fips_names(spark, rows=None) -> DataFrame:
 
 
 def _table(rows) -> Column:
-    """Literal array of (text, code, label, size) structs."""
-    return F.array(*[
-        F.struct(F.lit(t).alias("text"), F.lit(c).alias("code"), F.lit(n).alias("label"), F.lit(len(t)).alias("size"))
-        for t, c, n in rows
-    ])
+    """Constant array of (text, code, label, size) structs. It is one JSON
+    literal, folded once by the optimizer, instead of a thousand literals."""
+    text = json.dumps([{"text": t, "code": c, "label": n, "size": len(t)} for t, c, n in rows])
+    return F.from_json(F.lit(text), "array<struct<text:string,code:string,label:string,size:int>>")
 
 
 def max_edits(title: Column) -> Column:

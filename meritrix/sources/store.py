@@ -11,10 +11,15 @@ from meritrix.session import stored
 
 
 def laid_out(df: DataFrame, partition_by, sort_by) -> DataFrame:
-    """Range-distribute by partition and sort columns, so that each file covers
-    a narrow range and no large partition is written by one task."""
-    cols = [*partition_by, *sort_by]
-    return df.repartitionByRange(*cols).sortWithinPartitions(*cols) if cols else df
+    """One partition value per task as far as sizes allow, sorted inside.
+
+    REBALANCE lets adaptive execution split a value that holds a large share of
+    the rows and merge small ones by their real sizes. Unlike a range
+    repartition it does not run the input an extra time to sample it.
+    """
+    if not (partition_by or sort_by):
+        return df
+    return df.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, *sort_by)
 
 
 def write_layout(df: DataFrame, path: str, name: str, mode: str = "errorifexists") -> None:

@@ -4,71 +4,69 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from meritrix.operators.merge import merge_counts
 from meritrix.operators.resolver import resolve_soc
 from meritrix.plans import gold, silver
 from meritrix.sources.store import SnapshotStore
 
-KEYS = {
-    "jobs_unified": ["source", "job_id"], "bls_qcew_quarterly": ["qcew_key"], "bls_oews_annual": ["oews_key"],
-    "dim_date": ["date_key"], "dim_location": ["city", "state", "country"], "dim_company": ["company_name"],
-    "dim_category": ["category_name"], "dim_occupation_soc": ["title_normalized"],
-    "dim_occupation": ["soc_code"], "fact_job_postings": ["posting_key"], "fact_qcew": ["qcew_key"],
-    "fact_oews_wages": ["oews_key"],
-}
+POSTING_SOURCES = {"raw_adzuna": silver.transform_adzuna, "raw_usajobs_current": silver.transform_usajobs}
 
 
-def _jobs(store: SnapshotStore, old: DataFrame | None) -> DataFrame:
-    for bronze, transform in (("raw_adzuna", silver.transform_adzuna), ("raw_usajobs_current", silver.transform_usajobs)):
-        raw = store.read_or_none(bronze)
-        if raw is not None:
-            old = transform(raw, old)
+def _jobs(tables: SnapshotStore, old: DataFrame | None, changed: set[str]) -> DataFrame:
+    for bronze, transform in POSTING_SOURCES.items():
+        if bronze in changed:
+            old = transform(tables.read(bronze), old)
     return old
 
 
-def _posting_fact(store: SnapshotStore, old: DataFrame | None) -> DataFrame:
-    dims = {n: store.read(f"dim_{n}") for n in ("location", "company", "category")}
-    return gold.fact_job_postings(store.read("jobs_unified"), dims, old)
+def _posting_fact(tables: SnapshotStore, old: DataFrame | None) -> DataFrame:
+    """Build and occupation back-fill in one go, so the fact is written once."""
+    jobs = tables.read("jobs_unified")
+    dims = {n: tables.read(f"dim_{n}") for n in ("location", "company", "category")}
+    fact = gold.fact_job_postings(jobs, dims, old)
+    return gold.update_postings_soc(fact, jobs, tables.read("dim_occupation_soc"), tables.read("dim_occupation"))
 
 
-# (table, inputs, build); dimensions come before facts, the occupation
-# dimension before the back-fill of the posting fact
+def _from(name: str, build):
+    """Step that derives its table from one other table."""
+    return lambda tables, old, changed: build(tables.read(name), old)
+
+
+# (table, tables whose change triggers it, build); dimensions before facts
 STEPS = [
-    ("jobs_unified", ("raw_adzuna", "raw_usajobs_current"), _jobs),
-    ("bls_qcew_quarterly", ("raw_bls_qcew",), lambda s, old: silver.transform_qcew(s.read("raw_bls_qcew"), old)),
-    ("bls_oews_annual", ("raw_bls_oews",), lambda s, old: silver.transform_oews(s.read("raw_bls_oews"), old)),
-    ("dim_location", ("jobs_unified",), lambda s, old: gold.dim_location(s.read("jobs_unified"), old)),
-    ("dim_company", ("jobs_unified",), lambda s, old: gold.dim_company(s.read("jobs_unified"), old)),
-    ("dim_category", ("jobs_unified",), lambda s, old: gold.dim_category(s.read("jobs_unified"), old)),
-    ("fact_job_postings", ("jobs_unified",), _posting_fact),
-    ("dim_occupation_soc", ("jobs_unified",), lambda s, old: resolve_soc(s.read("jobs_unified"), existing=old)),
-    ("dim_occupation", ("dim_occupation_soc",), lambda s, old: gold.dim_occupation(s.read("dim_occupation_soc"), old)),
-    ("fact_qcew", ("bls_qcew_quarterly",), lambda s, old: gold.fact_qcew(s.read("bls_qcew_quarterly"), old)),
+    ("jobs_unified", tuple(POSTING_SOURCES), _jobs),
+    ("bls_qcew_quarterly", ("raw_bls_qcew",), _from("raw_bls_qcew", silver.transform_qcew)),
+    ("bls_oews_annual", ("raw_bls_oews",), _from("raw_bls_oews", silver.transform_oews)),
+    ("dim_location", ("jobs_unified",), _from("jobs_unified", gold.dim_location)),
+    ("dim_company", ("jobs_unified",), _from("jobs_unified", gold.dim_company)),
+    ("dim_category", ("jobs_unified",), _from("jobs_unified", gold.dim_category)),
+    ("dim_occupation_soc", ("jobs_unified",), _from("jobs_unified", lambda jobs, old: resolve_soc(jobs, existing=old))),
+    ("dim_occupation", ("dim_occupation_soc",), _from("dim_occupation_soc", gold.dim_occupation)),
+    ("fact_job_postings", ("jobs_unified",), lambda tables, old, changed: _posting_fact(tables, old)),
+    ("fact_qcew", ("bls_qcew_quarterly",), _from("bls_qcew_quarterly", gold.fact_qcew)),
     ("fact_oews_wages", ("bls_oews_annual", "dim_occupation"),
-     lambda s, old: gold.fact_oews_wages(s.read("bls_oews_annual"), s.read("dim_occupation"), old)),
-    ("fact_job_postings", ("dim_occupation_soc", "dim_occupation"),
-     lambda s, old: gold.update_postings_soc(
-         old, s.read("jobs_unified"), s.read("dim_occupation_soc"), s.read("dim_occupation"))),
+     lambda tables, old, changed: gold.fact_oews_wages(
+         tables.read("bls_oews_annual"), tables.read("dim_occupation"), old)),
 ]
 
 
-def refresh(store: SnapshotStore, changed, calendar=("1990-01-01", "2030-12-31")) -> dict[str, dict[str, int]]:
+def refresh(tables: SnapshotStore, changed, calendar=("1990-01-01", "2030-12-31")) -> dict[str, dict[str, int]]:
     """Rebuild every table downstream of the ``changed`` ones, in order.
 
-    Returns ``{table: {inserted, updated, unchanged}}`` by key. Each step reads
-    stored snapshots and writes a new one, so lineage ends at every table.
+    Returns ``{table: {rows, inserted}}`` from the file footers. Each step
+    reads stored snapshots and writes a new one, so lineage ends at every
+    table. A step whose other inputs do not exist yet is left for later.
     """
     changed, report = set(changed), {}
-    if not store.exists("dim_date"):
-        store.write("dim_date", gold.dim_date(store.spark, *calendar))
-    for name, inputs, build in STEPS:
-        if not changed.intersection(inputs) or not all(
-            store.exists(i) for i in inputs if not i.startswith("raw_")
-        ):
+    if not tables.exists("dim_date"):
+        tables.write("dim_date", gold.dim_date(tables.spark, *calendar))
+    for name, triggers, build in STEPS:
+        if not changed.intersection(triggers):
+            continue
+        if name == "fact_oews_wages" and not all(map(tables.exists, triggers)):
             continue
-        old = store.read_or_none(name)
-        new = store.write(name, build(store, old))
-        before = new.limit(0) if old is None else old
-        report[name] = merge_counts(before, new, KEYS[name]).first().asDict()
+        old = tables.read_or_none(name)
+        before = 0 if old is None else old.count()
+        rows = tables.write(name, build(tables, old, changed)).count()
+        report[name] = {"rows": rows, "inserted": rows - before}
         changed.add(name)
     return report
