@@ -46,7 +46,13 @@ def salted_join(left: DataFrame, right: DataFrame, on, row_id, hot: DataFrame,
 
 
 def fits(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a frame has at most ``rows`` rows (reads no more than that)."""
+    """Whether a frame is small enough to broadcast: by the size of its files
+    when the planner's estimate is below its broadcast threshold, otherwise by
+    counting no more than ``rows`` + 1 rows."""
+    plan = df._jdf.queryExecution()
+    limit = int(plan.sparkSession().sessionState().conf().autoBroadcastJoinThreshold())
+    if int(plan.optimizedPlan().stats().sizeInBytes()) <= limit:
+        return True
     return df.limit(rows + 1).count() <= rows
 
 

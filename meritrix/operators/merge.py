@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meritrix.operators.joins import merge_join
-from meritrix.operators.windows import keep_best
+from meritrix.operators.windows import any_row, keep_best
 
 
 def null_key_rows(df: DataFrame, keys) -> DataFrame:
@@ -23,9 +23,9 @@ def null_key_rows(df: DataFrame, keys) -> DataFrame:
 
 
 def one_per_key(src: DataFrame, keys, order=None) -> DataFrame:
-    """The first row per non-null key; without ``order``, the smallest row."""
+    """The first row per non-null key; without ``order``, one fixed row."""
     rows = src.dropna(subset=list(keys))
-    return keep_best(rows, keys, order or [F.col(c) for c in src.columns if c not in keys])
+    return keep_best(rows, keys, order or [any_row(src)])
 
 
 def new_rows(target: DataFrame, src: DataFrame, keys, order=None) -> DataFrame:
@@ -38,15 +38,16 @@ def insert_new(target: DataFrame, src: DataFrame, keys, order=None) -> DataFrame
     return target.unionByName(new_rows(target, src, keys, order), allowMissingColumns=True)
 
 
-def upsert(target: DataFrame, src: DataFrame, keys, order=None) -> DataFrame:
+def upsert(target: DataFrame, src: DataFrame, keys, order=None, unique: bool = False) -> DataFrame:
     """Replace matched rows, keep the rest, insert new ones.
 
     Columns that the source does not carry keep the target's value. Only key
     columns of the source reach the other side, so a small batch is broadcast
-    and the target is not shuffled.
+    and the target is not shuffled. ``unique`` tells that the source has one
+    row per key already.
     """
     keys = list(keys)
-    batch = one_per_key(src, keys, order)
+    batch = src.dropna(subset=keys) if unique else one_per_key(src, keys, order)
     untouched = [c for c in target.columns if c not in src.columns]
     if untouched:
         batch = batch.join(target.select(*keys, *untouched), keys, "left")
@@ -55,10 +56,10 @@ def upsert(target: DataFrame, src: DataFrame, keys, order=None) -> DataFrame:
 
 
 def upsert_if_newer(target: DataFrame, src: DataFrame, keys, ts: str = "ingestion_timestamp",
-                    update_cols=(), order=None) -> DataFrame:
+                    update_cols=(), order=None, unique: bool = False) -> DataFrame:
     """Insert new keys; on a match take ``update_cols`` and the timestamp only
     when the source is strictly newer. Other columns stay as first loaded."""
-    batch = one_per_key(src, keys, order or [F.desc(ts)] + [F.col(c) for c in src.columns if c not in keys])
+    batch = src.dropna(subset=list(keys)) if unique else one_per_key(src, keys, order or [F.desc(ts), any_row(src)])
     both = merge_join(target, batch, keys)
     newer = F.col("t").isNull() | (F.col(f"s.{ts}") > F.col(f"t.{ts}"))
     out = []

@@ -12,7 +12,7 @@ fit, so the quantile is found by selection instead:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -34,68 +34,45 @@ def group_quantiles(
     wanted buckets (two per group and quantile) are safe to broadcast.
     """
     measures = list(dict.fromkeys(col for col, _ in specs.values()))
-    n = F.col(weight) if weight else F.lit(1)
-    stacked = df.select(
-        *keys,
-        n.alias("_w"),
-        F.explode(
-            F.array(*[F.struct(F.lit(i).alias("m"), F.col(c).cast("double").alias("v")) for i, c in enumerate(measures)])
-        ).alias("_mv"),
-    ).select(*keys, "_w", "_mv.m", "_mv.v").filter(F.col("v").isNotNull())
-
     group = [*keys, "m"]
-    cell = F.floor((F.col("v") - F.lit(float(lo))) * (buckets / float(hi - lo)))
+    on_keys = ", ".join(f"`{k}`" for k in group)
+    width = buckets / float(hi - lo)
+
+    pairs = ", ".join(f"struct({i} AS m, CAST(`{c}` AS DOUBLE) AS v)" for i, c in enumerate(measures))
     values = (
-        stacked.groupBy(*group, "v").agg(F.sum("_w").alias("n"))
-        .withColumn("b", F.least(F.greatest(cell, F.lit(0)), F.lit(buckets - 1)).cast("int"))
+        df.selectExpr(*keys, f"{weight or 1} AS w", f"inline(array({pairs}))")
+        .filter("v IS NOT NULL")
+        .groupBy(*group, "v").agg(F.sum("w").alias("n"))
+        .selectExpr(*group, "v", "n", f"CAST(least(greatest(floor((v - {float(lo)}) * {width}D), 0), {buckets - 1}) AS INT) AS b")
     )
 
-    running = Window.partitionBy(*group).orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
-    hist = values.groupBy(*group, "b").agg(F.sum("n").alias("n_b"))
-    placed = hist.select(
+    # at most `buckets` rows per group from here to the broadcast
+    placed = values.groupBy(*group, "b").agg(F.sum("n").alias("n_b")).selectExpr(
         *group, "b", "n_b",
-        (F.sum("n_b").over(running) - F.col("n_b")).alias("before"),
-        F.sum("n_b").over(Window.partitionBy(*group)).alias("total"),
+        f"sum(n_b) OVER (PARTITION BY {on_keys} ORDER BY b ROWS UNBOUNDED PRECEDING) - n_b AS before",
+        f"sum(n_b) OVER (PARTITION BY {on_keys}) AS total",
     )
 
-    def position(p):
-        return F.lit(float(p)) * (F.col("total") - 1)
+    def ranks(p, total="total"):
+        position = f"({float(p)}D * ({total} - 1))"
+        return position, f"floor({position})", f"ceil({position})"
 
-    hit = F.lit(False)
-    for col, p in specs.values():
-        for rank in (F.floor(position(p)), F.ceil(position(p))):
-            inside = (F.col("before") <= rank) & (rank < F.col("before") + F.col("n_b"))
-            hit = hit | ((F.col("m") == measures.index(col)) & inside)
-    wanted = placed.filter(hit).select(*[F.col(k).alias(f"_{k}") for k in [*group, "b"]], "before", "total")
+    wanted = placed.filter(" OR ".join(
+        f"(m = {measures.index(c)} AND before <= {r} AND {r} < before + n_b)" for c, p in specs.values() for r in ranks(p)[1:]
+    )).selectExpr(*[f"`{k}` AS `_{k}`" for k in [*group, "b"]], "before", "total")
 
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys] + [
-        F.col("m") == F.col("_m"), F.col("b") == F.col("_b")
-    ]
-    within = Window.partitionBy(*group, "b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (
-        values.join(F.broadcast(wanted) if few_groups else wanted, same)
-        .select(*group, "v", "n", "total",
-                (F.col("before") + F.sum("n").over(within) - F.col("n")).alias("first"))
+    same = " AND ".join([f"`{k}` <=> `_{k}`" for k in keys] + ["m = _m", "b = _b"])
+    ranked = values.join(F.broadcast(wanted) if few_groups else wanted, F.expr(same)).selectExpr(
+        *group, "v", "n", "total",
+        f"before + sum(n) OVER (PARTITION BY {on_keys}, b ORDER BY v ROWS UNBOUNDED PRECEDING) - n AS first",
     )
 
-    def at(col, rank):
-        here = (F.col("m") == measures.index(col)) & (F.col("first") <= rank) & (rank < F.col("first") + F.col("n"))
-        return F.max(F.when(here, F.col("v")))
+    def at(c, rank):
+        return f"max(v) FILTER (WHERE m = {measures.index(c)} AND first <= {rank} AND {rank} < first + n)"
 
-    ends = ranked.groupBy(*keys).agg(
-        *[
-            F.struct(
-                at(col, F.floor(position(p))).alias("lo"),
-                at(col, F.ceil(position(p))).alias("hi"),
-                F.max(F.when(F.col("m") == measures.index(col), position(p) - F.floor(position(p)))).alias("f"),
-            ).alias(alias)
-            for alias, (col, p) in specs.items()
-        ]
-    )
-    return ends.select(
-        *keys,
-        *[
-            (F.col(f"{a}.lo") + (F.col(f"{a}.hi") - F.col(f"{a}.lo")) * F.col(f"{a}.f")).alias(a)
-            for a in specs
-        ],
-    )
+    found = []
+    for alias, (c, p) in specs.items():
+        position, low, high = ranks(p)
+        part = f"max({position} - {low}) FILTER (WHERE m = {measures.index(c)})"
+        found.append(F.expr(f"{at(c, low)} + ({at(c, high)} - {at(c, low)}) * {part}").alias(alias))
+    return ranked.groupBy(*keys).agg(*found)

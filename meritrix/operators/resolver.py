@@ -124,7 +124,8 @@ def resolve_titles(titles: DataFrame, seed=None, patterns=None) -> DataFrame:
 def resolve_soc(postings: DataFrame, seed=None, patterns=None, existing: DataFrame | None = None) -> DataFrame:
     """One row per normalised title; re-running refreshes ``existing``."""
     resolved = resolve_titles(distinct_titles(postings), seed, patterns)
-    return resolved if existing is None else upsert(existing, resolved, ["title_normalized"])
+    return resolved if existing is None else upsert(
+        existing, resolved, ["title_normalized"], unique=True)
 
 
 def soc_stats(resolved: DataFrame) -> DataFrame:

@@ -23,6 +23,11 @@ def keep_best(df: DataFrame, keys, order) -> DataFrame:
     return top_k_per_group(df, keys, order, 1)
 
 
+def any_row(df: DataFrame) -> Column:
+    """Tie-breaker that makes an order repeatable at the cost of one sort key."""
+    return F.xxhash64(*df.columns)
+
+
 def ordered(df: DataFrame, cols) -> DataFrame:
     return df.orderBy(*cols)
 

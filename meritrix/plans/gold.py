@@ -13,7 +13,7 @@ from meritrix.operators.joins import (
 )
 from meritrix.operators.keys import assign_keys
 from meritrix.operators.merge import insert_new, update_from, upsert
-from meritrix.operators.windows import keep_best
+from meritrix.operators.windows import any_row, keep_best
 from meritrix.schemas import FACT_OEWS_WAGES, FACT_QCEW, OEWS_MEASURES
 
 
@@ -32,7 +32,7 @@ def dim_date(spark, start="1990-01-01", end="2030-12-31", existing: DataFrame |
 
 def _refresh(src: DataFrame, natural, key_col: str, existing: DataFrame | None) -> DataFrame:
     keyed = assign_keys(src, natural, key_col, existing)
-    return keyed if existing is None else upsert(existing, keyed, natural)
+    return keyed if existing is None else upsert(existing, keyed, natural, unique=True)
 
 
 def dim_location(postings: DataFrame, existing: DataFrame | None = None) -> DataFrame:
@@ -84,9 +84,7 @@ def posting_measures(postings: DataFrame) -> DataFrame:
     Reducing to one row per key comes before the dimension joins: dimensions
     are unique on their names, so a join cannot bring duplicates back.
     """
-    order = [F.desc_nulls_last("ingestion_timestamp")] + [
-        F.asc_nulls_last(c) for c in postings.columns if c not in ("source", "job_id", "ingestion_timestamp")
-    ]
+    order = [F.desc_nulls_last("ingestion_timestamp"), any_row(postings)]
     best = keep_best(not_null(postings, ["source", "job_id"]), ["source", "job_id"], order)
     absent = {
         c: F.lit(None).cast(t) for c, t in (("close_date", "date"), ("apply_url", "string")) if c not in best.columns
@@ -118,14 +116,14 @@ def fact_job_postings(postings: DataFrame, dims: dict[str, DataFrame], existing:
     src = rows.select(*FACT_POSTING_COLUMNS)
     if existing is None:
         return src.withColumn("occupation_key", F.lit(None).cast("bigint"))
-    return upsert(existing, src, ["posting_key"])
+    return upsert(existing, src, ["posting_key"], unique=True)
 
 
 def fact_qcew(qcew: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     src = qcew.withColumn("date_key", D.quarter_date_key("year", "qtr")).withColumn(
         "location_key", F.lit(None).cast("bigint")
     ).select(*FACT_QCEW.fieldNames())
-    return src if existing is None else upsert(existing, src.drop("location_key"), ["qcew_key"])
+    return src if existing is None else upsert(existing, src.drop("location_key"), ["qcew_key"], unique=True)
 
 
 def fact_oews_wages(oews: DataFrame, occupations: DataFrame, existing: DataFrame | None = None) -> DataFrame:
@@ -134,7 +132,7 @@ def fact_oews_wages(oews: DataFrame, occupations: DataFrame, existing: DataFrame
         F.lit(None).cast("bigint").alias("location_key"), "survey_year", "area", "area_title", "area_type",
         "occ_code", "occ_title", *OEWS_MEASURES,
     ).select(*FACT_OEWS_WAGES.fieldNames())
-    return src if existing is None else upsert(existing, src.drop("location_key"), ["oews_key"])
+    return src if existing is None else upsert(existing, src.drop("location_key"), ["oews_key"], unique=True)
 
 
 def postings_to_soc(postings: DataFrame, resolved: DataFrame, occupations: DataFrame) -> DataFrame:

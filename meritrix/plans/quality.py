@@ -25,12 +25,13 @@ def assert_unique(df: DataFrame, keys=POSTING_KEYS) -> None:
 
 
 def logical_key(postings: DataFrame) -> DataFrame:
-    """Add the columns that identify one real-world posting."""
-    if "job_title_normalized" not in postings.columns:
-        postings = postings.withColumn("job_title_normalized", norm_a("job_title"))
-    return postings.withColumn("title_norm", one_blank("job_title_normalized")).withColumn(
-        "company_norm", F.lower(F.trim("company_or_agency"))
-    )
+    """Postings with a title and company, and the columns that identify one
+    real-world posting. The NULL test is on stored columns, so it is pushed to
+    the scan and not evaluated on the normalised text."""
+    given = "job_title_normalized" in postings.columns
+    title = F.col("job_title_normalized") if given else norm_a("job_title")
+    rows = not_null(postings, ["job_title_normalized" if given else "job_title", "company_or_agency"])
+    return rows.withColumns({"title_norm": one_blank(title), "company_norm": F.lower(F.trim("company_or_agency"))})
 
 
 def near_duplicates(postings: DataFrame, limit: int | None = None, ids_per_row: int = 10_000,
@@ -42,9 +43,7 @@ def near_duplicates(postings: DataFrame, limit: int | None = None, ids_per_row:
     each): no id is dropped and no task or row holds a whole group. Counting
     and the join back to the members run on salted keys for the same reason.
     """
-    rows = not_null(
-        logical_key(postings), ["job_title_normalized", "company_or_agency", "posted_date"]
-    ).select(*LOGICAL_KEYS, "source", "job_id", F.pmod(F.xxhash64("job_id"), F.lit(salts)).alias("salt"))
+    rows = logical_key(not_null(postings, ["posted_date"])).select(*LOGICAL_KEYS, "source", "job_id", F.pmod(F.xxhash64("job_id"), F.lit(salts)).alias("salt"))
     group = Window.partitionBy(*LOGICAL_KEYS)  # at most `salts` rows each
     sized = (
         rows.groupBy(*LOGICAL_KEYS, "salt")
@@ -82,7 +81,7 @@ def jobs_clean(postings: DataFrame) -> DataFrame:
 
 def jobs_deduped(clean_postings: DataFrame) -> DataFrame:
     """One row per real-world posting: federal sources first, then the freshest."""
-    rows = not_null(logical_key(clean_postings), ["job_title_normalized", "company_or_agency"])
+    rows = logical_key(clean_postings)
     order = [
         F.when(F.col("source").startswith("usajobs"), 0).otherwise(1),
         F.desc_nulls_first("ingestion_timestamp"),

@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meritrix.functions import derive as D
-from meritrix.functions.aggregates import mean_of_months
+from meritrix.functions.aggregates import collapse_max, mean_of_months
 from meritrix.operators.filters import disclosed, has_occupation
 from meritrix.operators.merge import upsert, upsert_if_newer
-from meritrix.operators.windows import keep_best
+from meritrix.operators.windows import any_row, keep_best
 from meritrix.schemas import JOBS_UNIFIED, OEWS_MEASURES
 
 POSTING_KEYS = ["source", "job_id"]
+QCEW_KEY = ["area_fips", "industry_code", "own_code", "year", "qtr"]
 QCEW_MEASURES = ["qtrly_estabs", "avg_monthly_emplvl", "total_qtrly_wages", "avg_wkly_wage"]
 
 
@@ -99,41 +100,34 @@ def usajobs_to_posting(bronze: DataFrame) -> DataFrame:
     return rows.select(*JOBS_UNIFIED.fieldNames())
 
 
-def _merge(rows: DataFrame, target: DataFrame | None) -> DataFrame:
-    latest = [F.desc_nulls_last("ingestion_timestamp")]
-    rest = [F.asc(c) for c in rows.columns if c not in (*POSTING_KEYS, "ingestion_timestamp")]
-    if target is None:
-        return keep_best(rows.dropna(subset=POSTING_KEYS), POSTING_KEYS, latest + rest)
-    return upsert(target, rows, POSTING_KEYS, latest + rest)
+def latest_payloads(bronze: DataFrame, key: str) -> DataFrame:
+    """One payload per key, the freshest; done before parsing, on three columns."""
+    rows = bronze.select(key, "raw_data", "ingestion_timestamp").dropna(subset=[key])
+    return keep_best(rows, [key], [F.desc_nulls_last("ingestion_timestamp"), F.asc("raw_data")])
 
 
 def transform_adzuna(bronze: DataFrame, target: DataFrame | None = None) -> DataFrame:
-    return _merge(adzuna_to_posting(bronze), target)
+    rows = adzuna_to_posting(latest_payloads(bronze, "job_id"))
+    return rows if target is None else upsert(target, rows, POSTING_KEYS, unique=True)
 
 
 def transform_usajobs(bronze: DataFrame, target: DataFrame | None = None) -> DataFrame:
-    return _merge(usajobs_to_posting(bronze), target)
+    rows = usajobs_to_posting(latest_payloads(bronze, "control_number"))
+    return rows if target is None else upsert(target, rows, POSTING_KEYS, unique=True)
 
 
 def qcew_rows(bronze: DataFrame, ranges=None) -> DataFrame:
     """One row per area, industry, ownership and quarter.
 
-    Measures are column-wise maxima over repeated loads. When a key occurs at
-    several aggregation levels, the smallest level wins: comparing
-    ``(-level, value)`` pairs does both in one combinable aggregation and one
-    shuffle, instead of collapsing per level and then again per key.
+    Measures are column-wise maxima over repeated loads of an aggregation
+    level; where a key occurs at several levels, the smallest level wins. Both
+    steps work on the typed columns and combine before their shuffle, so a key
+    loaded very often costs no more than others; the text key is built last.
     """
-    key = ["area_fips", "industry_code", "own_code", "year", "qtr"]
-    rank = F.coalesce(-F.col("agglvl_code"), F.lit(-2147483647))
-
-    def top(c):
-        return F.max(F.struct(rank.alias("level"), F.col(c).alias("x")))["x"].alias(c)
-
-    raw = ["qtrly_estabs", "month1_emplvl", "month2_emplvl", "month3_emplvl",
-           "total_qtrly_wages", "avg_wkly_wage", "ingestion_timestamp"]
-    best = disclosed(bronze).dropna(subset=key).groupBy(*key).agg(
-        F.min("agglvl_code").alias("agglvl_code"), *[top(c) for c in raw]
-    )
+    measures = ["qtrly_estabs", "month1_emplvl", "month2_emplvl", "month3_emplvl",
+                "total_qtrly_wages", "avg_wkly_wage", "ingestion_timestamp"]
+    per_level = collapse_max(disclosed(bronze).dropna(subset=QCEW_KEY), [*QCEW_KEY, "agglvl_code"], measures)
+    best = keep_best(per_level, QCEW_KEY, [F.asc_nulls_last("agglvl_code")])
     return best.select(
         D.qcew_key().alias("qcew_key"),
         "area_fips",
@@ -156,14 +150,13 @@ def qcew_rows(bronze: DataFrame, ranges=None) -> DataFrame:
 def transform_qcew(bronze: DataFrame, target: DataFrame | None = None, ranges=None) -> DataFrame:
     rows = qcew_rows(bronze, ranges)
     return rows if target is None else upsert_if_newer(
-        target, rows, ["qcew_key"], "ingestion_timestamp", QCEW_MEASURES
+        target, rows, ["qcew_key"], "ingestion_timestamp", QCEW_MEASURES, unique=True
     )
 
 
 def qcew_collapse_counts(bronze: DataFrame) -> DataFrame:
     """One row: records read, kept, and folded into another record's key."""
-    key = ["area_fips", "industry_code", "own_code", "year", "qtr"]
-    per_key = disclosed(bronze).dropna(subset=key).groupBy(*key).agg(F.count("*").alias("n"))
+    per_key = disclosed(bronze).dropna(subset=QCEW_KEY).groupBy(*QCEW_KEY).agg(F.count("*").alias("n"))
     return per_key.agg(
         F.sum("n").alias("records"), F.count("*").alias("keys"),
         (F.sum("n") - F.count("*")).alias("collapsed"),
@@ -193,10 +186,7 @@ def oews_rows(bronze: DataFrame) -> DataFrame:
     """One row per survey year, area and occupation: latest load, then the
     largest employment, then the remaining columns so that ties are decided."""
     flat = flatten_oews(bronze)
-    key = ["survey_year", "area", "occ_code"]
-    order = [F.desc("ingestion_timestamp"), F.desc_nulls_last("tot_emp")] + [
-        F.asc_nulls_last(c) for c in flat.columns if c not in (*key, "tot_emp", "ingestion_timestamp")
-    ]
+    order = [F.desc("ingestion_timestamp"), F.desc_nulls_last("tot_emp"), any_row(flat)]
     best = keep_best(flat.withColumn("area_k", F.coalesce("area", F.lit(""))),
                      ["survey_year", "area_k", "occ_code"], order)
     return best.select(D.oews_key().alias("oews_key"), *flat.columns)
@@ -205,5 +195,5 @@ def oews_rows(bronze: DataFrame) -> DataFrame:
 def transform_oews(bronze: DataFrame, target: DataFrame | None = None) -> DataFrame:
     rows = oews_rows(bronze)
     return rows if target is None else upsert_if_newer(
-        target, rows, ["oews_key"], "ingestion_timestamp", OEWS_MEASURES
+        target, rows, ["oews_key"], "ingestion_timestamp", OEWS_MEASURES, unique=True
     )

@@ -17,6 +17,10 @@ def local_session(cores: int | str = "*", app: str = "meritrix") -> SparkSession
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.driver.memory", "8g")
+        # long CASE projections exceed the JIT's default method size; on a
+        # cluster the same flag goes into spark.executor.extraJavaOptions
+        .config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # call sites cost a round trip per Column
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
