@@ -50,7 +50,7 @@ def clean(spark, sf) -> DataFrame:
 
 
 def categories(spark, sf) -> DataFrame:
-    return gold.dim_category(postings(spark, sf))
+    return gold.category_labels(postings(spark, sf))
 
 
 def occupations(spark, sf):
@@ -58,14 +58,18 @@ def occupations(spark, sf):
     return resolved, gold.dim_occupation(resolved)
 
 
-def posting_fact(spark, sf):
-    """Fact with occupations but without the other dimension keys, and the
-    occupation dimension. The resolver output and the dimension are stored:
-    both are read several times."""
+def posting_fact(spark, sf, *columns):
+    """The posting fact with occupations (without the other dimension keys) and
+    the occupation dimension. Both, and the resolver output, are stored tables
+    as they are in the warehouse; of the fact only the needed columns."""
     p = postings(spark, sf)
     resolved = stored(resolve_soc(p))
     dim = stored(gold.dim_occupation(resolved))
-    return gold.update_postings_soc(gold.fact_job_postings(p, {}), p, resolved, dim), dim
+    fact = gold.update_postings_soc(gold.fact_job_postings(p, {}), p, resolved, dim)
+    return (stored(fact.select(*columns)) if columns else fact), dim
+
+
+PAY = ("occupation_key", "sector", "salary_midpoint")
 
 
 def qcew(spark, sf) -> DataFrame:
@@ -133,7 +137,7 @@ SELECT sector, source, company_or_agency, coalesce({O.agency_parent('name', 's')
  experience_level, count(*) AS job_count, count(*) FILTER (is_entry_level) AS entry_level_count,
  round(avg(salary_min), 0) AS avg_salary_min FROM clean JOIN parents ON name = company_or_agency GROUP BY ALL""")
 def _(spark, sf):
-    return views.top_employers(clean(spark, sf), gold.dim_company(postings(spark, sf)))
+    return views.top_employers(clean(spark, sf), gold.company_labels(postings(spark, sf)))
 
 
 @check("posting_trends", f"""WITH {O.CLEAN} SELECT CAST(date_trunc('week', posted_date) AS DATE) AS week_start, sector, source,
@@ -164,12 +168,12 @@ gap AS (SELECT f.soc_code, f.soc_title, f.soc_major_title, f.m AS federal_median
 
 @check("salary_gap_federal_vs_private", f"WITH {GAP} SELECT * FROM gap")
 def _(spark, sf):
-    return views.salary_gap(*posting_fact(spark, sf))
+    return views.salary_gap(*posting_fact(spark, sf, *PAY))
 
 
 @check("salary_gap_approx", None)
 def _(spark, sf):
-    return views.salary_gap(*posting_fact(spark, sf), exact=False)
+    return views.salary_gap(*posting_fact(spark, sf, *PAY), exact=False)
 
 
 @check("postings_vs_oews", f"""WITH {O.FACT}, {O.OEWS}, nat AS (SELECT occ_code, a_median, survey_year FROM wages WHERE area_type = 1
@@ -398,7 +402,7 @@ def _(spark, sf):
 
 @check("dim_category", f"WITH {O.POSTINGS}, {CATEGORIES} SELECT * FROM cat")
 def _(spark, sf):
-    return categories(spark, sf)
+    return gold.dim_category(postings(spark, sf))
 
 
 @check("dim_occupation", f"WITH {O.POSTINGS} {O.RESOLVED} {O.OCCUPATIONS} SELECT * FROM occ")
@@ -457,7 +461,7 @@ def _(spark, sf):
  ELSE 'Private pays more' END AS gap_direction FROM gap WHERE federal_postings >= 5 AND private_postings >= 5
  ORDER BY abs(sector_gap_dollars) DESC NULLS LAST, soc_code LIMIT 30""")
 def _(spark, sf):
-    return reads.federal_vs_private_gap(views.salary_gap(*posting_fact(spark, sf)), min_postings=5)
+    return reads.federal_vs_private_gap(views.salary_gap(*posting_fact(spark, sf, *PAY)), min_postings=5)
 
 
 @check("soc_major_distribution", f"""WITH {O.FACT} SELECT soc_major_title, sector, count(*) AS posting_count FROM fact
@@ -470,7 +474,7 @@ def _(spark, sf):
  AND soc_code <> '99-9999'), top AS (SELECT soc_code FROM ok GROUP BY 1 ORDER BY count(*) DESC, soc_code LIMIT 5)
 SELECT soc_code, soc_title, sector, salary_midpoint FROM ok WHERE soc_code IN (FROM top)""")
 def _(spark, sf):
-    return reads.salary_by_occupation_top(*posting_fact(spark, sf), n=5)
+    return reads.salary_by_occupation_top(*posting_fact(spark, sf, *PAY), n=5)
 
 
 @check("qcew_trend", f"""WITH {TREND} SELECT year, qtr, quarter_start_date AS quarter_date, state_employment, state_avg_wkly_wage

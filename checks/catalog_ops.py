@@ -181,8 +181,8 @@ n AS (SELECT company_name, {O.numbered('company_name', 'company_name')} + (SELEC
  FROM com WHERE company_name NOT IN (FROM f))
 SELECT * FROM e UNION ALL SELECT * FROM n""")
 def _(spark, sf):
-    names = gold.dim_company(postings(spark, sf)).select("company_name", "sector")
-    first = K.number_rows(names.filter("sector = 'federal'").select("company_name"), ["company_name"], "company_key")
+    names = stored(gold.company_labels(postings(spark, sf)).select("company_name", "sector"))
+    first = stored(K.number_rows(names.filter("sector = 'federal'").select("company_name"), ["company_name"], "company_key"))
     return K.assign_keys(names.select("company_name"), ["company_name"], "company_key", first)
 
 

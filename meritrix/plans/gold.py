@@ -49,24 +49,31 @@ def dim_location(postings: DataFrame, existing: DataFrame | None = None) -> Data
     return _refresh(src, ["city", "state", "country"], "location_key", existing)
 
 
-def dim_company(postings: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """One row per name. A name seen in both sectors counts as federal."""
-    src = (
+def company_labels(postings: DataFrame) -> DataFrame:
+    """One row per employer name. A name seen in both sectors counts as federal."""
+    return (
         not_null(postings, ["company_or_agency"])
         .groupBy(F.col("company_or_agency").alias("company_name"))
         .agg(F.min("sector").alias("sector"))  # 'federal' < 'private'
         .withColumn("agency_parent", D.agency_parent("company_name", "sector"))
     )
-    return _refresh(src, ["company_name"], "company_key", existing)
 
 
-def dim_category(postings: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    src = (
+def dim_company(postings: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    return _refresh(company_labels(postings), ["company_name"], "company_key", existing)
+
+
+def category_labels(postings: DataFrame) -> DataFrame:
+    """The distinct category names with their group."""
+    return (
         not_null(postings, ["job_category"])
         .select(F.col("job_category").alias("category_name")).distinct()
         .withColumn("category_group", D.category_group("category_name"))
     )
-    return _refresh(src, ["category_name"], "category_key", existing)
+
+
+def dim_category(postings: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    return _refresh(category_labels(postings), ["category_name"], "category_key", existing)
 
 
 def dim_occupation(resolved: DataFrame, existing: DataFrame | None = None) -> DataFrame:
@@ -85,12 +92,12 @@ def posting_measures(postings: DataFrame) -> DataFrame:
     are unique on their names, so a join cannot bring duplicates back.
     """
     order = [F.desc_nulls_last("ingestion_timestamp"), any_row(postings)]
-    best = keep_best(not_null(postings, ["source", "job_id"]), ["source", "job_id"], order)
+    keyed = not_null(postings, ["source", "job_id"]).withColumn("posting_key", D.posting_key("source", "job_id"))
+    best = keep_best(keyed, ["posting_key"], order)  # leaves the rows partitioned by posting_key
     absent = {
         c: F.lit(None).cast(t) for c, t in (("close_date", "date"), ("apply_url", "string")) if c not in best.columns
     }
     return best.withColumns({
-        "posting_key": D.posting_key("source", "job_id"),
         "date_key": D.date_key("posted_date"),
         "salary_midpoint": D.salary_midpoint("salary_min", "salary_max"),
         **absent,
