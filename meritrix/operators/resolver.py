@@ -75,12 +75,18 @@ keyword_match = longest_pattern
 
 
 def distinct_titles(postings: DataFrame) -> DataFrame:
-    """Normalised titles with a sample of the raw text and a posting count."""
-    return (
-        postings.filter(F.col("job_title").isNotNull())
-        .groupBy(norm_b("job_title").alias("title_normalized"))
-        .agg(F.min("job_title").alias("title_raw"), F.count("*").alias("posting_count"))
-    )
+    """Normalised titles with a sample of the raw text and a posting count.
+
+    Raw titles are counted first, so the regular expression runs once per
+    distinct text. The normalised title is returned as an aggregate, not as
+    the grouping key: a later filter on the resolved code would otherwise be
+    pushed below the aggregation and resolve every posting.
+    """
+    raw = postings.filter(F.col("job_title").isNotNull()).groupBy("job_title").agg(F.count("*").alias("n"))
+    title = norm_b("job_title")
+    return raw.groupBy(title.alias("_title")).agg(
+        F.min(title).alias("title_normalized"), F.min("job_title").alias("title_raw"), F.sum("n").alias("posting_count")
+    ).drop("_title")
 
 
 def resolve_titles(titles: DataFrame, seed=None, patterns=None) -> DataFrame:
