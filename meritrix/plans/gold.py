@@ -9,7 +9,7 @@ from meritrix.functions import derive as D
 from meritrix.functions.aggregates import representative
 from meritrix.operators.filters import not_null
 from meritrix.operators.joins import (
-    HOT_SHARE, hot_keys, join_category, join_company, join_location, join_wage_occupation, salted_join,
+    HOT_SHARE, fits, hot_keys, join_category, join_company, join_location, join_wage_occupation, salted_join,
 )
 from meritrix.operators.keys import assign_keys
 from meritrix.operators.merge import insert_new, update_from, upsert
@@ -145,8 +145,9 @@ def fact_oews_wages(oews: DataFrame, occupations: DataFrame, existing: DataFrame
 def postings_to_soc(postings: DataFrame, resolved: DataFrame, occupations: DataFrame) -> DataFrame:
     """posting_key -> occupation_key through the normalised title.
 
-    A common title may hold a large share of the postings. The resolver has
-    counted them, so the hot titles come for free and only they are salted.
+    Few titles are broadcast. Beyond that a common title may hold a large share
+    of the postings; the resolver has counted them, so the hot titles come for
+    free and only they are salted.
     """
     codes = resolved.select("title_normalized", "soc_code", "posting_count").join(
         F.broadcast(occupations.select("soc_code", "occupation_key")), "soc_code"  # one row per public code
@@ -154,11 +155,13 @@ def postings_to_soc(postings: DataFrame, resolved: DataFrame, occupations: DataF
     keyed = postings.filter(F.col("job_title").isNotNull()).select(
         D.posting_key("source", "job_id").alias("posting_key"), D.norm_b("job_title").alias("title_normalized")
     )
-    hot = hot_keys(codes, ["title_normalized"], HOT_SHARE, weight="posting_count")
     right = codes.select("title_normalized", "occupation_key")
-    return salted_join(keyed, right, ["title_normalized"], ["posting_key"], hot, "inner").select(
-        "posting_key", "occupation_key"
-    )
+    if fits(resolved):
+        pairs = keyed.join(F.broadcast(right), "title_normalized")
+    else:
+        hot = hot_keys(codes, ["title_normalized"], HOT_SHARE, weight="posting_count")
+        pairs = salted_join(keyed, right, ["title_normalized"], ["posting_key"], hot, "inner")
+    return pairs.select("posting_key", "occupation_key")
 
 
 def update_postings_soc(fact: DataFrame, postings: DataFrame, resolved: DataFrame, occupations: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from meritrix.functions import derive as D
 from meritrix.operators.filters import date_between, in_any, mapped, min_support, salary_in_range, since, state_totals
 from meritrix.operators.joins import having_match, join_occupation, label_category, lookup_join
 from meritrix.operators.windows import resort, rows_of_top_groups, top_k, top_k_per_group
+from meritrix.session import stored
 
 JOB_COLUMNS = [
     "job_id", "source", "sector", "job_title", "company_or_agency", "location_city", "location_state",
@@ -157,20 +158,18 @@ def personal_feed(prefs: DataFrame, clean: DataFrame, as_of, days: int = 7, k: i
     order = [F.desc("posted_date"), F.desc("ingestion_timestamp"), F.asc("source"), F.asc("job_id")]
     recent = since(clean, as_of, days=days)
     kept = [c for c in JOB_COLUMNS if c in recent.columns]
-    finest = top_k_per_group(recent.select(*kept, "ingestion_timestamp"), list(types), order, k)
-
-    cells = finest
+    cells = top_k_per_group(recent.select(*kept, "ingestion_timestamp"), list(types), order, k)
     for t in types:
         value = F.concat(F.lit("="), F.col(t))
         cells = cells.withColumn(f"c_{t}", F.explode(F.filter(F.array(value, F.lit("*")), lambda x: x.isNotNull())))
     combo = [f"c_{t}" for t in types]
-    cells = top_k_per_group(cells, combo, order, k)
+    cells = stored(top_k_per_group(cells, combo, order, k))  # small, and read more than once
 
     # values that no recent posting has cannot match; dropping them keeps a
     # user's arrays no longer than the list of values in use
     in_use = reduce(DataFrame.unionByName, [
-        finest.select(F.lit(t).alias("pref_type"), F.col(t).alias("pref_value")) for t in types
-    ]).dropna().distinct().withColumn("_used", F.lit(True))
+        cells.filter(F.col(f"c_{t}") != "*").select(F.lit(t).alias("pref_type"), F.col(t).alias("pref_value")) for t in types
+    ]).distinct().withColumn("_used", F.lit(True))
     asked = prefs.filter(F.col("pref_type").isin(list(types))) if require_any else prefs
     known = asked.join(in_use, ["pref_type", "pref_value"], "left")
     per_user = known.groupBy("user_email").agg(*[
