@@ -28,9 +28,17 @@ def one_per_key(src: DataFrame, keys, order=None) -> DataFrame:
     return keep_best(rows, keys, order or [any_row(src)])
 
 
-def new_rows(target: DataFrame, src: DataFrame, keys, order=None) -> DataFrame:
-    """Source rows whose key the target lacks: what an append has to write."""
-    return one_per_key(src, keys, order).join(target.select(*keys), list(keys), "left_anti")
+def new_rows(target: DataFrame, src: DataFrame, keys, order=None, unique: bool = False) -> DataFrame:
+    """Source rows whose key the target lacks: what an append has to write.
+
+    The target is first cut down to the keys of the batch. With a small batch
+    that is a broadcast join, and the large target is scanned for its key
+    columns but never shuffled.
+    """
+    keys = list(keys)
+    batch = src.dropna(subset=keys) if unique else one_per_key(src, keys, order)
+    seen = target.select(*keys).join(batch.select(*keys), keys, "left_semi")
+    return batch.join(seen, keys, "left_anti")
 
 
 def insert_new(target: DataFrame, src: DataFrame, keys, order=None) -> DataFrame:

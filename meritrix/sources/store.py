@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meritrix.operators.merge import new_rows
+from meritrix.operators.merge import new_rows, one_per_key
 from meritrix.schemas import LAYOUT
 from meritrix.session import stored
 
@@ -29,8 +29,13 @@ def write_layout(df: DataFrame, path: str, name: str, mode: str = "errorifexists
 
 def append_new(spark: SparkSession, path: str, src: DataFrame, keys, order=None) -> None:
     """Insert-if-absent on a stored table: only new rows are written. Running
-    the same source again finds its keys present and writes nothing."""
-    new_rows(spark.read.parquet(path), src, keys, order).write.mode("append").parquet(path)
+    the same source again finds its keys present and writes nothing.
+
+    The batch is stored first: its plan (a stream's, say) has no known size,
+    but its files do, and that lets the planner broadcast its keys.
+    """
+    batch = stored(one_per_key(src, keys, order))
+    new_rows(spark.read.parquet(path), batch, keys, unique=True).write.mode("append").parquet(path)
 
 
 def replace_partitions(df: DataFrame, path: str, partition_by) -> None:
@@ -89,3 +94,13 @@ class SnapshotStore:
         number = taken[-1][0] + 1 if taken else 1
         write_layout(df, f"{self.root}/{name}/snapshot={number:06d}", name)
         return self.read(name)
+
+    def prune(self, name: str, keep: int = 2) -> None:
+        """Delete all but the newest ``keep`` complete snapshots (and what
+        failed writes left behind before them)."""
+        folders = self._folders(name)
+        done = [number for number, _, ok in folders if ok]
+        for number, path, _ in folders:
+            if done and number < done[-keep:][0]:
+                p = self._path(path)
+                p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)

@@ -102,6 +102,9 @@ def test_snapshots(spark, rows, tmp_path):
     assert tables.read("dim_x").count() == 2
     tables.write("dim_x", rows("k int", (9,)))
     assert [r.k for r in tables.read("dim_x").collect()] == [9]
+    tables.prune("dim_x")
+    assert sorted(f.name for f in (tmp_path / "t" / "dim_x").iterdir()) == [
+        "snapshot=000002", "snapshot=000003", "snapshot=000004"]
 
 
 def test_partition_replacement_and_layout(spark, tmp_path):
