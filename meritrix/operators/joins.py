@@ -46,14 +46,15 @@ def salted_join(left: DataFrame, right: DataFrame, on, row_id, hot: DataFrame,
 
 
 def fits(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a frame is small enough to broadcast: by the size of its files
-    when the planner's estimate is below its broadcast threshold, otherwise by
-    counting no more than ``rows`` + 1 rows."""
+    """Whether a frame is small enough to broadcast: by the planner's estimate
+    (for a stored table, its file sizes) when that is below the broadcast
+    threshold, otherwise by counting. The count combines in the tasks; a
+    ``limit`` would send its rows from every task to a single one."""
     plan = df._jdf.queryExecution()
     limit = int(plan.sparkSession().sessionState().conf().autoBroadcastJoinThreshold())
     if int(plan.optimizedPlan().stats().sizeInBytes()) <= limit:
         return True
-    return df.limit(rows + 1).count() <= rows
+    return df.count() <= rows
 
 
 def lookup_join(left: DataFrame, right: DataFrame, on, row_id, how: str = "left",
