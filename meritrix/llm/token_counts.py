@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meritrix.llm.tasks import map_batches, utf8, worker_state
+from meritrix.llm.tasks import map_batches, share_code, utf8, worker_state
 
 #: Rows whose pre-tokens fill the broadcast table, and its size. Both only decide
 #: which tier answers; counts do not depend on them.
@@ -79,22 +79,25 @@ class _Cache(dict):
 
 
 def frequent_lengths(docs: DataFrame, spec: str, text: str = "text") -> dict[str, int]:
-    """Lengths of the most frequent pre-tokens in at most SAMPLE_ROWS rows: at
-    most TABLE_SIZE entries, counted inside one task."""
+    """Lengths of the most frequent pre-tokens of a sample: the first SAMPLE_ROWS
+    rows of the first partitions, counted inside their tasks. ``take`` runs no
+    more partitions than it needs for TABLE_SIZE entries, and nothing is shuffled."""
+    schema = pa.schema([("piece", pa.string()), ("length", pa.int32())])
+
     def count(batches):
-        splitter, counts = PreTokens(spec), Counter()
+        splitter, counts, rows = PreTokens(spec), Counter(), 0
         for batch in batches:
-            for value in utf8(batch, text):
+            for value in utf8(batch.slice(0, SAMPLE_ROWS - rows), text):
                 counts.update(splitter.of(value.decode())[0])
                 if len(counts) > 8 * TABLE_SIZE:
                     counts = Counter(dict(counts.most_common(2 * TABLE_SIZE)))
+            rows += batch.num_rows
+            if rows >= SAMPLE_ROWS:
+                break
         top = [p for p, _ in counts.most_common(TABLE_SIZE) if len(p) <= 64]
-        yield pa.RecordBatch.from_pydict(
-            {"piece": top, "length": [splitter.length(p) for p in top]},
-            pa.schema([("piece", pa.string()), ("length", pa.int32())]))
+        yield pa.RecordBatch.from_pydict({"piece": top, "length": list(map(splitter.length, top))}, schema)
 
-    rows = docs.select(text).limit(SAMPLE_ROWS).coalesce(1).mapInArrow(count, "piece string, length int").collect()
-    return {row.piece: row.length for row in rows}
+    return dict(docs.select(text).mapInArrow(count, "piece string, length int").take(TABLE_SIZE))
 
 
 def count_tokens(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text: str = "text",
@@ -106,8 +109,6 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id"
     names. An empty table gives an empty result.
     """
     spark = docs.sparkSession
-    from meritrix.llm.tasks import share_code
-
     share_code(spark)
     with open(tokenizer_path, encoding="utf-8") as file:
         spec = file.read()
