@@ -163,14 +163,16 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc
     return map_batches(narrow, work, f"{kinds}, ids string, n_tokens bigint")
 
 
-def decode(encoded: DataFrame, ranks_path: str, *, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def decode(encoded: DataFrame, ranks_path: str, *, keep: tuple[str, ...] = ("doc_id",),
+           keep_ids: bool = False) -> DataFrame:
     """(kept columns, decoded) for rows that hold ``ids``: the bytes that the ids
     stand for. Null ids decode to no bytes; an unknown id raises KeyError."""
     spark = encoded.sparkSession
     share_code(spark)
     ranks = load_ranks(ranks_path)
     shared = spark.sparkContext.broadcast({str(rank): token for token, rank in ranks.items()})
-    narrow = encoded.select(*keep, "ids")
+    keep = (*keep, "ids") if keep_ids else keep
+    narrow = encoded.select(*dict.fromkeys((*keep, "ids")))
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         token = shared.value.__getitem__

@@ -105,11 +105,6 @@ def class_id(grams: np.ndarray) -> bytes:
     return hashlib.blake2b(grams.tobytes(), digest_size=16).digest()
 
 
-def needed(a, b, percent: int):
-    """Smallest overlap of sets of sizes a and b with Jaccard >= percent / 100."""
-    return -(-percent * (a + b) // (100 + percent))
-
-
 @dataclass(frozen=True)
 class Order:
     """The global order: by bucket count, then hash; ``fragment`` of each bucket."""
@@ -169,28 +164,25 @@ def _measured(docs: DataFrame, n: int) -> DataFrame:
     """First pass over the texts: one row per document with size and class, and
     per task the packed bucket counts of its documents' n-grams."""
     share_code(docs.sparkSession)
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    kind, names = docs.schema["doc_id"].dataType.simpleString(), ["doc_id", "n", "class", "slice", "counts"]
 
     def run(batches):
-        counts, empty = np.zeros(1 << COUNT_BITS, np.int64), None
+        counts, id_type = np.zeros(1 << COUNT_BITS, np.int64), None
         for batch in batches:
             sets = [shingles(raw, n) for raw in utf8(batch, "text")]
             if sets:
                 flat = np.concatenate(sets)
                 counts += np.bincount((flat >> np.uint64(64 - COUNT_BITS)).astype(np.int64), minlength=1 << COUNT_BITS)
-            empty = batch.slice(0, 0).column("doc_id")
-            none = pa.nulls(batch.num_rows)
+            id_type = batch.column("doc_id").type
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([class_id(s) if len(s) else None for s in sets], pa.binary()),
-                 none.cast(pa.int32()), none.cast(pa.binary())],
-                ["doc_id", "n", "class", "slice", "counts"])
+                 pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.binary())], names)
         at, packed = _slices(counts)
         if at:
-            none = pa.nulls(len(at))
             yield pa.RecordBatch.from_arrays(
-                [none.cast(empty.type), none.cast(pa.int64()), none.cast(pa.binary()), pa.array(at, pa.int32()),
-                 pa.array(packed, pa.binary())], ["doc_id", "n", "class", "slice", "counts"])
+                [pa.nulls(len(at), id_type), pa.nulls(len(at), pa.int64()), pa.nulls(len(at), pa.binary()),
+                 pa.array(at, pa.int32()), pa.array(packed, pa.binary())], names)
 
     return docs.mapInArrow(run, f"doc_id {kind}, n bigint, class binary, slice int, counts binary")
 

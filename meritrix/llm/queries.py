@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meritrix.llm import (
-    bpe, chat, decontaminate, langid, ngram_join, pii, quality, rules, sharding, token_counts,
+    bpe, chat, decontaminate, langid, ngram_join, oracle, pii, quality, rules, sharding, token_counts,
 )
 from meritrix.llm.tasks import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = dict(oracle.SQL)
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
