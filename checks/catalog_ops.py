@@ -197,6 +197,66 @@ def _(spark, sf):
     return spark.read.parquet(path).select("qcew_key", "year", "total_qtrly_wages")
 
 
+@check("refresh_years_emptied", f"""WITH {O.QCEW} SELECT qcew_key, year,
+ total_qtrly_wages + CASE WHEN year = 1999 THEN 1 ELSE 0 END AS total_qtrly_wages FROM qcew WHERE year <> 2000""")
+def _(spark, sf):
+    """The revision of 1999 and 2000 has no rows of 2000 any more."""
+    rows = stored(qcew(spark, sf).select("qcew_key", "year", "qtr", "area_fips", "total_qtrly_wages"))
+    path = scratch_path(spark, "fact_qcew")
+    store.write_layout(rows, path, "fact_qcew")
+    revised = spark.read.parquet(path).filter("year <> 2000").withColumn("total_qtrly_wages", F.col("total_qtrly_wages") + 1)
+    ingest.refresh_years(revised, path, [1999, 2000])
+    return spark.read.parquet(path).select("qcew_key", "year", "total_qtrly_wages")
+
+
+def lines_by_status(spark, sf):
+    """A stored table of lines in partition folders, and a batch for it."""
+    target, batch = sides(spark, sf)
+    path = scratch_path(spark, "lines")
+    target.write.partitionBy("l_linestatus").parquet(path)
+    return path, batch
+
+
+@check("append_partitioned", f"WITH {SIDES} SELECT * FROM t UNION ALL SELECT * FROM s WHERE NOT EXISTS (FROM t WHERE {SAME})")
+def _(spark, sf):
+    path, batch = lines_by_status(spark, sf)
+    store.append_new(spark, path, batch, KEY, REST)
+    return spark.read.parquet(path)
+
+
+@check("upsert_stored", f"WITH {SIDES} SELECT * FROM s UNION ALL SELECT * FROM t WHERE NOT EXISTS (FROM s WHERE {SAME})")
+def _(spark, sf):
+    """Rows may move to another partition; its folder must not keep them."""
+    path, batch = lines_by_status(spark, sf)
+    store.upsert_stored(spark, path, batch, KEY, REST)
+    return spark.read.parquet(path)
+
+
+@check("delete_partitions", """SELECT l_orderkey, l_linenumber, l_returnflag FROM lineitem
+ WHERE NOT (l_returnflag = 'R' OR l_returnflag = 'A' AND l_quantity < 10)""")
+def _(spark, sf):
+    path = scratch_path(spark, "lines")
+    load(spark, sf, "lineitem").select(*KEY, "l_quantity", "l_returnflag").write.partitionBy("l_returnflag").parquet(path)
+    store.delete_partitions(spark, path, F.expr("l_returnflag = 'R' OR l_returnflag = 'A' AND l_quantity < 10"))
+    if store.partition_columns(spark, path) != ["l_returnflag"]:
+        raise AssertionError("the layout is gone")
+    return spark.read.parquet(path).select(*KEY, "l_returnflag")
+
+
+@check("landing_rejects", f"""WITH {cte('payloads')} SELECT 'landed' AS place, job_id, raw_data FROM payloads WHERE CAST(job_id AS BIGINT) % 5 > 0
+ UNION ALL SELECT 'rejects', NULL, raw_data FROM payloads WHERE CAST(job_id AS BIGINT) % 5 = 0""")
+def _(spark, sf):
+    """Payloads without an id are kept, once, although they are landed twice."""
+    rows = adapter(spark, sf, "payloads").select("job_id", "raw_data")
+    rows = rows.withColumn("job_id", F.when(F.col("job_id").cast("bigint") % 5 > 0, F.col("job_id")))
+    path, rejects = scratch_path(spark, "landed"), scratch_path(spark, "rejects")
+    rows.limit(0).write.parquet(path)
+    for _ in range(2):
+        store.append_new(spark, path, rows, ["job_id"], [F.asc("raw_data")], rejects=rejects)
+    landed, refused = (spark.read.parquet(p).select("job_id", "raw_data") for p in (path, rejects))
+    return landed.select(F.lit("landed").alias("place"), "*").union(refused.select(F.lit("rejects"), "*"))
+
+
 @check("delete_before", "SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate >= TIMESTAMP '1999-06-01'")
 def _(spark, sf):
     rows = load(spark, sf, "orders").select("o_orderkey", "o_orderdate")

@@ -3,7 +3,7 @@
 Plain Parquet has no MERGE, so each operator returns the table's next content
 and the sinks write it. ``target`` is unique on its keys; sources are reduced
 to one row per key first (``order`` says which). Rows with a NULL key cannot
-be identified again and are kept out: see ``null_key_rows``.
+be identified again and are kept out here; ``append_new`` stores them as rejects.
 """
 
 from __future__ import annotations
@@ -49,16 +49,18 @@ def insert_new(target: DataFrame, src: DataFrame, keys, order=None) -> DataFrame
 def upsert(target: DataFrame, src: DataFrame, keys, order=None, unique: bool = False) -> DataFrame:
     """Replace matched rows, keep the rest, insert new ones.
 
-    Columns that the source does not carry keep the target's value. Only key
-    columns of the source reach the other side, so a small batch is broadcast
-    and the target is not shuffled. ``unique`` tells that the source has one
-    row per key already.
+    Columns that the source does not carry keep the target's value: the target
+    is first cut to the batch's keys, and only what is left meets the batch. So
+    only key columns of the source reach the target, a small batch is broadcast
+    and the target is not shuffled. ``unique`` tells that the source has one row
+    per key already.
     """
     keys = list(keys)
     batch = src.dropna(subset=keys) if unique else one_per_key(src, keys, order)
     untouched = [c for c in target.columns if c not in src.columns]
     if untouched:
-        batch = batch.join(target.select(*keys, *untouched), keys, "left")
+        held = target.join(batch.select(*keys), keys, "left_semi").select(*keys, *untouched)
+        batch = batch.join(held, keys, "left")
     kept = target.join(batch.select(*keys), keys, "left_anti")
     return kept.unionByName(batch, allowMissingColumns=True).select(*target.columns)
 
@@ -66,9 +68,15 @@ def upsert(target: DataFrame, src: DataFrame, keys, order=None, unique: bool = F
 def upsert_if_newer(target: DataFrame, src: DataFrame, keys, ts: str = "ingestion_timestamp",
                     update_cols=(), order=None, unique: bool = False) -> DataFrame:
     """Insert new keys; on a match take ``update_cols`` and the timestamp only
-    when the source is strictly newer. Other columns stay as first loaded."""
-    batch = src.dropna(subset=list(keys)) if unique else one_per_key(src, keys, order or [F.desc(ts), any_row(src)])
-    both = merge_join(target, batch, keys)
+    when the source is strictly newer. Other columns stay as first loaded.
+
+    Target rows that the batch does not name pass through an anti join with its
+    keys; only the matched ones meet the batch as whole rows.
+    """
+    keys = list(keys)
+    batch = src.dropna(subset=keys) if unique else one_per_key(src, keys, order or [F.desc(ts), any_row(src)])
+    named = batch.select(*keys)
+    both = merge_join(target.join(named, keys, "left_semi"), batch, keys)
     newer = F.col("t").isNull() | (F.col(f"s.{ts}") > F.col(f"t.{ts}"))
     out = []
     for c in target.columns:
@@ -80,7 +88,7 @@ def upsert_if_newer(target: DataFrame, src: DataFrame, keys, ts: str = "ingestio
             out.append(F.when(newer, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c))
         else:
             out.append(F.when(F.col("t").isNull(), F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c))
-    return both.select(*out)
+    return target.join(named, keys, "left_anti").select(*target.columns).unionByName(both.select(*out))
 
 
 def update_from(target: DataFrame, lookup: DataFrame, on, col: str) -> DataFrame:
@@ -95,18 +103,20 @@ def update_from(target: DataFrame, lookup: DataFrame, on, col: str) -> DataFrame
 
 
 def merge_counts(target: DataFrame, src: DataFrame, keys, ts: str | None = None) -> DataFrame:
-    """One row: how many source keys a merge inserts, updates or leaves."""
-    cols = [*keys] + ([ts] if ts else [])
-    both = merge_join(target.select(*cols), src.dropna(subset=list(keys)).select(*cols).groupBy(*keys).agg(
-        *([F.max(ts).alias(ts)] if ts else [F.count("*").alias("_n")])
-    ), keys)
-    found = F.col("t").isNotNull() & F.col("s").isNotNull()
-    update = found & (F.col(f"s.{ts}") > F.col(f"t.{ts}")) if ts else found
-    return both.agg(
-        F.count_if(F.col("t").isNull()).alias("inserted"),
-        F.count_if(update).alias("updated"),
-        F.count_if(~update & F.col("t").isNotNull()).alias("unchanged"),
-    )
+    """One row: how many source keys a merge inserts, updates or leaves. The
+    target is counted and cut to the batch's keys, never shuffled for a small batch."""
+    keys = list(keys)
+    cols = [*keys, ts] if ts else keys
+    batch = src.dropna(subset=keys).select(*cols).groupBy(*keys).agg(
+        *([F.max(ts).alias(ts)] if ts else [F.count("*").alias("_n")]))
+    hit = target.select(*cols).join(batch.select(*keys), keys, "left_semi")
+    both = merge_join(hit, batch, keys)
+    update = F.col("t").isNotNull() & (F.col(f"s.{ts}") > F.col(f"t.{ts}") if ts else F.lit(True))
+    changes = both.select(F.when(F.col("t").isNull(), 1).otherwise(0).alias("inserted"),
+                          F.when(update, 1).otherwise(0).alias("updated"), F.lit(0).alias("held"))
+    held = target.select(F.lit(0).alias("inserted"), F.lit(0).alias("updated"), F.lit(1).alias("held"))
+    total = changes.union(held).agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("inserted", "updated", "held")))
+    return total.select("inserted", "updated", (F.col("held") - F.col("updated")).alias("unchanged"))
 
 
 def delete_before(df: DataFrame, cutoff, ts: str = "ingestion_timestamp") -> DataFrame:

@@ -130,7 +130,7 @@ def fact_qcew(qcew: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     src = qcew.withColumn("date_key", D.quarter_date_key("year", "qtr")).withColumn(
         "location_key", F.lit(None).cast("bigint")
     ).select(*FACT_QCEW.fieldNames())
-    return src if existing is None else upsert(existing, src.drop("location_key"), ["qcew_key"], unique=True)
+    return src if existing is None else upsert(existing, src, ["qcew_key"], unique=True)
 
 
 def fact_oews_wages(oews: DataFrame, occupations: DataFrame, existing: DataFrame | None = None) -> DataFrame:
@@ -139,7 +139,7 @@ def fact_oews_wages(oews: DataFrame, occupations: DataFrame, existing: DataFrame
         F.lit(None).cast("bigint").alias("location_key"), "survey_year", "area", "area_title", "area_type",
         "occ_code", "occ_title", *OEWS_MEASURES,
     ).select(*FACT_OEWS_WAGES.fieldNames())
-    return src if existing is None else upsert(existing, src.drop("location_key"), ["oews_key"], unique=True)
+    return src if existing is None else upsert(existing, src, ["oews_key"], unique=True)
 
 
 def postings_to_soc(postings: DataFrame, resolved: DataFrame, occupations: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,13 +31,17 @@ def local_session(cores: int | str = "*", app: str = "meritrix") -> SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``. Only where that is unset
-    (tests, a laptop) a temporary folder takes its place."""
+    """The folder named by ``spark.checkpoint.dir``. Only in local mode (tests, a
+    laptop) a temporary folder takes its place where that is unset; on a cluster
+    each machine would have its own, so there it is an error."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if configured:
         return configured
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         current = tempfile.mkdtemp(prefix="meritrix-")
         spark.sparkContext.setCheckpointDir(current)
     return current
@@ -54,3 +59,21 @@ def stored(df: DataFrame) -> DataFrame:
     path = scratch_path(spark, "stored")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """``stored`` for frames that only the caller's own writes read: the folders
+    go when the block ends, whether it ends well or not."""
+    paths: list[str] = []
+
+    def keep(df: DataFrame) -> DataFrame:
+        paths.append(scratch_path(spark, "scratch"))
+        df.write.parquet(paths[-1])
+        return spark.read.schema(df.schema).parquet(paths[-1])
+
+    try:
+        yield keep
+    finally:
+        for path in map(spark._jvm.org.apache.hadoop.fs.Path, paths):
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from meritrix.operators.merge import new_rows, one_per_key
+from meritrix.operators.merge import merge_counts, new_rows, null_key_rows, one_per_key, upsert
 from meritrix.schemas import LAYOUT
-from meritrix.session import stored
+from meritrix.session import scratch
+
+#: Folder name of a NULL partition value, fixed by the file format.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def laid_out(df: DataFrame, partition_by, sort_by) -> DataFrame:
@@ -27,30 +33,145 @@ def write_layout(df: DataFrame, path: str, name: str, mode: str = "errorifexists
     laid_out(df, partition_by, sort_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
-def append_new(spark: SparkSession, path: str, src: DataFrame, keys, order=None) -> None:
-    """Insert-if-absent on a stored table: only new rows are written. Running
-    the same source again finds its keys present and writes nothing.
+def _folders(spark: SparkSession, path: str) -> list:
+    """Folder entries below a path; none where it does not exist."""
+    base = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [s.getPath() for s in fs.listStatus(base) if s.isDirectory()] if fs.exists(base) else []
+
+
+def partition_folders(spark: SparkSession, path: str) -> dict[tuple[tuple[str, str], ...], str]:
+    """((column, value), ..) of each partition of a stored table, to its folder;
+    a table without partitions has the one key ()."""
+    parts = [f for f in _folders(spark, path) if "=" in f.getName() and not f.getName().startswith(("_", "."))]
+    found = {}
+    for folder in parts:
+        column, value = map(unquote, folder.getName().split("=", 1))
+        for rest, at in partition_folders(spark, folder.toString()).items():
+            found[((column, value), *rest)] = at
+    return found or {(): path}
+
+
+def partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """The columns that a stored table is partitioned by, as its folders tell."""
+    layouts = {tuple(column for column, _ in key) for key in partition_folders(spark, path)}
+    if len(layouts) != 1:
+        raise ValueError(f"{path} mixes layouts: {sorted(layouts)}")
+    return list(layouts.pop())
+
+
+def append_new(spark: SparkSession, path: str, src: DataFrame, keys, order=None,
+               rejects: str | None = None) -> dict[str, int]:
+    """Insert-if-absent on a stored table: only new rows are written, into the
+    table's own partitions. Running the same source again finds its keys present
+    and writes nothing. Returns the counts of inserted and skipped keys, and of rows
+    without a key.
+
+    Rows with a NULL key part go to the table ``rejects``, one per distinct content
+    (load times apart), and without such a table they are an error: a landing
+    loses nothing.
 
     The batch is stored first: its plan (a stream's, say) has no known size,
     but its files do, and that lets the planner broadcast its keys.
     """
-    batch = stored(one_per_key(src, keys, order))
-    new_rows(spark.read.parquet(path), batch, keys, unique=True).write.mode("append").parquet(path)
+    with scratch(spark) as keep:
+        rows = keep(src)
+        refused = null_key_rows(rows, keys)
+        lost = refused.count()
+        if lost:
+            if rejects is None:
+                raise ValueError(f"{lost} rows without a key and no table for rejects")
+            _append_rejects(spark, rejects, refused)
+        batch = keep(one_per_key(rows, keys, order))
+        new = keep(new_rows(spark.read.parquet(path), batch, keys, unique=True))
+        inserted = new.count()
+        if inserted:
+            new.write.mode("append").partitionBy(*partition_columns(spark, path)).parquet(path)
+        return {"inserted": inserted, "skipped": batch.count() - inserted, "rejected": lost}
+
+
+def _append_rejects(spark: SparkSession, path: str, rows: DataFrame) -> None:
+    content = [f.name for f in rows.schema.fields if not isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType, T.DateType))]
+    named = rows.withColumn("content_sha256", F.sha2(F.to_json(F.struct(*content)), 256))
+    if exists(spark, path):
+        append_new(spark, path, named, ["content_sha256"])
+    else:
+        one_per_key(named, ["content_sha256"]).write.parquet(path)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    base = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return base.getFileSystem(spark._jsc.hadoopConfiguration()).exists(base)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    base = spark._jvm.org.apache.hadoop.fs.Path(path)
+    base.getFileSystem(spark._jsc.hadoopConfiguration()).delete(base, True)
 
 
-def replace_partitions(df: DataFrame, path: str, partition_by) -> None:
-    """Overwrite just the partitions that ``df`` contains.
+def replace_partitions(df: DataFrame, path: str, partition_by, touched: DataFrame | None = None) -> None:
+    """Overwrite just the partitions that ``df`` contains, and drop those of
+    ``touched`` (rows of partition values) that it does not.
 
     The content may be derived from the table itself, so it is first stored in
     the shared folder; nothing is read from a path while it is overwritten.
     """
-    stored(df).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    spark, partition_by = df.sparkSession, list(partition_by)
+    with scratch(spark) as keep:
+        rows = keep(df)
+        empty = []
+        if touched is not None:
+            filled = {tuple(r) for r in rows.select(*partition_by).distinct().collect()}  # one row per folder
+            empty = [r for r in map(tuple, touched.select(*partition_by).distinct().collect()) if r not in filled]
+        if not rows.isEmpty():
+            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+        folders = partition_folders(spark, path) if empty else {}
+        for values in empty:
+            key = tuple((c, NULL_PARTITION if v is None else str(v)) for c, v in zip(partition_by, values))
+            if key in folders:
+                _delete(spark, folders[key])
 
 
 def delete_partitions(spark: SparkSession, path: str, condition) -> None:
-    """Rewrite a table without the rows that match ``condition``."""
-    rest = stored(spark.read.parquet(path).filter(~F.coalesce(condition, F.lit(False))))
-    rest.write.mode("overwrite").parquet(path)
+    """Drop the rows that match ``condition``. Only partitions that hold such rows
+    are rewritten. A table without partitions is written next to itself and swapped
+    in, so that a crash leaves either content whole."""
+    partition_by = partition_columns(spark, path)
+    table, gone = spark.read.parquet(path), F.coalesce(condition, F.lit(False))
+    with scratch(spark) as keep:
+        if partition_by:
+            touched = keep(table.filter(gone).select(*partition_by).distinct())
+            same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in partition_by]
+            marks = F.broadcast(touched.select(*[F.col(c).alias(f"_{c}") for c in partition_by]))  # one row per folder
+            replace_partitions(table.filter(~gone).join(marks, same, "left_semi"), path, partition_by, touched)
+            return
+        table.filter(~gone).write.mode("overwrite").parquet(f"{path}__next")
+        at = spark._jvm.org.apache.hadoop.fs.Path
+        fs = at(path).getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.rename(at(path), at(f"{path}__old"))
+        fs.rename(at(f"{path}__next"), at(path))
+        fs.delete(at(f"{path}__old"), True)
+
+
+def upsert_stored(spark: SparkSession, path: str, src: DataFrame, keys, order=None, merge=upsert) -> dict[str, int]:
+    """Merge a batch into a partitioned table and rewrite only the partitions that
+    it touches: those that its rows go to, and those that hold its keys now. The
+    other partitions keep their files. ``merge`` is a function of (target, source,
+    keys, unique=True). Returns the counts of the merge."""
+    partition_by, keys = partition_columns(spark, path), list(keys)
+    if not partition_by:
+        raise ValueError(f"{path} has no partitions; write a new snapshot instead")
+    table = spark.read.parquet(path)
+    with scratch(spark) as keep:
+        batch = keep(one_per_key(src, keys, order))
+        held = table.join(batch.select(*keys), keys, "left_semi").select(*partition_by)
+        touched = keep(held.union(batch.select(*partition_by)).distinct())
+        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in partition_by]
+        marks = F.broadcast(touched.select(*[F.col(c).alias(f"_{c}") for c in partition_by]))  # one row per folder
+        part = table.join(marks, same, "left_semi")
+        counts = keep(merge_counts(part, batch, keys)).first().asDict()
+        replace_partitions(merge(part, batch, keys, unique=True), path, partition_by, touched)
+    return counts
 
 
 class SnapshotStore:

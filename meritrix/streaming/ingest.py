@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from meritrix.operators.joins import without
 from meritrix.schemas import RAW_ADZUNA
 from meritrix.sources.readers import adzuna_rows
-from meritrix.sources.store import append_new, replace_partitions
+from meritrix.sources.store import append_new, exists, replace_partitions
 
 
 def stream_ingest(spark: SparkSession, landing: str, target: str, checkpoint: str, rows=adzuna_rows,
@@ -43,12 +43,30 @@ def pending_files(manifest: DataFrame, listing: DataFrame, force: bool = False)
     return listing if force else without(listing, manifest, ["path"])
 
 
+def mark_loaded(spark: SparkSession, manifest: str, files: DataFrame) -> dict[str, int]:
+    """Remember loaded files (column ``path``) in the manifest table; a path that
+    it has already stays as it is. Run after the load itself: a crash between the
+    two repeats a load, which replaces its own rows, and loses none."""
+    rows = files.select("path", F.current_timestamp().alias("loaded_at"))
+    if not exists(spark, manifest):
+        rows.limit(0).write.parquet(manifest)
+    return append_new(spark, manifest, rows, ["path"])
+
+
 def refresh_years(df: DataFrame, path: str, years, partition_by=("year",)) -> None:
     """Replace the given years (current and previous, as revisions arrive) and
-    leave the other partitions untouched."""
-    replace_partitions(df.filter(F.col("year").isin([int(y) for y in years])), path, list(partition_by))
+    leave the other partitions untouched. A given year without rows in ``df`` has
+    none in the table afterwards. Partition columns besides the year are replaced
+    with it."""
+    spark, years = df.sparkSession, [int(y) for y in years]
+    wanted = F.col("year").isin(years)
+    touched = spark.read.parquet(path).filter(wanted).select(*partition_by).distinct()
+    replace_partitions(df.filter(wanted), path, list(partition_by), touched)
 
 
 def load_year(df: DataFrame, path: str, year: int) -> None:
     """One restartable unit of a back-fill: running a year again replaces it."""
-    refresh_years(df, path, [year])
+    if not exists(df.sparkSession, path):
+        df.filter(F.col("year") == int(year)).write.partitionBy("year").parquet(path)
+    else:
+        refresh_years(df, path, [year])

@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,7 +7,10 @@ from pyspark.sql import functions as F
 from meritrix.plans import silver
 from meritrix.schemas import QCEW_CSV
 from meritrix.sources import readers
-from meritrix.sources.store import SnapshotStore, append_new, delete_partitions, replace_partitions, write_layout
+from meritrix.session import scratch, stored
+from meritrix.sources.store import (
+    SnapshotStore, append_new, delete_partitions, partition_columns, replace_partitions, upsert_stored, write_layout,
+)
 
 HEAD = ",".join(QCEW_CSV.fieldNames())
 ROW = "01000,5,10,50,0,2024,1,,12,100,110,120,5000.5,, NULL ,900"
@@ -117,6 +121,54 @@ def test_partition_replacement_and_layout(spark, tmp_path):
     replace_partitions(table.filter("year = 2021").withColumn("v", F.lit(-1).cast("bigint")), path, ["year"])
     after = spark.read.parquet(path)
     assert after.count() == 400 and after.filter("v = -1").select("year").distinct().first().year == 2021
-    append_new(spark, path, after.limit(5).withColumn("v", F.col("v") + 1000000), ["v"])
+    new = stored(after.filter("v <> -1").limit(5).withColumn("v", F.col("v") + 1000000))
+    assert append_new(spark, path, new, ["v"]) == {"inserted": 5, "skipped": 0, "rejected": 0}
+    assert append_new(spark, path, new, ["v"]) == {"inserted": 0, "skipped": 5, "rejected": 0}
+    assert spark.read.parquet(path).count() == 405
+    files = {f for f in (tmp_path / "fact").rglob("*.parquet") if "year=2021" not in str(f)}
     delete_partitions(spark, path, F.col("v") == -1)
-    assert spark.read.parquet(path).filter("v = -1").count() == 0
+    table = spark.read.parquet(path)
+    assert table.filter("v = -1").count() == 0 and table.count() == 305
+    assert partition_columns(spark, path) == ["year"]
+    assert files == set((tmp_path / "fact").rglob("*.parquet"))  # other partitions keep their files
+
+
+def test_delete_without_partitions_swaps_the_table(spark, tmp_path):
+    path = str(tmp_path / "plain")
+    spark.range(10).write.parquet(path)
+    delete_partitions(spark, path, F.col("id") > 3)
+    assert spark.read.parquet(path).count() == 4 and [f.name for f in tmp_path.iterdir()] == ["plain"]
+
+
+def test_rows_without_a_key_are_kept_or_refused(spark, rows, tmp_path):
+    path, rejects = str(tmp_path / "t"), str(tmp_path / "r")
+    schema = "k int, v string, at timestamp"
+    rows(schema).write.parquet(path)
+    batch = rows("k int, v string", (1, "a"), (None, "b"), (None, "b"), (None, "c")).withColumn("at", F.current_timestamp())
+    with pytest.raises(ValueError, match="without a key"):
+        append_new(spark, path, batch, ["k"])
+    for _ in range(2):  # a retry has other load times
+        assert append_new(spark, path, batch, ["k"], rejects=rejects)["rejected"] == 3
+    assert sorted(r.v for r in spark.read.parquet(rejects).collect()) == ["b", "c"]
+    assert spark.read.parquet(path).count() == 1
+
+
+def test_upsert_of_a_stored_table_touches_few_partitions(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    rows("k int, v string, p string", *((i, "old", f"p {i % 4}") for i in range(40))).write.partitionBy("p").parquet(path)
+    before = {f for f in (tmp_path / "t").rglob("*.parquet") if "p%200" not in str(f) and "p 0" not in str(f) and "new" not in str(f)}
+    moved = rows("k int, v string, p string", (0, "new", "p 0"), (100, "new", "p new"))
+    assert upsert_stored(spark, path, moved, ["k"]) == {"inserted": 1, "updated": 1, "unchanged": 9}
+    assert before <= set((tmp_path / "t").rglob("*.parquet"))
+    everything = rows("k int, v string, p string", *((i, "gone", "p 1") for i in range(0, 40, 4)))
+    upsert_stored(spark, path, everything, ["k"])  # partition "p 0" is left empty
+    table = spark.read.parquet(path)
+    assert table.count() == 41 and table.filter("p = 'p 0'").count() == 0 and table.filter("v = 'gone'").count() == 10
+
+
+def test_scratch_folders_go(spark, rows):
+    with scratch(spark) as keep:
+        frame = keep(rows("k int", (1,)))
+        path = frame.inputFiles()[0].removeprefix("file://")
+        assert os.path.exists(path)
+    assert not os.path.exists(path)
