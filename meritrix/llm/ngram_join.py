@@ -1,13 +1,15 @@
 """Exact Jaccard self-join of documents on word n-grams, vertically partitioned.
 
 All n-grams stand in one global order, rare ones first; the order is cut into
-fragments of equal load, and a pair's overlap is counted fragment by fragment and
-summed. Only candidate pairs are counted: documents whose rarest n-grams (their
+fragments of about equal load, and a pair's overlap is counted fragment by fragment
+and summed. Only candidate pairs are counted: documents whose rarest n-grams (their
 prefixes) meet, at positions and with sizes that still allow the threshold.
 
 How rare an n-gram is comes from counts over all documents in a fixed number of
-hash buckets. Any total order keeps the prefix filter exact; a good one keeps
-posting lists short.
+hash buckets: n-grams that stand out by their own count (those of copies and shared
+passages) come last, by that count; all others are ordered by the counts of their
+words, so that those with rare words come first. Any total order keeps the prefix
+filter exact; a good one keeps posting lists short.
 
 For components it is not needed to count every pair of a group of near copies:
 first each document of a posting list is counted against the list's most central
@@ -87,17 +89,23 @@ def _hash_words(raw: bytes) -> np.ndarray:
     return _mix((running[ends] - running[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 
-def shingles(raw: bytes, n: int) -> np.ndarray:
-    """Sorted distinct hashes of the word n-grams; the whole sequence where there
-    are fewer words; nothing without words."""
-    words = word_hashes(raw)
-    if not len(words):
-        return words
+def _windows(words: np.ndarray, n: int) -> np.ndarray:
+    """Hash of each window of n words; of the whole sequence where it is shorter."""
     width = min(n, len(words))
     total = np.full(len(words) - width + 1, width, np.uint64)
     for i in range(width):
         total = total + words[i:len(words) - width + 1 + i] * _PLACE[i]
-    return np.unique(_mix(total))
+    return _mix(total)
+
+
+def shingles(raw: bytes, n: int) -> np.ndarray:
+    """Sorted distinct hashes of the word n-grams; nothing without words."""
+    words = word_hashes(raw)
+    return np.unique(_windows(words, n)) if len(words) else words
+
+
+def _bucket(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
 
 
 def class_id(grams: np.ndarray) -> bytes:
@@ -107,28 +115,56 @@ def class_id(grams: np.ndarray) -> bytes:
 
 @dataclass(frozen=True)
 class Order:
-    """The global order: by bucket count, then hash; ``fragment`` of each bucket."""
+    """The global order: by ``standing`` of the n-gram's bucket (0: it does not stand
+    out), then by the sum of its words' ``levels``, then by hash. ``cuts`` are the
+    sums where a new fragment starts."""
 
-    counts: np.ndarray
-    fragment: np.ndarray
+    n: int
+    standing: np.ndarray
+    levels: np.ndarray
+    cuts: np.ndarray
 
     @classmethod
-    def of(cls, counts: np.ndarray) -> Order:
-        """Cut so that each fragment holds about as many n-gram occurrences."""
-        order = np.argsort(counts, kind="stable")
-        load = np.cumsum(counts[order], dtype=np.int64)
-        fragment = np.empty(len(counts), np.uint8)
-        fragment[order] = np.minimum(FRAGMENTS * (load - counts[order]) // max(1, int(load[-1])), FRAGMENTS - 1)
-        return cls(np.minimum(counts, (1 << COUNT_BITS) - 1).astype(np.uint64), fragment)
-
-    def buckets(self, grams: np.ndarray) -> np.ndarray:
-        return (grams >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
-
-    def prefix(self, grams: np.ndarray, length: int) -> np.ndarray:
-        """The first n-grams of a sorted set; equal keys keep the hashes' order."""
-        keys = (self.counts[self.buckets(grams)] << np.uint64(64 - COUNT_BITS)) | (grams >> np.uint64(COUNT_BITS))
+    def of(cls, gram_counts: np.ndarray, word_counts: np.ndarray, n: int) -> Order:
+        """A bucket stands out when its count is four deviations above the mean. A
+        word's level is four times the logarithm of its bucket's count. Fragments
+        are cut where sums of n independent levels have equal shares."""
+        mean = gram_counts.mean()
+        out = gram_counts > mean + 4 * np.sqrt(mean) + 1
+        standing = np.where(out, 1 + np.minimum(2 * np.log2(np.maximum(gram_counts, 1)), 120), 0).astype(np.uint8)
+        levels = (4 * np.log2(word_counts + 1)).astype(np.uint8)
+        share = np.bincount(levels, weights=word_counts, minlength=1)
+        share = share / max(1.0, share.sum())
+        sums = share
+        for _ in range(n - 1):
+            sums = np.convolve(sums, share)
+        cuts = np.searchsorted(np.cumsum(sums), np.arange(1, FRAGMENTS) / FRAGMENTS)
+        return cls(n, standing, levels, cuts)
+
+    def ranked(self, raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """The sorted distinct n-grams of a text and the sums of their words' levels."""
+        words = word_hashes(raw)
+        if not len(words):
+            return words, np.zeros(0, np.uint64)
+        level, width = self.levels[_bucket(words)].astype(np.uint64), min(self.n, len(words))
+        sums = np.zeros(len(words) - width + 1, np.uint64)
+        for i in range(width):
+            sums += level[i:len(words) - width + 1 + i]
+        grams, at = np.unique(_windows(words, self.n), return_index=True)
+        return grams, sums[at]
+
+    def prefix(self, grams: np.ndarray, sums: np.ndarray, length: int) -> np.ndarray:
+        """The first n-grams; those with equal keys keep the order of their hashes."""
+        standing = self.standing[_bucket(grams)].astype(np.uint64)
+        keys = (standing << np.uint64(56)) | (sums << np.uint64(40)) | (grams >> np.uint64(24))
         return grams[np.argsort(keys, kind="stable")[:length]]
 
+    def fragments(self, grams: np.ndarray, sums: np.ndarray) -> np.ndarray:
+        """The fragment of each n-gram; those that stand out are in the last one."""
+        fragment = np.searchsorted(self.cuts, sums.astype(np.int64), side="right")
+        fragment[self.standing[_bucket(grams)] > 0] = FRAGMENTS - 1
+        return fragment
+
 
 def _slices(counts: np.ndarray) -> tuple[list[int], list[bytes]]:
     """The slices that are not empty, packed."""
@@ -137,49 +173,49 @@ def _slices(counts: np.ndarray) -> tuple[list[int], list[bytes]]:
     return at, [zlib.compress(parts[i].tobytes(), 1) for i in at]
 
 
-def bucket_counts(packed: DataFrame, bits: int) -> np.ndarray:
+def bucket_sums(packed: DataFrame, bits: int, kind: type = np.int64, add=np.add) -> np.ndarray:
     """Sum of packed (slice, counts) rows. Rows of a slice meet in one task, which
-    adds them one after the other; the driver receives 2**bits counts."""
+    adds them one after the other; the driver receives 2**bits packed counts."""
     share_code(packed.sparkSession)
     schema = pa.schema([("slice", pa.int32()), ("counts", pa.binary())])
 
-    def add(batches):
+    def sums_of(batches):
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for at, counts in zip(batch.column("slice").to_pylist(), batch.column("counts").to_pylist()):
-                more = np.frombuffer(zlib.decompress(counts), np.int64)
-                sums[at] = sums[at] + more if at in sums else more
+                more = np.frombuffer(zlib.decompress(counts), kind)
+                sums[at] = add(sums[at], more) if at in sums else more
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(sums), pa.int32()), pa.array([zlib.compress(s.tobytes(), 1) for s in sums.values()], pa.binary())],
             schema=schema)
 
-    total = np.zeros((SLICES, (1 << bits) // SLICES), np.int64)
-    added = packed.repartition(SLICES, "slice").mapInArrow(add, "slice int, counts binary")
-    for row in added.toLocalIterator():
-        total[row.slice] = np.frombuffer(zlib.decompress(row.counts), np.int64)
+    total = np.zeros((SLICES, (1 << bits) // SLICES), kind)
+    added = packed.repartition(SLICES, "slice").mapInArrow(sums_of, "slice int, counts binary")
+    for row in added.collect():  # one row per slice
+        total[row.slice] = np.frombuffer(zlib.decompress(row.counts), kind)
     return total.reshape(-1)
 
 
 def _measured(docs: DataFrame, n: int) -> DataFrame:
-    """First pass over the texts: one row per document with size and class, and
-    per task the packed bucket counts of its documents' n-grams."""
+    """First pass over the texts: one row per document with size and class, and per
+    task the packed bucket counts of its documents' n-grams, then of their words."""
     share_code(docs.sparkSession)
     kind, names = docs.schema["doc_id"].dataType.simpleString(), ["doc_id", "n", "class", "slice", "counts"]
 
     def run(batches):
-        counts, id_type = np.zeros(1 << COUNT_BITS, np.int64), None
+        counts, id_type = np.zeros((2, 1 << COUNT_BITS), np.int64), None
         for batch in batches:
-            sets = [shingles(raw, n) for raw in utf8(batch, "text")]
-            if sets:
-                flat = np.concatenate(sets)
-                counts += np.bincount((flat >> np.uint64(64 - COUNT_BITS)).astype(np.int64), minlength=1 << COUNT_BITS)
+            words = [word_hashes(raw) for raw in utf8(batch, "text")]
+            sets = [np.unique(_windows(w, n)) if len(w) else w for w in words]
+            for total, hashes in zip(counts, (sets, words)):
+                total += np.bincount(_bucket(np.concatenate(hashes)), minlength=1 << COUNT_BITS)
             id_type = batch.column("doc_id").type
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([class_id(s) if len(s) else None for s in sets], pa.binary()),
                  pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.binary())], names)
         at, packed = _slices(counts)
-        if at:
+        if at:  # only after a batch
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(len(at), id_type), pa.nulls(len(at), pa.int64()), pa.nulls(len(at), pa.binary()),
                  pa.array(at, pa.int32()), pa.array(packed, pa.binary())], names)
@@ -187,12 +223,13 @@ def _measured(docs: DataFrame, n: int) -> DataFrame:
     return docs.mapInArrow(run, f"doc_id {kind}, n bigint, class binary, slice int, counts binary")
 
 
-def _prefixes(docs: DataFrame, order, n: int, percent: int) -> DataFrame:
+def _prefixes(docs: DataFrame, order, percent: int) -> DataFrame:
     """Second pass: (class, n, prefix) of each document with words."""
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = [s for raw in utf8(batch, "text") if len(s := shingles(raw, n))]
+        ranked = [r for raw in utf8(batch, "text") if len((r := order.value.ranked(raw))[0])]
+        sets = [grams for grams, _ in ranked]
         lengths = [len(s) - -(-percent * len(s) // 100) + 1 for s in sets]
-        prefixes = [order.value.prefix(s, k).view(np.int64) for s, k in zip(sets, lengths)]
+        prefixes = [order.value.prefix(*r, k).view(np.int64) for r, k in zip(ranked, lengths)]
         flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)
         offsets = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]).astype(np.int32)
         return pa.RecordBatch.from_arrays(
@@ -202,7 +239,7 @@ def _prefixes(docs: DataFrame, order, n: int, percent: int) -> DataFrame:
     return map_batches(docs, work, "class binary, n int, prefix array<bigint>")
 
 
-def _fragments(docs: DataFrame, order, wanted: DataFrame, n: int) -> DataFrame:
+def _fragments(docs: DataFrame, order, wanted: DataFrame) -> DataFrame:
     """Third pass: (class, n, fragment, grams) of the classes in ``wanted``. Workers
     skip documents by a filter of fixed size; a join removes what it lets through."""
     share_code(docs.sparkSession)
@@ -211,13 +248,14 @@ def _fragments(docs: DataFrame, order, wanted: DataFrame, n: int) -> DataFrame:
         return int.from_bytes(name[:8], "little") >> (64 - FILTER_BITS)
 
     def mark(batches):
-        counts = np.zeros(1 << FILTER_BITS, np.int64)
+        counts = np.zeros(1 << FILTER_BITS, np.uint8)
         for batch in batches:
             counts[[bucket(c) for c in batch.column("class").to_pylist()]] = 1
         at, packed = _slices(counts)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(packed, pa.binary())], ["slice", "counts"])
 
-    marked = bucket_counts(wanted.coalesce(8).mapInArrow(mark, "slice int, counts binary"), FILTER_BITS) > 0
+    marks = wanted.coalesce(8).mapInArrow(mark, "slice int, counts binary")
+    marked = bucket_sums(marks, FILTER_BITS, np.uint8, np.maximum) > 0
     shared = docs.sparkSession.sparkContext.broadcast(np.packbits(marked))
 
     def passes(name: bytes) -> bool:
@@ -227,10 +265,10 @@ def _fragments(docs: DataFrame, order, wanted: DataFrame, n: int) -> DataFrame:
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         names, sizes, places, parts = [], [], [], []
         for raw in utf8(batch, "text"):
-            grams = shingles(raw, n)
+            grams, sums = order.value.ranked(raw)
             if not len(grams) or not passes(name := class_id(grams)):
                 continue
-            fragment = order.value.fragment[order.value.buckets(grams)]
+            fragment = order.value.fragments(grams, sums)
             for at in np.unique(fragment):
                 names.append(name)
                 sizes.append(len(grams))
@@ -260,13 +298,13 @@ class Join:
     def __init__(self, docs: DataFrame, n: int, percent: int, *, id_col: str = "doc_id", text: str = "text"):
         if not (1 <= n <= len(_PLACE) and 1 <= percent <= 100):
             raise ValueError("n must be 1 to 64 and percent 1 to 100")
-        self.n, self.percent = n, percent
+        self.percent = percent
         self.docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text).cast("string").alias("text"))
         measured = stored(_measured(self.docs, n))
-        counts = bucket_counts(measured.where("slice IS NOT NULL").select("slice", "counts"), COUNT_BITS)
-        self.order = docs.sparkSession.sparkContext.broadcast(Order.of(counts))
+        counts = bucket_sums(measured.where("slice IS NOT NULL").select("slice", "counts"), COUNT_BITS + 1)
+        self.order = docs.sparkSession.sparkContext.broadcast(Order.of(*counts.reshape(2, -1), n))
         self.rows = measured.where("slice IS NULL").select("doc_id", "n", "class")
-        sets = _prefixes(self.docs, self.order, n, percent).groupBy("class").agg(
+        sets = _prefixes(self.docs, self.order, percent).groupBy("class").agg(
             F.any_value("n").alias("n"), F.any_value("prefix").alias("prefix"))
         postings = sets.select("class", "n", F.posexplode("prefix").alias("pos", "gram"))
         lists = Window.partitionBy("gram")
@@ -305,7 +343,7 @@ class Join:
         counted in each fragment, then summed. Stored."""
         pairs = stored(pairs)
         wanted = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
-        parts = stored(_fragments(self.docs, self.order, wanted, self.n))
+        parts = stored(_fragments(self.docs, self.order, wanted))
         left = parts.select(F.col("class").alias("a"), F.col("n").alias("na"), "fragment", F.col("grams").alias("ga"))
         right = parts.select(F.col("class").alias("b"), F.col("n").alias("nb"), "fragment", F.col("grams").alias("gb"))
         partial = pairs.join(left, "a").join(right, ["b", "fragment"]).select(

@@ -152,7 +152,7 @@ def normal_equations(rows: DataFrame, kernel: Kernel) -> tuple[np.ndarray, np.nd
     partial = rows.select("x", "label").mapInArrow(sums_of_rows, "part bigint, sums binary")
     added = partial.repartition(PARTIAL_SUMS).mapInArrow(sums_of_sums, "part bigint, sums binary")
     total = np.zeros(FEATURES * (FEATURES + 1))
-    for row in added.toLocalIterator():
+    for row in added.collect():  # PARTIAL_SUMS rows
         total += np.frombuffer(row.sums)
     total = total.reshape(FEATURES, FEATURES + 1)
     return total[:, :-1], total[:, -1]
