@@ -29,7 +29,7 @@ GRAMS = 60_000
 LONGEST = 5
 #: Partial counts and cached scores in a Python worker.
 FLUSH = 300_000
-CACHE_SIZE = 300_000
+CACHE_SIZE = 800_000
 UNDETERMINED = "und"
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -54,38 +54,47 @@ class Model:
     grams: dict[str, int]
     scores: np.ndarray  # one row per word, then one per n-gram
 
-    def row(self, word: str) -> np.ndarray:
-        """Scores of one word; zeros where not even one letter is known."""
-        at = self.words.get(word)
-        if at is not None:
-            return self.scores[at]
-        for n in range(LONGEST, 0, -1):
-            known = [self.grams[g] for g in grams_of(word, n) if g in self.grams and g not in "^$"]
-            if known:
-                return self.scores[known].mean(axis=0)
-        return np.zeros(len(self.langs), np.float32)
-
-
-class _Rows(dict):
-    """Word to its row in a growing matrix of scores."""
+    def rows(self, words: list[str]) -> np.ndarray:
+        """Scores of words: their own where the table holds them, else the mean over
+        their known n-grams of the longest length of which any is known; zeros where
+        not even one letter is known."""
+        known, counts, grams = [], [], self.grams
+        for word in words:
+            at = self.words.get(word)
+            found = [] if at is None else [at]
+            n = LONGEST
+            while not found and n:
+                found = [grams[g] for g in grams_of(word, n) if g in grams and g not in "^$"]
+                n -= 1
+            known += found
+            counts.append(len(found))
+        counts = np.array(counts)
+        out = np.zeros((len(words), len(self.langs)), np.float32)
+        if known:
+            sums = np.add.reduceat(self.scores[known], np.concatenate([[0], np.cumsum(counts[counts > 0])[:-1]]), axis=0)
+            out[counts > 0] = sums / counts[counts > 0, None]
+        return out
+
+
+class _Rows:
+    """Words to their rows in a growing matrix of scores."""
 
     def __init__(self, model: Model):
-        super().__init__()
-        self.model, self.matrix = model, np.zeros((1024, len(model.langs)), np.float32)
-
-    def __missing__(self, word: str) -> int:
-        at = len(self)
-        if at == len(self.matrix):
-            self.matrix = np.concatenate([self.matrix, np.zeros_like(self.matrix)])
-        self.matrix[at] = self.model.row(word)
-        self[word] = at
-        return at
+        self.model, self.at = model, {}
+        self.matrix = np.zeros((1024, len(model.langs)), np.float32)
 
     def sums(self, words: list[str]) -> np.ndarray:
         """Summed scores; the cache starts anew when it has grown too large."""
-        if len(self) > CACHE_SIZE:
-            self.clear()
-        at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        if len(self.at) > CACHE_SIZE:
+            self.at.clear()
+        new = list(set(words).difference(self.at))
+        if new:
+            first = len(self.at)
+            while first + len(new) > len(self.matrix):
+                self.matrix = np.concatenate([self.matrix, np.zeros_like(self.matrix)])
+            self.matrix[first:first + len(new)] = self.model.rows(new)
+            self.at.update(zip(new, range(first, first + len(new))))
+        at = np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))
         return self.matrix[at].sum(axis=0, dtype=np.float64)
 
 
