@@ -17,6 +17,7 @@ from meritrix.operators import keys as K
 from meritrix.operators import merge as M
 from meritrix.operators import windows as W
 from meritrix.operators.resolver import fips_names, resolve_soc, soc_stats
+from meritrix.operators.filters import salary_in_range
 from meritrix.plans import gold, quality, reads, silver, views
 from meritrix.session import scratch_path, stored
 from meritrix.sources import readers, store
@@ -171,9 +172,22 @@ def _(spark, sf):
     return views.salary_gap(*posting_fact(spark, sf, *PAY))
 
 
-@check("salary_gap_approx", None)
+@check("salary_gap_approx", f"WITH {GAP} SELECT soc_code, federal_postings, private_postings, true AS federal_ok, true AS private_ok FROM gap")
 def _(spark, sf):
-    return views.salary_gap(*posting_fact(spark, sf, *PAY), exact=False)
+    """Which values come out is open; their ranks lie within the accuracy."""
+    fact, dim = posting_fact(spark, sf, *PAY)
+    gap = views.salary_gap(fact, dim, exact=False)
+    rows = salary_in_range(fact).join(F.broadcast(dim.select("occupation_key", "soc_code")), "occupation_key")
+    ranks = rows.join(gap.select("soc_code", "federal_median", "private_median"), "soc_code")
+
+    def within(sector):
+        mine, value = F.col("sector") == sector, F.col("salary_midpoint") - F.col(f"{sector}_median")
+        n = F.count_if(mine)
+        slack = n / 10_000 + 1
+        return ((F.count_if(mine & (value < 0)) <= n / 2 + slack) & (F.count_if(mine & (value <= 0)) >= n / 2 - slack)).alias(f"{sector}_ok")
+
+    checked = ranks.groupBy("soc_code").agg(within("federal"), within("private"))
+    return gap.select("soc_code", "federal_postings", "private_postings").join(checked, "soc_code")
 
 
 @check("postings_vs_oews", f"""WITH {O.FACT}, {O.OEWS}, nat AS (SELECT occ_code, a_median, survey_year FROM wages WHERE area_type = 1
@@ -207,28 +221,38 @@ def _(spark, sf):
     return quality.pk_violations(load(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
-@check("near_duplicates", f"""WITH {O.POSTINGS}, k AS (SELECT {O.NORM_A.format('job_title')} AS title_norm,
- lower(trim(company_or_agency)) AS company_norm, location_state, posted_date, source, job_id FROM postings
- WHERE job_title IS NOT NULL AND company_or_agency IS NOT NULL AND posted_date IS NOT NULL)
+NEAR_KEYS = f"""k AS (SELECT {O.NORM_A.format('job_title')} AS title_norm, lower(trim(company_or_agency)) AS company_norm,
+ location_state, posted_date, source, job_id FROM postings
+ WHERE job_title IS NOT NULL AND company_or_agency IS NOT NULL AND posted_date IS NOT NULL)"""
+
+
+@check("near_duplicates", f"""WITH {O.POSTINGS}, {NEAR_KEYS}
 SELECT title_norm, company_norm, location_state, posted_date, count(*) AS n_rows,
- string_agg(DISTINCT source, ',' ORDER BY source) AS sources, 1 AS n_parts, 0 AS part,
- string_agg(DISTINCT job_id, ',' ORDER BY job_id) AS job_ids
+ string_agg(DISTINCT source, ',' ORDER BY source) AS sources
 FROM k GROUP BY title_norm, company_norm, location_state, posted_date HAVING count(*) > 1""")
 def _(spark, sf):
-    return ids(quality.near_duplicates(postings(spark, sf)), "sources", "job_ids")
+    return ids(quality.near_duplicates(postings(spark, sf)), "sources")
 
 
-@check("near_duplicates_split", f"""WITH {O.POSTINGS}, k AS (SELECT location_state, source, job_id,
- CAST('0x' || substr(md5(job_id), 1, 8) AS BIGINT) AS h FROM postings WHERE posted_date IS NOT NULL),
-n AS (SELECT *, count(*) OVER (PARTITION BY location_state) AS n_rows FROM k)
-SELECT location_state, n_rows, CAST(ceil(n_rows / 50.0) AS BIGINT) AS n_parts, h % CAST(ceil(n_rows / 50.0) AS BIGINT) AS part,
- string_agg(job_id, ',' ORDER BY job_id) AS job_ids FROM n GROUP BY location_state, n_rows, 3, 4""")
+@check("near_duplicate_members", f"""WITH {O.POSTINGS}, {NEAR_KEYS}
+SELECT DISTINCT * FROM (FROM k QUALIFY count(*) OVER (PARTITION BY title_norm, company_norm, location_state, posted_date) > 1)""")
+def _(spark, sf):
+    p = postings(spark, sf)
+    return quality.near_duplicate_members(p, quality.near_duplicates(p))
+
+
+@check("near_duplicates_split", f"""WITH {O.POSTINGS}, n AS (SELECT location_state, source, job_id,
+ count(*) OVER (PARTITION BY location_state) AS n_rows FROM postings WHERE posted_date IS NOT NULL)
+SELECT DISTINCT * FROM n WHERE n_rows > 1""")
 def _(spark, sf):
     # one title, company and day: every state is one large group
     p = postings(spark, sf).filter(F.col("posted_date").isNotNull()).withColumns({
         "job_title": F.lit("Clerk"), "company_or_agency": F.lit("Acme"), "posted_date": F.lit(AS_OF).cast("date")})
-    parts = quality.near_duplicates(p, ids_per_row=50)
-    return ids(parts.select("location_state", "n_rows", "n_parts", "part", "job_ids"), "job_ids")
+    groups = quality.near_duplicates(p)
+    members = quality.near_duplicate_members(p, groups)
+    sizes = groups.select(F.col("location_state").alias("state"), "n_rows")
+    return members.join(sizes, F.col("location_state").eqNullSafe(F.col("state"))).select(
+        "location_state", "source", "job_id", "n_rows")
 
 
 @check("jobs_clean", f"WITH {O.CLEAN} SELECT * FROM clean")
@@ -350,12 +374,11 @@ def _(spark, sf):
     return resolve_soc(postings(spark, sf))
 
 
-# documents are free text: their opening words make a large, varied set of titles
-@check("resolve_soc_free_text", "WITH postings AS (SELECT split_part(text, '.', 1) AS job_title FROM documents) "
+# documents are free text: their sentences make a large, varied set of titles
+@check("resolve_soc_free_text", "WITH postings AS (SELECT unnest(string_split(text, '.')) AS job_title FROM documents) "
        + O.RESOLVED + " SELECT * FROM resolved")
 def _(spark, sf):
-    docs = load(spark, sf, "documents").select(F.split_part("text", F.lit("."), F.lit(1)).alias("job_title"))
-    return resolve_soc(docs)
+    return resolve_soc(load(spark, sf, "documents").select(F.explode(F.split("text", r"\.")).alias("job_title")))
 
 
 @check("soc_stats", f"""WITH {O.POSTINGS} {O.RESOLVED} SELECT match_method, count(*) AS title_count,
@@ -603,6 +626,15 @@ def _(spark, sf):
     return reads.personal_feed(preferences(spark, sf), clean(spark, sf), AS_OF)
 
 
+@check("personal_feed_everybody", feed_sql(7, 8, reads.PREFERENCE_TYPES).replace(
+    "GROUP BY 1)", "GROUP BY 1 UNION ALL SELECT 's' || s_suppkey, NULL, NULL, NULL, NULL FROM supplier)", 1))
+def _(spark, sf):
+    """Suppliers stand for users without any preference row."""
+    new = load(spark, sf, "supplier").select(F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("user_email"))
+    known = preferences(spark, sf)
+    return reads.personal_feed(known, clean(spark, sf), AS_OF, users=new.union(known.select("user_email")))
+
+
 @check("recommended_jobs", feed_sql(14, 6, reads.PREFERENCE_TYPES[:3]))
 def _(spark, sf):
     return reads.recommended_jobs(preferences(spark, sf), clean(spark, sf), AS_OF)

@@ -31,8 +31,8 @@ def representative(c) -> Column:
 
 def distinct_list(c) -> Column:
     """Sorted distinct values. Only for columns with few distinct values per
-    group (labels such as ``source``); members are listed by
-    ``near_duplicates``, which bounds its arrays."""
+    group (labels such as ``source``); members are rows of
+    ``near_duplicate_members``, never a list."""
     return F.sort_array(F.collect_set(_col(c)))
 
 

@@ -15,33 +15,42 @@ from pyspark.sql import functions as F
 
 HOT_SHARE = 0.001  # a key with more than this share of the rows is hot
 BROADCAST_ROWS = 200_000
+TASK_ROWS = 1_000_000  # rows of a hot key in one task
 
 
 def hot_keys(df: DataFrame, on, share: float = HOT_SHARE, weight: str | None = None) -> DataFrame:
     """Keys holding more than ``share`` of the rows: at most ``1/share`` of them."""
+    return hot_key_salts(df, on, share, weight).select(*on)
+
+
+def hot_key_salts(df: DataFrame, on, share: float = HOT_SHARE, weight: str | None = None,
+                  task_rows: int = TASK_ROWS) -> DataFrame:
+    """Hot keys with ``_salts``: as many parts as their counted rows need."""
     rows = F.sum(weight) if weight else F.count("*")
     counts = df.dropna(subset=list(on)).groupBy(*on).agg(rows.alias("_n"))
     total = counts.agg(F.sum("_n")).scalar()
-    return counts.filter(F.col("_n") > total * share).select(*on)
+    parts = F.greatest(F.ceil(F.col("_n") / task_rows), F.lit(1)).cast("int")
+    return counts.filter(F.col("_n") > total * share).select(*on, parts.alias("_salts"))
 
 
 def salted_join(left: DataFrame, right: DataFrame, on, row_id, hot: DataFrame,
                 how: str = "left", salts: int = 64) -> DataFrame:
-    """Equi join that spreads hot keys over ``salts`` tasks.
+    """Equi join that spreads each hot key over its ``_salts`` tasks (``salts``
+    where ``hot`` does not count them).
 
     Right rows of a hot key are repeated once per salt; left rows pick a salt
     from a hash of ``row_id``, which a retried task repeats. Left rows with a
-    NULL key match nothing and are spread the same way.
+    NULL key match nothing and are spread over ``salts`` tasks.
     """
     on = list(on)
-    marks = F.broadcast(hot.withColumn("_hot", F.lit(True)))  # <= 1/share rows
+    if "_salts" not in hot.columns:
+        hot = hot.withColumn("_salts", F.lit(salts))
+    marks = F.broadcast(hot.select(*on, "_salts"))  # <= 1/share rows
     no_key = reduce(Column.__or__, [F.col(k).isNull() for k in on])
-    spread = F.pmod(F.xxhash64(*row_id), F.lit(salts)).cast("int")
-    l = left.join(marks, on, "left").withColumn(
-        "_salt", F.when(F.col("_hot") | no_key, spread).otherwise(F.lit(0))
-    ).drop("_hot")
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    r = right.join(marks, on, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    spread = F.when(no_key, F.lit(salts)).otherwise(F.coalesce("_salts", F.lit(1)))
+    l = left.join(marks, on, "left").withColumn("_salt", F.pmod(F.xxhash64(*row_id), spread).cast("int")).drop("_salts")
+    copies = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    r = right.join(marks, on, "left").withColumn("_salt", F.explode(copies)).drop("_salts")
     return l.join(r, [*on, "_salt"], how).drop("_salt")
 
 
@@ -62,7 +71,7 @@ def lookup_join(left: DataFrame, right: DataFrame, on, row_id, how: str = "left"
     """Join a stored lookup: broadcast while it is small, salted beyond that."""
     if fits(right, rows):
         return left.join(F.broadcast(right), list(on), how)
-    hot = hot_keys(left, on) if hot is None else hot
+    hot = hot_key_salts(left, on) if hot is None else hot
     return salted_join(left, right, on, row_id, hot, how)
 
 

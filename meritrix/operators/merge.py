@@ -58,10 +58,11 @@ def upsert(target: DataFrame, src: DataFrame, keys, order=None, unique: bool = F
     keys = list(keys)
     batch = src.dropna(subset=keys) if unique else one_per_key(src, keys, order)
     untouched = [c for c in target.columns if c not in src.columns]
+    named = batch.select(*keys)
     if untouched:
-        held = target.join(batch.select(*keys), keys, "left_semi").select(*keys, *untouched)
+        held = target.join(named, keys, "left_semi").select(*keys, *untouched)
         batch = batch.join(held, keys, "left")
-    kept = target.join(batch.select(*keys), keys, "left_anti")
+    kept = target.join(named, keys, "left_anti")
     return kept.unionByName(batch, allowMissingColumns=True).select(*target.columns)
 
 

@@ -8,13 +8,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Largest k for which Spark cuts a key's rows before the shuffle
+#: (``spark.sql.optimizer.windowGroupLimitThreshold``), and the parts of a key beyond it.
+GROUP_LIMIT = 1_000
+PARTS = 64
+
+
 def top_k_per_group(df: DataFrame, keys, order, k: int) -> DataFrame:
     """First ``k`` rows per key in ``order`` (which must be total).
 
-    The filter on the row number becomes a WindowGroupLimit before the
-    shuffle: each map task sends at most ``k`` rows per key, so a key that
-    holds a third of the table costs no more than any other.
+    Up to GROUP_LIMIT the filter on the row number becomes a WindowGroupLimit
+    before the shuffle: each map task sends at most ``k`` rows per key, so a key
+    that holds a third of the table costs no more than any other. For a larger
+    ``k`` the rows of a key are first cut to ``k`` in each of PARTS parts.
     """
+    if k > GROUP_LIMIT:
+        part = F.pmod(any_row(df), F.lit(PARTS))
+        df = _first(df.withColumn("_part", part), [*keys, "_part"], order, k).drop("_part")
+    return _first(df, keys, order, k)
+
+
+def _first(df: DataFrame, keys, order, k: int) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k).drop("_rn")
 

@@ -9,7 +9,7 @@ from meritrix.functions import derive as D
 from meritrix.functions.aggregates import representative
 from meritrix.operators.filters import not_null
 from meritrix.operators.joins import (
-    HOT_SHARE, fits, hot_keys, join_category, join_company, join_location, join_wage_occupation, salted_join,
+    HOT_SHARE, fits, hot_key_salts, join_category, join_company, join_location, join_wage_occupation, salted_join,
 )
 from meritrix.operators.keys import assign_keys
 from meritrix.operators.merge import insert_new, update_from, upsert
@@ -159,7 +159,7 @@ def postings_to_soc(postings: DataFrame, resolved: DataFrame, occupations: DataF
     if fits(resolved):
         pairs = keyed.join(F.broadcast(right), "title_normalized")
     else:
-        hot = hot_keys(codes, ["title_normalized"], HOT_SHARE, weight="posting_count")
+        hot = hot_key_salts(codes, ["title_normalized"], HOT_SHARE, weight="posting_count")
         pairs = salted_join(keyed, right, ["title_normalized"], ["posting_key"], hot, "inner")
     return pairs.select("posting_key", "occupation_key")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meritrix.functions.aggregates import distinct_list, groups_over
@@ -34,45 +34,26 @@ def logical_key(postings: DataFrame) -> DataFrame:
     return rows.withColumns({"title_norm": one_blank(title), "company_norm": F.lower(F.trim("company_or_agency"))})
 
 
-def near_duplicates(postings: DataFrame, limit: int | None = None, ids_per_row: int = 10_000,
-                    salts: int = 64) -> DataFrame:
-    """Postings that share title, company, state and date.
-
-    A group usually is one row. The id list of a very large group is split
-    over several rows (``part`` of ``n_parts``, about ``ids_per_row`` ids
-    each): no id is dropped and no task or row holds a whole group. Counting
-    and the join back to the members run on salted keys for the same reason.
-    """
-    rows = logical_key(not_null(postings, ["posted_date"])).select(*LOGICAL_KEYS, "source", "job_id", F.pmod(F.xxhash64("job_id"), F.lit(salts)).alias("salt"))
-    group = Window.partitionBy(*LOGICAL_KEYS)  # at most `salts` rows each
-    sized = (
-        rows.groupBy(*LOGICAL_KEYS, "salt")
-        .agg(F.count("*").alias("n"), distinct_list("source").alias("src"))
-        .withColumn("n_rows", F.sum("n").over(group))
+def near_duplicates(postings: DataFrame, limit: int | None = None) -> DataFrame:
+    """Groups of postings that share title, company, state and date: one row per
+    group with its count and sources, whatever its size. Counts combine before the
+    shuffle. ``near_duplicate_members`` lists who is in them."""
+    groups = (
+        logical_key(not_null(postings, ["posted_date"])).groupBy(*LOGICAL_KEYS)
+        .agg(F.count("*").alias("n_rows"), distinct_list("source").alias("sources"))
         .filter(F.col("n_rows") > 1)
-        .withColumn("sources", F.array_sort(F.array_distinct(F.flatten(F.collect_list("src").over(group)))))
-    )
-    if limit is not None:
-        first = top_k(
-            sized.groupBy(*LOGICAL_KEYS).agg(F.max("n_rows").alias("n_rows")),
-            [F.desc("n_rows"), *[F.asc(k) for k in LOGICAL_KEYS]], limit,
-        )
-        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in LOGICAL_KEYS]
-        first = first.select(*[F.col(k).alias(f"_{k}") for k in LOGICAL_KEYS])
-        sized = sized.join(F.broadcast(first), same, "left_semi")  # `limit` rows
-    wanted = sized.select(
-        *[F.col(k).alias(f"_{k}") for k in [*LOGICAL_KEYS, "salt"]], "n_rows", "sources",
-        F.ceil(F.col("n_rows") / ids_per_row).alias("n_parts"),
-    )
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in [*LOGICAL_KEYS, "salt"]]
-    number = F.conv(F.substring(F.md5("job_id"), 1, 8), 16, 10).cast("bigint")
-    return (
-        rows.join(wanted, same)
-        .withColumn("part", F.pmod(number, F.col("n_parts")))
-        .groupBy(*LOGICAL_KEYS, "n_rows", "sources", "n_parts", "part")
-        .agg(F.sort_array(F.collect_set("job_id")).alias("job_ids"))
-        .orderBy(F.desc("n_rows"), *LOGICAL_KEYS, "part")
     )
+    order = [F.desc("n_rows"), *[F.asc(k) for k in LOGICAL_KEYS]]
+    return groups.orderBy(*order) if limit is None else top_k(groups, order, limit)
+
+
+def near_duplicate_members(postings: DataFrame, groups: DataFrame) -> DataFrame:
+    """One row per group and posting. Groups are unique on their keys, so adaptive
+    execution may split a group that holds a large share of the rows."""
+    rows = logical_key(not_null(postings, ["posted_date"])).select(*LOGICAL_KEYS, "source", "job_id")
+    wanted = groups.select(*[F.col(k).alias(f"_{k}") for k in LOGICAL_KEYS])
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in LOGICAL_KEYS]
+    return rows.join(wanted, same, "left_semi").distinct()
 
 
 def jobs_clean(postings: DataFrame) -> DataFrame:

@@ -142,18 +142,20 @@ def job_cards(jobs: DataFrame) -> DataFrame:
 
 
 def personal_feed(prefs: DataFrame, clean: DataFrame, as_of, days: int = 7, k: int = 8,
-                  types=PREFERENCE_TYPES, require_any: bool = False) -> DataFrame:
+                  types=PREFERENCE_TYPES, require_any: bool = False, users: DataFrame | None = None) -> DataFrame:
     """The ``k`` newest postings for every user's preferences.
 
     ``prefs`` has rows ``(user_email, pref_type, pref_value)``; a user without
-    values for a type takes any. Users and postings are never paired up:
+    values for a type takes any. ``users`` (user_email) adds those who have no
+    preference at all. Users and postings are never paired up:
 
     1. the k newest postings of every combination of the preference columns,
        then of every combination with some columns left open ('*') -- at most k
        rows per combination survive, on the map side already;
-    2. each user names the combinations it wants, an open type being '*';
-    3. an equi join and k per user. A posting matches exactly one combination
-       of a user, so nothing is counted twice.
+    2. users with the same preferences are one set; each distinct set names the
+       combinations it wants, an open type being '*';
+    3. an equi join and k per set, then the sets' users. A posting matches exactly
+       one combination of a set, so nothing is counted twice.
     """
     order = [F.desc("posted_date"), F.desc("ingestion_timestamp"), F.asc("source"), F.asc("job_id")]
     recent = since(clean, as_of, days=days)
@@ -171,22 +173,22 @@ def personal_feed(prefs: DataFrame, clean: DataFrame, as_of, days: int = 7, k: i
         cells.filter(F.col(f"c_{t}") != "*").select(F.lit(t).alias("pref_type"), F.col(t).alias("pref_value")) for t in types
     ]).distinct().withColumn("_used", F.lit(True))
     asked = prefs.filter(F.col("pref_type").isin(list(types))) if require_any else prefs
-    known = asked.join(in_use, ["pref_type", "pref_value"], "left")
+    known = asked.select("user_email", "pref_type", "pref_value").join(in_use, ["pref_type", "pref_value"], "left")
+    if users is not None:
+        known = known.unionByName(users.select("user_email"), allowMissingColumns=True)
     per_user = known.groupBy("user_email").agg(*[
-        agg for t in types for agg in (
-            F.max(F.col("pref_type") == t).alias(f"has_{t}"),
-            F.collect_set(F.when((F.col("pref_type") == t) & F.col("_used"),
-                                 F.concat(F.lit("="), F.col("pref_value")))).alias(f"v_{t}"),
-        )
+        F.when(F.max(F.col("pref_type") == t), F.sort_array(F.collect_set(
+            F.when((F.col("pref_type") == t) & F.col("_used"), F.concat(F.lit("="), F.col("pref_value")))
+        ))).otherwise(F.array(F.lit("*"))).alias(f"c_{t}") for t in types
     ])
-    wishes = per_user
-    for t in types:
-        wishes = wishes.withColumn(
-            f"c_{t}", F.explode(F.when(F.col(f"has_{t}"), F.col(f"v_{t}")).otherwise(F.array(F.lit("*"))))
-        )
-    matched = lookup_join(wishes.select("user_email", *combo), cells, combo, ["user_email"], how="inner")
-    feed = top_k_per_group(matched, ["user_email"], order, k)
-    return feed.select("user_email", *kept)
+    members = per_user.select("user_email", F.sha2(F.to_json(F.struct(*combo)), 256).alias("set"), *combo)
+    wishes = members.groupBy("set").agg(*[F.any_value(c).alias(c) for c in combo])
+    for c in combo:
+        wishes = wishes.withColumn(c, F.explode(c))
+    matched = lookup_join(wishes, cells, combo, ["set"], how="inner")
+    ranked = top_k_per_group(matched, ["set"], order, k).select("set", *kept)
+    return lookup_join(members.select("user_email", "set"), ranked, ["set"], ["user_email"], how="inner").select(
+        "user_email", *kept)
 
 
 def recommended_jobs(prefs: DataFrame, clean: DataFrame, as_of) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meritrix.functions import derive as D
-from meritrix.functions.aggregates import collapse_max, mean_of_months
+from meritrix.functions.aggregates import mean_of_months
 from meritrix.operators.filters import disclosed, has_occupation
 from meritrix.operators.merge import upsert, upsert_if_newer
 from meritrix.operators.windows import any_row, keep_best
@@ -119,15 +119,20 @@ def transform_usajobs(bronze: DataFrame, target: DataFrame | None = None) -> Dat
 def qcew_rows(bronze: DataFrame, ranges=None) -> DataFrame:
     """One row per area, industry, ownership and quarter.
 
-    Measures are column-wise maxima over repeated loads of an aggregation
-    level; where a key occurs at several levels, the smallest level wins. Both
-    steps work on the typed columns and combine before their shuffle, so a key
-    loaded very often costs no more than others; the text key is built last.
+    Where a key occurs at several aggregation levels, the smallest level wins;
+    its measures are column-wise maxima over repeated loads. One aggregation says
+    both: the maximum of (minus the level, measure), where a NULL level or measure
+    is the smallest. It combines before its only shuffle, so a key loaded very
+    often costs no more than others; the text key is built last.
     """
     measures = ["qtrly_estabs", "month1_emplvl", "month2_emplvl", "month3_emplvl",
                 "total_qtrly_wages", "avg_wkly_wage", "ingestion_timestamp"]
-    per_level = collapse_max(disclosed(bronze).dropna(subset=QCEW_KEY), [*QCEW_KEY, "agglvl_code"], measures)
-    best = keep_best(per_level, QCEW_KEY, [F.asc_nulls_last("agglvl_code")])
+    level = (-F.col("agglvl_code")).alias("level")
+    best = (
+        disclosed(bronze).dropna(subset=QCEW_KEY).groupBy(*QCEW_KEY)
+        .agg(F.max(-F.col("agglvl_code")).alias("level"), *(F.max(F.struct(level, m)).alias(m) for m in measures))
+        .select(*QCEW_KEY, (-F.col("level")).alias("agglvl_code"), *(F.col(m)[m].alias(m) for m in measures))
+    )
     return best.select(
         D.qcew_key().alias("qcew_key"),
         "area_fips",

@@ -54,10 +54,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def stored(df: DataFrame) -> DataFrame:
     """Write a frame that several steps read to the shared folder and read it
-    back: it survives lost executors, and later plans start from a scan."""
+    back: it survives lost executors, and later plans start from a scan. Results
+    are lazy, so the folder goes when the application ends; a frame that only the
+    caller reads belongs into ``scratch``."""
     spark = df.sparkSession
     path = scratch_path(spark, "stored")
     df.write.parquet(path)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meritrix.functions import lookups as L
 from meritrix.schemas import JOLTS, QCEW_CSV
@@ -137,22 +140,50 @@ def _oews_lines(spark, path, glob):
 
 
 def read_oews_csv(spark: SparkSession, path: str, survey_year: int) -> DataFrame:
-    """Wage CSV bound by header name, in any case and column order; one JSON
-    record per row with upper-case keys and suppressed cells left out."""
-    raw = (
-        spark.read.option("header", True).option("mode", "DROPMALFORMED").option("enforceSchema", False)
-        .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True).csv(path)
-    )
-    names = raw.columns
-    cells = nullify(with_source_file(raw.select("*", "_metadata")).select(*names, FILE_COLUMN), L.OEWS_NULL_TOKENS)
-    return cells.select(
-        F.to_json(F.struct(*[F.col(n).alias(n.upper()) for n in names])).alias("record"),
-        F.lit(survey_year).alias("survey_year"),
-        FILE_COLUMN,
+    """Wage CSV bound by header name, in any case and column order, file by file;
+    one JSON record per row with upper-case keys and suppressed cells left out.
+    Rows that do not fit their header are skipped; ``oews_csv_bad_rows`` counts them."""
+    return _oews_csv(spark, path).filter(~F.col("bad")).select(
+        "record", F.lit(survey_year).alias("survey_year"), FILE_COLUMN,
         F.current_timestamp().alias("ingestion_timestamp"),
     )
 
 
+def oews_csv_bad_rows(spark: SparkSession, path: str) -> DataFrame:
+    return _oews_csv(spark, path).groupBy(FILE_COLUMN).agg(
+        F.count("record").alias("rows_read"), F.count_if("bad").alias("rows_skipped"))
+
+
+def _oews_csv(spark: SparkSession, path: str) -> DataFrame:
+    """All rows of a drop: its files are grouped by their header line, each group
+    is one scan, and the scans are put together."""
+    by_header: dict[str, list[str]] = {}
+    for row in spark.read.format("binaryFile").load(path).select("path").collect():  # names only
+        by_header.setdefault(_first_line(spark, row.path), []).append(row.path)
+    options = {"header": True, "ignoreLeadingWhiteSpace": True, "ignoreTrailingWhiteSpace": True}
+    frames = []
+    for _, paths in sorted(by_header.items()):
+        names = spark.read.options(**options).csv(paths[0]).columns
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, "_bad")])
+        raw = spark.read.options(**options, columnNameOfCorruptRecord="_bad").schema(schema).csv(paths)
+        cells = nullify(with_source_file(raw.select("*", "_metadata")).select(*names, FILE_COLUMN, "_bad"), L.OEWS_NULL_TOKENS)
+        frames.append(cells.select(
+            F.to_json(F.struct(*[F.col(n).alias(n.upper()) for n in names])).alias("record"),
+            FILE_COLUMN, F.col("_bad").isNotNull().alias("bad")))
+    if not frames:
+        return spark.createDataFrame([], f"record string, {FILE_COLUMN} string, bad boolean")
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _first_line(spark: SparkSession, path: str) -> str:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = at.getFileSystem(spark._jsc.hadoopConfiguration()).open(at)
+    try:
+        return spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine() or ""
+    finally:
+        stream.close()
+
+
 def read_jolts(spark: SparkSession, path: str) -> DataFrame:
     """Labour-turnover series; landed with the raw line next to the fields."""
     return spark.read.text(path).select(

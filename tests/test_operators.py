@@ -72,6 +72,15 @@ def test_salt_spreads_the_hot_key_and_the_missing_key(spark):
     assert sizes < 20000 / 3  # the hot key alone would be larger
 
 
+def test_salts_follow_the_counted_rows(spark):
+    left = skewed(spark)
+    hot = J.hot_key_salts(left, ["k"], 0.05, task_rows=80)
+    assert [(r.k, r._salts) for r in hot.collect()] == [("hot", 84)]
+    right = spark.createDataFrame([("hot", 1), ("k1", 2)], "k string, v int")
+    got = J.salted_join(left, right, ["k"], ["id"], hot)
+    assert got.count() == 20000 and got.exceptAll(left.join(right, "k", "left").select(*got.columns)).count() == 0
+
+
 def test_lookup_join_beyond_the_bound(spark):
     left = skewed(spark)
     right = spark.range(500).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("k"), F.col("id").alias("v"))
@@ -90,6 +99,9 @@ def test_best_row_is_limited_before_the_shuffle(spark):
     df = skewed(spark)
     best = W.top_k_per_group(df, ["k"], [F.desc("id")], 2)
     assert plan(best).count("WindowGroupLimit") == 2
+    many = W.top_k_per_group(df, ["k"], [F.desc("id")], 5000)
+    assert many.filter("k = 'hot'").count() == 5000 and many.filter("k = 'k1'").count() < 200
+    assert "_part" in plan(many)
     assert {r.id for r in best.filter("k = 'hot'").collect()} == {19998, 19995}
     assert "TakeOrderedAndProject" in plan(W.top_k(df, [F.desc("id")], 3))
 
@@ -105,13 +117,12 @@ def test_near_duplicate_lists_stay_whole(spark):
     p = spark.range(1000).select(
         F.lit("Clerk ").alias("job_title"), F.lit("Acme").alias("company_or_agency"), F.lit(None).cast("string").alias("location_state"),
         F.lit("2024-01-01").cast("date").alias("posted_date"), F.lit("adzuna").alias("source"), F.col("id").cast("string").alias("job_id"))
-    parts = quality.near_duplicates(p, ids_per_row=100).collect()
-    assert len(parts) == 10 and {r.n_rows for r in parts} == {1000}
-    listed = [i for r in parts for i in r.job_ids]
+    groups = quality.near_duplicates(p)
+    (group,) = groups.collect()
+    assert group.n_rows == 1000 and group.sources == ["adzuna"]
+    listed = [r.job_id for r in quality.near_duplicate_members(p, groups).collect()]
     assert len(listed) == 1000 == len(set(listed))
-    assert max(len(r.job_ids) for r in parts) < 200
-    whole = quality.near_duplicates(p, limit=1).collect()
-    assert len(whole) == 1 and len(whole[0].job_ids) == 1000
+    assert quality.near_duplicates(p, limit=1).count() == 1
 
 
 def test_assert_unique(rows):

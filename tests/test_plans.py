@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import catalog as C
+from meritrix.operators import merge as M
 from meritrix.operators.resolver import resolve_soc
 from meritrix.plans import gold, silver, views
 
@@ -67,3 +68,24 @@ def test_payload_is_parsed_once(spark):
     bronze = C.adapter(spark, SF, "payloads").withColumn("ingestion_timestamp", F.current_timestamp())
     text = silver.adzuna_to_posting(bronze)._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("parseJson") == 1
+
+
+@pytest.mark.parametrize("merge", ["upsert", "upsert_if_newer", "merge_counts", "new_rows"])
+def test_a_small_batch_leaves_a_large_target_in_place(spark, tmp_path, merge):
+    """The target is only met by broadcast joins with the batch's keys."""
+    spark.range(500_000).select("id", F.col("id").alias("v"), F.lit("x" * 50).alias("kept"),
+                                F.lit("2024-01-01").cast("timestamp").alias("ts")).write.parquet(str(tmp_path / "t"))
+    spark.range(100).select((F.col("id") * 7).alias("id"), F.lit(1).cast("bigint").alias("v"),
+                            F.lit("2024-02-01").cast("timestamp").alias("ts")).write.parquet(str(tmp_path / "b"))
+    target, batch = spark.read.parquet(str(tmp_path / "t")), spark.read.parquet(str(tmp_path / "b"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100k")
+    try:
+        args = {"upsert_if_newer": {"ts": "ts", "update_cols": ["v"]}, "merge_counts": {"ts": "ts"}}.get(merge, {})
+        frame = getattr(M, merge)(target, batch, ["id"], **args)
+        frame.collect()
+        text = frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for part in text.split("Exchange hashpartitioning")[1:]:  # what each shuffle is fed from
+        first_scan = part[part.index("FileScan"):]
+        assert "/b]" in first_scan[:first_scan.index("]", first_scan.index("Location")) + 1] or "BroadcastHashJoin" in part[:part.index("FileScan")]
