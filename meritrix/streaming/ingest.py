@@ -18,13 +18,15 @@ def stream_ingest(spark: SparkSession, landing: str, target: str, checkpoint: st
     The file source's checkpoint remembers the files already read. Known keys
     live in the target table itself, not in streaming state, so nothing grows
     with the stream, and a batch that is retried after a failure inserts
-    only what is still missing. Returns the started query; the default trigger
-    drains what is there and stops.
+    only what is still missing. Payloads without a key are kept in the table
+    ``<target>_rejects``. Returns the started query; the default trigger drains
+    what is there and stops.
     """
-    spark.createDataFrame([], schema).write.mode("append").parquet(target)  # make it readable when empty
+    if not exists(spark, target):
+        spark.createDataFrame([], schema).write.parquet(target)  # readable while empty
 
     def land(batch: DataFrame, _epoch: int) -> None:
-        append_new(batch.sparkSession, target, batch, list(keys), [F.asc("raw_data")])
+        append_new(batch.sparkSession, target, batch, list(keys), [F.asc("raw_data")], rejects=f"{target}_rejects")
 
     return (
         rows(spark.readStream.text(landing)).writeStream.foreachBatch(land)
