@@ -240,7 +240,7 @@ def _prefixes(docs: DataFrame, order, percent: int) -> DataFrame:
 
 
 def _fragments(docs: DataFrame, order, wanted: DataFrame) -> DataFrame:
-    """Third pass: (class, n, fragment, grams) of the classes in ``wanted``. Workers
+    """Third pass: (class, fragment, grams) of the classes in ``wanted``. Workers
     skip documents by a filter of fixed size; a join removes what it lets through."""
     share_code(docs.sparkSession)
 
@@ -263,7 +263,7 @@ def _fragments(docs: DataFrame, order, wanted: DataFrame) -> DataFrame:
         return bool(shared.value[at >> 3] & (128 >> (at & 7)))
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        names, sizes, places, parts = [], [], [], []
+        names, places, parts = [], [], []
         for raw in utf8(batch, "text"):
             grams, sums = order.value.ranked(raw)
             if not len(grams) or not passes(name := class_id(grams)):
@@ -271,16 +271,15 @@ def _fragments(docs: DataFrame, order, wanted: DataFrame) -> DataFrame:
             fragment = order.value.fragments(grams, sums)
             for at in np.unique(fragment):
                 names.append(name)
-                sizes.append(len(grams))
                 places.append(int(at))
                 parts.append(grams[fragment == at].view(np.int64))
         return pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.binary()), pa.array(sizes, pa.int32()), pa.array(places, pa.int32()),
-             pa.array(parts, pa.list_(pa.int64()))], ["class", "n", "fragment", "grams"])
+            [pa.array(names, pa.binary()), pa.array(places, pa.int32()), pa.array(parts, pa.list_(pa.int64()))],
+            ["class", "fragment", "grams"])
 
-    rows = map_batches(docs, work, "class binary, n int, fragment int, grams array<bigint>")
+    rows = map_batches(docs, work, "class binary, fragment int, grams array<bigint>")
     return (rows.join(wanted, "class", "left_semi").groupBy("class", "fragment")  # copies are one class
-            .agg(F.any_value("n").alias("n"), F.any_value("grams").alias("grams")))
+            .agg(F.any_value("grams").alias("grams")))
 
 
 def _allowed(percent: int, a: str, b: str) -> Column:
@@ -291,6 +290,11 @@ def _allowed(percent: int, a: str, b: str) -> Column:
         rest * (100 + percent) >= percent * (na + nb))
 
 
+def _pair() -> list[Column]:
+    """Columns a, b, na, nb of a pair of structs x and y."""
+    return [F.col("x.class").alias("a"), F.col("y.class").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb")]
+
+
 class Join:
     """The state of one self-join: sizes and classes of all documents, the global
     order, and the posting lists of the prefixes that hold two classes or more."""
@@ -306,24 +310,28 @@ class Join:
         self.rows = measured.where("slice IS NULL").select("doc_id", "n", "class")
         sets = _prefixes(self.docs, self.order, percent).groupBy("class").agg(
             F.any_value("n").alias("n"), F.any_value("prefix").alias("prefix"))
-        postings = sets.select("class", "n", F.posexplode("prefix").alias("pos", "gram"))
+        earlier = F.concat(F.array(F.lit(None).cast("bigint")), F.slice("prefix", 1, F.size("prefix") - 1))
+        postings = sets.select("class", "n", F.posexplode(F.arrays_zip(F.col("prefix").alias("gram"), earlier.alias("prev"))).alias("pos", "p"))
         lists = Window.partitionBy("gram")
         self.postings = stored(
-            postings.withColumn("listed", F.count(F.lit(1)).over(lists))
+            postings.select("class", "n", "pos", "p.gram", "p.prev").withColumn("listed", F.count(F.lit(1)).over(lists))
             .withColumn("center", F.first(F.struct("pos", "n", "class")).over(lists.orderBy("pos", "n", "class")))
             .where("listed > 1").drop("listed"))
+        self.parts: DataFrame | None = None
 
     def to_centers(self) -> DataFrame:
         """Candidate pairs of each document with the central one of each list: the
         one with the fewest rarer n-grams."""
-        p = self.postings.alias("p").withColumn("c", F.col("center")).alias("q")
-        return (p.where((F.col("class") != F.col("center.class")) & _allowed(self.percent, "q", "center"))
-                .select(F.least("class", "center.class").alias("a"), F.greatest("class", "center.class").alias("b"))
-                .distinct())
+        one, other = F.struct("class", "n"), F.struct("center.class", "center.n")
+        return (self.postings.alias("q")
+                .where((F.col("class") != F.col("center.class")) & _allowed(self.percent, "q", "center"))
+                .select(F.least(one, other).alias("x"), F.greatest(one, other).alias("y"))
+                .select(*_pair()).distinct())
 
     def across(self, component: DataFrame | None) -> DataFrame:
         """Candidate pairs of all lists; with ``component`` (id, component) only
-        those between different components, in lists that hold several."""
+        those between different components, in lists that hold several. A pair
+        whose n-grams just before are the same is left to the list of those."""
         p = self.postings.drop("center")
         if component is None:
             p = p.withColumn("component", F.col("class"))
@@ -334,22 +342,48 @@ class Join:
                 "low != high")
             p = stored(p.join(mixed.select("gram"), "gram", "left_semi"))
         a, b = p.alias("a"), p.alias("b")
-        return (a.join(b, (F.col("a.gram") == F.col("b.gram")) & (F.col("a.class") < F.col("b.class"))
+        first = F.coalesce(F.col("a.prev") != F.col("b.prev"), F.lit(True))
+        return (a.join(b, (F.col("a.gram") == F.col("b.gram")) & (F.col("a.class") < F.col("b.class")) & first
                        & (F.col("a.component") != F.col("b.component")) & _allowed(self.percent, "a", "b"))
-                .select(F.col("a.class").alias("a"), F.col("b.class").alias("b")).distinct())
+                .select(F.struct("a.class", "a.n").alias("x"), F.struct("b.class", "b.n").alias("y"))
+                .select(*_pair()).distinct())
 
     def linked(self, pairs: DataFrame) -> DataFrame:
-        """The candidate pairs (a, b) that reach the threshold, with their overlap:
-        counted in each fragment, then summed. Stored."""
+        """The candidate pairs (a, b, na, nb) that reach the threshold, with their
+        overlap. Stored.
+
+        The overlap in the first fragment is counted first: where it and all that
+        is left of the smaller set cannot reach the threshold, the pair ends there.
+        The other fragments are counted for the remaining pairs, and summed.
+        """
         pairs = stored(pairs)
+        parts = self._parts_of(pairs)
+        whole = lambda c: F.when(F.col(c).isNotNull(), F.size(c)).otherwise(0)
+        common = F.coalesce(F.size(F.array_intersect("ga", "gb")), F.lit(0))
+        reaches = lambda k: k * (100 + self.percent) >= self.percent * (F.col("na") + F.col("nb"))
+
+        def side(name: str, where: str) -> DataFrame:
+            return parts.where(where).select(F.col("class").alias(name), "fragment", F.col("grams").alias(f"g{name}"))
+
+        first = (pairs.join(side("a", "fragment = 0").drop("fragment"), "a", "left")
+                 .join(side("b", "fragment = 0").drop("fragment"), "b", "left")
+                 .withColumn("seen", F.when(F.col("ga").isNotNull() & F.col("gb").isNotNull(), common).otherwise(0)))
+        rest = F.least(F.col("na") - whole("ga"), F.col("nb") - whole("gb"))
+        alive = stored(first.where(reaches(F.col("seen") + rest)).select("a", "b", "na", "nb", "seen"))
+        others = (alive.join(side("a", "fragment > 0"), "a").join(side("b", "fragment > 0"), ["b", "fragment"])
+                  .select("a", "b", common.alias("k")).groupBy("a", "b").agg(F.sum("k").alias("k")))
+        summed = alive.join(others, ["a", "b"], "left").withColumn(
+            "overlap", F.col("seen") + F.coalesce("k", F.lit(0)))
+        return stored(summed.where(reaches(F.col("overlap"))).select("a", "b", "na", "nb", "overlap"))
+
+    def _parts_of(self, pairs: DataFrame) -> DataFrame:
+        """Fragments of all sets in ``pairs``; those read before are kept."""
         wanted = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
-        parts = stored(_fragments(self.docs, self.order, wanted))
-        left = parts.select(F.col("class").alias("a"), F.col("n").alias("na"), "fragment", F.col("grams").alias("ga"))
-        right = parts.select(F.col("class").alias("b"), F.col("n").alias("nb"), "fragment", F.col("grams").alias("gb"))
-        partial = pairs.join(left, "a").join(right, ["b", "fragment"]).select(
-            "a", "b", "na", "nb", F.size(F.array_intersect("ga", "gb")).alias("overlap"))
-        summed = partial.groupBy("a", "b", "na", "nb").agg(F.sum("overlap").alias("overlap"))
-        return stored(summed.where(F.col("overlap") * (100 + self.percent) >= self.percent * (F.col("na") + F.col("nb"))))
+        if self.parts is not None:
+            wanted = wanted.join(self.parts.select("class"), "class", "left_anti")
+        new = stored(_fragments(self.docs, self.order, stored(wanted)))
+        self.parts = new if self.parts is None else self.parts.union(new)
+        return self.parts
 
 
 def connected(links: DataFrame) -> DataFrame:
