@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from checks import oracle as O
 from checks.adapters import adapter, cte, load
 from checks.catalog import (
-    COMPANIES, FEDERAL, check, ids, oews_bronze, postings, qcew,
+    COMPANIES, FEDERAL, SQL, check, ids, oews_bronze, postings, qcew,
 )
 from meritrix.functions import aggregates as A
 from meritrix.functions import derive as D
@@ -21,7 +21,7 @@ from meritrix.plans import gold
 from meritrix.session import scratch_path, stored
 from meritrix.sources import readers, store
 from meritrix.streaming import ingest
-from meritrix.streaming.refresh import refresh
+from meritrix.streaming.refresh import refresh, refresh_batch
 
 INGESTED = "2024-02-01"
 
@@ -524,12 +524,31 @@ SELECT source || '::' || job_id AS posting_key, sector, company_or_agency AS com
  occ.soc_code, mid AS salary_midpoint FROM postings LEFT JOIN resolved ON {O.NORM_B.format('job_title')} = title_normalized
  LEFT JOIN occ ON occ.soc_code = resolved.soc_code""")
 def _(spark, sf):
-    """Bronze to Gold through stored tables; the second run changes nothing."""
+    """Bronze to Gold through stored tables, one source after the other."""
     tables = store.SnapshotStore(spark, scratch_path(spark, "tables"))
     tables.write("raw_adzuna", _bronze(spark, sf, "raw_adzuna", "payloads", "job_id"))
     tables.write("raw_usajobs_current", _bronze(spark, sf, "raw_usajobs_current", "payloads_federal", "control_number"))
     refresh(tables, ["raw_adzuna"])
     refresh(tables, ["raw_usajobs_current"])
+    return gold_view(tables)
+
+
+@check("refresh_batch", SQL["refresh"])
+def _(spark, sf):
+    """Most payloads by a whole refresh, the rest and some of the others again as
+    batches: the same content."""
+    tables = store.SnapshotStore(spark, scratch_path(spark, "tables"))
+    private = _bronze(spark, sf, "raw_adzuna", "payloads", "job_id")
+    federal = _bronze(spark, sf, "raw_usajobs_current", "payloads_federal", "control_number")
+    tables.write("raw_adzuna", private.filter("CAST(job_id AS BIGINT) % 7 > 0"))
+    tables.write("raw_usajobs_current", federal.filter("CAST(control_number AS BIGINT) % 3 > 0"))
+    refresh(tables, ["raw_adzuna", "raw_usajobs_current"])
+    refresh_batch(tables, "raw_usajobs_current", federal.filter("CAST(control_number AS BIGINT) % 3 < 2"))
+    refresh_batch(tables, "raw_adzuna", private.filter("CAST(job_id AS BIGINT) % 7 < 2"))
+    return gold_view(tables)
+
+
+def gold_view(tables):
     fact = tables.read("fact_job_postings")
     companies, cats, occ = (tables.read(f"dim_{n}") for n in ("company", "category", "occupation"))
     return (

@@ -216,6 +216,14 @@ class SnapshotStore:
         write_layout(df, f"{self.root}/{name}/snapshot={number:06d}", name)
         return self.read(name)
 
+    def merge(self, name: str, batch: DataFrame, keys, order=None) -> dict[str, int]:
+        """Upsert into the current snapshot of a partitioned table: only partitions
+        that the batch touches are rewritten, the others keep their files."""
+        done = [path for _, path, ok in self._folders(name) if ok]
+        if not done:
+            raise LookupError(f"no snapshot of {name} under {self.root}")
+        return upsert_stored(self.spark, done[-1], batch, keys, order)
+
     def prune(self, name: str, keep: int = 2) -> None:
         """Delete all but the newest ``keep`` complete snapshots (and what
         failed writes left behind before them)."""

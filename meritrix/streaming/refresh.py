@@ -1,11 +1,14 @@
-"""Dependency-ordered refresh of Silver and Gold."""
+"""Dependency-ordered refresh of Silver and Gold: whole, or by what a batch touches."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from meritrix.functions import derive as D
+from meritrix.operators.merge import merge_counts
 from meritrix.operators.resolver import resolve_soc
 from meritrix.plans import gold, silver
+from meritrix.session import scratch
 from meritrix.sources.store import SnapshotStore
 
 POSTING_SOURCES = {"raw_adzuna": silver.transform_adzuna, "raw_usajobs_current": silver.transform_usajobs}
@@ -70,3 +73,60 @@ def refresh(tables: SnapshotStore, changed, calendar=("1990-01-01", "2030-12-31"
         report[name] = {"rows": rows, "inserted": rows - before}
         changed.add(name)
     return report
+
+
+#: Dimension, the posting columns that name its rows, its natural key, its build.
+DIMENSIONS = [
+    ("dim_location", ["location_city", "location_state", "location_country"], ["city", "state", "country"], gold.dim_location),
+    ("dim_company", ["company_or_agency"], ["company_name"], gold.dim_company),
+    ("dim_category", ["job_category"], ["category_name"], gold.dim_category),
+]
+
+
+def refresh_batch(tables: SnapshotStore, bronze: str, batch: DataFrame) -> dict[str, dict[str, int]]:
+    """Carry new payloads of one source through Silver and Gold.
+
+    Postings and facts are partitioned tables of which only the partitions that
+    the batch touches are rewritten. Dimensions are rebuilt for the labels that the
+    batch brings or takes away, from all postings that carry these; the large
+    tables are scanned for that, but not shuffled for a small batch. All tables
+    must exist (``refresh`` makes them). Returns inserted, updated and unchanged
+    rows per table; unchanged ones count within the rewritten partitions.
+    """
+    spark, report = tables.spark, {}
+    with scratch(spark) as keep:
+        jobs = keep(POSTING_SOURCES[bronze](batch))
+        keys = silver.POSTING_KEYS
+        before = tables.read("jobs_unified").join(jobs.select(*keys), keys, "left_semi")
+        changed = keep(jobs.unionByName(before))  # the labels of now and of before
+        report["jobs_unified"] = tables.merge("jobs_unified", jobs, keys)
+        postings = tables.read("jobs_unified")
+        for name, columns, natural, build in DIMENSIONS:
+            carried = postings.join(changed.select(*columns).dropna().distinct(), columns, "left_semi")
+            report[name] = _renew(tables, keep, name, natural, build, carried)
+        title = D.norm_b("job_title").alias("_title")
+        titled = postings.filter("job_title IS NOT NULL").withColumn("_title", title)
+        names = changed.filter("job_title IS NOT NULL").select(title).distinct()
+        carried = titled.join(names, "_title", "left_semi").drop("_title")
+        report["dim_occupation_soc"] = _renew(
+            tables, keep, "dim_occupation_soc", ["title_normalized"], lambda rows, old: resolve_soc(rows, existing=old), carried)
+        resolved = tables.read("dim_occupation_soc")
+        report["dim_occupation"] = _renew(tables, keep, "dim_occupation", ["soc_code"], gold.dim_occupation, resolved)
+
+        dims = {n: tables.read(f"dim_{n}") for n in ("location", "company", "category")}
+        rows = keep(gold.fact_job_postings(jobs, dims).drop("occupation_key"))
+        held = tables.read("fact_job_postings").join(rows.select("posting_key"), "posting_key", "left_semi")
+        rows = rows.join(held.select("posting_key", "occupation_key"), "posting_key", "left")
+        fact = gold.update_postings_soc(rows, jobs, resolved, tables.read("dim_occupation"))
+        report["fact_job_postings"] = tables.merge("fact_job_postings", fact, ["posting_key"])
+    return report
+
+
+def _renew(tables: SnapshotStore, keep, name: str, natural: list[str], build, rows: DataFrame) -> dict[str, int]:
+    """A new snapshot of a dimension in which the rows built from ``rows`` replace
+    those of the same natural key; surrogate keys stay."""
+    old = tables.read(name)
+    new = keep(build(rows, old))  # the old rows, and those built
+    counts = merge_counts(old, new.join(old, [*new.columns], "left_anti"), natural).first().asDict()
+    tables.write(name, new)
+    return counts

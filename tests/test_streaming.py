@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from meritrix.sources.readers import select_files
 from meritrix.sources.store import SnapshotStore
 from meritrix.streaming.ingest import load_year, pending_files, refresh_years, stream_ingest
-from meritrix.streaming.refresh import refresh
+from meritrix.streaming.refresh import refresh, refresh_batch
 
 
 def payload(i, title="Data Analyst", **more):
@@ -86,6 +86,21 @@ def test_refresh_is_idempotent_and_keeps_keys(spark, tmp_path):
     assert refresh(tables, ["unrelated"]) == {}
 
 
+def test_a_batch_touches_its_own_partitions_and_labels(spark, tmp_path):
+    tables = SnapshotStore(spark, str(tmp_path / "wh"))
+    tables.write("raw_adzuna", bronze(spark, payload(1), payload(2, "Zzzz"), payload(3)))
+    refresh(tables, ["raw_adzuna"], calendar=("2024-01-01", "2024-12-31"))
+    report = refresh_batch(tables, "raw_adzuna", bronze(spark, payload(2, "Nurse"), payload(4), ts="2024-06-02"))
+    assert report["jobs_unified"] == report["fact_job_postings"] == {"inserted": 1, "updated": 1, "unchanged": 2}
+    assert report["dim_company"]["inserted"] == 0
+    fact = {r.posting_key: r for r in tables.read("fact_job_postings").collect()}
+    codes = {r.occupation_key: r.soc_code for r in tables.read("dim_occupation").collect()}
+    assert len(fact) == 4 and codes[fact["adzuna::adzuna_2"].occupation_key] == "29-1141"
+    again = refresh_batch(tables, "raw_adzuna", bronze(spark, payload(4), ts="2024-06-02"))
+    assert again["jobs_unified"]["inserted"] == 0 and sum(again["dim_company"].values()) == again["dim_company"]["unchanged"]
+    assert {r.posting_key: tuple(r) for r in tables.read("fact_job_postings").collect()} == {k: tuple(r) for k, r in fact.items()}
+
+
 def test_refresh_of_employment_and_wages(spark, tmp_path, rows):
     tables = SnapshotStore(spark, str(tmp_path / "wh"))
     tables.write("raw_bls_qcew", rows(
