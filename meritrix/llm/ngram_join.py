@@ -27,12 +27,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meritrix.llm.tasks import map_batches, share_code, utf8
+from meritrix.llm.tasks import map_batches, pieces, share_code, utf8
 from meritrix.session import stored
 
-#: log2 of the buckets that n-grams are counted in, of those of the filter of
-#: candidates, and the slices that bucket arrays travel in.
-COUNT_BITS = 20
+#: log2 of the buckets that n-grams are counted in, of those for words, of those of
+#: a filter of classes, and the slices that bucket arrays travel in.
+COUNT_BITS = 22
+WORD_BITS = 20
 FILTER_BITS = 24
 SLICES = 64
 FRAGMENTS = 8
@@ -104,13 +105,13 @@ def shingles(raw: bytes, n: int) -> np.ndarray:
     return np.unique(_windows(words, n)) if len(words) else words
 
 
-def _bucket(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
+def _bucket(hashes: np.ndarray, bits: int) -> np.ndarray:
+    return (hashes >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def class_id(grams: np.ndarray) -> bytes:
-    """128-bit name of a set; equal sets are one class."""
-    return hashlib.blake2b(grams.tobytes(), digest_size=16).digest()
+    """96-bit name of a set; equal sets are one class."""
+    return hashlib.blake2b(grams.tobytes(), digest_size=12).digest()
 
 
 @dataclass(frozen=True)
@@ -146,7 +147,7 @@ class Order:
         words = word_hashes(raw)
         if not len(words):
             return words, np.zeros(0, np.uint64)
-        level, width = self.levels[_bucket(words)].astype(np.uint64), min(self.n, len(words))
+        level, width = self.levels[_bucket(words, WORD_BITS)].astype(np.uint64), min(self.n, len(words))
         sums = np.zeros(len(words) - width + 1, np.uint64)
         for i in range(width):
             sums += level[i:len(words) - width + 1 + i]
@@ -155,14 +156,14 @@ class Order:
 
     def prefix(self, grams: np.ndarray, sums: np.ndarray, length: int) -> np.ndarray:
         """The first n-grams; those with equal keys keep the order of their hashes."""
-        standing = self.standing[_bucket(grams)].astype(np.uint64)
+        standing = self.standing[_bucket(grams, COUNT_BITS)].astype(np.uint64)
         keys = (standing << np.uint64(56)) | (sums << np.uint64(40)) | (grams >> np.uint64(24))
         return grams[np.argsort(keys, kind="stable")[:length]]
 
     def fragments(self, grams: np.ndarray, sums: np.ndarray) -> np.ndarray:
         """The fragment of each n-gram; those that stand out are in the last one."""
         fragment = np.searchsorted(self.cuts, sums.astype(np.int64), side="right")
-        fragment[self.standing[_bucket(grams)] > 0] = FRAGMENTS - 1
+        fragment[self.standing[_bucket(grams, COUNT_BITS)] > 0] = FRAGMENTS - 1
         return fragment
 
 
@@ -203,22 +204,24 @@ def _measured(docs: DataFrame, n: int) -> DataFrame:
     kind, names = docs.schema["doc_id"].dataType.simpleString(), ["doc_id", "n", "class", "slice", "counts"]
 
     def run(batches):
-        counts, id_type = np.zeros((2, 1 << COUNT_BITS), np.int64), None
-        for batch in batches:
+        counts, id_type = [np.zeros(1 << bits, np.int64) for bits in (COUNT_BITS, WORD_BITS)], None
+        for batch in pieces(batches):
             words = [word_hashes(raw) for raw in utf8(batch, "text")]
             sets = [np.unique(_windows(w, n)) if len(w) else w for w in words]
-            for total, hashes in zip(counts, (sets, words)):
-                total += np.bincount(_bucket(np.concatenate(hashes)), minlength=1 << COUNT_BITS)
+            for total, hashes, bits in zip(counts, (sets, words), (COUNT_BITS, WORD_BITS)):
+                buckets, seen = np.unique(_bucket(np.concatenate(hashes), bits), return_counts=True)
+                total[buckets] += seen
             id_type = batch.column("doc_id").type
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([class_id(s) if len(s) else None for s in sets], pa.binary()),
                  pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.binary())], names)
-        at, packed = _slices(counts)
-        if at:  # only after a batch
-            yield pa.RecordBatch.from_arrays(
-                [pa.nulls(len(at), id_type), pa.nulls(len(at), pa.int64()), pa.nulls(len(at), pa.binary()),
-                 pa.array(at, pa.int32()), pa.array(packed, pa.binary())], names)
+        for kind_of, total in enumerate(counts):  # the slices of words are numbered after those of n-grams
+            at, packed = _slices(total)
+            if at:  # only after a batch
+                yield pa.RecordBatch.from_arrays(
+                    [pa.nulls(len(at), id_type), pa.nulls(len(at), pa.int64()), pa.nulls(len(at), pa.binary()),
+                     pa.array([a + kind_of * SLICES for a in at], pa.int32()), pa.array(packed, pa.binary())], names)
 
     return docs.mapInArrow(run, f"doc_id {kind}, n bigint, class binary, slice int, counts binary")
 
@@ -239,28 +242,48 @@ def _prefixes(docs: DataFrame, order, percent: int) -> DataFrame:
     return map_batches(docs, work, "class binary, n int, prefix array<bigint>")
 
 
-def _fragments(docs: DataFrame, order, wanted: DataFrame) -> DataFrame:
-    """Third pass: (class, fragment, grams) of the classes in ``wanted``. Workers
-    skip documents by a filter of fixed size; a join removes what it lets through."""
-    share_code(docs.sparkSession)
+class Filter:
+    """Classes by their bucket: a bit array of fixed size that holds all members
+    and lets some others through."""
 
-    def bucket(name: bytes) -> int:
-        return int.from_bytes(name[:8], "little") >> (64 - FILTER_BITS)
+    def __init__(self, members: DataFrame):
+        """``members`` has a column ``class``; its tasks hand on packed buckets."""
+        share_code(members.sparkSession)
 
-    def mark(batches):
-        counts = np.zeros(1 << FILTER_BITS, np.uint8)
-        for batch in batches:
-            counts[[bucket(c) for c in batch.column("class").to_pylist()]] = 1
-        at, packed = _slices(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(packed, pa.binary())], ["slice", "counts"])
+        def mark(batches):
+            counts = np.zeros(1 << FILTER_BITS, np.uint8)
+            for batch in batches:
+                counts[[_class_bucket(c) for c in batch.column("class").to_pylist()]] = 1
+            at, packed = _slices(counts)
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(packed, pa.binary())], ["slice", "counts"])
+
+        marks = members.select("class").mapInArrow(mark, "slice int, counts binary")
+        marked = bucket_sums(marks, FILTER_BITS, np.uint8, np.maximum) > 0
+        self.bits = members.sparkSession.sparkContext.broadcast(np.packbits(marked))
+
+    def passes(self, name: bytes) -> bool:
+        at = _class_bucket(name)
+        return bool(self.bits.value[at >> 3] & (128 >> (at & 7)))
+
+    def rows(self, frame: DataFrame) -> DataFrame:
+        """The rows of ``frame`` whose class passes."""
+        passes = self.passes
 
-    marks = wanted.coalesce(8).mapInArrow(mark, "slice int, counts binary")
-    marked = bucket_sums(marks, FILTER_BITS, np.uint8, np.maximum) > 0
-    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(marked))
+        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+            return batch.filter(pa.array([passes(c) for c in batch.column("class").to_pylist()], pa.bool_()))
 
-    def passes(name: bytes) -> bool:
-        at = bucket(name)
-        return bool(shared.value[at >> 3] & (128 >> (at & 7)))
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema)
+        return map_batches(frame, work, schema)
+
+
+def _class_bucket(name: bytes) -> int:
+    return int.from_bytes(name[:8], "little") >> (64 - FILTER_BITS)
+
+
+def _fragments(docs: DataFrame, order, wanted: Filter) -> DataFrame:
+    """Third pass: (class, fragment, grams) of the documents whose class passes;
+    copies repeat their rows."""
+    passes = wanted.passes
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         names, places, parts = [], [], []
@@ -277,9 +300,7 @@ def _fragments(docs: DataFrame, order, wanted: DataFrame) -> DataFrame:
             [pa.array(names, pa.binary()), pa.array(places, pa.int32()), pa.array(parts, pa.list_(pa.int64()))],
             ["class", "fragment", "grams"])
 
-    rows = map_batches(docs, work, "class binary, fragment int, grams array<bigint>")
-    return (rows.join(wanted, "class", "left_semi").groupBy("class", "fragment")  # copies are one class
-            .agg(F.any_value("grams").alias("grams")))
+    return map_batches(docs, work, "class binary, fragment int, grams array<bigint>")
 
 
 def _allowed(percent: int, a: str, b: str) -> Column:
@@ -290,6 +311,10 @@ def _allowed(percent: int, a: str, b: str) -> Column:
         rest * (100 + percent) >= percent * (na + nb))
 
 
+def _members(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
+
+
 def _pair() -> list[Column]:
     """Columns a, b, na, nb of a pair of structs x and y."""
     return [F.col("x.class").alias("a"), F.col("y.class").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb")]
@@ -305,19 +330,21 @@ class Join:
         self.percent = percent
         self.docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text).cast("string").alias("text"))
         measured = stored(_measured(self.docs, n))
-        counts = bucket_sums(measured.where("slice IS NOT NULL").select("slice", "counts"), COUNT_BITS + 1)
-        self.order = docs.sparkSession.sparkContext.broadcast(Order.of(*counts.reshape(2, -1), n))
+        grams, words = F.col("slice") < SLICES, F.col("slice") >= SLICES
+        self.order = docs.sparkSession.sparkContext.broadcast(Order.of(
+            bucket_sums(measured.where(grams).select("slice", "counts"), COUNT_BITS),
+            bucket_sums(measured.where(words).select((F.col("slice") - SLICES).alias("slice"), "counts"), WORD_BITS), n))
         self.rows = measured.where("slice IS NULL").select("doc_id", "n", "class")
         sets = _prefixes(self.docs, self.order, percent).groupBy("class").agg(
             F.any_value("n").alias("n"), F.any_value("prefix").alias("prefix"))
-        earlier = F.concat(F.array(F.lit(None).cast("bigint")), F.slice("prefix", 1, F.size("prefix") - 1))
-        postings = sets.select("class", "n", F.posexplode(F.arrays_zip(F.col("prefix").alias("gram"), earlier.alias("prev"))).alias("pos", "p"))
+        postings = sets.select("class", "n", F.posexplode("prefix").alias("pos", "gram"))
         lists = Window.partitionBy("gram")
         self.postings = stored(
-            postings.select("class", "n", "pos", "p.gram", "p.prev").withColumn("listed", F.count(F.lit(1)).over(lists))
+            postings.withColumn("listed", F.count(F.lit(1)).over(lists))
             .withColumn("center", F.first(F.struct("pos", "n", "class")).over(lists.orderBy("pos", "n", "class")))
             .where("listed > 1").drop("listed"))
         self.parts: DataFrame | None = None
+        self.known: DataFrame | None = None
 
     def to_centers(self) -> DataFrame:
         """Candidate pairs of each document with the central one of each list: the
@@ -330,8 +357,7 @@ class Join:
 
     def across(self, component: DataFrame | None) -> DataFrame:
         """Candidate pairs of all lists; with ``component`` (id, component) only
-        those between different components, in lists that hold several. A pair
-        whose n-grams just before are the same is left to the list of those."""
+        those between different components, in lists that hold several."""
         p = self.postings.drop("center")
         if component is None:
             p = p.withColumn("component", F.col("class"))
@@ -342,8 +368,7 @@ class Join:
                 "low != high")
             p = stored(p.join(mixed.select("gram"), "gram", "left_semi"))
         a, b = p.alias("a"), p.alias("b")
-        first = F.coalesce(F.col("a.prev") != F.col("b.prev"), F.lit(True))
-        return (a.join(b, (F.col("a.gram") == F.col("b.gram")) & (F.col("a.class") < F.col("b.class")) & first
+        return (a.join(b, (F.col("a.gram") == F.col("b.gram")) & (F.col("a.class") < F.col("b.class"))
                        & (F.col("a.component") != F.col("b.component")) & _allowed(self.percent, "a", "b"))
                 .select(F.struct("a.class", "a.n").alias("x"), F.struct("b.class", "b.n").alias("y"))
                 .select(*_pair()).distinct())
@@ -354,23 +379,28 @@ class Join:
 
         The overlap in the first fragment is counted first: where it and all that
         is left of the smaller set cannot reach the threshold, the pair ends there.
-        The other fragments are counted for the remaining pairs, and summed.
+        The other fragments are read for the sets of the remaining pairs, counted,
+        and summed.
         """
         pairs = stored(pairs)
         parts = self._parts_of(pairs)
         whole = lambda c: F.when(F.col(c).isNotNull(), F.size(c)).otherwise(0)
-        common = F.coalesce(F.size(F.array_intersect("ga", "gb")), F.lit(0))
+        common = F.size(F.array_intersect("ga", "gb"))
         reaches = lambda k: k * (100 + self.percent) >= self.percent * (F.col("na") + F.col("nb"))
 
-        def side(name: str, where: str) -> DataFrame:
-            return parts.where(where).select(F.col("class").alias(name), "fragment", F.col("grams").alias(f"g{name}"))
+        def side(sets: DataFrame, name: str) -> DataFrame:
+            return sets.withColumnsRenamed({"class": name, "grams": f"g{name}"})
 
-        first = (pairs.join(side("a", "fragment = 0").drop("fragment"), "a", "left")
-                 .join(side("b", "fragment = 0").drop("fragment"), "b", "left")
-                 .withColumn("seen", F.when(F.col("ga").isNotNull() & F.col("gb").isNotNull(), common).otherwise(0)))
+        lead = parts.where("fragment = 0").groupBy("class").agg(F.any_value("grams").alias("grams"))
+        first = pairs.join(side(lead, "a"), "a", "left").join(side(lead, "b"), "b", "left").withColumn(
+            "seen", F.when(F.col("ga").isNotNull() & F.col("gb").isNotNull(), common).otherwise(0))
         rest = F.least(F.col("na") - whole("ga"), F.col("nb") - whole("gb"))
         alive = stored(first.where(reaches(F.col("seen") + rest)).select("a", "b", "na", "nb", "seen"))
-        others = (alive.join(side("a", "fragment > 0"), "a").join(side("b", "fragment > 0"), ["b", "fragment"])
+        left = Filter(stored(_members(alive))).rows(parts.where("fragment > 0"))
+        sets = left.groupBy("class", "fragment").agg(F.any_value("grams").alias("grams"))
+        asked = alive.select("a", "b", F.explode(F.sequence(F.lit(1), F.lit(FRAGMENTS - 1))).alias("fragment"))
+        # the sets stay where their aggregation has put them; only pairs move to side a
+        others = (asked.join(side(sets, "a"), ["a", "fragment"]).join(side(sets, "b"), ["b", "fragment"])
                   .select("a", "b", common.alias("k")).groupBy("a", "b").agg(F.sum("k").alias("k")))
         summed = alive.join(others, ["a", "b"], "left").withColumn(
             "overlap", F.col("seen") + F.coalesce("k", F.lit(0)))
@@ -378,11 +408,13 @@ class Join:
 
     def _parts_of(self, pairs: DataFrame) -> DataFrame:
         """Fragments of all sets in ``pairs``; those read before are kept."""
-        wanted = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
-        if self.parts is not None:
-            wanted = wanted.join(self.parts.select("class"), "class", "left_anti")
-        new = stored(_fragments(self.docs, self.order, stored(wanted)))
+        wanted = _members(pairs)
+        if self.known is not None:
+            wanted = wanted.join(self.known, "class", "left_anti")
+        wanted = stored(wanted)
+        new = stored(_fragments(self.docs, self.order, Filter(wanted)))
         self.parts = new if self.parts is None else self.parts.union(new)
+        self.known = wanted if self.known is None else self.known.union(wanted)
         return self.parts
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 _STATE: dict[str, object] = {}
+#: Rows of an Arrow batch that are worked on at once.
+ROWS = 500
 
 
 def share_code(spark: SparkSession) -> None:
@@ -22,15 +24,22 @@ def share_code(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([*paths, _ROOT])
 
 
+def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches, at most ROWS at a time, without copying."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+
+
 def map_batches(frame: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
     """``work`` turns one Arrow batch into one batch of ``schema``. Spark bounds
-    a batch by rows and by bytes, so memory holds one batch and its result."""
+    a batch by rows and by bytes; it is worked on in pieces, so that what a row
+    takes in Python is held for ROWS rows at a time."""
     share_code(frame.sparkSession)
 
     def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                yield work(batch)
+        for piece in pieces(batches):
+            yield work(piece)
 
     return frame.mapInArrow(run, schema)
 
