@@ -109,7 +109,8 @@ def two_headers(spark, sf):
     path = scratch_path(spark, "oews")
     for odd, names in ((0, raw.columns), (1, [c.capitalize() for c in reversed(raw.columns)])):
         half = raw.filter(F.pmod(F.xxhash64("occ_title", "area", "tot_emp"), F.lit(2)) == odd)
-        cells = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in names])
+        text = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in names]
+        cells = F.concat_ws(",", *[F.when(t.contains(","), F.concat(F.lit('"'), t, F.lit('"'))).otherwise(t) for t in text])
         extra = F.when(F.col("tot_emp").endswith("7"), F.lit(",x,y")).otherwise(F.lit(""))
         head = spark.createDataFrame([(",".join(names),)], "value string")
         head.union(half.select(F.concat(cells, extra))).coalesce(1).write.text(f"{path}/part={odd}")

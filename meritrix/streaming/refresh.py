@@ -127,6 +127,6 @@ def _renew(tables: SnapshotStore, keep, name: str, natural: list[str], build, ro
     those of the same natural key; surrogate keys stay."""
     old = tables.read(name)
     new = keep(build(rows, old))  # the old rows, and those built
-    counts = merge_counts(old, new.join(old, [*new.columns], "left_anti"), natural).first().asDict()
+    counts = merge_counts(old, new.subtract(old), natural).first().asDict()
     tables.write(name, new)
     return counts
