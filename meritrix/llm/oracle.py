@@ -58,7 +58,7 @@ m AS (
     FROM d LEFT JOIN rep USING (doc_id) LEFT JOIN lines USING (doc_id) LEFT JOIN top USING (doc_id)),
 v AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT (base_failed OR 100 * n_symbols > 20 * n_words OR 100 * n_dup_lines > 30 * n_lines
+       NOT (base_failed OR 100 * n_symbols > 20 * n_words OR 100 * n_dup_lines > 50 * n_lines
             OR upper > 0.6 * greatest(1, upper + lower) OR 100 * loud > 20 * n_words
             OR NOT (word_chars BETWEEN 2 * n_words AND 15 * n_words) OR 100 * most > 30 * n_words) AS kept
 FROM v

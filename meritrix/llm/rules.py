@@ -98,7 +98,7 @@ BASE_RULES = (
 #: Further rules; their bounds lie far from what prose shows.
 RULES = BASE_RULES + (
     Rule("symbols", lambda t: 100 * t.n_symbols > 20 * t.n_words),
-    Rule("repeated_lines", lambda t: 100 * t.n_dup_lines > 30 * len(t.lines)),
+    Rule("repeated_lines", lambda t: 100 * t.n_dup_lines > 50 * len(t.lines)),
     Rule("upper_case", lambda t: t.upper_share > 0.6),
     Rule("loud_marks", lambda t: 100 * t.loud_marks > 20 * t.n_words),
     Rule("word_length", lambda t: not 2 * t.n_words <= t.word_chars <= 15 * t.n_words),
