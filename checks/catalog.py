@@ -9,19 +9,13 @@ from pyspark.sql import functions as F
 
 from checks import oracle as O
 from checks.adapters import adapter, cte, load
-from meritrix.functions import aggregates as A
-from meritrix.functions import derive as D
-from meritrix.operators import filters as FL
 from meritrix.operators import joins as J
-from meritrix.operators import keys as K
-from meritrix.operators import merge as M
 from meritrix.operators import windows as W
-from meritrix.operators.resolver import fips_names, resolve_soc, soc_stats
+from meritrix.functions import lookups as L
 from meritrix.operators.filters import salary_in_range
+from meritrix.operators.resolver import fips_names, resolve_soc, soc_stats
 from meritrix.plans import gold, quality, reads, silver, views
-from meritrix.session import scratch_path, stored
-from meritrix.sources import readers, store
-from meritrix.streaming import ingest, refresh as refreshing
+from meritrix.session import stored
 
 AS_OF = "2001-08-01"  # newest posting date of the test tables
 DAY = f"DATE '{AS_OF}'"
@@ -329,7 +323,7 @@ f AS (SELECT *, r->>'$.PositionTitle' AS title, lower(r->>'$.PositionTitle') AS
  CASE r->>'$.PositionRemuneration[0].RateIntervalCode' WHEN 'PH' THEN 2080 WHEN 'PB' THEN 26 ELSE 1 END AS rate FROM d),
 g AS (SELECT *, CAST(r->>'$.PositionRemuneration[0].MinimumRange' AS DOUBLE) * rate AS lo,
  CAST(r->>'$.PositionRemuneration[0].MaximumRange' AS DOUBLE) * rate AS hi,
- regexp_matches(tl, 'intern|internship|entry[- ]level|junior|graduate|trainee') AS entry FROM f),
+ regexp_matches(tl, '{L.ENTRY_WORDS_FEDERAL}') AS entry FROM f),
 federal AS (SELECT 'usajobs_' || control_number AS job_id, 'usajobs_current' AS source, 'federal' AS sector, title AS job_title,
  {O.NORM_A.format('title')} AS job_title_normalized, r->>'$.OrganizationName' AS company_or_agency, descr AS job_description,
  split_part(r->>'$.PositionLocation[0].CityName', ',', 1) AS location_city,

@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 
 from checks import oracle as O
 from checks.adapters import adapter, cte, load
-from checks.catalog import check, clean, oews_bronze, qcew
+from checks.catalog import check, clean, qcew
 from meritrix.functions import lookups as L
 from meritrix.operators import merge as M
 from meritrix.operators import windows as W
 from meritrix.plans import gold, silver
 from meritrix.schemas import JOBS_UNIFIED, OEWS_MEASURES, RAW_USAJOBS
 from meritrix.session import scratch_path, stored
-from meritrix.sources import readers, store
+from meritrix.sources import readers
 from meritrix.streaming import ingest
 
 # -- private payloads with every field -------------------------------------

@@ -12,6 +12,7 @@ from checks.catalog import (
 )
 from meritrix.functions import aggregates as A
 from meritrix.functions import derive as D
+from meritrix.functions import lookups as L
 from meritrix.operators import filters as FL
 from meritrix.operators import joins as J
 from meritrix.operators import keys as K
@@ -307,9 +308,9 @@ def _(spark, sf):
 
 @check("title_forms", f"""WITH t AS (SELECT doc_id, unnest(string_split(text, '.')) AS title FROM documents)
 SELECT doc_id, {O.NORM_A.format('title')} AS form_a, {O.NORM_B.format('title')} AS form_b,
- CASE WHEN regexp_matches(lower(title), 'intern|internship|entry[- ]level|junior|graduate|new grad|associate') THEN 'entry'
-  WHEN regexp_matches(lower(title), 'senior|sr.|principal|staff|lead|director|head of|vp|chief') THEN 'senior' ELSE 'mid' END AS level,
- regexp_matches(lower(title), 'intern|internship|entry[- ]level|junior|graduate|new grad') AS entry FROM t""")
+ CASE WHEN regexp_matches(lower(title), '{L.ENTRY_WORDS_PRIVATE}') THEN 'entry'
+  WHEN regexp_matches(lower(title), '{L.SENIOR_WORDS_PRIVATE}') THEN 'senior' ELSE 'mid' END AS level,
+ regexp_matches(lower(title), '{L.ENTRY_FLAG_WORDS_PRIVATE}') AS entry FROM t""")
 def _(spark, sf):
     t = load(spark, sf, "documents").select("doc_id", F.explode(F.split("text", r"\.")).alias("title"))
     return t.select("doc_id", D.norm_a("title").alias("form_a"), D.norm_b("title").alias("form_b"),

@@ -44,11 +44,6 @@ def percentile_cont(c, p: float) -> Column:
     return F.percentile(_col(c), F.lit(p))
 
 
-def median_salary(c, exact: bool = True, accuracy: int = 10000) -> Column:
-    """In-group median for small groups; large groups use ``group_quantiles``."""
-    return median(c) if exact else F.percentile_approx(_col(c), 0.5, accuracy)
-
-
 def mean_of_months(m1, m2, m3) -> Column:
     """Mean of a quarter's months, a missing month counting as zero."""
     zero = F.lit(0)
@@ -77,10 +72,6 @@ def collapse_max(df: DataFrame, keys, measures) -> DataFrame:
     return df.groupBy(*keys).agg(*[F.max(m).alias(m) for m in measures])
 
 
-def centroid(df: DataFrame, keys, lat: str = "latitude", lon: str = "longitude") -> DataFrame:
-    return df.groupBy(*keys).agg(F.avg(lat).alias(lat), F.avg(lon).alias(lon))
-
-
 def pivot_sector(df: DataFrame, keys, measures, sectors=("federal", "private")) -> DataFrame:
     """One column per (sector, measure); the sector list is fixed, so there is
     no extra pass to find the pivot values."""

@@ -70,10 +70,6 @@ def longest_pattern(title: Column, patterns) -> Column:
     return F.get(F.filter(_table(ranked), lambda p: F.contains(title, p["text"])), F.lit(0))
 
 
-fuzzy_match = nearest_seed
-keyword_match = longest_pattern
-
-
 def distinct_titles(postings: DataFrame) -> DataFrame:
     """Normalised titles with a sample of the raw text and a posting count.
 

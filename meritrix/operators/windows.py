@@ -42,10 +42,6 @@ def any_row(df: DataFrame) -> Column:
     return F.xxhash64(*df.columns)
 
 
-def ordered(df: DataFrame, cols) -> DataFrame:
-    return df.orderBy(*cols)
-
-
 def top_k(df: DataFrame, order, k: int) -> DataFrame:
     """ORDER BY .. LIMIT k; planned as TakeOrderedAndProject, never a full sort."""
     return df.orderBy(*order).limit(k)
