@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from meritrix.session import stored
+
 START, END = "<|im_start|>", "<|im_end|>\n"
 #: Tokens of new turns and of repeated history in a window. A window's new turns
 #: start within BUDGET tokens of each other, so only the last one may go beyond.
@@ -47,7 +49,7 @@ def _placed(conversations: DataFrame, budget: int) -> DataFrame:
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     header = F.concat(F.lit(START), F.url_encode("role"), F.lit("\n"))
     turns = turns.select(
-        "conv", "conv_id", "turn", "role", "text", F.length(header).alias("header_chars"),
+        "conv", "conv_id", "turn", "role", F.length(header).alias("header_chars"),
         F.length(escape(F.col("text"))).alias("text_chars"),
         F.concat(header, escape(F.col("text")), F.lit(END)).alias("piece"),
         F.coalesce(F.floor(F.col("turn") / BLOCK), F.lit(-2 ** 62)).cast("bigint").alias("block"),
@@ -55,12 +57,13 @@ def _placed(conversations: DataFrame, budget: int) -> DataFrame:
     earlier = Window.partitionBy("conv").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = (turns.groupBy("conv", "block").agg(F.sum("cost").alias("cost"))
               .select("conv", "block", F.coalesce(F.sum("cost").over(earlier), F.lit(0)).alias("offset")))
-    inside = (Window.partitionBy("conv", "block").orderBy(F.asc_nulls_first("turn"), "role", "text")
+    text = unescape(F.substr("piece", F.col("header_chars") + 1, F.col("text_chars")))
+    inside = (Window.partitionBy("conv", "block").orderBy(F.asc_nulls_first("turn"), "role", text)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return (turns.join(blocks, ["conv", "block"])
             .withColumn("before", F.col("offset") + F.sum("cost").over(inside) - F.col("cost"))
             .withColumn("window", F.floor(F.col("before") / budget).cast("bigint"))
-            .drop("block", "offset", "text", "turn"))
+            .drop("block", "offset", "turn", "cost"))
 
 
 def windows(conversations: DataFrame, *, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
@@ -77,7 +80,7 @@ def windows(conversations: DataFrame, *, budget: int = BUDGET, history: int = HI
     """
     if not 0 <= history <= budget:
         raise ValueError("history must fit the budget")
-    placed = _placed(conversations, budget)
+    placed = stored(_placed(conversations, budget))  # read four times, mostly in narrow columns
     by_conv = Window.partitionBy("conv").orderBy("window")
     spans = (placed.groupBy("conv", "window").agg(F.min("before").alias("first"))
              .withColumn("next_window", F.lead("window").over(by_conv))
