@@ -33,7 +33,7 @@ STATISTICS = (
     "log_chars", "log_words", "word_length", "word_length_deviation", "longest_word", "upper", "digits", "symbols",
     "loud", "commas", "stops", "other_marks", "non_ascii", "white_space", "log_lines", "words_per_line",
     "repeated_lines", "distinct_words", "most_frequent_word", "repeated_neighbours", "letterless_words",
-    "title_words", "letter_entropy", "pair_variety",
+    "title_words", "letter_entropy",
 )
 
 _CLASSES = {
@@ -48,27 +48,26 @@ def statistics(raw: bytes) -> list[float]:
     """Statistics of one text, all finite; an empty text gives zeros."""
     if not raw:
         return [0.0] * len(STATISTICS)
-    counts = np.bincount(np.frombuffer(raw, np.uint8), minlength=256)
-    n = len(raw)
+    codes = np.frombuffer(raw, np.uint8)
+    counts, n = np.bincount(codes, minlength=256), len(raw)
     share = {name: counts[member].sum() / n for name, member in _MEMBERS.items()}
-    words = raw.split()
-    n_words = max(1, len(words))
+    inside = np.concatenate([[False], ~_MEMBERS["white_space"][codes], [False]])
+    borders = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, lengths = borders[::2], borders[1::2] - borders[::2]
+    words, n_words = raw.split(), max(1, len(starts))
     by_word = Counter(words)
-    lengths = np.fromiter(map(len, words), np.int64, len(words)) if words else np.zeros(1, np.int64)
     lines = [line for line in raw.split(b"\n") if line.strip()]
     letters = counts[_LETTERS]
     p = letters[letters > 0] / max(1, letters.sum())
-    repeated = sum(map(eq, words, words[1:]))
-    pairs = len(set(zip(words, words[1:])))
+    lettered = np.logical_or.reduceat(_LETTERS[codes], starts).sum() if len(starts) else 0
     return [
-        math.log1p(n), math.log1p(len(words)), float(lengths.mean()), float(lengths.std()),
-        math.log1p(int(lengths.max())), share["upper"], share["digits"], share["symbols"], share["loud"],
+        math.log1p(n), math.log1p(len(starts)), lengths.sum() / n_words, float(lengths.std()) if len(starts) else 0.0,
+        math.log1p(int(lengths.max(initial=0))), share["upper"], share["digits"], share["symbols"], share["loud"],
         share["commas"], share["stops"], share["other_marks"], counts[128:].sum() / n, share["white_space"],
         math.log1p(len(lines)), math.log1p(n_words / max(1, len(lines))), 1 - len(set(lines)) / max(1, len(lines)),
-        len(by_word) / n_words, max(by_word.values(), default=0) / n_words, repeated / n_words,
-        sum(k for w, k in by_word.items() if not any(_LETTERS[c] for c in w)) / n_words,
-        sum(k for w, k in by_word.items() if w[:1].isupper()) / n_words,
-        float(-(p * np.log(p)).sum()), pairs / n_words,
+        len(by_word) / n_words, max(by_word.values(), default=0) / n_words, sum(map(eq, words, words[1:])) / n_words,
+        (len(starts) - lettered) / n_words, _MEMBERS["upper"][codes[starts]].sum() / n_words,
+        float(-(p * np.log(p)).sum()),
     ]
 
 
