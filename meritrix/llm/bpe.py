@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from meritrix.llm.tasks import map_batches, share_code, utf8, worker_state
 
 #: Pre-tokens whose ids a worker keeps before it starts anew.
-CACHE_SIZE = 500_000
+CACHE_SIZE = 400_000
 _MASK = (1 << 64) - 1
 
 

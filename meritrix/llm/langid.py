@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meritrix.llm.tasks import map_batches, share_code, utf8, worker_state
+from meritrix.llm.tasks import map_batches, pieces, share_code, utf8, worker_state
 from meritrix.session import stored
 
 #: Size of the model: the most frequent words and n-grams of all languages. Counts
@@ -28,8 +28,8 @@ WORDS = 50_000
 GRAMS = 60_000
 LONGEST = 5
 #: Partial counts and cached scores in a Python worker.
-FLUSH = 300_000
-CACHE_SIZE = 800_000
+FLUSH = 200_000
+CACHE_SIZE = 600_000
 UNDETERMINED = "und"
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -106,7 +106,7 @@ def _counted(frame: DataFrame, keys: str, count) -> DataFrame:
 
     def run(batches):
         counts: Counter = Counter()
-        for batch in batches:
+        for batch in pieces(batches):
             count(batch, counts)
             if len(counts) > FLUSH:
                 yield _flat(counts, schema)

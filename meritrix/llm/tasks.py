@@ -45,11 +45,11 @@ def map_batches(frame: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatc
 
 
 def worker_state(key: str, build: Callable[[], object]) -> object:
-    """State that a Python worker keeps between batches and tasks. At most eight
-    are kept; what they hold is rebuilt at need, so a lost worker costs time only."""
+    """State that a Python worker keeps between batches and tasks. Workers serve
+    one operator after the other, so only the latest one's state is kept; it is
+    rebuilt at need, and a lost worker costs time only."""
     if key not in _STATE:
-        if len(_STATE) >= 8:
-            _STATE.clear()
+        _STATE.clear()
         _STATE[key] = build()
     return _STATE[key]
 
