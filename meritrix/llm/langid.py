@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meritrix.llm.tasks import map_batches, pieces, share_code, utf8, worker_state
+from meritrix.llm.tasks import forget_state, map_batches, pieces, share_code, utf8, worker_state
 from meritrix.session import stored
 
 #: Size of the model: the most frequent words and n-grams of all languages. Counts
@@ -29,7 +29,7 @@ GRAMS = 60_000
 LONGEST = 5
 #: Partial counts and cached scores in a Python worker.
 FLUSH = 200_000
-CACHE_SIZE = 600_000
+CACHE_SIZE = 500_000
 UNDETERMINED = "und"
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -105,6 +105,7 @@ def _counted(frame: DataFrame, keys: str, count) -> DataFrame:
     schema = pa.schema([("lang", pa.string()), (keys, pa.string()), ("n", pa.int64())])
 
     def run(batches):
+        forget_state()
         counts: Counter = Counter()
         for batch in pieces(batches):
             count(batch, counts)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meritrix.llm.tasks import map_batches, pieces, share_code, utf8
+from meritrix.llm.tasks import forget_state, map_batches, pieces, share_code, utf8
 from meritrix.session import stored
 
 #: log2 of the buckets that n-grams are counted in, of those for words, of those of
@@ -204,6 +204,7 @@ def _measured(docs: DataFrame, n: int) -> DataFrame:
     kind, names = docs.schema["doc_id"].dataType.simpleString(), ["doc_id", "n", "class", "slice", "counts"]
 
     def run(batches):
+        forget_state()
         counts, id_type = [np.zeros(1 << bits, np.int64) for bits in (COUNT_BITS, WORD_BITS)], None
         for batch in pieces(batches):
             words = [word_hashes(raw) for raw in utf8(batch, "text")]

@@ -54,6 +54,12 @@ def worker_state(key: str, build: Callable[[], object]) -> object:
     return _STATE[key]
 
 
+def forget_state() -> None:
+    """Called by tasks without such state, so that a worker does not hold that of
+    the operator it served before."""
+    _STATE.clear()
+
+
 def utf8(batch: pa.RecordBatch, name: str) -> list[bytes]:
     """The texts of a column as UTF-8 bytes; null gives the empty text."""
     return [value or b"" for value in batch.column(name).cast(pa.binary()).to_pylist()]
