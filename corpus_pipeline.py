@@ -16,7 +16,8 @@ from meritrix.llm.tasks import fold
 from meritrix.session import stored
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-#: A text below this share of the best language is no text of one known language.
+#: A text below this share of the best language could be of several languages. Only
+#: texts of a few words are: whether a text is of a learned language, its words decide.
 LEAST_SCORE = 0.5
 #: Near duplicates: five-word n-grams, Jaccard of 0.8 or more.
 NGRAM, PERCENT = 5, 80
@@ -24,12 +25,12 @@ NGRAM, PERCENT = 5, 80
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a recognised language go: null texts, texts without a
-    letter, and those whose best language has a share below LEAST_SCORE. A missing
-    ``lang`` is filled in. Without any labelled row nothing can be recognised."""
+    letter, those whose best language has a share below LEAST_SCORE, and those of
+    whose words it knows too few (``langid.predict``). A missing ``lang`` is filled in. Without any labelled row nothing can be recognised."""
     docs = docs.select(*COLUMNS)
     model = langid.train(langid.training_rows(docs, fold("doc_id", 4), 2))
     found = langid.predict(docs, model, keep=COLUMNS[1:])
-    return found.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)).select(
+    return found.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SCORE) & F.col("known")).select(
         "doc_id", "text", F.coalesce("lang", "lang_pred").alias("lang"), "source", "n_chars")
 
 

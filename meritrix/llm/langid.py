@@ -31,6 +31,11 @@ LONGEST = 5
 FLUSH = 200_000
 CACHE_SIZE = 500_000
 UNDETERMINED = "und"
+#: A language knows a word that has at least this share of its words. The share does
+#: not fall as the corpus grows, so chance finds do not add up to knowledge.
+LEAST_FREQUENCY = 1e-5
+#: Share of a foreign text's words taken as known, where the learned languages show less.
+LEAST_FOREIGN = 0.1
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -47,12 +52,15 @@ def grams_of(word: str, n: int) -> list[str]:
 
 @dataclass(frozen=True)
 class Model:
-    """Log frequencies by language for known words and n-grams."""
+    """Log frequencies by language for known words and n-grams; which words each
+    language knows, and the share of known words that its texts reach."""
 
     langs: list[str]
     words: dict[str, int]
     grams: dict[str, int]
     scores: np.ndarray  # one row per word, then one per n-gram
+    known: np.ndarray | None = None  # one row per word, and a last one for all others
+    bounds: np.ndarray | None = None  # one per language; None: every text reaches it
 
     def rows(self, words: list[str]) -> np.ndarray:
         """Scores of words: their own where the table holds them, else the mean over
@@ -82,9 +90,10 @@ class _Rows:
     def __init__(self, model: Model):
         self.model, self.at = model, {}
         self.matrix = np.zeros((1024, len(model.langs)), np.float32)
+        self.known = np.zeros((1024, len(model.langs)), bool)
 
-    def sums(self, words: list[str]) -> np.ndarray:
-        """Summed scores; the cache starts anew when it has grown too large."""
+    def places(self, words: list[str]) -> np.ndarray:
+        """Rows of the words; the cache starts anew when it has grown too large."""
         if len(self.at) > CACHE_SIZE:
             self.at.clear()
         new = list(set(words).difference(self.at))
@@ -92,10 +101,24 @@ class _Rows:
             first = len(self.at)
             while first + len(new) > len(self.matrix):
                 self.matrix = np.concatenate([self.matrix, np.zeros_like(self.matrix)])
+                self.known = np.concatenate([self.known, np.zeros_like(self.known)])
             self.matrix[first:first + len(new)] = self.model.rows(new)
+            if self.model.known is not None:
+                self.known[first:first + len(new)] = self.model.known[[self.model.words.get(w, -1) for w in new]]
             self.at.update(zip(new, range(first, first + len(new))))
-        at = np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))
-        return self.matrix[at].sum(axis=0, dtype=np.float64)
+        return np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))
+
+    def judge(self, words: list[str]) -> tuple[int, float, bool]:
+        """Best language, its share of the likelihoods, and whether it knows enough
+        of the words: no less than its bound, but for one standard error."""
+        at = self.places(words)
+        sums = self.matrix[at].sum(axis=0, dtype=np.float64)
+        best = int(sums.argmax())
+        score = float(1 / np.exp(sums - sums[best]).sum())
+        if self.model.bounds is None:
+            return best, score, True
+        bound, share = self.model.bounds[best], np.count_nonzero(self.known[at, best]) / len(words)
+        return best, score, bool(share + math.sqrt(bound * (1 - bound) / len(words)) >= bound)
 
 
 def _counted(frame: DataFrame, keys: str, count) -> DataFrame:
@@ -150,6 +173,21 @@ def _table(counts: DataFrame, key: str, size: int) -> dict[str, dict[str, int]]:
     return {row[key]: row.by_lang for row in top.collect()}
 
 
+def _knowledge(word_counts: dict[str, dict[str, int]], totals: dict[str, int],
+               langs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Words known by language, and by language the bound on a text's known share:
+    the geometric mean of what unseen texts of its own reach (occurrences of words
+    met more than once) and of what the learned languages know of each other at most."""
+    n = np.array([[by_lang.get(x, 0) for x in langs] for by_lang in word_counts.values()], float).reshape(len(word_counts), len(langs))
+    sums = np.array([totals[x] for x in langs], float)
+    known = (n > 0) & (n >= LEAST_FREQUENCY * sums)
+    own = (n * (known & (n > 1))).sum(axis=0) / sums
+    met = n.T @ known / sums[:, None]
+    np.fill_diagonal(met, 0)
+    bounds = np.minimum(own, np.sqrt(own * met.max(initial=LEAST_FOREIGN)))
+    return np.concatenate([known, np.zeros((1, len(langs)), bool)]), bounds
+
+
 def train(labelled: DataFrame, *, text: str = "text", lang: str = "lang") -> Model:
     """Counts words over all given rows, then n-grams over the word counts. Rows
     with a null text or language teach nothing; without any row the model is empty."""
@@ -168,41 +206,44 @@ def train(labelled: DataFrame, *, text: str = "text", lang: str = "lang") -> Mod
             scores[i] = [math.log((by_lang.get(x, 0) + 0.5) / (sums.get(x, 0) + 0.5 * len(table))) for x in langs]
     scores -= scores.max(axis=1, keepdims=True) if len(langs) else 0  # only differences count
     return Model(langs, {w: i for i, w in enumerate(word_counts)},
-                 {g: i for i, g in enumerate(gram_counts, len(word_counts))}, scores)
+                 {g: i for i, g in enumerate(gram_counts, len(word_counts))}, scores,
+                 *_knowledge(word_counts, totals, langs))
 
 
 def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text: str = "text",
             keep: tuple[str, ...] = ()) -> DataFrame:
-    """(id, kept columns, lang_pred, score) for every row; ``score`` is the share
-    of the best language in the summed likelihoods.
+    """(id, kept columns, lang_pred, score, known) for every row; ``score`` is the share
+    of the best language in the summed likelihoods. It is near 1 for any longer text,
+    whatever its language: ``known`` tells that the best language knows as large a share
+    of the words as its texts do, so false is a text of no learned language.
 
-    ``und`` with score 0 goes to a null text, to one without a letter, and to all
+    ``und`` with score 0, not known, goes to a null text, to one without a letter, and to all
     texts when the model is empty. Of equal scores the first language by name wins.
     Repeated rows and null ids stay; columns not named in ``keep`` are ignored.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     key = "langid:" + hashlib.sha256(pickle.dumps((model.langs, list(model.words), list(model.grams)))
-                                     + model.scores.tobytes()).hexdigest()
+                                     + model.scores.tobytes() + pickle.dumps((model.known, model.bounds))).hexdigest()
     columns = (id_col, *keep)
     narrow = docs.select(*columns, F.col(text).cast("string").alias("text_to_judge"))
 
-    def one(rows: _Rows, raw: bytes) -> tuple[str, float]:
+    def one(rows: _Rows, raw: bytes) -> tuple[str, float, bool]:
         words = words_of(raw.decode())
         if not rows.model.langs or not any(c.isalpha() for word in words for c in word):
-            return UNDETERMINED, 0.0
-        sums = rows.sums(words)
-        best = int(sums.argmax())
-        return rows.model.langs[best], float(1 / np.exp(sums - sums[best]).sum())
+            return UNDETERMINED, 0.0, False
+        best, score, known = rows.judge(words)
+        return rows.model.langs[best], score, known
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = worker_state(key, lambda: _Rows(shared.value))
         found = [one(rows, raw) for raw in utf8(batch, "text_to_judge")]
         return pa.RecordBatch.from_arrays(
             [*(batch.column(c) for c in columns), pa.array([f[0] for f in found], pa.string()),
-             pa.array([f[1] for f in found], pa.float64())], [*columns, "lang_pred", "score"])
+             pa.array([f[1] for f in found], pa.float64()), pa.array([f[2] for f in found], pa.bool_())],
+            [*columns, "lang_pred", "score", "known"])
 
     kinds = ", ".join(f"`{c}` {narrow.schema[c].dataType.simpleString()}" for c in columns)
-    return map_batches(narrow, work, f"{kinds}, lang_pred string, score double")
+    return map_batches(narrow, work, f"{kinds}, lang_pred string, score double, known boolean")
 
 
 def training_rows(docs: DataFrame, fold_of_id: Column, held_out: int) -> DataFrame:

@@ -94,3 +94,23 @@ def test_empty_tables(spark):
     for name, stage in pipeline.STAGES:
         docs = stage(spark, docs, SF)
         assert docs.count() == 0, name
+
+
+def test_texts_of_a_language_that_no_label_teaches_go(spark):
+    docs = spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet").where("length(text) >= 40")
+    foreign, stage = "lang = 'es'", dict(pipeline.STAGES)["language identification"]
+    untaught = docs.selectExpr("doc_id", "text", f"CASE WHEN NOT ({foreign}) THEN lang END AS lang", "source", "n_chars")
+    kept = {r.doc_id for r in stage(spark, untaught, SF).collect()}
+    own, other = ({r.doc_id for r in docs.where(c).collect()} for c in (f"NOT ({foreign})", foreign))
+    assert len(other) > 90 and len(kept & other) <= 0.02 * len(other)
+    assert len(kept & own) >= 0.99 * len(own)
+
+
+def test_short_clean_texts_stay_and_short_foreign_ones_go(spark):
+    learned = [(i, t, lang, "s", 1) for i, (t, lang) in enumerate([(ENGLISH, "en"), (GERMAN, "de")] * 20)]
+    short = {100: "the rain", 101: "der regen fiel", 102: "house", 103: "the old house was quiet before the night"}
+    foreign = {200: "la pluie tombait sur le toit", 201: "Дождь шёл всю ночь", 202: "nadie volvió a casa antes de la noche " * 50}
+    rows = learned + [(i, t, None, "s", 1) for i, t in {**short, **foreign}.items()]
+    kept = rows_of(dict(pipeline.STAGES)["language identification"](spark, spark.createDataFrame(rows, SCHEMA), SF))
+    assert set(kept) == {r[0] for r in learned} | set(short)
+    assert {i: kept[i].lang for i in short} == {100: "en", 101: "de", 102: "en", 103: "en"}
