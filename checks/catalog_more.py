@@ -142,6 +142,28 @@ def _(spark, sf):
     return W.union_all([first(m) for m in ("newest", "oldest", "salary_desc", "salary_asc")])
 
 
+@check("sort_positions", f"WITH {O.CLEAN} " + " UNION ALL ".join(
+    _position_sql(m, o).replace("QUALIFY position <= 200", "") for m, o in (
+        ("newest", "posted_date DESC NULLS LAST"), ("oldest", "posted_date ASC NULLS LAST"),
+        ("salary_desc", "salary_max DESC NULLS LAST"), ("salary_asc", "salary_min ASC NULLS LAST"))))
+def _(spark, sf):
+    """The position of every row, for each way to sort: rows in earlier range
+    partitions plus the place in its own."""
+    rows = stored(clean(spark, sf).select("source", "job_id", "posted_date", "salary_min", "salary_max"))
+
+    def every(mode):
+        placed = stored(W.resort(rows, mode).select("source", "job_id", F.monotonically_increasing_id().alias("at")))
+        part = F.shiftright("at", 33)
+        earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+        offsets = placed.groupBy(part.alias("part")).count().select(
+            "part", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("before"))
+        inside = F.col("at") - F.shiftleft(part, 33) + 1
+        return placed.withColumn("part", part).join(F.broadcast(offsets), "part").select(
+            F.lit(mode).alias("mode"), (F.col("before") + inside).alias("position"), "source", "job_id")
+
+    return W.union_all([every(m) for m in ("newest", "oldest", "salary_desc", "salary_asc")])
+
+
 # -- incremental loads -----------------------------------------------------
 
 @check("load_history", """SELECT DISTINCT year(l_shipdate) AS year, year(l_shipdate) % 2 = 0 AS pending_first, false AS pending_later FROM lineitem""")
