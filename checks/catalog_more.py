@@ -194,6 +194,17 @@ def _(spark, sf):
     return spark.read.parquet(path)
 
 
+@check("load_every_year", f"""WITH {O.QCEW} SELECT qcew_key, year,
+ CASE WHEN year = 1995 THEN -1.0 ELSE total_qtrly_wages END AS total_qtrly_wages FROM qcew""")
+def _(spark, sf):
+    """Every year of the table is loaded, one of them again with other values."""
+    rows, path = stored(qcew(spark, sf).select("qcew_key", "year", "total_qtrly_wages")), scratch_path(spark, "years")
+    for row in rows.select("year").distinct().orderBy("year").collect():
+        ingest.load_year(rows, path, row.year)
+    ingest.load_year(rows.withColumn("total_qtrly_wages", F.lit(-1.0)), path, 1995)
+    return spark.read.parquet(path)
+
+
 @check("stream_ingest_federal", f"""WITH {cte('payloads_federal')} SELECT 'landed' AS place, control_number, raw_data FROM payloads_federal
  UNION ALL SELECT 'rejects', NULL, replace(raw_data, '"MatchedObjectId"', '"Other"') FROM payloads_federal WHERE CAST(control_number AS BIGINT) % 5 = 0""")
 def _(spark, sf):
