@@ -1,4 +1,4 @@
-"""The queries op1 to op10 and pipeline over the given tables, and their SQL."""
+"""The queries op1 to op13 over the given tables, and their SQL."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meritrix.llm import (
-    bpe, chat, decontaminate, langid, ngram_join, oracle, pii, quality, rules, sharding, token_counts,
+    bpe, chat, decontaminate, langid, ngram_join, oracle, pii, quality, rules, sentencepieces, sharding, token_counts,
 )
 from meritrix.llm.tasks import fold
 
@@ -91,3 +91,10 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(
         table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``agrees``: the sentencepiece library gives the same ids."""
+    return sentencepieces.round_trip_digests(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), check=True)
