@@ -114,4 +114,66 @@ SELECT d.doc_id AS doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least_id AS com
 FROM d LEFT JOIN sizes USING (doc_id) JOIN (SELECT id, min(other) AS least_id FROM reach GROUP BY 1) r ON r.id = d.doc_id
 """
 
-SQL = {"op3_decontaminate": OP3, "op5_quality_rules": OP5, "op6_chat": OP6, "op8_ngram_join": OP8}
+#: Unsigned CRC-32 of a short ASCII text, byte by byte over the table of its polynomial.
+_CRC = """crc_table AS (
+    SELECT list_transform(range(256), lambda x: list_reduce(list_prepend(x, range(8)), lambda c, i:
+        CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t)"""
+
+
+def _crc(text: str) -> str:
+    return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({text}, ''), lambda c: ord(c)::BIGINT)), "
+            "lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)")
+
+
+def _leaf(text: str) -> str:
+    parts = [f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c}::VARCHAR END"
+             for c in ("doc_id", "source", "lang", "n_chars", text)]
+    return f"sha256({' || '.join(parts)})"
+
+
+def _tree(name: str, leaves: str) -> str:
+    """All nodes of the trees over (t, idx, h): a tree's n nodes of a level, until one is left."""
+    return f"""{name}(t, level, idx, h, n) AS (
+    SELECT t, 0, idx, h, count(*) OVER (PARTITION BY t) FROM {leaves}
+    UNION ALL
+    SELECT t, level + 1, idx // 16, sha256(string_agg(h, '' ORDER BY idx)), (any_value(n) + 15) // 16
+    FROM {name} WHERE n > 1 GROUP BY t, level, idx // 16),
+{name}_steps AS (
+    SELECT a.t, a.level, a.idx, coalesce(string_agg(b.h, '' ORDER BY b.idx) FILTER (b.idx < a.idx), '') AS before,
+           coalesce(string_agg(b.h, '' ORDER BY b.idx) FILTER (b.idx > a.idx), '') AS after
+    FROM {name} a JOIN {name} b ON a.t = b.t AND a.level = b.level AND a.idx // 16 = b.idx // 16
+    WHERE a.n > 1 GROUP BY ALL)"""
+
+
+OP12 = f"""
+WITH RECURSIVE {_CRC},
+d AS (
+    SELECT doc_id, CASE WHEN source IS NULL THEN '' ELSE '=' || source END AS t, {_leaf('text')} AS h,
+           {_leaf(f"translate(text, '{_UPPER}', '{_LOWER}')")} AS changed,
+           coalesce({_crc('doc_id::VARCHAR')} % 5 = 0, false) AS tampered
+    FROM documents, crc_table),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS FIRST, h) - 1 AS idx FROM d),
+{_tree('low', 'leaves')},
+subroots AS (SELECT '' AS t, t AS source, row_number() OVER (ORDER BY encode(t)) - 1 AS idx, h FROM low WHERE n = 1),
+{_tree('high', 'subroots')},
+steps AS (
+    SELECT l.t, l.idx, level AS k, before, after
+    FROM leaves l JOIN low_steps s ON s.t = l.t AND s.idx = l.idx // (16 ** s.level)::BIGINT
+    UNION ALL
+    SELECT l.t, l.idx, 1000 + level, before, after
+    FROM leaves l JOIN subroots r ON r.source = l.t JOIN high_steps s ON s.idx = r.idx // (16 ** s.level)::BIGINT),
+path AS (SELECT *, row_number() OVER (PARTITION BY t, idx ORDER BY k) AS step FROM steps),
+proofs AS (SELECT t, idx, sha256(string_agg(before || after, '' ORDER BY step)) AS proof, max(step) AS last FROM path GROUP BY ALL),
+folded(t, idx, step, h) AS (
+    SELECT t, idx, 0, CASE WHEN tampered THEN changed ELSE h END FROM leaves
+    UNION ALL
+    SELECT f.t, f.idx, f.step + 1, sha256(before || f.h || after)
+    FROM folded f JOIN path p ON p.t = f.t AND p.idx = f.idx AND p.step = f.step + 1)
+SELECT doc_id, l.h AS leaf, r.h AS subroot, high.h AS root, coalesce(proof, sha256('')) AS proof_sha256,
+       f.h AS folded_root, f.h = high.h AS verified
+FROM leaves l JOIN subroots r ON r.source = l.t JOIN high ON high.n = 1
+LEFT JOIN proofs p ON p.t = l.t AND p.idx = l.idx
+JOIN folded f ON f.t = l.t AND f.idx = l.idx AND f.step = coalesce(p.last, 0)
+"""
+
+SQL = {"op3_decontaminate": OP3, "op5_quality_rules": OP5, "op6_chat": OP6, "op8_ngram_join": OP8, "op12_merkle": OP12}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 import public_tokenizers
@@ -9,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meritrix.llm import (
-    bpe, chat, decontaminate, langid, ngram_join, oracle, pii, quality, rules, sentencepieces, sharding, token_counts,
+    bpe, chat, decontaminate, langid, merkle, ngram_join, oracle, pii, quality, rules, sentencepieces, sharding,
+    token_counts,
 )
 from meritrix.llm.tasks import fold
 
@@ -93,6 +95,16 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """In a fifth of the rows, text is tampered with: its A-Z become lower case."""
+    documents = table(spark, sf_dir, "documents")
+    columns = ["doc_id", "source", "lang", "n_chars"]
+    lower = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    changed = F.when(fold("doc_id", 5) == 0, merkle.leaf([*columns, lower]))
+    return merkle.digests(merkle.manifest(documents, [*columns, "text"], changed=changed))
+
+
 @query
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``agrees``: the sentencepiece library gives the same ids."""
