@@ -176,4 +176,69 @@ LEFT JOIN proofs p ON p.t = l.t AND p.idx = l.idx
 JOIN folded f ON f.t = l.t AND f.idx = l.idx AND f.step = coalesce(p.last, 0)
 """
 
-SQL = {"op3_decontaminate": OP3, "op5_quality_rules": OP5, "op6_chat": OP6, "op8_ngram_join": OP8, "op12_merkle": OP12}
+#: White space at the end of a text after which it is complete.
+_BLANK = r"[\x20\x09-\x0D]"
+
+OP11 = f"""
+WITH RECURSIVE {_CRC},
+c AS (
+    SELECT conv_id, coalesce(conv_id::VARCHAR, 'none') AS g, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           {_crc("(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))")} % 20 AS k
+    FROM conversations, crc_table),
+d AS (
+    SELECT g, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+           CASE k WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+           unnest(range(CASE k WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+    FROM c),
+o AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i FROM d),
+f AS (
+    SELECT *, left(role, 1) AS initial, NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') AS blank,
+           row_number() OVER (PARTITION BY g, role, text ORDER BY i) > 1 AS again,
+           NOT regexp_matches(text, '[.!?]{_BLANK}*$') AS cut FROM o),
+turns AS (
+    SELECT *, NOT blank AND again AS dup, NOT blank AND NOT again AND cut AS late, lag(initial) OVER (PARTITION BY g ORDER BY i) AS prev
+    FROM f),
+counts AS (
+    SELECT g, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, sum(blank::INT)::BIGINT AS blank,
+           sum(dup::INT)::BIGINT AS duplicate, sum(late::INT)::BIGINT AS truncated,
+           sum((prev IS NOT NULL AND prev || initial NOT IN ('su', 'ua', 'au'))::INT)::BIGINT AS illegal, count(*) AS n
+    FROM turns GROUP BY g),
+inserts(s, t, letters, price) AS (VALUES
+    ('0', '0', '', 0), ('S', 'S', '', 0), ('U', 'U', '', 0), ('E', 'E', '', 0), ('0', 'U', 'I', 5), ('S', 'U', 'I', 5),
+    ('E', 'U', 'I', 5), ('U', 'E', 'I', 5), ('0', 'E', 'II', 10), ('S', 'E', 'II', 10)),
+moves(letter, initial, s, t, price) AS (VALUES
+    ('D', '*', '0', '0', 2), ('D', '*', 'S', 'S', 2), ('D', '*', 'U', 'U', 2), ('D', '*', 'E', 'E', 2),
+    ('R', '*', '0', 'U', 1), ('R', '*', 'S', 'U', 1), ('R', '*', 'U', 'E', 1), ('R', '*', 'E', 'U', 1),
+    ('K', 's', '0', 'S', 0), ('K', 'u', '0', 'U', 0), ('K', 'u', 'S', 'U', 0), ('K', 'a', 'U', 'E', 0), ('K', 'u', 'E', 'U', 0)),
+best(g, i, s, cost, audit) AS (
+    SELECT g, 0::BIGINT, '0', 0, '' FROM counts
+    UNION ALL
+    SELECT b.g, b.i + 1, m.t, min(b.cost + n.price + m.price + CASE WHEN r.late AND m.letter <> 'D' THEN 5 ELSE 0 END),
+           arg_min(b.audit || n.letters || m.letter, (b.cost + n.price + m.price
+               + CASE WHEN r.late AND m.letter <> 'D' THEN 5 ELSE 0 END, b.audit || n.letters || m.letter))
+    FROM best b JOIN turns r ON r.g = b.g AND r.i = b.i + 1 JOIN inserts n ON n.s = b.s
+    JOIN moves m ON m.s = n.t AND (m.letter = 'D' OR NOT (r.blank OR r.dup)) AND m.initial IN ('*', r.initial)
+    GROUP BY b.g, b.i, m.t),
+ends AS (
+    SELECT b.g, min(b.cost + n.price) AS cost, arg_min(b.audit || n.letters, (b.cost + n.price, b.audit || n.letters)) AS audit
+    FROM best b JOIN counts c ON c.g = b.g AND c.n = b.i JOIN inserts n ON n.s = b.s AND n.t IN ('0', 'E') GROUP BY b.g),
+letters AS (
+    SELECT g, pos, letter, sum((letter <> 'I')::INT) OVER w AS i, sum((letter <> 'D')::INT) OVER w AS place
+    FROM (SELECT g, unnest(string_split(audit, '')) AS letter, unnest(range(1, length(audit) + 1)) AS pos FROM ends WHERE audit <> '')
+    WINDOW w AS (PARTITION BY g ORDER BY pos)),
+made AS (
+    SELECT l.g, pos, letter, place, r.role, r.text,
+           max((place = 1 AND letter = 'K' AND initial = 's')::INT) OVER (PARTITION BY l.g) AS lead
+    FROM letters l LEFT JOIN turns r ON r.g = l.g AND r.i = l.i WHERE letter <> 'D'),
+hashes AS (
+    SELECT g, sha256(string_agg(
+        CASE WHEN letter = 'K' THEN role WHEN (place - lead) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':'
+        || CASE WHEN letter = 'I' THEN '' ELSE text END, chr(10) ORDER BY pos)) AS repaired FROM made GROUP BY g)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+       coalesce(audit, '') AS audit, coalesce(repaired, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, g FROM c) LEFT JOIN counts USING (g) LEFT JOIN ends USING (g) LEFT JOIN hashes USING (g)
+"""
+
+SQL = {"op3_decontaminate": OP3, "op5_quality_rules": OP5, "op6_chat": OP6, "op8_ngram_join": OP8, "op11_repair": OP11,
+       "op12_merkle": OP12}

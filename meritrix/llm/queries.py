@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meritrix.llm import (
-    bpe, chat, decontaminate, langid, merkle, ngram_join, oracle, pii, quality, rules, sentencepieces, sharding,
-    token_counts,
+    bpe, chat, decontaminate, langid, merkle, ngram_join, oracle, pii, quality, repair, rules, sentencepieces,
+    sharding, token_counts,
 )
 from meritrix.llm.tasks import fold
 
@@ -95,6 +95,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return repair.digests(repair.damage(conversations), conversations)
+
+
 @query
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """In a fifth of the rows, text is tampered with: its A-Z become lower case."""
