@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from meritrix.llm.tasks import share_code, worker_state
 
 #: Parts whose ids a worker keeps before it starts anew, and the longest one kept.
-CACHE_SIZE, CACHED_LENGTH = 400_000, 64
+CACHE_SIZE, CACHED_LENGTH = 600_000, 64
 #: Bytes of text or ids that are worked on at once.
 PIECE_BYTES = 4 << 20
 #: Stands for a space inside pieces; fixed by the file format.
@@ -101,13 +101,21 @@ class Agenda:
         self.silent = {str(i) for i, (_, _, kind) in enumerate(pieces) if kind == CONTROL}
         self.spaced = {str(i) for i, (p, _, kind) in enumerate(pieces) if kind == NORMAL and p.startswith(SPACE)}
         longer = [p for p in self.table if len(p) > 1]
+        pairs = {pair for p in longer for pair in zip(p, p[1:])}
         inside = set("".join(longer))
-        alone = "".join(c for c in map(chr, range(128)) if c not in inside)
-        if any(SPACE in p.lstrip(SPACE) for p in longer):  # pieces may span words: only whole texts will do
+        plain = list(map(chr, range(128)))
+        self.alone = "".join(c for c in plain if c not in inside)
+        self.cut = bool(self.alone) and not any(x != SPACE and y == SPACE for x, y in pairs)
+        if not self.cut:  # pieces may span words: only whole texts will do
             self.parts = lambda text: [text] if text else []
-        else:
-            lone = re.escape(alone)
-            self.parts = re.compile(f"{SPACE}*[^{SPACE}{lone}]+|{SPACE}+|[{lone}]").findall
+            return
+        # marks follow no ASCII letter or digit in any piece: a cut before one is safe unless it follows one of ``held``
+        words = set(filter(str.isalnum, plain))
+        marks = [c for c in plain if c in inside - words and not any(x in words and y == c for x, y in pairs)]
+        held = "".join(sorted({x for x, y in pairs if y in marks} - {SPACE}))
+        lone, mark, held = re.escape(self.alone), re.escape("".join(marks)), re.escape(held)
+        more = f"[^{SPACE}{lone}{mark}]*" + (f"(?:(?<=[{held}])[{mark}][^{SPACE}{lone}{mark}]*)*" if held else "")
+        self.parts = re.compile(f"{SPACE}*[^{SPACE}{lone}]{more}|{SPACE}+|[{lone}]").findall
 
     def merge(self, part: str) -> list[int]:
         """``ends[i]`` is where the symbol that starts at i ends (0: it was joined
@@ -158,14 +166,33 @@ codecs.register_error("each-byte", lambda error: ("\ufffd" * (error.end - error.
 
 
 class _Parts(dict):
-    """Part of a text to its ids as decimal text; filled on first use, bounded."""
+    """Part of a text to its ids as decimal text; filled on first use, bounded.
+    ``fresh`` are the parts encoded since the last check against the library."""
 
-    def __init__(self, agenda: Agenda):
+    def __init__(self, agenda: Agenda, library=None):
         super().__init__()
-        self.agenda = agenda
+        self.agenda, self.library, self.fresh, self.trusted = agenda, library, [], agenda.cut
+
+    def agree(self, texts: list[str], ids: list[str]) -> list[bool]:
+        """Whether the library gives the same ids for each text. It encodes the parts
+        that are new, in one text that keeps them apart; as soon as one differs, and
+        where texts are not cut into parts, it encodes the whole texts."""
+        if self.trusted:
+            words = [p for p in self.fresh if p[0] == SPACE and p.strip(SPACE)]
+            others = [x for p in self.fresh if p[0] != SPACE or not p.strip(SPACE) for x in (self.agenda.alone[0], p)]
+            parts = [*(words or [SPACE]), *others]
+            want = ",".join(map(self.__getitem__, parts))
+            self.trusted = ",".join(map(str, self.library.encode("".join(parts)[1:]))) == want
+            self.fresh = []
+        if self.trusted:
+            return [True] * len(texts)
+        self.fresh = []
+        return [",".join(map(str, found)) == x for found, x in zip(self.library.encode(texts, num_threads=1), ids)]
 
     def __missing__(self, part: str) -> str:
         ids = ",".join(map(str, self.agenda.merge(part)))
+        if self.library:
+            self.fresh.append(part)
         if len(part) <= CACHED_LENGTH:
             if len(self) >= CACHE_SIZE:
                 self.clear()
@@ -189,8 +216,9 @@ def _by_bytes(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
 def encode(docs: DataFrame, model_path: str, *, id_col: str = "doc_id", text: str = "text",
            check: bool = False) -> DataFrame:
     """(id, ids, n_tokens) for every row: ``ids`` holds the decimal ids of the whole
-    text, joined by commas. With ``check`` the library encodes each batch, too,
-    and the column ``agrees`` tells whether it gives the same ids.
+    text, joined by commas. With ``check`` the library encodes, batch by batch, each
+    part that is new to the worker, and whole texts once any of them differs; the column
+    ``agrees`` tells whether it gives the same ids.
 
     A null or empty text has no ids and the empty string. Repeated rows and null ids
     stay, each row by itself; other columns of ``docs`` are ignored, whatever their
@@ -214,18 +242,16 @@ def encode(docs: DataFrame, model_path: str, *, id_col: str = "doc_id", text: st
             from sentencepiece import SentencePieceProcessor
 
             library = SentencePieceProcessor(model_proto=shared.value)
-        return agenda.parts, _Parts(agenda), library
+        return agenda.parts, _Parts(agenda, library)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        split, parts, library = worker_state(key, state)
+        split, parts = worker_state(key, state)
         texts = batch.column("text_to_encode").to_pylist()
         ids = [",".join(map(parts.__getitem__, split(SPACE + t.replace(" ", SPACE)))) if t else "" for t in texts]
         columns = [batch.column(id_col), pa.array(ids, pa.string()),
                    pa.array([x.count(",") + 1 if x else 0 for x in ids], pa.int64())]
         if check:
-            found = library.encode(texts, num_threads=1)
-            columns.append(pa.array([len(f) == (x.count(",") + 1 if x else 0) and ",".join(map(str, f)) == x
-                                     for f, x in zip(found, ids)], pa.bool_()))
+            columns.append(pa.array(parts.agree(texts, ids), pa.bool_()))
         return pa.RecordBatch.from_arrays(columns, names)
 
     names = [id_col, "ids", "n_tokens", *(["agrees"] if check else [])]

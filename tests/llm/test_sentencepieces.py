@@ -26,7 +26,7 @@ def agenda():
 def texts():
     draw = random.Random(3)
     bits = ["a", "e", "the", " ", "  ", "\n", "\t", "▁", "é", "日", "😀", "́", ".", "\x00", "�", "ing", " the",
-            "<s>", "<0x41>", "<unk>", "XX", "1"]
+            "<s>", "<0x41>", "<unk>", "XX", "1", ",", "e.g.", '"', "'s", ").", "&&", "²", "”", "(", "…", "-", "_"]
     made = ["".join(draw.choice(bits) for _ in range(draw.randint(0, 40))) for _ in range(1500)]
     made += ["".join(chr(draw.choice([draw.randint(0, 0xD7FF), draw.randint(0xE000, 0x10FFFF)])) for _ in range(9))
              for _ in range(500)]
@@ -60,7 +60,7 @@ def test_any_ids_decode_as_the_library_does(agenda, library):
 
 def test_parts_never_change_the_ids(agenda):
     """The agenda over a whole text gives what it gives part by part."""
-    for text in texts()[:400]:
+    for text in texts()[:1200]:
         whole = "▁" + (text or "").replace(" ", "▁")
         assert agenda.merge(whole) == [i for part in agenda.parts(whole) for i in agenda.merge(part)]
 
@@ -73,6 +73,22 @@ def test_a_piece_across_words_switches_the_parts_off(agenda):
     assert [pieces[i][0] for i in other.merge("▁a▁b")] == ["▁", "a▁b"]
 
 
+def test_the_check_finds_a_wrong_part(agenda, library):
+    parts = sentencepieces._Parts(agenda, library)
+
+    def encoded(texts):
+        return [",".join(map(parts.__getitem__, agenda.parts("▁" + t.replace(" ", "▁")))) for t in texts]
+
+    first = ["one two\nthree", "  four\n "]
+    assert parts.agree(first, encoded(first)) == [True, True] and parts.trusted
+    parts.clear()
+    parts["▁two"] = "5"  # as if the agenda had gone wrong
+    parts.fresh.append("▁two")
+    texts = ["one two", "one", "three"]
+    assert parts.agree(texts, encoded(texts)) == [False, True, True] and not parts.trusted
+    assert parts.agree(["two"], encoded(["two"])) == [False]
+
+
 def test_other_models_are_refused():
     with open(MODEL, "rb") as file:
         model = file.read()
