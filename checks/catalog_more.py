@@ -15,7 +15,7 @@ from meritrix.operators import windows as W
 from meritrix.plans import gold, silver
 from meritrix.schemas import JOBS_UNIFIED, OEWS_MEASURES, RAW_USAJOBS
 from meritrix.session import scratch_path, stored
-from meritrix.sources import readers
+from meritrix.sources import readers, store
 from meritrix.streaming import ingest
 
 # -- private payloads with every field -------------------------------------
@@ -175,9 +175,9 @@ def _(spark, sf):
     files = stored(readers.select_files(spark, f"{folder}/year=*", [""]))
     year = F.regexp_extract("path", "year=([0-9]+)", 1).cast("int")
     ingest.mark_loaded(spark, manifest, files.filter(year % 2 == 1))
-    first = stored(ingest.pending_files(spark.read.parquet(manifest), files).select(year.alias("year")).distinct())
+    first = stored(ingest.pending_files(store.read_table(spark, manifest), files).select(year.alias("year")).distinct())
     ingest.mark_loaded(spark, manifest, files)
-    later = ingest.pending_files(spark.read.parquet(manifest), files).select(year.alias("year")).distinct()
+    later = ingest.pending_files(store.read_table(spark, manifest), files).select(year.alias("year")).distinct()
     marks = files.select(year.alias("year")).distinct()
     return marks.join(first.withColumn("f", F.lit(True)), "year", "left").join(later.withColumn("l", F.lit(True)), "year", "left").select(
         "year", F.coalesce("f", F.lit(False)).alias("pending_first"), F.coalesce("l", F.lit(False)).alias("pending_later"))
@@ -191,7 +191,7 @@ def _(spark, sf):
     for year in (1997, 1998):
         ingest.load_year(rows, path, year)
     ingest.load_year(rows.withColumn("total_qtrly_wages", F.lit(-1.0)), path, 1998)
-    return spark.read.parquet(path)
+    return store.read_table(spark, path)
 
 
 @check("load_every_year", f"""WITH {O.QCEW} SELECT qcew_key, year,
@@ -202,7 +202,7 @@ def _(spark, sf):
     for row in rows.select("year").distinct().orderBy("year").collect():
         ingest.load_year(rows, path, row.year)
     ingest.load_year(rows.withColumn("total_qtrly_wages", F.lit(-1.0)), path, 1995)
-    return spark.read.parquet(path)
+    return store.read_table(spark, path)
 
 
 @check("stream_ingest_federal", f"""WITH {cte('payloads_federal')} SELECT 'landed' AS place, control_number, raw_data FROM payloads_federal
@@ -215,7 +215,7 @@ def _(spark, sf):
     for part in (rows.select(F.col("raw_data").alias("value")), odd):
         part.write.mode("append").text(landing)
         ingest.stream_ingest(spark, landing, target, marks, readers.usajobs_rows, ("control_number",), RAW_USAJOBS).awaitTermination()
-    landed, refused = (spark.read.parquet(p).select("control_number", "raw_data") for p in (target, f"{target}_rejects"))
+    landed, refused = (store.read_table(spark, p).select("control_number", "raw_data") for p in (target, f"{target}_rejects"))
     return landed.select(F.lit("landed").alias("place"), "*").union(refused.select(F.lit("rejects"), "*"))
 
 

@@ -221,9 +221,9 @@ def _(spark, sf):
     rows = stored(qcew(spark, sf).select("qcew_key", "year", "qtr", "area_fips", "total_qtrly_wages"))
     path = scratch_path(spark, "fact_qcew")
     store.write_layout(rows, path, "fact_qcew")
-    revised = spark.read.parquet(path).withColumn("total_qtrly_wages", F.col("total_qtrly_wages") + 1)
+    revised = store.read_table(spark, path).withColumn("total_qtrly_wages", F.col("total_qtrly_wages") + 1)
     ingest.refresh_years(revised, path, [1999, 2000])
-    return spark.read.parquet(path).select("qcew_key", "year", "total_qtrly_wages")
+    return store.read_table(spark, path).select("qcew_key", "year", "total_qtrly_wages")
 
 
 @check("refresh_years_emptied", f"""WITH {O.QCEW} SELECT qcew_key, year,
@@ -233,9 +233,9 @@ def _(spark, sf):
     rows = stored(qcew(spark, sf).select("qcew_key", "year", "qtr", "area_fips", "total_qtrly_wages"))
     path = scratch_path(spark, "fact_qcew")
     store.write_layout(rows, path, "fact_qcew")
-    revised = spark.read.parquet(path).filter("year <> 2000").withColumn("total_qtrly_wages", F.col("total_qtrly_wages") + 1)
+    revised = store.read_table(spark, path).filter("year <> 2000").withColumn("total_qtrly_wages", F.col("total_qtrly_wages") + 1)
     ingest.refresh_years(revised, path, [1999, 2000])
-    return spark.read.parquet(path).select("qcew_key", "year", "total_qtrly_wages")
+    return store.read_table(spark, path).select("qcew_key", "year", "total_qtrly_wages")
 
 
 def lines_by_status(spark, sf):
@@ -250,7 +250,7 @@ def lines_by_status(spark, sf):
 def _(spark, sf):
     path, batch = lines_by_status(spark, sf)
     store.append_new(spark, path, batch, KEY, REST)
-    return spark.read.parquet(path)
+    return store.read_table(spark, path)
 
 
 @check("upsert_stored", f"WITH {SIDES} SELECT * FROM s UNION ALL SELECT * FROM t WHERE NOT EXISTS (FROM s WHERE {SAME})")
@@ -258,7 +258,7 @@ def _(spark, sf):
     """Rows may move to another partition; its folder must not keep them."""
     path, batch = lines_by_status(spark, sf)
     store.upsert_stored(spark, path, batch, KEY, REST)
-    return spark.read.parquet(path)
+    return store.read_table(spark, path)
 
 
 @check("delete_partitions", """SELECT l_orderkey, l_linenumber, l_returnflag FROM lineitem
@@ -269,7 +269,7 @@ def _(spark, sf):
     store.delete_partitions(spark, path, F.expr("l_returnflag = 'R' OR l_returnflag = 'A' AND l_quantity < 10"))
     if store.partition_columns(spark, path) != ["l_returnflag"]:
         raise AssertionError("the layout is gone")
-    return spark.read.parquet(path).select(*KEY, "l_returnflag")
+    return store.read_table(spark, path).select(*KEY, "l_returnflag")
 
 
 @check("landing_rejects", f"""WITH {cte('payloads')} SELECT 'landed' AS place, job_id, raw_data FROM payloads WHERE CAST(job_id AS BIGINT) % 5 > 0
@@ -282,7 +282,7 @@ def _(spark, sf):
     rows.limit(0).write.parquet(path)
     for _ in range(2):
         store.append_new(spark, path, rows, ["job_id"], [F.asc("raw_data")], rejects=rejects)
-    landed, refused = (spark.read.parquet(p).select("job_id", "raw_data") for p in (path, rejects))
+    landed, refused = (store.read_table(spark, p).select("job_id", "raw_data") for p in (path, rejects))
     return landed.select(F.lit("landed").alias("place"), "*").union(refused.select(F.lit("rejects"), "*"))
 
 

@@ -3,7 +3,8 @@
 One aggregation finds the distinct titles; everything after it is local to a
 row: exact seed title, then nearest seed title, then longest pattern contained
 in the title, then the unmapped sentinel. The lookups are constants inside the
-expressions, so there is no theta join however many titles there are.
+expressions, so there is no theta join however many titles there are. Lookups
+that are frames, and may be large, are met by equi joins (``operators.matching``).
 """
 
 from __future__ import annotations
@@ -15,9 +16,9 @@ from pyspark.sql import functions as F
 
 from meritrix.functions import lookups as L
 from meritrix.functions.derive import first_match, norm_b, soc_major_group
+from meritrix.operators.matching import MAX_FUZZY_LENGTH, MIN_FUZZY_LENGTH, contained, max_edits, nearest
 from meritrix.operators.merge import upsert
-
-MIN_FUZZY_LENGTH, MAX_FUZZY_LENGTH = 4, 60
+from meritrix.session import stored
 
 
 def soc_seed(spark, rows=None) -> DataFrame:
@@ -39,11 +40,6 @@ def _table(rows) -> Column:
     return F.from_json(F.lit(text), "array<struct<text:string,code:string,label:string,size:int>>")
 
 
-def max_edits(title: Column) -> Column:
-    """Allowed edit distance: 15 % of the length, at least 2."""
-    return F.greatest(F.lit(2), F.round(F.length(title) * 0.15).cast("int"))
-
-
 def exact_match(title: Column, seed) -> Column:
     return F.get(F.filter(_table(seed), lambda s: s["text"] == title), F.lit(0))
 
@@ -86,17 +82,42 @@ def distinct_titles(postings: DataFrame) -> DataFrame:
 
 
 def resolve_titles(titles: DataFrame, seed=None, patterns=None) -> DataFrame:
-    """Add code, method and confidence to rows with ``title_normalized``."""
+    """Add code, method and confidence to rows with ``title_normalized``. The lookups
+    are lists of (text, code, label), or both frames as ``soc_seed`` and
+    ``soc_patterns`` make them, of any size."""
+    if isinstance(seed, DataFrame) and isinstance(patterns, DataFrame):
+        return _labelled(_met(titles, seed, patterns))
     seed, patterns = seed or L.SOC_TITLE_SEED, patterns or L.SOC_TITLE_PATTERNS
     title = F.col("title_normalized")
-    length = F.length(title).cast("double")
     # each stage is its own projection, so a later one is evaluated only on
     # rows that the earlier ones left open
-    staged = (
+    return _labelled(
         titles.withColumn("_exact", exact_match(title, seed))
         .withColumn("_fuzzy", F.when(F.col("_exact").isNull(), nearest_seed(title, seed)))
         .withColumn("_word", F.when(F.col("_exact").isNull() & F.col("_fuzzy").isNull(), longest_pattern(title, patterns)))
     )
+
+
+def _met(titles: DataFrame, seed: DataFrame, patterns: DataFrame) -> DataFrame:
+    """The same stages as joins; each one meets only the titles that are still open.
+    Of several rows of one seed title the smallest code and label count."""
+    named = seed.groupBy(F.col("title_norm").alias("text")).agg(F.min(F.struct("soc_code", "soc_title")).alias("v")).select(
+        "text", F.col("v.soc_code").alias("code"), F.col("v.soc_title").alias("label"))
+    known = stored(named)
+    open_titles = stored(titles.join(
+        known.select(F.col("text").alias("title_normalized"), F.struct("code", "label").alias("_exact")), "title_normalized", "left"))
+    near = nearest(open_titles.where("_exact IS NULL"), known)
+    fuzzy = near.select("title_normalized", F.struct("edits", "text", "code", "label").alias("_fuzzy"))
+    open_titles = stored(open_titles.join(fuzzy, "title_normalized", "left"))
+    words = patterns.select(F.col("pattern").alias("text"), F.col("soc_code").alias("code"), F.col("soc_title").alias("label"))
+    inside = contained(open_titles.where("_exact IS NULL AND _fuzzy IS NULL"), words)
+    return open_titles.join(
+        inside.select("title_normalized", F.struct("text", "code", "label").alias("_word")), "title_normalized", "left")
+
+
+def _labelled(staged: DataFrame) -> DataFrame:
+    """Code, method and confidence from the stages' finds."""
+    length = F.length("title_normalized").cast("double")
     exact, fuzzy, word = F.col("_exact"), F.col("_fuzzy"), F.col("_word")
 
     def pick(field, otherwise):

@@ -83,3 +83,13 @@ LAYOUT = {
     "fact_job_postings": (["sector"], ["posted_date"]),
     "dim_occupation_soc": ([], ["title_normalized"]),
 }
+
+#: Keys by whose hash the large keyed tables are laid out as well, and the rows of a
+#: bucket: a batch then meets only the buckets that its keys fall into.
+BUCKET_KEYS = {
+    "raw_adzuna": ["job_id"],
+    "raw_usajobs_current": ["control_number"],
+    "jobs_unified": ["source", "job_id"],
+    "fact_job_postings": ["posting_key"],
+}
+ROWS_PER_BUCKET = 1_000_000

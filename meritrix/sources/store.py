@@ -1,19 +1,49 @@
-"""Table storage on plain Parquet: layout, snapshots, partition replacement."""
+"""Stored tables on plain Parquet: partitions shared by snapshots, one pointer file.
+
+A table is a folder. Every write puts its files into a new folder ``snapshot=N`` of it,
+laid out by the partition columns, and then a pointer file that holds the schema
+and tells, for each partition, which snapshots its rows are in. So a merge writes the
+partitions it touches and nothing else, an append writes its own rows, frames that
+were opened before still find their files, and a job that dies half-way has changed
+nothing. All reads take names and types from the pointer, never from folder names.
+
+One writer at a time: a second one that commits meanwhile is an error. What no
+pointer names any more goes with ``prune``.
+"""
 
 from __future__ import annotations
 
+import json
+import uuid
+from collections.abc import Iterable
+from dataclasses import dataclass, field, replace
+from datetime import date
+from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meritrix.operators.merge import merge_counts, new_rows, null_key_rows, one_per_key, upsert
-from meritrix.schemas import LAYOUT
+from meritrix.schemas import BUCKET_KEYS, LAYOUT, ROWS_PER_BUCKET
 from meritrix.session import scratch
 
 #: Folder name of a NULL partition value, fixed by the file format.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+#: Strings that a folder name could not tell from NULL (the empty one among them) get
+#: one more mark at their end in folder names.
+MARK, UNCLEAR = "~", f"^({NULL_PARTITION})?~*$"
+#: Partition column for hash buckets of the key, and the one for snapshots.
+BUCKET, SNAPSHOT = "key_bucket", "snapshot"
+POINTERS = "_pointers"
+#: Keys of a batch that are listed in the filter on the target, so that Parquet's
+#: Bloom filters and statistics skip row groups; a larger batch is joined only.
+LISTED_KEYS = 200
+#: Folders of one partition after which appends write it anew as one.
+MOST_FOLDERS = 32
+#: Columns that say when a row was loaded and not what it holds.
+LOAD_COLUMNS = ("ingestion_timestamp", "loaded_at")
 
 
 def laid_out(df: DataFrame, partition_by, sort_by) -> DataFrame:
@@ -28,208 +58,577 @@ def laid_out(df: DataFrame, partition_by, sort_by) -> DataFrame:
     return df.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, *sort_by)
 
 
-def write_layout(df: DataFrame, path: str, name: str, mode: str = "errorifexists") -> None:
-    partition_by, sort_by = LAYOUT.get(name, ([], []))
-    laid_out(df, partition_by, sort_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
+class _Files:
+    """The file system that a path lives on."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.at = spark, spark._jvm.org.apache.hadoop.fs.Path
+        self.fs = self.at(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def exists(self, path: str) -> bool:
+        return self.fs.exists(self.at(path))
+
+    def matching(self, pattern: str) -> list[str]:
+        """Paths that a glob pattern matches, in one round trip."""
+        found = self.fs.globStatus(self.at(pattern))
+        if not found:
+            return []
+        paths = self.spark._jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(found)
+        return self.spark._jvm.scala.collection.mutable.ArraySeq.make(paths).mkString("\n").split("\n")
+
+    def delete(self, path: str) -> None:
+        self.fs.delete(self.at(path), True)
+
+    def text(self, path: str) -> str:
+        stream = self.fs.open(self.at(path))
+        try:
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def put(self, path: str, text: str) -> bool:
+        """Makes a file that appears whole or not at all; false if there is one."""
+        draft = f"{path.rsplit('/', 1)[0]}/.{uuid.uuid4().hex}"
+        stream = self.fs.create(self.at(draft), False)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+        if not self.exists(path) and self.fs.rename(self.at(draft), self.at(path)):
+            return True
+        self.delete(draft)
+        return False
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder holds a table: a pointer, or files that something else wrote.
+    What a job left that died before its first pointer is none."""
+    files = _Files(spark, path)
+    return bool(files.matching(f"{path}/{POINTERS}/[0-9]*")) or (
+        files.exists(path) and not files.matching(f"{path}/{SNAPSHOT}=*"))
+
+
+@dataclass(frozen=True)
+class Pointer:
+    """One version of a table. ``parts`` maps the folder of each partition, relative
+    to a snapshot, to the snapshots that hold its rows; 0 stands for files that were
+    there before the table had pointers. ``written`` counts the folders of a snapshot."""
+
+    number: int
+    schema: T.StructType
+    partition_by: tuple[str, ...] = ()
+    sort_by: tuple[str, ...] = ()
+    bucket_by: tuple[str, ...] = ()
+    buckets: int = 0
+    parts: dict[str, tuple[int, ...]] = field(default_factory=dict)
+    written: dict[int, int] = field(default_factory=dict)
+
+    @property
+    def folders_by(self) -> tuple[str, ...]:
+        return (*self.partition_by, BUCKET) if self.buckets else self.partition_by
+
+    def to_json(self) -> str:
+        return json.dumps({
+            "schema": self.schema.jsonValue(), "partition_by": self.partition_by, "sort_by": self.sort_by,
+            "bucket_by": self.bucket_by, "buckets": self.buckets, "parts": self.parts, "written": self.written})
+
+    @staticmethod
+    def from_json(number: int, text: str) -> "Pointer":
+        d = json.loads(text)
+        return Pointer(number, T.StructType.fromJson(d["schema"]), tuple(d["partition_by"]), tuple(d["sort_by"]),
+                       tuple(d["bucket_by"]), d["buckets"], {k: tuple(v) for k, v in d["parts"].items()},
+                       {int(k): v for k, v in d["written"].items()})
+
+
+def _encoded(column: Column) -> Column:
+    return F.when(column.rlike(UNCLEAR), F.concat(column, F.lit(MARK))).otherwise(column)
+
+
+def _decoded(column: Column) -> Column:
+    return F.when(column.rlike(UNCLEAR), F.regexp_replace(column, f"{MARK}$", "")).otherwise(column)
+
+
+def _same(columns: Iterable[str], other: str = "_{}") -> Column:
+    """Null-safe equality of columns with their renamed twins."""
+    return reduce(Column.__and__, [F.col(f"`{c}`").eqNullSafe(F.col(f"`{other.format(c)}`")) for c in columns])
+
+
+class StoredTable:
+    """A table in a folder; ``pointer`` is the version that this object reads."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+        self.files = _Files(spark, self.path)
+        newest = max(self._pointers(), default=None)
+        self.pointer = self._adopted() if newest is None else self._load(newest)
+
+    # -- versions ----------------------------------------------------------
+
+    def _pointers(self) -> list[int]:
+        return [int(p.rsplit("/", 1)[1]) for p in self.files.matching(f"{self.path}/{POINTERS}/[0-9]*")]
+
+    def _load(self, number: int) -> Pointer:
+        return Pointer.from_json(number, self.files.text(f"{self.path}/{POINTERS}/{number:06d}"))
+
+    def _adopted(self) -> Pointer:
+        """A folder of Parquet files that something else wrote. The type of a partition
+        column is taken over only if it gives every folder name back as it is; ``06``
+        is no number."""
+        if not exists(self.spark, self.path):
+            raise LookupError(f"no table at {self.path}")
+        found = self.spark.read.parquet(self.path)
+        names, depth = [], 0
+        while True:
+            deeper = self.files.matching(f"{self.path}/" + "/".join(["*=*"] * (depth + 1)))
+            deeper = [d for d in deeper if not any(n[0] in "_." for n in d.rsplit("/", depth + 1)[1:])]
+            if not deeper:
+                break
+            names, depth = deeper, depth + 1
+        parts = [_relative(n, depth) for n in names] or [""]
+        layouts = {tuple(column for column, _ in _values(p)) for p in parts}
+        if len(layouts) != 1:
+            raise ValueError(f"{self.path} mixes layouts: {sorted(layouts)}")
+        columns = layouts.pop()
+        schema = T.StructType([f if f.name not in columns or _gives_back(f.dataType, [dict(_values(p))[f.name] for p in parts])
+                               else T.StructField(f.name, T.StringType()) for f in found.schema.fields])
+        return Pointer(0, schema, columns, parts={p: (0,) for p in parts}, written={0: len(parts)})
+
+    @classmethod
+    def create(cls, spark: SparkSession, path: str, schema: T.StructType, *, partition_by=(), sort_by=(),
+               bucket_by=(), buckets: int = 0, commit: bool = True) -> "StoredTable":
+        """An empty table that can be read at once, or, without ``commit``, from its first
+        write on. With ``buckets``, rows are also laid out by a hash of their key
+        ``bucket_by``, so that a batch finds its keys in few of them; their files
+        have Bloom filters on the key."""
+        clash = {BUCKET, SNAPSHOT} & set(schema.names)
+        if clash or (buckets and not bucket_by) or not {*partition_by, *bucket_by} <= set(schema.names):
+            raise ValueError(f"columns of the layout: {sorted(clash) or [*partition_by, *bucket_by]}")
+        self = cls.__new__(cls)
+        self.spark, self.path = spark, path.rstrip("/")
+        self.files = _Files(spark, self.path)
+        if self._pointers():
+            raise ValueError(f"there is a table at {path}")
+        self.pointer = Pointer(0, _nullable(schema), tuple(partition_by), tuple(sort_by), tuple(bucket_by), buckets)
+        if commit:
+            self._commit(self.pointer)
+        return self
+
+    def _next(self) -> int:
+        """A number that neither a pointer nor a folder, a dead job's included, has."""
+        taken = [int(p.rsplit("=", 1)[1]) for p in self.files.matching(f"{self.path}/{SNAPSHOT}=[0-9]*")]
+        return max([*taken, *self._pointers(), 0]) + 1
+
+    def _commit(self, new: Pointer, number: int | None = None) -> None:
+        number = number or self._next()
+        if max(self._pointers(), default=0) != self.pointer.number or not self.files.put(
+                f"{self.path}/{POINTERS}/{number:06d}", new.to_json()):
+            raise RuntimeError(f"another writer has changed {self.path} meanwhile")
+        self.pointer = replace(new, number=number)
+
+    # -- reading -----------------------------------------------------------
+
+    def _roots(self, parts: dict[str, tuple[int, ...]]) -> tuple[list[str], list[str]]:
+        """Folders to read: those from before the pointers, and those of snapshots; a
+        snapshot of which every folder counts is read from its top."""
+        by_snapshot: dict[int, list[str]] = {}
+        for part, numbers in parts.items():
+            for n in numbers:
+                by_snapshot.setdefault(n, []).append(part)
+        before, later = [], []
+        for n, found in sorted(by_snapshot.items()):
+            top = f"{self.path}/{SNAPSHOT}={n:06d}" if n else self.path
+            folders = [top] if n and len(found) == self.pointer.written[n] else [f"{top}/{p}" if p else top for p in found]
+            (later if n else before).extend(folders)
+        if before == [self.path]:  # a flat folder: its own files, not those of the snapshots in it
+            before = self.files.matching(f"{self.path}/[!_.]*.parquet")
+        return before, later
+
+    def _frame(self, parts: dict[str, tuple[int, ...]]) -> DataFrame:
+        """The rows of some partitions, with the bucket if there are any."""
+        p = self.pointer
+        fields = [*p.schema.fields, *([T.StructField(BUCKET, T.IntegerType())] if p.buckets else [])]
+        names = [f.name for f in fields]
+        clear = {c: _decoded(F.col(f"`{c}`")) for c in p.partition_by if isinstance(p.schema[c].dataType, T.StringType)}
+        before, later = self._roots(parts)
+        frames = []
+        for roots, decode in ((before, {}), (later, clear)):
+            if roots:
+                read = self.spark.read.schema(T.StructType(fields)).option("basePath", self.path).parquet(*roots)
+                frames.append(read.select(*(decode[c].alias(c) if c in decode else f"`{c}`" for c in names)))
+        if not frames:
+            return self.spark.createDataFrame([], T.StructType(fields))
+        return reduce(DataFrame.unionByName, frames)
+
+    def read(self, parts: Iterable[str] | None = None) -> DataFrame:
+        """The rows of this version (of the given partitions only)."""
+        chosen = self.pointer.parts if parts is None else {p: self.pointer.parts[p] for p in parts}
+        return self._frame(chosen).select(*(f"`{c}`" for c in self.pointer.schema.names))
+
+    def partitions(self) -> DataFrame:
+        """(part, the typed partition columns[, bucket]): one row per folder."""
+        p = self.pointer
+        texts = [(part, *(None if v == NULL_PARTITION else v for _, v in _values(part)), 0 in numbers)
+                 for part, numbers in p.parts.items()]
+        kinds = [T.StructField(c, T.StringType()) for c in p.folders_by]
+        frame = self.spark.createDataFrame(texts, T.StructType([
+            T.StructField("part", T.StringType()), *kinds, T.StructField("before", T.BooleanType())]))
+        columns = []
+        for c in p.folders_by:
+            kind = T.IntegerType() if c == BUCKET else p.schema[c].dataType
+            text = F.col(f"`{c}`")
+            columns.append((F.when(F.col("before"), text).otherwise(_decoded(text)) if isinstance(kind, T.StringType)
+                            else text.cast(kind)).alias(c))
+        return frame.select("part", *columns)
+
+    def _parts_of(self, values: DataFrame) -> list[str]:
+        """Folders of the partitions that the rows of ``values`` (some of the partition
+        columns) belong to: one row per folder on each side."""
+        named = values.distinct().withColumnsRenamed({c: f"_{c}" for c in values.columns})
+        found = self.partitions().join(F.broadcast(named), _same(values.columns), "left_semi")
+        return [r.part for r in found.select("part").collect()]
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in self.pointer.bucket_by)), F.lit(self.pointer.buckets)).cast("int")
+
+    def candidates(self, batch: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
+        """The rows among which the batch's keys can be (bucket included), and the folders
+        they are in: with buckets on the key only those that the batch hits, and for a
+        small batch only row groups that can hold one of its keys."""
+        p = self.pointer
+        parts = list(p.parts)
+        if p.buckets and set(p.bucket_by) <= set(keys):
+            typed = batch.select(*(F.col(f"`{c}`").cast(p.schema[c].dataType).alias(c) for c in p.bucket_by))
+            parts = self._parts_of(typed.select(self._bucket().alias(BUCKET)))
+        rows = self._frame({part: p.parts[part] for part in parts})
+        listed = batch.select(keys[0]).distinct().limit(LISTED_KEYS + 1).collect()
+        if len(listed) <= LISTED_KEYS:
+            rows = rows.filter(reduce(Column.__or__, [F.col(f"`{keys[0]}`") == F.lit(r[0]) for r in listed], F.lit(False)))
+        return rows, parts
+
+    # -- writing -----------------------------------------------------------
+
+    def _conformed(self, df: DataFrame) -> DataFrame:
+        """The table's columns and types: missing columns are NULL, others an error, and
+        so is a type that the table's cannot hold."""
+        schema, have = self.pointer.schema, {f.name: f.dataType for f in df.schema.fields}
+        strange = [c for c in have if c not in schema.names]
+        drifted = [c for c in have if c in schema.names and not _fits(have[c], schema[c].dataType)]
+        if strange or drifted:
+            raise ValueError(f"{self.path} has no columns {strange}, and other types for {drifted}")
+        return df.select(*((F.col(f"`{f.name}`").cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
+                           for f in schema.fields))
+
+    def _write(self, df: DataFrame, number: int) -> list[str]:
+        """Puts rows into a snapshot folder; the partitions that have some."""
+        p = self.pointer
+        rows = self._conformed(df)
+        if p.buckets:
+            rows = rows.withColumn(BUCKET, self._bucket())
+        for c in p.partition_by:
+            if isinstance(p.schema[c].dataType, T.StringType):
+                rows = rows.withColumn(c, _encoded(F.col(f"`{c}`")))
+        top = f"{self.path}/{SNAPSHOT}={number:06d}"
+        writer = laid_out(rows, p.folders_by, p.sort_by).write.partitionBy(*p.folders_by)
+        for c in p.bucket_by if p.buckets else ():
+            writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
+        writer.parquet(top)
+        if not p.folders_by:
+            return [""]
+        found = self.files.matching(f"{top}/" + "/".join(f"{c}=*" for c in p.folders_by))
+        return [_relative(f, len(p.folders_by)) for f in found]
+
+    def _put(self, df: DataFrame, gone: Iterable[str]) -> None:
+        """One commit: the rows come, the partitions ``gone`` go."""
+        number = self._next()
+        found = self._write(df, number)
+        parts = {p: n for p, n in self.pointer.parts.items() if p not in set(gone)}
+        for part in found:
+            parts[part] = (*parts.get(part, ()), number)
+        used = {n for numbers in parts.values() for n in numbers}
+        written = {n: c for n, c in {**self.pointer.written, number: len(found)}.items() if n in used}
+        self._commit(replace(self.pointer, parts=parts, written=written), number)
+
+    def rows_in(self, parts: Iterable[str] | None = None) -> int:
+        """Rows, from the files' footers."""
+        return self.read(parts).count()
+
+    def append(self, df: DataFrame) -> None:
+        self._put(df, ())
+        crowded = [p for p, n in self.pointer.parts.items() if len(n) > MOST_FOLDERS]
+        if crowded:
+            self.compact(crowded)
+
+    def overwrite(self, df: DataFrame) -> None:
+        """New content, whose columns may differ from those before."""
+        at = self.pointer
+        self.pointer = replace(at, schema=_nullable(df.schema))
+        try:
+            self._put(df, at.parts)
+        except BaseException:
+            self.pointer = at
+            raise
+
+    def compact(self, parts: Iterable[str]) -> None:
+        """Writes partitions that many appends went to anew, each as one folder."""
+        parts = list(parts)
+        self._put(self.read(parts), parts)
+
+    def replace(self, df: DataFrame, touched: Iterable[str] | None = None) -> dict[str, int]:
+        """``df`` is the new content of the partitions that it has rows of, and of the
+        ``touched`` ones. The others keep their files."""
+        number = self._next()
+        found = self._write(df, number)
+        gone = set(found) | set(touched or ())
+        before = self.rows_in([p for p in self.pointer.parts if p in gone])
+        parts = {p: n for p, n in self.pointer.parts.items() if p not in gone} | {p: (number,) for p in found}
+        used = {n for numbers in parts.values() for n in numbers}
+        written = {n: c for n, c in {**self.pointer.written, number: len(found)}.items() if n in used}
+        self._commit(replace(self.pointer, parts=parts, written=written), number)
+        return {"written": self.rows_in(found), "replaced": before}
+
+    def append_new(self, src: DataFrame, keys, order=None, rejects: str | None = None,
+                   load_columns=LOAD_COLUMNS) -> dict[str, int]:
+        """Insert-if-absent; see the function of this name."""
+        keys = list(keys)
+        with scratch(self.spark) as keep:
+            rows = keep(src)
+            refused = null_key_rows(rows, keys)
+            lost = refused.count()
+            if lost:
+                if rejects is None:
+                    raise ValueError(f"{lost} rows without a key and no table for rejects")
+                _append_rejects(self.spark, rejects, refused, load_columns)
+            batch = keep(one_per_key(rows, keys, order))
+            target, _ = self.candidates(batch, keys)
+            new = keep(new_rows(target, batch, keys, unique=True))
+            inserted = new.count()
+            if inserted:
+                self.append(new)
+            return {"inserted": inserted, "skipped": batch.count() - inserted, "rejected": lost}
+
+    def upsert(self, src: DataFrame, keys, order=None, merge=upsert) -> dict[str, int]:
+        """Merges a batch. Partitions that hold its keys now are written anew; rows
+        that are new go beside those that their partitions have. ``merge`` is a function of
+        (target, source, keys, unique=True). Returns the counts of the merge."""
+        keys, p = list(keys), self.pointer
+        with scratch(self.spark) as keep:
+            batch = keep(one_per_key(src, keys, order))
+            target, parts = self.candidates(batch, keys)
+            if p.folders_by:
+                held = target.join(batch.select(*keys), keys, "left_semi").select(*p.folders_by)
+                parts = self._parts_of(keep(held.distinct()))
+            part = self.read(parts)
+            counts = keep(merge_counts(part, batch, keys)).first().asDict()
+            self._put(merge(part, batch, keys, unique=True), parts)
+        return counts
+
+    def delete(self, condition: Column) -> dict[str, int]:
+        """Drops the rows that match; only partitions that hold some are written anew."""
+        gone, p = F.coalesce(condition, F.lit(False)), self.pointer
+        with scratch(self.spark) as keep:
+            hit = self._frame(p.parts).filter(gone)
+            per_part = keep(hit.groupBy(*p.folders_by).agg(F.count(F.lit(1)).alias("_n")))
+            deleted = per_part.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+            if not deleted:
+                return {"deleted": 0, "rewritten": 0}
+            parts = self._parts_of(per_part.select(*p.folders_by)) if p.folders_by else list(p.parts)
+            kept = self.read(parts).filter(~gone)
+            self._put(kept, parts)
+            return {"deleted": deleted, "rewritten": len(parts)}
+
+    def add_columns(self, schema: T.StructType) -> list[str]:
+        """New columns at the end, NULL in the rows that are there; no file is touched.
+        A column of another type is an error. Returns the names of the new ones."""
+        have = self.pointer.schema
+        other = [f.name for f in schema.fields if f.name in have.names and have[f.name].dataType != f.dataType]
+        if other or {BUCKET, SNAPSHOT} & set(schema.names):
+            raise ValueError(f"{self.path} has other types for {other}")
+        new = [f for f in _nullable(schema).fields if f.name not in have.names]
+        if new:
+            self._commit(replace(self.pointer, schema=T.StructType([*have.fields, *new])))
+        return [f.name for f in new]
+
+    def prune(self, keep: int = 2) -> None:
+        """Keeps the newest ``keep`` versions: older pointers go, and the folders of
+        older snapshots that no kept pointer names, dead jobs' included."""
+        numbers = sorted(self._pointers())
+        if not numbers:
+            return
+        kept = [self._load(n) for n in numbers[-keep:]]
+        for n in numbers[:-keep]:
+            self.files.delete(f"{self.path}/{POINTERS}/{n:06d}")
+        used = {(n, part) for p in kept for part, ns in p.parts.items() for n in ns}
+        for top in self.files.matching(f"{self.path}/{SNAPSHOT}=[0-9]*"):
+            n = int(top.rsplit("=", 1)[1])
+            if n >= kept[0].number:
+                continue
+            mine = {part for m, part in used if m == n}
+            if not mine:
+                self.files.delete(top)
+            elif "" not in mine:
+                depth = next(iter(mine)).count("/") + 1
+                for f in self.files.matching(f"{top}/" + "/".join(["*=*"] * depth)):
+                    if _relative(f, depth) not in mine:
+                        self.files.delete(f)
+
+
+def _nullable(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in schema.fields])
+
+
+def _relative(folder: str, depth: int) -> str:
+    """The last ``depth`` names of a path."""
+    return "/".join(folder.rsplit("/", depth)[1:]) if depth else ""
+
 
+def _values(part: str) -> list[tuple[str, str]]:
+    """(column, value as text) of a partition folder."""
+    return [tuple(map(unquote, name.split("=", 1))) for name in part.split("/") if name]
 
-def _folders(spark: SparkSession, path: str) -> list:
-    """Folder entries below a path; none where it does not exist."""
-    base = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
-    return [s.getPath() for s in fs.listStatus(base) if s.isDirectory()] if fs.exists(base) else []
 
+def _gives_back(kind: T.DataType, texts: list[str]) -> bool:
+    """Whether values of a type are written as exactly these folder names."""
+    texts = [t for t in texts if t != NULL_PARTITION]
+    try:
+        if isinstance(kind, T.IntegralType):
+            return all(str(int(t)) == t for t in texts)
+        if isinstance(kind, T.DateType):
+            return all(date.fromisoformat(t).isoformat() == t for t in texts)
+    except ValueError:
+        return False
+    return isinstance(kind, T.StringType)
 
-def partition_folders(spark: SparkSession, path: str) -> dict[tuple[tuple[str, str], ...], str]:
-    """((column, value), ..) of each partition of a stored table, to its folder;
-    a table without partitions has the one key ()."""
-    parts = [f for f in _folders(spark, path) if "=" in f.getName() and not f.getName().startswith(("_", "."))]
-    found = {}
-    for folder in parts:
-        column, value = map(unquote, folder.getName().split("=", 1))
-        for rest, at in partition_folders(spark, folder.toString()).items():
-            found[((column, value), *rest)] = at
-    return found or {(): path}
+
+_WIDTHS = [T.ByteType, T.ShortType, T.IntegerType, T.LongType]
+
+
+def _fits(given: T.DataType, wanted: T.DataType) -> bool:
+    """Whether every value of a type is one of the other, too."""
+    if given.simpleString() == wanted.simpleString() or isinstance(given, T.NullType):
+        return True
+    kinds = type(given), type(wanted)
+    if all(k in _WIDTHS for k in kinds):
+        return _WIDTHS.index(kinds[0]) <= _WIDTHS.index(kinds[1])
+    return kinds in ((T.FloatType, T.DoubleType), (T.IntegerType, T.DoubleType), (T.ShortType, T.DoubleType))
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The current rows of a stored table."""
+    return StoredTable(spark, path).read()
+
+
+def write_layout(df: DataFrame, path: str, name: str, buckets: int = 0) -> StoredTable:
+    """Stores a frame as a new table in the layout of the table ``name``."""
+    partition_by, sort_by = LAYOUT.get(name, ([], []))
+    table = StoredTable.create(df.sparkSession, path, df.schema, partition_by=partition_by, sort_by=sort_by,
+                               bucket_by=BUCKET_KEYS.get(name, ()) if buckets else (), buckets=buckets, commit=False)
+    table.append(df)
+    return table
 
 
 def partition_columns(spark: SparkSession, path: str) -> list[str]:
-    """The columns that a stored table is partitioned by, as its folders tell."""
-    layouts = {tuple(column for column, _ in key) for key in partition_folders(spark, path)}
-    if len(layouts) != 1:
-        raise ValueError(f"{path} mixes layouts: {sorted(layouts)}")
-    return list(layouts.pop())
+    """The columns that a stored table is partitioned by."""
+    return list(StoredTable(spark, path).pointer.partition_by)
 
 
 def append_new(spark: SparkSession, path: str, src: DataFrame, keys, order=None,
-               rejects: str | None = None) -> dict[str, int]:
-    """Insert-if-absent on a stored table: only new rows are written, into the
-    table's own partitions. Running the same source again finds its keys present
-    and writes nothing. Returns the counts of inserted and skipped keys, and of rows
-    without a key.
+               rejects: str | None = None, load_columns=LOAD_COLUMNS) -> dict[str, int]:
+    """Insert-if-absent on a stored table: only new rows are written. Running the same
+    source again finds its keys present and writes nothing. Returns the counts of
+    inserted and skipped keys, and of rows without a key.
 
     Rows with a NULL key part go to the table ``rejects``, one per distinct content
-    (load times apart), and without such a table they are an error: a landing
-    loses nothing.
+    with the number of its ``copies``; only the named ``load_columns`` do not count
+    as content. Without such a table they are an error: a landing loses nothing.
 
     The batch is stored first: its plan (a stream's, say) has no known size,
     but its files do, and that lets the planner broadcast its keys.
     """
-    with scratch(spark) as keep:
-        rows = keep(src)
-        refused = null_key_rows(rows, keys)
-        lost = refused.count()
-        if lost:
-            if rejects is None:
-                raise ValueError(f"{lost} rows without a key and no table for rejects")
-            _append_rejects(spark, rejects, refused)
-        batch = keep(one_per_key(rows, keys, order))
-        new = keep(new_rows(spark.read.parquet(path), batch, keys, unique=True))
-        inserted = new.count()
-        if inserted:
-            new.write.mode("append").partitionBy(*partition_columns(spark, path)).parquet(path)
-        return {"inserted": inserted, "skipped": batch.count() - inserted, "rejected": lost}
-
-
-def _append_rejects(spark: SparkSession, path: str, rows: DataFrame) -> None:
-    content = [f.name for f in rows.schema.fields if not isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType, T.DateType))]
-    named = rows.withColumn("content_sha256", F.sha2(F.to_json(F.struct(*content)), 256))
-    if exists(spark, path):
-        append_new(spark, path, named, ["content_sha256"])
-    else:
-        one_per_key(named, ["content_sha256"]).write.parquet(path)
+    return StoredTable(spark, path).append_new(src, keys, order, rejects, load_columns)
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    base = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return base.getFileSystem(spark._jsc.hadoopConfiguration()).exists(base)
+def _append_rejects(spark: SparkSession, path: str, rows: DataFrame, load_columns) -> None:
+    """A landing that is tried again brings the same rows again, so a content counts
+    as often as in the landing that has most of it."""
+    content = [c for c in rows.columns if c not in load_columns]
+    digest = F.sha2(F.to_json(F.struct(*content), {"ignoreNullFields": "false"}), 256)
+    named = rows.withColumn("content_sha256", digest)
+    copies = named.groupBy("content_sha256").agg(F.count(F.lit(1)).alias("copies"))
+    counted = one_per_key(named, ["content_sha256"]).join(copies, "content_sha256").select(*named.columns, "copies")
+    table = StoredTable(spark, path) if exists(spark, path) else StoredTable.create(spark, path, counted.schema, commit=False)
+    if "copies" not in table.pointer.schema.names:
+        table.add_columns(T.StructType([T.StructField("copies", T.LongType())]))
 
+    def most(target: DataFrame, source: DataFrame, keys, unique: bool) -> DataFrame:
+        held = target.select("content_sha256", F.coalesce("copies", F.lit(1)).alias("held"))
+        raised = source.join(held, "content_sha256", "left").withColumn("copies", F.greatest("copies", "held")).drop("held")
+        return upsert(target, raised, keys, unique=True)
 
-def _delete(spark: SparkSession, path: str) -> None:
-    base = spark._jvm.org.apache.hadoop.fs.Path(path)
-    base.getFileSystem(spark._jsc.hadoopConfiguration()).delete(base, True)
+    table.upsert(counted, ["content_sha256"], merge=most)
 
 
-def replace_partitions(df: DataFrame, path: str, partition_by, touched: DataFrame | None = None) -> None:
+def replace_partitions(df: DataFrame, path: str, partition_by, touched: DataFrame | None = None) -> dict[str, int]:
     """Overwrite just the partitions that ``df`` contains, and drop those of
-    ``touched`` (rows of partition values) that it does not.
+    ``touched`` (rows of partition values) that it does not. The content may be derived
+    from the table itself. Returns the rows written and those they replace."""
+    table = StoredTable(df.sparkSession, path)
+    if list(partition_by) != list(table.pointer.partition_by):
+        raise ValueError(f"{path} is partitioned by {table.pointer.partition_by}")
+    return table.replace(df, [] if touched is None else table._parts_of(touched.select(*partition_by)))
 
-    The content may be derived from the table itself, so it is first stored in
-    the shared folder; nothing is read from a path while it is overwritten.
-    """
-    spark, partition_by = df.sparkSession, list(partition_by)
-    with scratch(spark) as keep:
-        rows = keep(df)
-        empty = []
-        if touched is not None:
-            filled = {tuple(r) for r in rows.select(*partition_by).distinct().collect()}  # one row per folder
-            empty = [r for r in map(tuple, touched.select(*partition_by).distinct().collect()) if r not in filled]
-        if not rows.isEmpty():
-            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
-        folders = partition_folders(spark, path) if empty else {}
-        for values in empty:
-            key = tuple((c, NULL_PARTITION if v is None else str(v)) for c, v in zip(partition_by, values))
-            if key in folders:
-                _delete(spark, folders[key])
-
-
-def delete_partitions(spark: SparkSession, path: str, condition) -> None:
-    """Drop the rows that match ``condition``. Only partitions that hold such rows
-    are rewritten. A table without partitions is written next to itself and swapped
-    in, so that a crash leaves either content whole."""
-    partition_by = partition_columns(spark, path)
-    table, gone = spark.read.parquet(path), F.coalesce(condition, F.lit(False))
-    with scratch(spark) as keep:
-        if partition_by:
-            touched = keep(table.filter(gone).select(*partition_by).distinct())
-            same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in partition_by]
-            marks = F.broadcast(touched.select(*[F.col(c).alias(f"_{c}") for c in partition_by]))  # one row per folder
-            replace_partitions(table.filter(~gone).join(marks, same, "left_semi"), path, partition_by, touched)
-            return
-        table.filter(~gone).write.mode("overwrite").parquet(f"{path}__next")
-        at = spark._jvm.org.apache.hadoop.fs.Path
-        fs = at(path).getFileSystem(spark._jsc.hadoopConfiguration())
-        fs.rename(at(path), at(f"{path}__old"))
-        fs.rename(at(f"{path}__next"), at(path))
-        fs.delete(at(f"{path}__old"), True)
+
+def delete_partitions(spark: SparkSession, path: str, condition) -> dict[str, int]:
+    """Drop the rows that match ``condition``; only partitions that hold such rows are
+    rewritten. Returns the rows deleted and the partitions rewritten."""
+    return StoredTable(spark, path).delete(condition)
 
 
 def upsert_stored(spark: SparkSession, path: str, src: DataFrame, keys, order=None, merge=upsert) -> dict[str, int]:
-    """Merge a batch into a partitioned table and rewrite only the partitions that
-    it touches: those that its rows go to, and those that hold its keys now. The
-    other partitions keep their files. ``merge`` is a function of (target, source,
-    keys, unique=True). Returns the counts of the merge."""
-    partition_by, keys = partition_columns(spark, path), list(keys)
-    if not partition_by:
-        raise ValueError(f"{path} has no partitions; write a new snapshot instead")
-    table = spark.read.parquet(path)
-    with scratch(spark) as keep:
-        batch = keep(one_per_key(src, keys, order))
-        held = table.join(batch.select(*keys), keys, "left_semi").select(*partition_by)
-        touched = keep(held.union(batch.select(*partition_by)).distinct())
-        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in partition_by]
-        marks = F.broadcast(touched.select(*[F.col(c).alias(f"_{c}") for c in partition_by]))  # one row per folder
-        part = table.join(marks, same, "left_semi")
-        counts = keep(merge_counts(part, batch, keys)).first().asDict()
-        replace_partitions(merge(part, batch, keys, unique=True), path, partition_by, touched)
-    return counts
+    """Merge a batch into a stored table; partitions that hold none of its keys keep
+    their files. Returns the counts of the merge within the rewritten partitions."""
+    return StoredTable(spark, path).upsert(src, keys, order, merge)
 
 
 class SnapshotStore:
-    """Named tables under one root, each a series of snapshot folders.
-
-    A write makes a new folder and never touches the one being read. A folder
-    counts once Spark has put its ``_SUCCESS`` mark there, so a job that dies
-    half-way leaves the previous content current.
-    """
+    """Named tables under one root. A reader keeps the version it opened."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-        self._path = spark._jvm.org.apache.hadoop.fs.Path
 
-    def _folders(self, name: str) -> list[tuple[int, str, bool]]:
-        base = self._path(f"{self.root}/{name}")
-        fs = base.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(base):
-            return []
-        found = []
-        for status in fs.listStatus(base):
-            p = status.getPath()
-            if p.getName().startswith("snapshot="):
-                found.append((int(p.getName().split("=")[1]), p.toString(), fs.exists(self._path(p, "_SUCCESS"))))
-        return sorted(found)
+    def _path(self, name: str) -> str:
+        return f"{self.root}/{name}"
 
     def exists(self, name: str) -> bool:
-        return any(done for _, _, done in self._folders(name))
+        return exists(self.spark, f"{self._path(name)}/{POINTERS}")
+
+    def table(self, name: str) -> StoredTable:
+        if not self.exists(name):
+            raise LookupError(f"no table {name} under {self.root}")
+        return StoredTable(self.spark, self._path(name))
 
     def read(self, name: str) -> DataFrame:
-        done = [path for _, path, ok in self._folders(name) if ok]
-        if not done:
-            raise LookupError(f"no snapshot of {name} under {self.root}")
-        return self.spark.read.parquet(done[-1])
+        return self.table(name).read()
 
     def read_or_none(self, name: str) -> DataFrame | None:
         return self.read(name) if self.exists(name) else None
 
-    def write(self, name: str, df: DataFrame) -> DataFrame:
-        taken = self._folders(name)
-        number = taken[-1][0] + 1 if taken else 1
-        write_layout(df, f"{self.root}/{name}/snapshot={number:06d}", name)
-        return self.read(name)
+    def write(self, name: str, df: DataFrame, buckets: int | None = None) -> DataFrame:
+        """New content. Tables with a key for buckets have as many as asked for, or
+        else as the rows before the write call for."""
+        if not self.exists(name):
+            table = write_layout(df, self._path(name), name, buckets or 0)
+            return table.read()
+        table = self.table(name)
+        if name in BUCKET_KEYS:
+            n = table.rows_in() // ROWS_PER_BUCKET if buckets is None else buckets
+            table.pointer = replace(table.pointer, bucket_by=tuple(BUCKET_KEYS[name]) if n else (), buckets=n)
+        table.overwrite(df)
+        return table.read()
 
     def merge(self, name: str, batch: DataFrame, keys, order=None) -> dict[str, int]:
-        """Upsert into the current snapshot of a partitioned table: only partitions
-        that the batch touches are rewritten, the others keep their files."""
-        done = [path for _, path, ok in self._folders(name) if ok]
-        if not done:
-            raise LookupError(f"no snapshot of {name} under {self.root}")
-        return upsert_stored(self.spark, done[-1], batch, keys, order)
+        """Upsert: only partitions that hold keys of the batch are rewritten."""
+        return self.table(name).upsert(batch, keys, order)
 
     def prune(self, name: str, keep: int = 2) -> None:
-        """Delete all but the newest ``keep`` complete snapshots (and what
-        failed writes left behind before them)."""
-        folders = self._folders(name)
-        done = [number for number, _, ok in folders if ok]
-        for number, path, _ in folders:
-            if done and number < done[-keep:][0]:
-                p = self._path(path)
-                p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+        """Delete all but the newest ``keep`` versions, and what failed writes left."""
+        self.table(name).prune(keep)

@@ -9,7 +9,8 @@ from meritrix.schemas import QCEW_CSV
 from meritrix.sources import readers
 from meritrix.session import scratch, stored
 from meritrix.sources.store import (
-    SnapshotStore, append_new, delete_partitions, partition_columns, replace_partitions, upsert_stored, write_layout,
+    SnapshotStore, StoredTable, append_new, delete_partitions, partition_columns, read_table, replace_partitions, upsert_stored,
+    write_layout,
 )
 
 HEAD = ",".join(QCEW_CSV.fieldNames())
@@ -108,7 +109,7 @@ def test_snapshots(spark, rows, tmp_path):
     assert [r.k for r in tables.read("dim_x").collect()] == [9]
     tables.prune("dim_x")
     assert sorted(f.name for f in (tmp_path / "t" / "dim_x").iterdir()) == [
-        "snapshot=000002", "snapshot=000003", "snapshot=000004"]
+        "_pointers", "snapshot=000002", "snapshot=000003", "snapshot=000004"]
 
 
 def test_partition_replacement_and_layout(spark, tmp_path):
@@ -116,28 +117,30 @@ def test_partition_replacement_and_layout(spark, tmp_path):
     df = spark.range(400).select(F.col("id").alias("v"), (F.col("id") % 4 + 2020).cast("int").alias("year"),
                                  F.lit(1).alias("qtr"), F.lit("06000").alias("area_fips"))
     write_layout(df, path, "fact_qcew")
-    table = spark.read.parquet(path)
+    table = read_table(spark, path)
     assert "PartitionFilters: [isnotnull(year" in table.filter("year = 2021")._jdf.queryExecution().executedPlan().toString()
     replace_partitions(table.filter("year = 2021").withColumn("v", F.lit(-1).cast("bigint")), path, ["year"])
-    after = spark.read.parquet(path)
+    after = read_table(spark, path)
     assert after.count() == 400 and after.filter("v = -1").select("year").distinct().first().year == 2021
     new = stored(after.filter("v <> -1").limit(5).withColumn("v", F.col("v") + 1000000))
     assert append_new(spark, path, new, ["v"]) == {"inserted": 5, "skipped": 0, "rejected": 0}
     assert append_new(spark, path, new, ["v"]) == {"inserted": 0, "skipped": 5, "rejected": 0}
-    assert spark.read.parquet(path).count() == 405
-    files = {f for f in (tmp_path / "fact").rglob("*.parquet") if "year=2021" not in str(f)}
+    assert read_table(spark, path).count() == 405
+    files = {f for f in read_table(spark, path).inputFiles() if "year=2021" not in f}
     delete_partitions(spark, path, F.col("v") == -1)
-    table = spark.read.parquet(path)
+    table = read_table(spark, path)
     assert table.filter("v = -1").count() == 0 and table.count() == 305
     assert partition_columns(spark, path) == ["year"]
-    assert files == set((tmp_path / "fact").rglob("*.parquet"))  # other partitions keep their files
+    assert files == set(table.inputFiles())  # other partitions keep their files
 
 
-def test_delete_without_partitions_swaps_the_table(spark, tmp_path):
+def test_delete_without_partitions(spark, tmp_path):
     path = str(tmp_path / "plain")
     spark.range(10).write.parquet(path)
-    delete_partitions(spark, path, F.col("id") > 3)
-    assert spark.read.parquet(path).count() == 4 and [f.name for f in tmp_path.iterdir()] == ["plain"]
+    before = read_table(spark, path)
+    assert delete_partitions(spark, path, F.col("id") > 3) == {"deleted": 6, "rewritten": 1}
+    assert read_table(spark, path).count() == 4 and [f.name for f in tmp_path.iterdir()] == ["plain"]
+    assert before.count() == 10  # opened before, and still whole
 
 
 def test_rows_without_a_key_are_kept_or_refused(spark, rows, tmp_path):
@@ -148,9 +151,9 @@ def test_rows_without_a_key_are_kept_or_refused(spark, rows, tmp_path):
     with pytest.raises(ValueError, match="without a key"):
         append_new(spark, path, batch, ["k"])
     for _ in range(2):  # a retry has other load times
-        assert append_new(spark, path, batch, ["k"], rejects=rejects)["rejected"] == 3
-    assert sorted(r.v for r in spark.read.parquet(rejects).collect()) == ["b", "c"]
-    assert spark.read.parquet(path).count() == 1
+        assert append_new(spark, path, batch, ["k"], rejects=rejects, load_columns=["at"])["rejected"] == 3
+    assert sorted((r.v, r.copies) for r in read_table(spark, rejects).collect()) == [("b", 2), ("c", 1)]
+    assert read_table(spark, path).count() == 1
 
 
 def test_upsert_of_a_stored_table_touches_few_partitions(spark, rows, tmp_path):
@@ -162,7 +165,7 @@ def test_upsert_of_a_stored_table_touches_few_partitions(spark, rows, tmp_path):
     assert before <= set((tmp_path / "t").rglob("*.parquet"))
     everything = rows("k int, v string, p string", *((i, "gone", "p 1") for i in range(0, 40, 4)))
     upsert_stored(spark, path, everything, ["k"])  # partition "p 0" is left empty
-    table = spark.read.parquet(path)
+    table = read_table(spark, path)
     assert table.count() == 41 and table.filter("p = 'p 0'").count() == 0 and table.filter("v = 'gone'").count() == 10
 
 

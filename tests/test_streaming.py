@@ -3,7 +3,7 @@ import json
 from pyspark.sql import functions as F
 
 from meritrix.sources.readers import select_files
-from meritrix.sources.store import SnapshotStore
+from meritrix.sources.store import SnapshotStore, read_table
 from meritrix.streaming.ingest import load_year, pending_files, refresh_years, stream_ingest
 from meritrix.streaming.refresh import refresh, refresh_batch
 
@@ -21,7 +21,7 @@ def test_two_runs_equal_one(spark, tmp_path):
 
     def run():
         stream_ingest(spark, str(landing), target, marks).awaitTermination()
-        return {r.job_id: r.raw_data for r in spark.read.parquet(target).collect()}
+        return {r.job_id: r.raw_data for r in read_table(spark, target).collect()}
 
     assert run() == {}
     (landing / "1.json").write_text("\n".join(payload(i) for i in (1, 2, 2)))
@@ -29,7 +29,7 @@ def test_two_runs_equal_one(spark, tmp_path):
     (landing / "2.json").write_text("\n".join(payload(i, "changed") for i in (2, 3)))
     got = run()
     assert set(got) == {"1", "2", "3"} and "Data Analyst" in got["2"] and "changed" in got["3"]
-    assert spark.read.parquet(target).count() == 3
+    assert read_table(spark, target).count() == 3
     assert run() == got
 
 
@@ -50,7 +50,7 @@ def test_years_are_replaced_one_by_one(spark, tmp_path):
     load_year(year(2023, "again"), path, 2023)
     both = year(2023, "new").union(year(2024, "new")).union(year(2022, "ignored"))
     refresh_years(both, path, [2023, 2024])
-    got = {(r.year, r.v, r.n) for r in spark.read.parquet(path).groupBy("year", "v").agg(F.count("*").alias("n")).collect()}
+    got = {(r.year, r.v, r.n) for r in read_table(spark, path).groupBy("year", "v").agg(F.count("*").alias("n")).collect()}
     assert got == {(2022, "first", 3), (2023, "new", 3), (2024, "new", 3)}
 
 
