@@ -13,7 +13,7 @@ from meritrix.operators import joins as J
 from meritrix.operators import windows as W
 from meritrix.functions import lookups as L
 from meritrix.operators.filters import salary_in_range
-from meritrix.operators.resolver import fips_names, resolve_soc, soc_stats
+from meritrix.operators.resolver import fips_names, resolve_soc, soc_patterns, soc_seed, soc_stats
 from meritrix.plans import gold, quality, reads, silver, views
 from meritrix.session import stored
 
@@ -375,6 +375,38 @@ def _(spark, sf):
     return resolve_soc(load(spark, sf, "documents").select(F.explode(F.split("text", r"\.")).alias("job_title")))
 
 
+# the same with lookups that are frames and may be large: equi joins
+@check("resolve_soc_joins", f"WITH {O.POSTINGS} {O.RESOLVED} SELECT * FROM resolved")
+def _(spark, sf):
+    return resolve_soc(postings(spark, sf), seed=soc_seed(spark), patterns=soc_patterns(spark))
+
+
+@check("resolve_free_text_joins", SQL["resolve_soc_free_text"])
+def _(spark, sf):
+    titles = load(spark, sf, "documents").select(F.explode(F.split("text", r"\.")).alias("job_title"))
+    return resolve_soc(titles, seed=soc_seed(spark), patterns=soc_patterns(spark))
+
+
+PART_SQL = """SELECT p_name || ' ' || lower(p_type) || ' no ' || CAST(p_partkey AS VARCHAR) AS name, p_partkey FROM @part"""
+GARBLED = """SELECT CASE p_partkey % 5 WHEN 0 THEN name WHEN 1 THEN substr(name, 2) WHEN 2 THEN 'xy' || name
+ WHEN 3 THEN replace(name, ' no ', ' nr ') || 's' ELSE 'an entirely other ' || name END AS job_title FROM names"""
+
+
+# every part's name is a seed, the end of it a pattern; titles are garbled names
+@check("resolve_part_names", f"WITH names AS ({PART_SQL.replace('@', '')}), postings AS ({GARBLED}) " + O.RESOLVED.replace(
+    f"(VALUES {O.values(L.SOC_TITLE_SEED)})", "(SELECT name, '15-0000', name FROM names)").replace(
+    f"(VALUES {O.values(L.SOC_TITLE_PATTERNS)})", "(SELECT 'no ' || CAST(p_partkey AS VARCHAR), '17-0000', name FROM names)")
+    + " SELECT * FROM resolved")
+def _(spark, sf):
+    load(spark, sf, "part").createOrReplaceTempView("given_part")
+    names = stored(spark.sql(PART_SQL.replace("@", "given_").replace("VARCHAR", "STRING")))
+    names.createOrReplaceTempView("names")
+    seed = names.select(F.col("name").alias("title_norm"), F.lit("15-0000").alias("soc_code"), F.col("name").alias("soc_title"))
+    patterns = names.select(F.concat(F.lit("no "), F.col("p_partkey").cast("string")).alias("pattern"),
+                            F.lit("17-0000").alias("soc_code"), F.col("name").alias("soc_title"))
+    return resolve_soc(spark.sql(GARBLED), seed=seed, patterns=patterns)
+
+
 @check("soc_stats", f"""WITH {O.POSTINGS} {O.RESOLVED} SELECT match_method, count(*) AS title_count,
  CAST(sum(posting_count) AS BIGINT) AS total_postings FROM resolved GROUP BY 1""")
 def _(spark, sf):
