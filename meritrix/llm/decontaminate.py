@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meritrix.llm.tasks import map_batches, share_code, utf8
+from meritrix.llm.tasks import carried, map_batches, share_code, utf8
 from meritrix.session import stored
 
 #: Benchmark text in one broadcast block; larger benchmarks take several passes.
@@ -132,20 +132,22 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = 1
     """
     share_code(docs.sparkSession)
     kept = (id_col, *keep)
-    state = docs.select(*kept, F.col(text).cast("string").alias("text_to_search"),
+    searched, extra = carried(docs, text, keep, "text_to_search")
+    state = docs.select(*kept, *extra,
                         F.array().cast("array<int>").alias("spans"), F.array().cast("array<string>").alias("items"))
     kinds = ", ".join(f"`{c}` {state.schema[c].dataType.simpleString()}" for c in kept)
-    schema = f"{kinds}, text_to_search string, spans array<int>, items array<string>, n_words bigint, n_hit bigint"
+    kinds += ", text_to_search string" if extra else ""
+    schema = f"{kinds}, spans array<int>, items array<string>, n_words bigint, n_hit bigint"
     for number, block in enumerate(_blocks(benchmark, item_col, text)):
         if number:
             state = state.drop("n_words", "n_hit")
         if number and number % PASSES_PER_JOB == 0:
             state = stored(state)
-        state = map_batches(state, _pass(docs.sparkSession, kept, block, window), schema)
+        state = map_batches(state, _pass(docs.sparkSession, (*kept, searched) if extra else kept, searched, block, window), schema)
     return state.select(*kept, "n_words", "n_hit", "spans", "items", (F.col("n_hit") > 0).alias("contaminated"))
 
 
-def _pass(spark, kept: tuple[str, ...], block: list, window: int):
+def _pass(spark, carried_on: tuple[str, ...], searched: str, block: list, window: int):
     """One block against a batch of texts. The index is built once per task."""
     shared, built = spark.sparkContext.broadcast(block), []
 
@@ -153,7 +155,7 @@ def _pass(spark, kept: tuple[str, ...], block: list, window: int):
         if not built:
             built.append(Index(shared.value, window))
         index, spans, items, n_words, n_hit = built[0], [], [], [], []
-        for raw, old, known in zip(utf8(batch, "text_to_search"), batch.column("spans").to_pylist(),
+        for raw, old, known in zip(utf8(batch, searched), batch.column("spans").to_pylist(),
                                    batch.column("items").to_pylist()):
             words, found = words_of(raw), set(known)
             mask = bytearray(len(words))
@@ -165,9 +167,9 @@ def _pass(spark, kept: tuple[str, ...], block: list, window: int):
             n_words.append(len(words))
             n_hit.append(mask.count(1))
         return pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in kept), batch.column("text_to_search"), pa.array(spans, pa.list_(pa.int32())),
+            [*(batch.column(c) for c in carried_on), pa.array(spans, pa.list_(pa.int32())),
              pa.array(items, pa.list_(pa.string())), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64())],
-            [*kept, "text_to_search", "spans", "items", "n_words", "n_hit"])
+            [*carried_on, "spans", "items", "n_words", "n_hit"])
 
     return work
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meritrix.llm.tasks import forget_state, map_batches, pieces, share_code, utf8, worker_state
+from meritrix.llm.tasks import carried, forget_state, map_batches, pieces, share_code, utf8, worker_state
 from meritrix.session import stored
 
 #: Size of the model: the most frequent words and n-grams of all languages. Counts
@@ -225,7 +225,8 @@ def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text: str
     key = "langid:" + hashlib.sha256(pickle.dumps((model.langs, list(model.words), list(model.grams)))
                                      + model.scores.tobytes() + pickle.dumps((model.known, model.bounds))).hexdigest()
     columns = (id_col, *keep)
-    narrow = docs.select(*columns, F.col(text).cast("string").alias("text_to_judge"))
+    judged, extra = carried(docs, text, keep, "text_to_judge")
+    narrow = docs.select(*columns, *extra)
 
     def one(rows: _Rows, raw: bytes) -> tuple[str, float, bool]:
         words = words_of(raw.decode())
@@ -236,7 +237,7 @@ def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text: str
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = worker_state(key, lambda: _Rows(shared.value))
-        found = [one(rows, raw) for raw in utf8(batch, "text_to_judge")]
+        found = [one(rows, raw) for raw in utf8(batch, judged)]
         return pa.RecordBatch.from_arrays(
             [*(batch.column(c) for c in columns), pa.array([f[0] for f in found], pa.string()),
              pa.array([f[1] for f in found], pa.float64()), pa.array([f[2] for f in found], pa.bool_())],

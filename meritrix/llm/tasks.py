@@ -13,11 +13,18 @@ _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__
 _STATE: dict[str, object] = {}
 #: Rows of an Arrow batch that are worked on at once.
 ROWS = 500
+#: Bytes of an Arrow batch, and the setting for it. Spark's default is large for texts:
+#: a task holds batches on both sides of the pipe, and buffers of twice their size.
+BATCH_BYTES, DEFAULT_BYTES = 8 << 20, 64 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def share_code(spark: SparkSession) -> None:
     """Let Python workers of a source checkout import this package. A cluster
-    that has it installed does not need the path; a missing path is harmless."""
+    that has it installed does not need the path; a missing path is harmless.
+    Arrow batches become smaller where the session has the default size."""
+    if spark.conf.get(BATCH_SETTING) in (f"{DEFAULT_BYTES}b", str(DEFAULT_BYTES)):
+        spark.conf.set(BATCH_SETTING, f"{BATCH_BYTES}b")
     environment = spark.sparkContext.environment
     paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
     if _ROOT not in paths:
@@ -60,6 +67,14 @@ def forget_state() -> None:
     _STATE.clear()
 
 
+def carried(docs: DataFrame, text: str, keep: tuple[str, ...], name: str) -> tuple[str, list[Column]]:
+    """The column that a task reads texts from, and what to select for it: a kept text
+    column goes to Python once."""
+    if text in keep and docs.schema[text].dataType.simpleString() == "string":
+        return text, []
+    return name, [F.col(text).cast("string").alias(name)]
+
+
 def utf8(batch: pa.RecordBatch, name: str) -> list[bytes]:
     """The texts of a column as UTF-8 bytes; null gives the empty text."""
     return [value or b"" for value in batch.column(name).cast(pa.binary()).to_pylist()]
