@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meritrix.llm.tasks import carried, forget_state, map_batches, pieces, share_code, utf8, worker_state
+from meritrix.llm.tasks import carried, forget_state, map_batches, pieces, share_code, task, utf8, worker_state
 from meritrix.session import stored
 
 #: Size of the model: the most frequent words and n-grams of all languages. Counts
@@ -138,7 +138,7 @@ def _counted(frame: DataFrame, keys: str, count) -> DataFrame:
         if counts:
             yield _flat(counts, schema)
 
-    return (frame.mapInArrow(run, f"lang string, {keys} string, n bigint")
+    return (frame.mapInArrow(task(run), f"lang string, {keys} string, n bigint")
             .groupBy("lang", keys).agg(F.sum("n").alias("n")))
 
 

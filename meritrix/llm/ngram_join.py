@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meritrix.llm.tasks import forget_state, map_batches, pieces, share_code, utf8
+from meritrix.llm.tasks import forget_state, map_batches, pieces, share_code, task, utf8
 from meritrix.session import stored
 
 #: log2 of the buckets that n-grams are counted in, of those for words, of those of
@@ -174,9 +174,10 @@ def _slices(counts: np.ndarray) -> tuple[list[int], list[bytes]]:
     return at, [zlib.compress(parts[i].tobytes(), 1) for i in at]
 
 
-def bucket_sums(packed: DataFrame, bits: int, kind: type = np.int64, add=np.add) -> np.ndarray:
-    """Sum of packed (slice, counts) rows. Rows of a slice meet in one task, which
-    adds them one after the other; the driver receives 2**bits packed counts."""
+def bucket_sums(packed: DataFrame, bits: int, given: type = np.uint32, kind: type = np.int64, add=np.add) -> np.ndarray:
+    """Sum of packed (slice, counts) rows, whose counts are of the type ``given``. Rows of
+    a slice meet in one task, which adds them one after the other as ``kind``; the
+    driver receives 2**bits packed counts."""
     share_code(packed.sparkSession)
     schema = pa.schema([("slice", pa.int32()), ("counts", pa.binary())])
 
@@ -184,14 +185,14 @@ def bucket_sums(packed: DataFrame, bits: int, kind: type = np.int64, add=np.add)
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for at, counts in zip(batch.column("slice").to_pylist(), batch.column("counts").to_pylist()):
-                more = np.frombuffer(zlib.decompress(counts), kind)
+                more = np.frombuffer(zlib.decompress(counts), given).astype(kind)
                 sums[at] = add(sums[at], more) if at in sums else more
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(sums), pa.int32()), pa.array([zlib.compress(s.tobytes(), 1) for s in sums.values()], pa.binary())],
             schema=schema)
 
     total = np.zeros((SLICES, (1 << bits) // SLICES), kind)
-    added = packed.repartition(SLICES, "slice").mapInArrow(sums_of, "slice int, counts binary")
+    added = packed.repartition(SLICES, "slice").mapInArrow(task(sums_of), "slice int, counts binary")
     for row in added.collect():  # one row per slice
         total[row.slice] = np.frombuffer(zlib.decompress(row.counts), kind)
     return total.reshape(-1)
@@ -205,13 +206,13 @@ def _measured(docs: DataFrame, n: int) -> DataFrame:
 
     def run(batches):
         forget_state()
-        counts, id_type = [np.zeros(1 << bits, np.int64) for bits in (COUNT_BITS, WORD_BITS)], None
+        counts, id_type = [np.zeros(1 << bits, np.uint32) for bits in (COUNT_BITS, WORD_BITS)], None
         for batch in pieces(batches):
             words = [word_hashes(raw) for raw in utf8(batch, "text")]
             sets = [np.unique(_windows(w, n)) if len(w) else w for w in words]
             for total, hashes, bits in zip(counts, (sets, words), (COUNT_BITS, WORD_BITS)):
                 buckets, seen = np.unique(_bucket(np.concatenate(hashes), bits), return_counts=True)
-                total[buckets] += seen
+                total[buckets] += seen.astype(np.uint32)
             id_type = batch.column("doc_id").type
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
@@ -224,7 +225,7 @@ def _measured(docs: DataFrame, n: int) -> DataFrame:
                     [pa.nulls(len(at), id_type), pa.nulls(len(at), pa.int64()), pa.nulls(len(at), pa.binary()),
                      pa.array([a + kind_of * SLICES for a in at], pa.int32()), pa.array(packed, pa.binary())], names)
 
-    return docs.mapInArrow(run, f"doc_id {kind}, n bigint, class binary, slice int, counts binary")
+    return docs.mapInArrow(task(run), f"doc_id {kind}, n bigint, class binary, slice int, counts binary")
 
 
 def _prefixes(docs: DataFrame, order, percent: int) -> DataFrame:
@@ -258,8 +259,8 @@ class Filter:
             at, packed = _slices(counts)
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(packed, pa.binary())], ["slice", "counts"])
 
-        marks = members.select("class").mapInArrow(mark, "slice int, counts binary")
-        marked = bucket_sums(marks, FILTER_BITS, np.uint8, np.maximum) > 0
+        marks = members.select("class").mapInArrow(task(mark), "slice int, counts binary")
+        marked = bucket_sums(marks, FILTER_BITS, np.uint8, np.uint8, np.maximum) > 0
         self.bits = members.sparkSession.sparkContext.broadcast(np.packbits(marked))
 
     def passes(self, name: bytes) -> bool:

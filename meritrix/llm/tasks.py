@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 from collections.abc import Callable, Iterator
 
@@ -31,6 +33,26 @@ def share_code(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([*paths, _ROOT])
 
 
+def give_back() -> None:
+    """Return freed memory to the system. Workers are used again and again, and what a
+    task held at its peak would otherwise stay with them."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only glibc has it
+    if trim:
+        trim(0)
+
+
+def task(run: Callable) -> Callable:
+    """A task over Arrow batches that gives its memory back when it ends."""
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return whole
+
+
 def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The rows of the batches, at most ROWS at a time, without copying."""
     for batch in batches:
@@ -48,7 +70,7 @@ def map_batches(frame: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatc
         for piece in pieces(batches):
             yield work(piece)
 
-    return frame.mapInArrow(run, schema)
+    return frame.mapInArrow(task(run), schema)
 
 
 def worker_state(key: str, build: Callable[[], object]) -> object:
@@ -56,7 +78,7 @@ def worker_state(key: str, build: Callable[[], object]) -> object:
     one operator after the other, so only the latest one's state is kept; it is
     rebuilt at need, and a lost worker costs time only."""
     if key not in _STATE:
-        _STATE.clear()
+        forget_state()
         _STATE[key] = build()
     return _STATE[key]
 
@@ -64,7 +86,10 @@ def worker_state(key: str, build: Callable[[], object]) -> object:
 def forget_state() -> None:
     """Called by tasks without such state, so that a worker does not hold that of
     the operator it served before."""
-    _STATE.clear()
+    if _STATE:
+        _STATE.clear()
+        gc.collect()
+        give_back()
 
 
 def carried(docs: DataFrame, text: str, keep: tuple[str, ...], name: str) -> tuple[str, list[Column]]:
