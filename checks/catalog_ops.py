@@ -20,7 +20,7 @@ from meritrix.operators import merge as M
 from meritrix.operators import windows as W
 from meritrix.plans import gold
 from meritrix.session import scratch_path, stored
-from meritrix.sources import readers, store
+from meritrix.sources import landing, readers, store
 from meritrix.streaming import ingest
 from meritrix.streaming.refresh import refresh, refresh_batch
 
@@ -132,6 +132,34 @@ def _(spark, sf):
         F.sum("rows_read").alias("rows_read"), F.sum("rows_skipped").alias("rows_skipped"), F.count("*").cast("int").alias("files"))
 
 
+def landed_and_refused(spark, path, kind):
+    """A wage drop through ``land_wages``: rows by table, and the counts it reports."""
+    target, bad = scratch_path(spark, "raw_oews"), scratch_path(spark, "quarantine")
+    counts = landing.land_wages(spark, path, 2023, target, bad, kind=kind)
+    landed, refused = store.read_table(spark, target), store.read_table(spark, bad)
+    return landed.agg(
+        F.lit("landed").alias("place"), F.count("record").alias("n"), F.max(F.lit(counts["read"])).cast("bigint").alias("rows_read")
+    ).union(refused.agg(F.lit("refused"), F.count_if(F.expr("line IS NOT NULL AND row_no > 0 AND reason IS NOT NULL")),
+                        F.max(F.lit(counts["skipped"])).cast("bigint")))
+
+
+LANDED = f"""WITH {cte('oews_raw')} SELECT 'landed' AS place, count(*) FILTER (tot_emp NOT LIKE '%7') AS n, count(*) AS rows_read FROM oews_raw
+ UNION ALL SELECT 'refused', count(*) FILTER (tot_emp LIKE '%7'), count(*) FILTER (tot_emp LIKE '%7') FROM oews_raw"""
+
+
+@check("land_wages_ndjson", LANDED)
+def _(spark, sf):
+    rows = oews_bronze(spark, sf)
+    broken = F.get_json_object("record", "$.TOT_EMP").endswith("7")
+    path = text_drop(rows.withColumn("record", F.when(broken, F.lit('{"AREA": ')).otherwise(F.col("record"))), "record", "oews")
+    return landed_and_refused(spark, path, "ndjson")
+
+
+@check("land_wages_csv", LANDED)
+def _(spark, sf):
+    return landed_and_refused(spark, two_headers(spark, sf), "csv")
+
+
 @check("read_jolts", """SELECT event_type AS series_id, year(ts) AS year, 'M' || lpad(CAST(month(ts) AS VARCHAR), 2, '0') AS period, value FROM events""")
 def _(spark, sf):
     e = load(spark, sf, "events")

@@ -1,15 +1,19 @@
-"""Checked queries over stored tables: kinds of partitions, versions, key buckets."""
+"""Checked queries over stored tables: kinds of partitions, versions, key buckets,
+and views kept up by signed changes."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.adapters import load
-from checks.catalog import check
+from checks import catalog
+from checks.adapters import adapter, load
+from checks.catalog import SQL, check
 from meritrix.operators import windows as W
+from meritrix.plans import gold
 from meritrix.session import scratch_path, stored
 from meritrix.sources import store
-from meritrix.streaming import ingest
+from meritrix.streaming import delta, ingest
+from meritrix.streaming.refresh import refresh, refresh_batch
 
 #: Orders with partition values of every kind: codes with leading zeros, an empty and a missing
 #: string, a string that looks like a folder name's mark, flags and days, some of them missing.
@@ -146,3 +150,99 @@ def _(spark, sf):
     for _ in range(2):
         store.append_new(spark, path, rows.withColumn("loaded_at", F.current_timestamp()), ["key"], rejects=rejects)
     return store.read_table(spark, rejects).select("o_orderstatus", "day", "copies")
+
+
+# -- signed changes --------------------------------------------------------
+
+def postings_by_batches(spark, sf, view):
+    """The test postings in a stored table, reached by a first load with wrong and with
+    false rows, a view over it, and then corrections: updates, inserts and deletions."""
+    tables, true = store.SnapshotStore(spark, scratch_path(spark, "tables")), stored(catalog.postings(spark, sf))
+    view = next(v for v in delta.VIEWS if v.name == view)
+    number = F.regexp_extract("job_id", "([0-9]+)$", 1).cast("bigint")
+    wrong = number % 3 == 0
+    first = true.where(number % 5 > 0).withColumns({
+        "salary_min": F.when(wrong, F.col("salary_min") / 2).otherwise(F.col("salary_min")),
+        "experience_level": F.when(wrong, "mid").otherwise(F.col("experience_level")),
+        "location_state": F.when(wrong, "Ohio").otherwise(F.col("location_state")),
+        "posted_date": F.when(wrong, F.date_add("posted_date", 3)).otherwise(F.col("posted_date"))})
+    false_rows = true.where(number % 11 == 0).withColumn("job_id", F.concat(F.lit("false_"), "job_id"))
+    tables.write("jobs_unified", first.unionByName(false_rows))
+    tables.write("dim_category", gold.category_labels(true))
+    tables.write("dim_company", gold.company_labels(true))
+    delta.maintain(tables, view)
+    tables.merge("jobs_unified", true.where(wrong), ["source", "job_id"])
+    delta.maintain(tables, view)
+    jobs = tables.table("jobs_unified")
+    jobs.append_new(true, ["source", "job_id"])
+    jobs.delete(F.col("job_id").startswith("false_"))
+    report = delta.maintain(tables, view)
+    if report["rebuilt"] or not report["changed"] or delta.maintain(tables, view)["changed"]:
+        raise AssertionError(report)
+    return tables
+
+
+def _kept(name, view, build):
+    @check(f"{name}_by_changes", SQL[name])
+    def _(spark, sf):
+        return build(postings_by_batches(spark, sf, view))
+
+
+_kept("experience_by_sector", "agg_experience", delta.experience_by_sector)
+_kept("geo_distribution", "agg_geo", delta.geo_distribution)
+_kept("remote_by_sector", "agg_remote", delta.remote_by_sector)
+_kept("category_by_sector", "agg_category", delta.category_by_sector)
+_kept("top_employers", "agg_employers", delta.top_employers)
+_kept("posting_trends", "agg_trends", lambda tables: delta.posting_trends(tables, catalog.AS_OF))
+
+
+@check("soc_major_distribution_by_changes", SQL["soc_major_distribution"])
+def _(spark, sf):
+    fact, occupations = catalog.posting_fact(spark, sf)
+    tables = store.SnapshotStore(spark, scratch_path(spark, "tables"))
+    tables.write("dim_occupation", occupations)
+    tables.write("fact_job_postings", fact.withColumn("occupation_key", F.when(F.xxhash64("posting_key") % 3 != 0, F.col("occupation_key"))))
+    delta.maintain_all(tables)
+    tables.merge("fact_job_postings", fact.where(F.xxhash64("posting_key") % 3 == 0), ["posting_key"])
+    delta.maintain_all(tables)
+    return delta.soc_major_distribution(tables)
+
+
+def statistics_by_batches(spark, sf):
+    """Employment and wage records: most by a whole refresh, the rest, and revisions of
+    what is there, as batches."""
+    tables = store.SnapshotStore(spark, scratch_path(spark, "tables"))
+    qcew, oews = adapter(spark, sf, "qcew_raw"), catalog.oews_bronze(spark, sf)
+    later = F.xxhash64("area_fips", "industry_code", "own_code", "year", "qtr") % 4 == 0
+    again = F.xxhash64("area_fips", "industry_code", "own_code", "year", "qtr") % 10 == 1
+    tables.write("raw_bls_qcew", qcew.where(~later).withColumn(
+        "total_qtrly_wages", F.when(again, F.col("total_qtrly_wages") / 2).otherwise(F.col("total_qtrly_wages"))))
+    late_record = F.xxhash64("record") % 3 == 0
+    tables.write("raw_bls_oews", oews.where(~late_record))
+    tables.write("dim_occupation", catalog.occupations(spark, sf)[1])
+    refresh(tables, ["raw_bls_qcew", "raw_bls_oews"])
+    delta.maintain_all(tables)
+    refresh_batch(tables, "raw_bls_qcew", qcew.where(again & (F.col("year") < 1996)))
+    refresh_batch(tables, "raw_bls_qcew", qcew.where(later | again & (F.col("year") >= 1996)))
+    refresh_batch(tables, "raw_bls_oews", oews.where(late_record))
+    delta.maintain_all(tables)
+    return tables
+
+
+@check("fact_qcew_by_batches", SQL["fact_qcew"])
+def _(spark, sf):
+    return statistics_by_batches(spark, sf).read("fact_qcew").drop("location_key")
+
+
+@check("fact_oews_wages_by_batches", SQL["fact_oews_wages"])
+def _(spark, sf):
+    wages = statistics_by_batches(spark, sf).read("fact_oews_wages")
+    return wages.select("oews_key", "date_key", "occupation_key", "survey_year", "area", "area_type", "occ_code",
+                        "occ_title", "tot_emp", "a_median")
+
+
+@check("qcew_employment_trend_by_changes", f"""SELECT state_fips, own_label, year, qtr, round(state_employment, 3) AS state_employment,
+ round(state_qtrly_wages, 3) AS state_qtrly_wages, round(state_avg_wkly_wage, 3) AS state_avg_wkly_wage, quarter_start_date FROM ({SQL['qcew_employment_trend']})""")
+def _(spark, sf):
+    return delta.qcew_employment_trend(statistics_by_batches(spark, sf)).withColumns(
+        {c: F.round(c, 3) for c in ("state_employment", "state_qtrly_wages", "state_avg_wkly_wage")})

@@ -31,6 +31,11 @@ def federal_vs_private_gap(gap: DataFrame, min_postings: int = 1, k: int = 30) -
 def soc_major_distribution(fact: DataFrame, dim_occupation: DataFrame) -> DataFrame:
     """Counted per key first; the dimension then labels a handful of rows."""
     per_key = fact.dropna(subset=["occupation_key"]).groupBy("occupation_key", "sector").agg(F.count("*").alias("n"))
+    return majors_labelled(per_key, dim_occupation)
+
+
+def majors_labelled(per_key: DataFrame, dim_occupation: DataFrame) -> DataFrame:
+    """The distribution from its counts ``n`` per occupation key and sector."""
     return (
         mapped(join_occupation(per_key, dim_occupation))
         .groupBy("soc_major_title", "sector").agg(F.sum("n").alias("posting_count"))

@@ -53,6 +53,11 @@ def experience_by_sector(clean: DataFrame, dim_category: DataFrame) -> DataFrame
     per_label = clean.groupBy("sector", "source", "experience_level", "employment_type", "job_category").agg(
         F.count("*").alias("n")
     )
+    return experience_shares(per_label, dim_category)
+
+
+def experience_shares(per_label: DataFrame, dim_category: DataFrame) -> DataFrame:
+    """The view from its counts ``n`` per category."""
     counts = label_category(per_label, dim_category).groupBy(
         "sector", "source", "experience_level", "employment_type", "category_group"
     ).agg(F.sum("n").alias("job_count"))
@@ -92,6 +97,11 @@ def top_employers(clean: DataFrame, dim_company: DataFrame) -> DataFrame:
         F.count_if("is_entry_level").alias("entry_level_count"),
         F.round(F.avg("salary_min"), 0).alias("avg_salary_min"),
     )
+    return employers_labelled(per_name, dim_company)
+
+
+def employers_labelled(per_name: DataFrame, dim_company: DataFrame) -> DataFrame:
+    """The view from its counts per employer name."""
     parents = dim_company.select(F.col("company_name").alias("company_or_agency"), "agency_parent")
     return (
         per_name.join(parents, "company_or_agency", "left")

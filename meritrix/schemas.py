@@ -76,6 +76,7 @@ USER_PREFERENCES = _struct("user_email string, pref_type string, pref_value stri
 LAYOUT = {
     "jobs_unified": (["sector"], ["posted_date"]),
     "raw_bls_qcew": (["year", "qtr"], ["area_fips"]),
+    "raw_bls_oews": (["survey_year"], []),
     "bls_qcew_quarterly": (["year", "qtr"], ["state_fips"]),
     "bls_oews_annual": (["survey_year"], ["occ_code"]),
     "fact_qcew": (["year"], ["qtr", "area_fips"]),

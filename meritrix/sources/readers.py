@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from meritrix.functions import lookups as L
 from meritrix.schemas import JOLTS, QCEW_CSV
 
 FILE_COLUMN = "source_file"
+HEADER_THREADS = 32
 
 
 def with_source_file(df: DataFrame) -> DataFrame:
@@ -139,6 +141,28 @@ def _oews_lines(spark, path, glob):
     return with_source_file(reader.text(path).select("value", "_metadata"))
 
 
+def _placed(df: DataFrame) -> DataFrame:
+    """Where rows stand: their file, the block of it that one task reads, and an order
+    inside the block."""
+    return df.withColumns({"file": F.col("_metadata.file_path"), "block": F.col("_metadata.file_block_start"),
+                           "at": F.monotonically_increasing_id()})
+
+
+def oews_records(spark: SparkSession, path: str, kind: str, glob: str | None = None) -> DataFrame:
+    """All rows of a wage drop, ``ndjson`` or ``csv``, with what is wrong with them:
+    (record, source_file, line, reason, file, block, at). ``record`` is the JSON of a good
+    row; a bad one has its ``line`` and the ``reason`` instead."""
+    if kind == "csv":
+        rows = _oews_csv(spark, path, placed=True)
+        bad, line, record, reason = F.col("bad"), F.col("line"), F.col("record"), "cells do not fit the header"
+    else:
+        reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
+        rows = _placed(with_source_file(reader.text(path).select("value", "_metadata")).select("*", "_metadata"))
+        bad, line, record, reason = F.try_parse_json("value").isNull(), F.col("value"), F.col("value"), "not JSON"
+    return rows.select(F.when(~bad, record).alias("record"), FILE_COLUMN, F.when(bad, line).alias("line"),
+                       F.when(bad, reason).alias("reason"), "file", "block", "at")
+
+
 def read_oews_csv(spark: SparkSession, path: str, survey_year: int) -> DataFrame:
     """Wage CSV bound by header name, in any case and column order, file by file;
     one JSON record per row with upper-case keys and suppressed cells left out.
@@ -154,24 +178,31 @@ def oews_csv_bad_rows(spark: SparkSession, path: str) -> DataFrame:
         F.count("record").alias("rows_read"), F.count_if("bad").alias("rows_skipped"))
 
 
-def _oews_csv(spark: SparkSession, path: str) -> DataFrame:
+def _oews_csv(spark: SparkSession, path: str, placed: bool = False) -> DataFrame:
     """All rows of a drop: its files are grouped by their header line, each group
-    is one scan, and the scans are put together."""
+    is one scan, and the scans are put together. Header lines are read by many
+    threads, as an object store answers each of them slowly."""
+    files = [row.path for row in spark.read.format("binaryFile").load(path).select("path").collect()]  # names only
     by_header: dict[str, list[str]] = {}
-    for row in spark.read.format("binaryFile").load(path).select("path").collect():  # names only
-        by_header.setdefault(_first_line(spark, row.path), []).append(row.path)
+    with ThreadPoolExecutor(HEADER_THREADS) as pool:
+        for header, file in zip(pool.map(lambda p: _first_line(spark, p), files), files):
+            by_header.setdefault(header, []).append(file)
     options = {"header": True, "ignoreLeadingWhiteSpace": True, "ignoreTrailingWhiteSpace": True}
     frames = []
     for _, paths in sorted(by_header.items()):
         names = spark.read.options(**options).csv(paths[0]).columns
         schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, "_bad")])
         raw = spark.read.options(**options, columnNameOfCorruptRecord="_bad").schema(schema).csv(paths)
-        cells = nullify(with_source_file(raw.select("*", "_metadata")).select(*names, FILE_COLUMN, "_bad"), L.OEWS_NULL_TOKENS)
+        raw = with_source_file(raw.select("*", "_metadata"))
+        where = ["file", "block", "at"] if placed else []
+        raw = _placed(raw.select("*", "_metadata")) if placed else raw
+        cells = nullify(raw.select(*names, FILE_COLUMN, "_bad", *where), L.OEWS_NULL_TOKENS)
         frames.append(cells.select(
             F.to_json(F.struct(*[F.col(n).alias(n.upper()) for n in names])).alias("record"),
-            FILE_COLUMN, F.col("_bad").isNotNull().alias("bad")))
+            FILE_COLUMN, F.col("_bad").isNotNull().alias("bad"), *([F.col("_bad").alias("line")] if placed else []), *where))
     if not frames:
-        return spark.createDataFrame([], f"record string, {FILE_COLUMN} string, bad boolean")
+        more = ", line string, file string, block bigint, at bigint" if placed else ""
+        return spark.createDataFrame([], f"record string, {FILE_COLUMN} string, bad boolean{more}")
     return reduce(DataFrame.unionByName, frames)
 
 

@@ -112,7 +112,8 @@ def exists(spark: SparkSession, path: str) -> bool:
 class Pointer:
     """One version of a table. ``parts`` maps the folder of each partition, relative
     to a snapshot, to the snapshots that hold its rows; 0 stands for files that were
-    there before the table had pointers. ``written`` counts the folders of a snapshot."""
+    there before the table had pointers. ``written`` counts the folders of a snapshot.
+    ``derived`` names the versions of other tables that this content is derived from."""
 
     number: int
     schema: T.StructType
@@ -122,6 +123,7 @@ class Pointer:
     buckets: int = 0
     parts: dict[str, tuple[int, ...]] = field(default_factory=dict)
     written: dict[int, int] = field(default_factory=dict)
+    derived: dict[str, int] = field(default_factory=dict)
 
     @property
     def folders_by(self) -> tuple[str, ...]:
@@ -130,14 +132,15 @@ class Pointer:
     def to_json(self) -> str:
         return json.dumps({
             "schema": self.schema.jsonValue(), "partition_by": self.partition_by, "sort_by": self.sort_by,
-            "bucket_by": self.bucket_by, "buckets": self.buckets, "parts": self.parts, "written": self.written})
+            "bucket_by": self.bucket_by, "buckets": self.buckets, "parts": self.parts, "written": self.written,
+            "derived": self.derived})
 
     @staticmethod
     def from_json(number: int, text: str) -> "Pointer":
         d = json.loads(text)
         return Pointer(number, T.StructType.fromJson(d["schema"]), tuple(d["partition_by"]), tuple(d["sort_by"]),
                        tuple(d["bucket_by"]), d["buckets"], {k: tuple(v) for k, v in d["parts"].items()},
-                       {int(k): v for k, v in d["written"].items()})
+                       {int(k): v for k, v in d["written"].items()}, d.get("derived", {}))
 
 
 def _encoded(column: Column) -> Column:
@@ -280,7 +283,7 @@ class StoredTable:
                             else text.cast(kind)).alias(c))
         return frame.select("part", *columns)
 
-    def _parts_of(self, values: DataFrame) -> list[str]:
+    def parts_of(self, values: DataFrame) -> list[str]:
         """Folders of the partitions that the rows of ``values`` (some of the partition
         columns) belong to: one row per folder on each side."""
         named = values.distinct().withColumnsRenamed({c: f"_{c}" for c in values.columns})
@@ -298,13 +301,38 @@ class StoredTable:
         parts = list(p.parts)
         if p.buckets and set(p.bucket_by) <= set(keys):
             typed = batch.select(*(F.col(f"`{c}`").cast(p.schema[c].dataType).alias(c) for c in p.bucket_by))
-            parts = self._parts_of(typed.select(self._bucket().alias(BUCKET)))
+            parts = self.parts_of(typed.select(self._bucket().alias(BUCKET)))
         rows = self._frame({part: p.parts[part] for part in parts})
         listed = batch.select(keys[0]).distinct().limit(LISTED_KEYS + 1).collect()
         if len(listed) <= LISTED_KEYS:
             rows = rows.filter(reduce(Column.__or__, [F.col(f"`{keys[0]}`") == F.lit(r[0]) for r in listed], F.lit(False)))
         return rows, parts
 
+    def changes_since(self, number: int) -> DataFrame:
+        """The rows that came (sign 1) and went (sign -1) since a version, which must
+        not have been pruned. Only folders that the two versions do not share are read, so
+        a row of a rewritten partition may go and come again as it was."""
+        then, now = self._load(number), self.pointer
+        fields = T.StructType([*now.schema.fields, T.StructField("sign", T.IntegerType())])
+        frames = []
+        for old, new, sign in ((then, now, 1), (now, then, -1)):
+            parts = {p: tuple(n for n in ns if n not in old.parts.get(p, ())) for p, ns in new.parts.items()}
+            parts = {p: ns for p, ns in parts.items() if ns}
+            if parts:
+                reader = self._at(replace(new, schema=now.schema))
+                frames.append(reader._frame(parts).select(
+                    *(f"`{c}`" for c in now.schema.names), F.lit(sign).alias("sign")))
+        return reduce(DataFrame.unionByName, frames) if frames else self.spark.createDataFrame([], fields)
+
+    def has_version(self, number: int) -> bool:
+        return number in self._pointers()
+
+    def _at(self, pointer: Pointer) -> "StoredTable":
+        """The same folder, read by another pointer."""
+        other = StoredTable.__new__(StoredTable)
+        other.spark, other.path, other.files, other.pointer = self.spark, self.path, self.files, pointer
+        return other
+
     # -- writing -----------------------------------------------------------
 
     def _conformed(self, df: DataFrame) -> DataFrame:
@@ -337,7 +365,7 @@ class StoredTable:
         found = self.files.matching(f"{top}/" + "/".join(f"{c}=*" for c in p.folders_by))
         return [_relative(f, len(p.folders_by)) for f in found]
 
-    def _put(self, df: DataFrame, gone: Iterable[str]) -> None:
+    def _put(self, df: DataFrame, gone: Iterable[str], derived: dict[str, int] | None = None) -> None:
         """One commit: the rows come, the partitions ``gone`` go."""
         number = self._next()
         found = self._write(df, number)
@@ -346,7 +374,7 @@ class StoredTable:
             parts[part] = (*parts.get(part, ()), number)
         used = {n for numbers in parts.values() for n in numbers}
         written = {n: c for n, c in {**self.pointer.written, number: len(found)}.items() if n in used}
-        self._commit(replace(self.pointer, parts=parts, written=written), number)
+        self._commit(replace(self.pointer, parts=parts, written=written, derived=derived or self.pointer.derived), number)
 
     def rows_in(self, parts: Iterable[str] | None = None) -> int:
         """Rows, from the files' footers."""
@@ -358,12 +386,12 @@ class StoredTable:
         if crowded:
             self.compact(crowded)
 
-    def overwrite(self, df: DataFrame) -> None:
+    def overwrite(self, df: DataFrame, derived: dict[str, int] | None = None) -> None:
         """New content, whose columns may differ from those before."""
         at = self.pointer
         self.pointer = replace(at, schema=_nullable(df.schema))
         try:
-            self._put(df, at.parts)
+            self._put(df, at.parts, derived)
         except BaseException:
             self.pointer = at
             raise
@@ -406,7 +434,7 @@ class StoredTable:
                 self.append(new)
             return {"inserted": inserted, "skipped": batch.count() - inserted, "rejected": lost}
 
-    def upsert(self, src: DataFrame, keys, order=None, merge=upsert) -> dict[str, int]:
+    def upsert(self, src: DataFrame, keys, order=None, merge=upsert, derived: dict[str, int] | None = None) -> dict[str, int]:
         """Merges a batch. Partitions that hold its keys now are written anew; rows
         that are new go beside those that their partitions have. ``merge`` is a function of
         (target, source, keys, unique=True). Returns the counts of the merge."""
@@ -416,10 +444,10 @@ class StoredTable:
             target, parts = self.candidates(batch, keys)
             if p.folders_by:
                 held = target.join(batch.select(*keys), keys, "left_semi").select(*p.folders_by)
-                parts = self._parts_of(keep(held.distinct()))
+                parts = self.parts_of(keep(held.distinct()))
             part = self.read(parts)
             counts = keep(merge_counts(part, batch, keys)).first().asDict()
-            self._put(merge(part, batch, keys, unique=True), parts)
+            self._put(merge(part, batch, keys, unique=True), parts, derived)
         return counts
 
     def delete(self, condition: Column) -> dict[str, int]:
@@ -431,7 +459,7 @@ class StoredTable:
             deleted = per_part.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
             if not deleted:
                 return {"deleted": 0, "rewritten": 0}
-            parts = self._parts_of(per_part.select(*p.folders_by)) if p.folders_by else list(p.parts)
+            parts = self.parts_of(per_part.select(*p.folders_by)) if p.folders_by else list(p.parts)
             kept = self.read(parts).filter(~gone)
             self._put(kept, parts)
             return {"deleted": deleted, "rewritten": len(parts)}
@@ -574,7 +602,7 @@ def replace_partitions(df: DataFrame, path: str, partition_by, touched: DataFram
     table = StoredTable(df.sparkSession, path)
     if list(partition_by) != list(table.pointer.partition_by):
         raise ValueError(f"{path} is partitioned by {table.pointer.partition_by}")
-    return table.replace(df, [] if touched is None else table._parts_of(touched.select(*partition_by)))
+    return table.replace(df, [] if touched is None else table.parts_of(touched.select(*partition_by)))
 
 
 def delete_partitions(spark: SparkSession, path: str, condition) -> dict[str, int]:

@@ -86,7 +86,7 @@ DIMENSIONS = [
 def refresh_batch(tables: SnapshotStore, bronze: str, batch: DataFrame) -> dict[str, dict[str, int]]:
     """Carry new payloads of one source through Silver and Gold.
 
-    Postings and facts are partitioned tables of which only the partitions that
+    Employment and wage records are landed, too (see ``_statistics``). Postings and facts are partitioned tables of which only the partitions that
     the batch touches are rewritten. Dimensions are rebuilt for the labels that the
     batch brings or takes away, from all postings that carry these; the large
     tables are scanned for that, but not shuffled for a small batch. All tables
@@ -94,6 +94,8 @@ def refresh_batch(tables: SnapshotStore, bronze: str, batch: DataFrame) -> dict[
     rows per table; unchanged ones count within the rewritten partitions.
     """
     spark, report = tables.spark, {}
+    if bronze in STATISTICS:
+        return _statistics(tables, bronze, batch)
     with scratch(spark) as keep:
         jobs = keep(POSTING_SOURCES[bronze](batch))
         keys = silver.POSTING_KEYS
@@ -122,6 +124,38 @@ def refresh_batch(tables: SnapshotStore, bronze: str, batch: DataFrame) -> dict[
     return report
 
 
+#: Raw table: the columns that its partitions are found by, its Silver build and table,
+#: the natural key of that, and the fact with its build.
+STATISTICS = {
+    "raw_bls_qcew": (["year", "qtr"], silver.qcew_rows, "bls_qcew_quarterly", "qcew_key", "fact_qcew",
+                     lambda tables, rows: gold.fact_qcew(rows)),
+    "raw_bls_oews": (["survey_year"], silver.oews_rows, "bls_oews_annual", "oews_key", "fact_oews_wages",
+                     lambda tables, rows: gold.fact_oews_wages(rows, tables.read("dim_occupation"))),
+}
+
+
+def _statistics(tables: SnapshotStore, bronze: str, batch: DataFrame) -> dict[str, dict[str, int]]:
+    """Land employment or wage records and rewrite what they touch.
+
+    A key's row is made from all its records, earlier loads included, so the records
+    of the batch's keys are read again, from the raw partitions of the batch's periods
+    only. Silver and the fact rewrite the partitions of these keys. The result
+    is what a whole refresh gives.
+    """
+    periods, build, silver_name, key, fact_name, build_fact = STATISTICS[bronze]
+    with scratch(tables.spark) as keep:
+        batch = keep(batch)
+        raw = tables.table(bronze)
+        raw.append(batch)
+        named = keep(build(batch).select(key).distinct())
+        touched = raw.read(raw.parts_of(batch.select(*periods).dropna()))
+        rows = keep(build(touched).join(named, key, "left_semi"))
+        report = {silver_name: tables.merge(silver_name, rows, [key])}
+        if tables.exists(fact_name):
+            report[fact_name] = tables.merge(fact_name, build_fact(tables, rows), [key])
+    return report
+
+
 def _renew(tables: SnapshotStore, keep, name: str, natural: list[str], build, rows: DataFrame) -> dict[str, int]:
     """A new snapshot of a dimension in which the rows built from ``rows`` replace
     those of the same natural key; surrogate keys stay."""
