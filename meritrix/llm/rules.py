@@ -13,14 +13,17 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meritrix.llm.tasks import map_batches, share_code, utf8
 
-#: Rows of the sample that orders the rules.
-SAMPLE_ROWS = 1_000
+#: Rows of each partition in the sample that orders the rules.
+SAMPLE_ROWS = 100
+#: Words from which windows are compared as numbers instead of tuples.
+MANY_WORDS = 20_000
 
 _SPACE = b" \t\n\r\x0b\x0c"
 _SYMBOLS = b"#*$%&|<>"
@@ -62,6 +65,8 @@ class Text:
     @cached_property
     def n_repeat_words(self) -> int:
         words = self.words
+        if len(words) >= MANY_WORDS:
+            return _repeated_in_windows(words)
         windows = list(zip(words, words[1:], words[2:]))
         if len(set(windows)) == len(windows):
             return 0
@@ -82,6 +87,20 @@ class Text:
         return self.raw.count(b"!!") + self.raw.count(b"??")
 
 
+def _repeated_in_windows(words: list[bytes]) -> int:
+    """Words in windows of three that occur twice or more, with a few numbers for each
+    word: equal words, then equal pairs, then equal windows get the same number."""
+    number: dict[bytes, int] = {}
+    one = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words))
+    pairs = np.unique(one[:-1] * len(number) + one[1:], return_inverse=True)[1]
+    _, window, times = np.unique(pairs[:-1] * len(number) + one[2:], return_inverse=True, return_counts=True)
+    again = times[window] > 1
+    covered = np.zeros(len(words), bool)
+    for shift in range(3):
+        covered[shift:len(words) - 2 + shift] |= again
+    return int(np.count_nonzero(covered))
+
+
 @dataclass(frozen=True)
 class Rule:
     """``rejects`` is true for a text that the rule throws out."""
@@ -108,9 +127,9 @@ RULES = BASE_RULES + (
 
 def estimate(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text",
              rows: int = SAMPLE_ROWS) -> dict[str, tuple[float, float]]:
-    """Rule to (seconds a text, share rejected), each rule on its own, over the
-    first ``rows`` rows of the first partitions. ``take`` runs one or a few
-    partitions. Only the order of the rules depends on the sample."""
+    """Rule to (seconds a text, share rejected), each rule on its own, over the first
+    ``rows`` rows of every partition, summed by rule. Only the order of the rules
+    depends on the sample."""
     share_code(docs.sparkSession)
 
     def measure(batches):
@@ -130,15 +149,14 @@ def estimate(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text",
                 "rule": [r.name for r in rules], "spent": spent, "rejected": rejected, "n": [seen] * len(rules)})
 
     sample = docs.select(F.col(text).cast("string").alias("text_to_judge"))
-    found = sample.mapInArrow(measure, "rule string, spent double, rejected bigint, n bigint").take(4 * len(rules))
-    sums: dict[str, list[float]] = {}
-    for rule, *values in found:
-        sums[rule] = [a + b for a, b in zip(sums.get(rule, (0, 0, 0)), values)]
-    return {rule: (spent / n, rejected / n) for rule, (spent, rejected, n) in sums.items()}
+    found = sample.mapInArrow(measure, "rule string, spent double, rejected bigint, n bigint")
+    sums = found.groupBy("rule").agg(F.sum("spent").alias("spent"), F.sum("rejected").alias("rejected"), F.sum("n").alias("n"))
+    return {r.rule: (r.spent / r.n, r.rejected / r.n) for r in sums.collect()}  # one row per rule
 
 
 def ordered(rules: Sequence[Rule], estimates: dict[str, tuple[float, float]]) -> list[Rule]:
-    """Most rejections per second first; rules without an estimate stay last."""
+    """Most rejections per second first; rules of equal gain keep their order, and those
+    without an estimate stay last."""
     def gain(rule: Rule) -> float:
         cost, rejected = estimates.get(rule.name, (1.0, 0.0))
         return -rejected / max(cost, 1e-9)
@@ -146,20 +164,26 @@ def ordered(rules: Sequence[Rule], estimates: dict[str, tuple[float, float]]) ->
     return sorted(rules, key=gain)
 
 
-def verdict(text: Text, cascade: Sequence[Rule]) -> str | None:
-    """The first rule that rejects the text."""
-    return next((rule.name for rule in cascade if rule.rejects(text)), None)
+def verdict(text: Text, cascade: Sequence[Rule]) -> tuple[str | None, int]:
+    """The first rule that rejects the text, and how many rules it has met."""
+    for n, rule in enumerate(cascade, 1):
+        if rule.rejects(text):
+            return rule.name, n
+    return None, len(cascade)
 
 
 def apply_rules(docs: DataFrame, rules: Sequence[Rule] = RULES, *, id_col: str = "doc_id", text: str = "text",
                 keep: tuple[str, ...] = (), measures: bool = True) -> DataFrame:
-    """(id, kept columns, measures, base_failed, kept, failed_rule) for every row.
+    """(id, kept columns, kept, failed_rule, n_rules[, measures, base_failed]) for every row.
 
-    With ``measures`` the base measures are reported for rejected texts, too;
-    without them a text costs no more than the rules it passes through.
+    A text meets the rules of the cascade, ``n_rules`` of them, up to the first that
+    rejects it, and costs no more than these. With ``measures`` the base measures, and
+    with them ``base_failed``, are reported for every text, so that each is measured.
     ``failed_rule`` is the one that the cascade met first, so it may change with
     the order; ``kept`` does not. A null or empty text has no words and fails.
-    Repeated rows and null ids stay; columns not named in ``keep`` are ignored.
+    Repeated rows and null ids stay; columns not named in ``keep`` are ignored; an empty
+    table gives no rows, its rules stay in their order. A text is held whole in one
+    task, with some 100 bytes for each of its words.
     """
     cascade = ordered(rules, estimate(docs, rules, text))
     columns = (id_col, *keep)
@@ -168,19 +192,22 @@ def apply_rules(docs: DataFrame, rules: Sequence[Rule] = RULES, *, id_col: str =
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         values: list[list] = [[] for _ in names]
-        base, failed = [], []
+        base, failed, met = [], [], []
         for raw in utf8(batch, "text_to_judge"):
             text_ = Text(raw)
-            failed.append(verdict(text_, cascade))
-            base.append(verdict(text_, BASE_RULES) is not None)
-            for column, name in zip(values, names):
-                column.append(getattr(text_, name))
+            name, n = verdict(text_, cascade)
+            failed.append(name)
+            met.append(n)
+            if measures:  # a rule asks for a measure once, whoever asks first
+                base.append(verdict(text_, BASE_RULES)[0] is not None)
+                for column, name in zip(values, names):
+                    column.append(getattr(text_, name))
+        kept = [f is None and not b for f, b in zip(failed, base)] if measures else [f is None for f in failed]
         return pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in columns), *(pa.array(v, pa.int64()) for v in values),
-             pa.array(base, pa.bool_()), pa.array([f is None and not b for f, b in zip(failed, base)], pa.bool_()),
-             pa.array(failed, pa.string())],
-            [*columns, *names, "base_failed", "kept", "failed_rule"])
+            [*(batch.column(c) for c in columns), pa.array(kept, pa.bool_()), pa.array(failed, pa.string()), pa.array(met, pa.int32()),
+             *(pa.array(v, pa.int64()) for v in values), *([pa.array(base, pa.bool_())] if measures else [])],
+            [*columns, "kept", "failed_rule", "n_rules", *names, *(["base_failed"] if measures else [])])
 
     kinds = ", ".join(f"`{c}` {narrow.schema[c].dataType.simpleString()}" for c in columns)
-    measured = "".join(f", {name} bigint" for name in names)
-    return map_batches(narrow, work, f"{kinds}{measured}, base_failed boolean, kept boolean, failed_rule string")
+    measured = "".join(f", {name} bigint" for name in names) + (", base_failed boolean" if measures else "")
+    return map_batches(narrow, work, f"{kinds}, kept boolean, failed_rule string, n_rules int{measured}")

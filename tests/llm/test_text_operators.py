@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from collections import Counter
 import re
 
 import pytest
@@ -174,10 +175,46 @@ def test_order_of_the_cascade_changes_no_verdict():
     for _ in range(10):
         order = list(rules.RULES)
         draw.shuffle(order)
-        assert [rules.verdict(t, order) is None for t in texts] == [rules.verdict(t, rules.RULES) is None for t in texts]
+        assert [rules.verdict(t, order)[0] is None for t in texts] == [rules.verdict(t, rules.RULES)[0] is None for t in texts]
     costs = {"few_words": (1.0, 0.5), "symbols": (0.1, 0.2), "upper_case": (0.1, 0.0)}
     assert [r.name for r in rules.ordered(rules.RULES, costs)][:2] == ["symbols", "few_words"]
 
 
 def test_rules_on_an_empty_table(spark):
     assert rules.apply_rules(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
+
+
+def test_a_text_meets_no_rule_after_the_one_that_rejects_it(spark, tmp_path):
+    """The dear rule writes down each text that it is asked about."""
+    marks = str(tmp_path)
+
+    def dear(text):
+        open(f"{marks}/{hash(text.raw)}-{random.random()}", "w").close()
+        return text.n_repeat_words < 0
+
+    cascade = [rules.Rule("dear", dear), rules.Rule("cheap", lambda t: t.raw.startswith(b"bad"))]
+    docs = spark.createDataFrame([(i, "bad text" if i % 10 else "fine text") for i in range(400)], "doc_id int, text string").coalesce(2)
+    got = rules.apply_rules(docs, cascade, measures=False)
+    assert got.columns == ["doc_id", "kept", "failed_rule", "n_rules"]
+    rows = got.collect()
+    asked = len(list(tmp_path.iterdir()))
+    assert {r.n_rules for r in rows if r.doc_id % 10} == {1} and {r.n_rules for r in rows if not r.doc_id % 10} == {2}
+    assert asked == 2 * rules.SAMPLE_ROWS + 40  # the sample of each partition, and the texts that pass the cheap rule
+    assert sum(r.kept for r in rows) == 40
+
+
+def test_the_sample_covers_every_partition(spark):
+    docs = spark.createDataFrame([(i, "x " * 60 if i < 600 else "short") for i in range(1_200)], "doc_id int, text string").coalesce(1).repartitionByRange(4, "doc_id")
+    cost, share = rules.estimate(docs)["few_words"]
+    assert cost > 0 and share == 0.5
+
+
+def test_windows_of_long_texts_are_counted_alike():
+    draw = random.Random(9)
+    for n in (rules.MANY_WORDS, rules.MANY_WORDS + 777):
+        words = [draw.choice("abcdefghij").encode() * draw.randint(1, 9) for _ in range(n)]
+        whole = rules._repeated_in_windows(words)
+        seen = Counter(zip(words, words[1:], words[2:]))
+        covered = {at + k for at in range(n - 2) if seen[tuple(words[at:at + 3])] > 1 for k in range(3)}
+        assert whole == len(covered) > 0
+    assert rules._repeated_in_windows([str(i).encode() for i in range(30_000)]) == 0
