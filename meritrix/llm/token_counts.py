@@ -15,17 +15,18 @@ import unicodedata
 from collections import Counter
 from itertools import filterfalse
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meritrix.llm.tasks import map_batches, share_code, utf8, worker_state
+from meritrix.llm.tasks import forget_state, map_batches, pieces, share_code, task, utf8, worker_state
 
-#: Rows whose pre-tokens fill the broadcast table, and its size. Both only decide
-#: which tier answers; counts do not depend on them.
-SAMPLE_ROWS = 2_000
+#: Size of the broadcast table, and how many of its most frequent pre-tokens a task
+#: reports with their counts. Both only decide which tier answers.
 TABLE_SIZE = 65_536
+TASK_SIZE = 16_384
 #: Entries of a worker's cache before it starts anew.
 CACHE_SIZE = 600_000
 
@@ -44,8 +45,11 @@ class PreTokens:
                 or level["type"] != "ByteLevel" or level["use_regex"] or level["add_prefix_space"]):
             raise ValueError("the tokenizer file splits texts in a way that this operator does not know")
         self.find = regex.compile(split["pattern"]["Regex"]).findall
+        if any(t.get(k) for t in parsed["added_tokens"] for k in ("normalized", "lstrip", "rstrip", "single_word")):
+            raise ValueError("the tokenizer file treats added tokens in a way that this operator does not know")
         specials = [t["content"] for t in parsed["added_tokens"]]
         self.special = regex.compile("|".join(map(regex.escape, specials))) if specials else None
+        self.start = os.path.commonprefix(specials)  # a text without it has no special string
         self.tokenizer = Tokenizer.from_str(spec)
 
     def length(self, piece: str) -> int:
@@ -54,7 +58,7 @@ class PreTokens:
     def of(self, text: str) -> tuple[list[str], int]:
         """Pre-tokens of a text, and the number of special strings in it, which
         the library takes as one token each before it normalises the rest."""
-        parts = self.special.split(text) if self.special and "<|" in text else [text]
+        parts = self.special.split(text) if self.special and self.start in text else [text]
         pieces: list[str] = []
         for part in parts:
             part = unicodedata.normalize("NFC", part)
@@ -78,26 +82,37 @@ class _Cache(dict):
         return n
 
 
-def frequent_lengths(docs: DataFrame, spec: str, text: str = "text") -> dict[str, int]:
-    """Lengths of the most frequent pre-tokens of a sample: the first SAMPLE_ROWS
-    rows of the first partitions, counted inside their tasks. ``take`` runs no
-    more partitions than it needs for TABLE_SIZE entries, and nothing is shuffled."""
-    schema = pa.schema([("piece", pa.string()), ("length", pa.int32())])
+def frequent(docs: DataFrame, spec: str, text: str = "text") -> list[str]:
+    """The most frequent pre-tokens of all rows. Each task counts its own and keeps a
+    bounded number of counts; what it reports, at most TASK_SIZE counts, is summed, and
+    the driver receives TABLE_SIZE pre-tokens."""
+    schema = pa.schema([("piece", pa.string()), ("n", pa.int64())])
 
     def count(batches):
-        splitter, counts, rows = PreTokens(spec), Counter(), 0
-        for batch in batches:
-            for value in utf8(batch.slice(0, SAMPLE_ROWS - rows), text):
+        forget_state()
+        splitter, counts = PreTokens(spec), Counter()
+        for batch in pieces(batches):
+            for value in utf8(batch, text):
                 counts.update(splitter.of(value.decode())[0])
-                if len(counts) > 8 * TABLE_SIZE:
-                    counts = Counter(dict(counts.most_common(2 * TABLE_SIZE)))
-            rows += batch.num_rows
-            if rows >= SAMPLE_ROWS:
-                break
-        top = [p for p, _ in counts.most_common(TABLE_SIZE) if len(p) <= 64]
-        yield pa.RecordBatch.from_pydict({"piece": top, "length": list(map(splitter.length, top))}, schema)
+            if len(counts) > 16 * TASK_SIZE:
+                counts = Counter(dict(counts.most_common(4 * TASK_SIZE)))
+        top = [(p, n) for p, n in counts.most_common(TASK_SIZE) if len(p) <= 64]
+        yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())], schema=schema)
 
-    return dict(docs.select(text).mapInArrow(count, "piece string, length int").take(TABLE_SIZE))
+    sums = docs.select(text).mapInArrow(task(count), "piece string, n bigint").groupBy("piece").agg(F.sum("n").alias("n"))
+    return [r.piece for r in sums.orderBy(F.desc("n"), "piece").limit(TABLE_SIZE).collect()]
+
+
+def packed(found: list[str], spec: str) -> tuple[bytes, bytes]:
+    """The table as it travels: the pre-tokens in one text, and their lengths."""
+    splitter = PreTokens(spec)
+    return "\n".join(found).encode(), np.array(list(map(splitter.length, found)), np.uint16).tobytes()
+
+
+def unpacked(table: tuple[bytes, bytes]) -> dict[str, int]:
+    """For lookups in a worker. No pre-token holds a line break."""
+    text, lengths = table
+    return dict(zip(text.decode().split("\n"), np.frombuffer(lengths, np.uint16).tolist())) if lengths else {}
 
 
 def count_tokens(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text: str = "text",
@@ -106,23 +121,26 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id"
 
     A null or empty text has 0 bytes and 0 tokens. Repeated rows and null ids
     are kept as they are; other columns of ``docs`` are ignored, whatever their
-    names. An empty table gives an empty result.
+    names. An empty table gives an empty result. A text is held whole in one task, with
+    some 100 bytes for each of its pre-tokens. The texts are read twice, first to find
+    the frequent pre-tokens; the counts depend on neither tier.
     """
     spark = docs.sparkSession
     share_code(spark)
     with open(tokenizer_path, encoding="utf-8") as file:
         spec = file.read()
-    key = "tokens:" + hashlib.sha256(spec.encode()).hexdigest()
     narrow = docs.select(F.col(id_col), F.col(text).cast("string").alias("text"))
-    shared = spark.sparkContext.broadcast((spec, frequent_lengths(narrow, spec)))
+    table = packed(frequent(narrow, spec), spec)
+    shared = spark.sparkContext.broadcast((spec, table))
+    key = "tokens:" + hashlib.sha256(spec.encode() + table[0]).hexdigest()
 
     def state():
-        splitter = PreTokens(shared.value[0])
-        return splitter, _Cache(splitter.length)
+        spec, table = shared.value
+        splitter = PreTokens(spec)
+        return splitter, unpacked(table), _Cache(splitter.length)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        splitter, cache = worker_state(key, state)
-        table = shared.value[1]
+        splitter, table, cache = worker_state(key, state)
         known, fetch, sizes, counts = table.__contains__, table.get, [], []
         for raw in utf8(batch, "text"):
             pieces, specials = splitter.of(raw.decode())
