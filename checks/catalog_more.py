@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 
 from checks import oracle as O
 from checks.adapters import adapter, cte, load
-from checks.catalog import check, clean, qcew
+from checks.catalog import categories, check, clean, qcew
 from meritrix.functions import lookups as L
 from meritrix.operators import merge as M
 from meritrix.operators import windows as W
-from meritrix.plans import gold, silver
+from meritrix.plans import gold, reads, silver
 from meritrix.schemas import JOBS_UNIFIED, OEWS_MEASURES, RAW_USAJOBS
 from meritrix.session import scratch_path, stored
 from meritrix.sources import readers, store
@@ -123,29 +123,29 @@ def _(spark, sf):
 
 # -- orders ----------------------------------------------------------------
 
-def _position_sql(mode: str, order: str) -> str:
-    return f"""SELECT '{mode}' AS mode, row_number() OVER (ORDER BY {order}, source, job_id) AS position, source, job_id FROM clean
- QUALIFY position <= 200"""
+def _position_sql(mode: str, order: str, rows: str = "clean") -> str:
+    return f"SELECT '{mode}' AS mode, row_number() OVER (ORDER BY {order}, source, job_id) AS position, source, job_id FROM {rows}"
 
 
-@check("sort_modes", f"WITH {O.CLEAN} " + " UNION ALL ".join(_position_sql(m, o) for m, o in (
-    ("newest", "posted_date DESC NULLS LAST"), ("oldest", "posted_date ASC NULLS LAST"),
-    ("salary_desc", "salary_max DESC NULLS LAST"), ("salary_asc", "salary_min ASC NULLS LAST"))))
+OTHER_SORTS = (("oldest", "posted_date ASC NULLS LAST"), ("salary_desc", "salary_max DESC NULLS LAST"),
+               ("salary_asc", "salary_min ASC NULLS LAST"))
+
+
+@check("sort_modes", f"""WITH {O.CLEAN}, best AS (SELECT * FROM clean ORDER BY posted_date DESC NULLS FIRST, source, job_id LIMIT 200)
+ """ + " UNION ALL ".join(_position_sql(m, o, "best") for m, o in (("newest", "posted_date DESC NULLS FIRST"), *OTHER_SORTS)))
 def _(spark, sf):
-    """The order in which the first 200 rows come out, for each way to sort."""
-    rows = stored(clean(spark, sf).select("source", "job_id", "posted_date", "salary_min", "salary_max"))
+    """The newest 200 postings, as a search shows them, in each of its orders."""
+    rows, labels = stored(clean(spark, sf)), stored(categories(spark, sf))
 
-    def first(mode):
-        top = W.resort(rows, mode).limit(200).withColumn("at", F.monotonically_increasing_id())
-        return top.select(F.lit(mode).alias("mode"), F.row_number().over(Window.orderBy("at")).alias("position"), "source", "job_id")
+    def shown(mode):
+        found = reads.search_jobs(rows, labels, sort=mode).withColumn("at", F.monotonically_increasing_id())
+        return found.select(F.lit(mode).alias("mode"), F.row_number().over(Window.orderBy("at")).alias("position"), "source", "job_id")
 
-    return W.union_all([first(m) for m in ("newest", "oldest", "salary_desc", "salary_asc")])
+    return W.union_all([shown(m) for m in ("newest", "oldest", "salary_desc", "salary_asc")])
 
 
 @check("sort_positions", f"WITH {O.CLEAN} " + " UNION ALL ".join(
-    _position_sql(m, o).replace("QUALIFY position <= 200", "") for m, o in (
-        ("newest", "posted_date DESC NULLS LAST"), ("oldest", "posted_date ASC NULLS LAST"),
-        ("salary_desc", "salary_max DESC NULLS LAST"), ("salary_asc", "salary_min ASC NULLS LAST"))))
+    _position_sql(m, o) for m, o in (("newest", "posted_date DESC NULLS LAST"), *OTHER_SORTS)))
 def _(spark, sf):
     """The position of every row, for each way to sort: rows in earlier range
     partitions plus the place in its own."""
@@ -184,13 +184,15 @@ def _(spark, sf):
 
 
 @check("load_year", f"""WITH {O.QCEW} SELECT qcew_key, year,
- CASE WHEN year = 1998 THEN -1.0 ELSE total_qtrly_wages END AS total_qtrly_wages FROM qcew WHERE year IN (1997, 1998)""")
+ CASE WHEN year >= 1998 THEN -1.0 ELSE total_qtrly_wages END AS total_qtrly_wages FROM qcew""")
 def _(spark, sf):
-    """Two years are loaded, one of them again with other values."""
+    """All years are loaded, then the later ones again with other values, the newest first."""
     rows, path = stored(qcew(spark, sf).select("qcew_key", "year", "total_qtrly_wages")), scratch_path(spark, "years")
-    for year in (1997, 1998):
+    years = sorted(r.year for r in rows.select("year").distinct().collect())
+    for year in years:
         ingest.load_year(rows, path, year)
-    ingest.load_year(rows.withColumn("total_qtrly_wages", F.lit(-1.0)), path, 1998)
+    for year in reversed([y for y in years if y >= 1998]):
+        ingest.load_year(rows.withColumn("total_qtrly_wages", F.lit(-1.0)), path, year)
     return store.read_table(spark, path)
 
 

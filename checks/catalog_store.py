@@ -1,13 +1,15 @@
 """Checked queries over stored tables: kinds of partitions, versions, key buckets,
-and views kept up by signed changes."""
+views kept up by signed changes, sketches and Z order."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from checks import catalog
+from checks import oracle as O
 from checks.adapters import adapter, load
 from checks.catalog import SQL, check
+from meritrix.operators import sketches
 from meritrix.operators import windows as W
 from meritrix.plans import gold
 from meritrix.session import scratch_path, stored
@@ -246,3 +248,52 @@ def _(spark, sf):
 def _(spark, sf):
     return delta.qcew_employment_trend(statistics_by_batches(spark, sf)).withColumns(
         {c: F.round(c, 3) for c in ("state_employment", "state_qtrly_wages", "state_avg_wkly_wage")})
+
+
+# -- mergeable summaries ---------------------------------------------------
+
+def summaries_by_day(spark, sf):
+    """Sketches per day, sector and level in a stored table."""
+    rows, path = stored(catalog.clean(spark, sf)), scratch_path(spark, "days")
+    days = sketches.summarised(rows, ["posted_date", "sector", "experience_level"], ("salary_min",), ("company_or_agency",))
+    store.StoredTable.create(spark, path, days.schema, partition_by=["sector"], sort_by=["posted_date"], commit=False).append(days)
+    return rows, store.read_table(spark, path)
+
+
+@check("median_from_sketches", f"""WITH {O.CLEAN} SELECT sector, experience_level, count(*) AS n, count(salary_min) AS n_salary, true AS within
+ FROM clean GROUP BY ALL""")
+def _(spark, sf):
+    """The rank of each median, merged from days, against all rows."""
+    rows, days = summaries_by_day(spark, sf)
+    by = ["sector", "experience_level"]
+    months = stored(sketches.merged(days, by).withColumn("median", sketches.quantile_of("kll_salary_min", 0.5)))
+    ranks = sketches.ranks_of(rows, months, by, "salary_min", "median").drop("n")
+    error = F.lit(sketches.rank_error())
+    return months.join(ranks, by, "left").select(
+        *by, "n", F.col("n_salary_min").alias("n_salary"),
+        ((F.col("low") - 0.5 <= error) & (0.5 - F.col("high") <= error)).alias("within"))
+
+
+@check("distinct_from_sketches", f"""WITH {O.CLEAN} SELECT sector, count(DISTINCT company_or_agency) AS employers, true AS close FROM clean GROUP BY ALL""")
+def _(spark, sf):
+    """The merged sketches' estimate against the exact two-level count."""
+    rows, days = summaries_by_day(spark, sf)
+    estimate = sketches.merged(days, ["sector"]).select("sector", sketches.distinct_of("hll_company_or_agency").alias("estimate"))
+    exact = sketches.exact_distinct(rows, ["sector"], "company_or_agency", "employers")
+    far = F.abs(F.col("estimate") - F.col("employers")) / F.col("employers")
+    return exact.join(estimate, "sector").select("sector", "employers", (far <= sketches.distinct_error()).alias("close"))
+
+
+@check("exact_distinct", """SELECT l_returnflag, count(DISTINCT l_partkey) AS parts FROM lineitem GROUP BY ALL""")
+def _(spark, sf):
+    return sketches.exact_distinct(load(spark, sf, "lineitem"), ["l_returnflag"], "l_partkey", "parts")
+
+
+@check("clustered_table", "SELECT l_orderkey, l_linenumber, l_shipdate, l_partkey FROM lineitem")
+def _(spark, sf):
+    """A table in Z order of date and part."""
+    rows, path = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_partkey"), scratch_path(spark, "lines")
+    table = store.StoredTable.create(spark, path, rows.schema, sort_by=["l_shipdate"])
+    table.append(rows)
+    table.cluster(["l_shipdate", "l_partkey"], 16)
+    return store.read_table(spark, path)

@@ -12,10 +12,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 HOT_SHARE = 0.001  # a key with more than this share of the rows is hot
-BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 TASK_ROWS = 1_000_000  # rows of a hot key in one task
+NO_KEY_PARTS = 4_096  # parts of the rows without a key, which only have to go somewhere
 
 
 def hot_keys(df: DataFrame, on, share: float = HOT_SHARE, weight: str | None = None) -> DataFrame:
@@ -40,36 +42,40 @@ def salted_join(left: DataFrame, right: DataFrame, on, row_id, hot: DataFrame,
 
     Right rows of a hot key are repeated once per salt; left rows pick a salt
     from a hash of ``row_id``, which a retried task repeats. Left rows with a
-    NULL key match nothing and are spread over ``salts`` tasks.
+    NULL key match nothing and are spread over NO_KEY_PARTS.
     """
     on = list(on)
     if "_salts" not in hot.columns:
         hot = hot.withColumn("_salts", F.lit(salts))
     marks = F.broadcast(hot.select(*on, "_salts"))  # <= 1/share rows
     no_key = reduce(Column.__or__, [F.col(k).isNull() for k in on])
-    spread = F.when(no_key, F.lit(salts)).otherwise(F.coalesce("_salts", F.lit(1)))
+    spread = F.when(no_key, F.lit(NO_KEY_PARTS)).otherwise(F.coalesce("_salts", F.lit(1)))
     l = left.join(marks, on, "left").withColumn("_salt", F.pmod(F.xxhash64(*row_id), spread).cast("int")).drop("_salts")
     copies = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
     r = right.join(marks, on, "left").withColumn("_salt", F.explode(copies)).drop("_salts")
     return l.join(r, [*on, "_salt"], how).drop("_salt")
 
 
-def fits(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a frame is small enough to broadcast: by the planner's estimate
-    (for a stored table, its file sizes) when that is below the broadcast
-    threshold, otherwise by counting. The count combines in the tasks; a
-    ``limit`` would send its rows from every task to a single one."""
-    plan = df._jdf.queryExecution()
-    limit = int(plan.sparkSession().sessionState().conf().autoBroadcastJoinThreshold())
-    if int(plan.optimizedPlan().stats().sizeInBytes()) <= limit:
-        return True
-    return df.count() <= rows
+def size_of(df: DataFrame) -> int:
+    """Bytes that the rows take in memory, about: texts by their length, other cells and
+    each row at a flat rate. One sum that combines in the tasks."""
+    per_row = F.lit(32)
+    for f in df.schema.fields:
+        text = isinstance(f.dataType, (T.StringType, T.BinaryType))
+        per_row += (F.coalesce(F.octet_length(f"`{f.name}`"), F.lit(0)) if text else F.lit(0)) + 16
+    return df.agg(F.coalesce(F.sum(per_row.cast("bigint")), F.lit(0)).alias("n")).first().n
+
+
+def fits(df: DataFrame, most: int = BROADCAST_BYTES) -> bool:
+    """Whether a frame is small enough to broadcast, by the bytes of its rows."""
+    return size_of(df) <= most
 
 
 def lookup_join(left: DataFrame, right: DataFrame, on, row_id, how: str = "left",
-                rows: int = BROADCAST_ROWS, hot: DataFrame | None = None) -> DataFrame:
-    """Join a stored lookup: broadcast while it is small, salted beyond that."""
-    if fits(right, rows):
+                most: int = BROADCAST_BYTES, hot: DataFrame | None = None) -> DataFrame:
+    """Join a stored lookup: broadcast while its rows take at most ``most`` bytes, salted
+    beyond that."""
+    if fits(right, most):
         return left.join(F.broadcast(right), list(on), how)
     hot = hot_key_salts(left, on) if hot is None else hot
     return salted_join(left, right, on, row_id, hot, how)

@@ -7,11 +7,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from meritrix.operators.joins import NO_KEY_PARTS, hot_key_salts
 
 #: Largest k for which Spark cuts a key's rows before the shuffle
-#: (``spark.sql.optimizer.windowGroupLimitThreshold``), and the parts of a key beyond it.
+#: (``spark.sql.optimizer.windowGroupLimitThreshold``).
 GROUP_LIMIT = 1_000
-PARTS = 64
 
 
 def top_k_per_group(df: DataFrame, keys, order, k: int) -> DataFrame:
@@ -20,11 +20,16 @@ def top_k_per_group(df: DataFrame, keys, order, k: int) -> DataFrame:
     Up to GROUP_LIMIT the filter on the row number becomes a WindowGroupLimit
     before the shuffle: each map task sends at most ``k`` rows per key, so a key
     that holds a third of the table costs no more than any other. For a larger
-    ``k`` the rows of a key are first cut to ``k`` in each of PARTS parts.
+    ``k`` the rows of a hot key are first cut to ``k`` in each of as many parts as its
+    counted rows need; rows without a key have a fixed, large number of parts.
     """
     if k > GROUP_LIMIT:
-        part = F.pmod(any_row(df), F.lit(PARTS))
-        df = _first(df.withColumn("_part", part), [*keys, "_part"], order, k).drop("_part")
+        keys = list(keys)
+        no_key = reduce(Column.__or__, [F.col(c).isNull() for c in keys])
+        marks = F.broadcast(hot_key_salts(df, keys))  # keys over 0.1 % of the rows
+        parts = F.when(no_key, F.lit(NO_KEY_PARTS)).otherwise(F.coalesce("_salts", F.lit(1)))
+        dealt = df.join(marks, keys, "left").withColumn("_part", F.pmod(F.xxhash64(*df.columns), parts)).drop("_salts")
+        df = _first(dealt, [*keys, "_part"], order, k).select(*df.columns)
     return _first(df, keys, order, k)
 
 

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from meritrix.operators.clustering import clustered
 from meritrix.operators.merge import merge_counts, new_rows, null_key_rows, one_per_key, upsert
 from meritrix.schemas import BUCKET_KEYS, LAYOUT, ROWS_PER_BUCKET
 from meritrix.session import scratch
@@ -346,8 +347,9 @@ class StoredTable:
         return df.select(*((F.col(f"`{f.name}`").cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
                            for f in schema.fields))
 
-    def _write(self, df: DataFrame, number: int) -> list[str]:
-        """Puts rows into a snapshot folder; the partitions that have some."""
+    def _write(self, df: DataFrame, number: int, layout: bool = True) -> list[str]:
+        """Puts rows into a snapshot folder, by the table's layout or as they lie; the
+        partitions that have some."""
         p = self.pointer
         rows = self._conformed(df)
         if p.buckets:
@@ -356,7 +358,8 @@ class StoredTable:
             if isinstance(p.schema[c].dataType, T.StringType):
                 rows = rows.withColumn(c, _encoded(F.col(f"`{c}`")))
         top = f"{self.path}/{SNAPSHOT}={number:06d}"
-        writer = laid_out(rows, p.folders_by, p.sort_by).write.partitionBy(*p.folders_by)
+        rows = laid_out(rows, p.folders_by, p.sort_by) if layout else rows
+        writer = rows.write.partitionBy(*p.folders_by)
         for c in p.bucket_by if p.buckets else ():
             writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
         writer.parquet(top)
@@ -365,10 +368,10 @@ class StoredTable:
         found = self.files.matching(f"{top}/" + "/".join(f"{c}=*" for c in p.folders_by))
         return [_relative(f, len(p.folders_by)) for f in found]
 
-    def _put(self, df: DataFrame, gone: Iterable[str], derived: dict[str, int] | None = None) -> None:
+    def _put(self, df: DataFrame, gone: Iterable[str], derived: dict[str, int] | None = None, layout: bool = True) -> None:
         """One commit: the rows come, the partitions ``gone`` go."""
         number = self._next()
-        found = self._write(df, number)
+        found = self._write(df, number, layout)
         parts = {p: n for p, n in self.pointer.parts.items() if p not in set(gone)}
         for part in found:
             parts[part] = (*parts.get(part, ()), number)
@@ -401,6 +404,14 @@ class StoredTable:
         parts = list(parts)
         self._put(self.read(parts), parts)
 
+    def cluster(self, columns: list[str], files: int) -> None:
+        """Writes the table anew in Z order of two or three columns, in about ``files``
+        files, so that filters on any of them skip files and row groups; the usual layout
+        suits its first column only. Partition columns belong in front of the others
+        where each of these files should stay in few partitions."""
+        p = self.pointer
+        self._put(clustered(self.read(), [*columns], files), p.parts, layout=False)
+
     def replace(self, df: DataFrame, touched: Iterable[str] | None = None) -> dict[str, int]:
         """``df`` is the new content of the partitions that it has rows of, and of the
         ``touched`` ones. The others keep their files."""

@@ -44,6 +44,28 @@ def skewed(spark):
     return spark.range(20000).select("id", key.alias("k"))
 
 
+@pytest.mark.parametrize("rounds", [1, 2, 3])
+def test_quantiles_of_values_in_one_bucket(spark, rounds):
+    """All values lie within a billionth of the range; later rounds cut their bucket."""
+    df = spark.range(5_000).select(
+        F.when(F.col("id") % 3 == 0, "a").otherwise(F.when(F.col("id") % 3 == 1, "b")).alias("g"),
+        (1.0 + F.col("id") * F.col("id") / 1e12).alias("x"), (F.col("id") % 4).alias("w"))
+    ps = {"low": 0.0, "q1": 0.25, "mid": 0.5, "p99": 0.99, "top": 1.0}
+    out = group_quantiles(df, ["g"], {k: ("x", p) for k, p in ps.items()}, 0, 1e6, buckets=16, weight="w", rounds=rounds)
+    got = {r.g: r for r in out.collect()}
+    values = {}
+    for r in df.collect():
+        values.setdefault(r.g, []).extend([r.x] * r.w)
+    assert set(got) == set(values)
+    for g, xs in values.items():
+        xs.sort()
+        for k, p in ps.items():
+            at = p * (len(xs) - 1)
+            low = int(at)
+            want = xs[low] + (xs[min(low + 1, len(xs) - 1)] - xs[low]) * (at - low)
+            assert abs(got[g][k] - want) < 1e-15
+
+
 @pytest.mark.parametrize("how", ["left", "inner"])
 def test_salted_join_equals_plain_join(spark, how):
     left = skewed(spark)
@@ -86,7 +108,7 @@ def test_lookup_join_beyond_the_bound(spark):
     right = spark.range(500).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("k"), F.col("id").alias("v"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        big = J.lookup_join(left, right, ["k"], ["id"], rows=10)
+        big = J.lookup_join(left, right, ["k"], ["id"], most=10)
         assert "_salt" in plan(big)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
