@@ -142,7 +142,8 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc
     ids of the whole text, joined by one space.
 
     A null or empty text has no ids and the empty string. Repeated rows and null
-    ids stay; columns not named in ``keep`` are ignored, whatever their names.
+    ids stay; columns not named in ``keep`` are ignored, whatever their names; an empty
+    table gives no rows.
     """
     spark = docs.sparkSession
     share_code(spark)

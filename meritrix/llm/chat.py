@@ -76,7 +76,11 @@ def windows(conversations: DataFrame, *, budget: int = BUDGET, history: int = HI
 
     Turns of equal number are ordered by role and text, a null number comes first,
     null roles and texts are empty, and rows with a null conv_id are one
-    conversation. Repeated rows are turns of their own; other columns are ignored.
+    conversation. Repeated rows are turns of their own; other columns are ignored; an
+    empty table gives no rows. A turn stays whole in the window that it starts in, and a
+    value cannot exceed 2 GB. A conversation may have any number of windows, while
+    ``digests`` puts all its text into one value. Turns that share a block of numbers
+    (equal or null ones, say) are ordered in one task.
     """
     if not 0 <= history <= budget:
         raise ValueError("history must fit the budget")

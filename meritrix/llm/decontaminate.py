@@ -129,6 +129,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = 1
     A null or empty text has no words; an item without words matches nothing; an
     item with a null id marks words but is not listed; repeated items count once.
     Columns not named in ``keep`` are ignored. Empty tables give no rows or no hits.
+    Repeated rows stay. A text is held whole in one task, with some 60 bytes a word.
     """
     share_code(docs.sparkSession)
     kept = (id_col, *keep)

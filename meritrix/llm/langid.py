@@ -219,7 +219,8 @@ def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text: str
 
     ``und`` with score 0, not known, goes to a null text, to one without a letter, and to all
     texts when the model is empty. Of equal scores the first language by name wins.
-    Repeated rows and null ids stay; columns not named in ``keep`` are ignored.
+    Repeated rows and null ids stay; columns not named in ``keep`` are ignored; an empty
+    table gives no rows. A text is held whole in one task, with some 60 bytes a word.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     key = "langid:" + hashlib.sha256(pickle.dumps((model.langs, list(model.words), list(model.grams)))

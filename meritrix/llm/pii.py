@@ -176,7 +176,9 @@ def find_pii(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", kee
     ``base_spans`` lists the four base kinds as kind:start:end (code points, end
     exclusive), ``spans`` all kinds. A null or empty text has no spans; a null
     text stays null when masked. Repeated rows and null ids stay; columns not
-    named in ``keep`` are ignored, whatever their names.
+    named in ``keep`` are ignored, whatever their names; an empty table gives no rows. A
+    text is held whole in one task, whatever its length; of overlapping spans of one
+    kind the leftmost counts.
     """
     narrow = docs.select(id_col, *keep, F.col(text).cast("string").alias("text_to_search"))
     kept = (id_col, *keep)

@@ -232,7 +232,9 @@ def classify(docs: DataFrame, labels: DataFrame, *, fold_of_id: Column, held_out
     ``calibration`` calibrate, the others fit. A null label or id teaches nothing;
     several labels of one id all count. A null text is scored as an empty one;
     repeated rows stay; other columns are ignored. Without usable labels all
-    scores are 0.5.
+    scores are 0.5; an empty table gives no rows. Equal raw scores get equal scores, as
+    ties are calibrated together. A text is held whole in one task, with some ten times
+    its bytes while it is measured.
     """
     measured = stored(with_statistics(docs, id_col=id_col, text=text))
     usable = labels.select(F.col(id_col), F.col(label_col).alias("label")).where(fold_of_id != held_out)

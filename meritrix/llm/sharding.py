@@ -41,7 +41,9 @@ def assign(docs: DataFrame, weights: Sequence[float], *, grown: Sequence[float]
     the rows of a shard from 0 without gaps, and ``grown_shard`` is the shard among
     the weights ``grown`` (null without them). Rows that share a key share a shard,
     repeated rows have slots of their own, and rows with a null key form one key.
-    Other columns are ignored, whatever their names.
+    Other columns are ignored, whatever their names; an empty table gives no rows, and
+    texts of any length only their size and checksum. The shard of a key never changes;
+    slots depend on how the table is read, as equal rows are told apart by that.
 
     Rows are numbered inside small parts of a shard; the parts' offsets come from
     their counts, which are at most PARTS rows a shard. A part mixes in the row's
