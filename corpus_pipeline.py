@@ -50,7 +50,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a window of a benchmark item go."""
+    """Documents that hold a window of a benchmark item go. Null texts hold none; repeated
+    rows and null ids are judged like any other; an empty table stays empty."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = decontaminate.find_contamination(docs, benchmark, keep=COLUMNS[1:])
     return found.where(~F.col("contaminated")).select(*COLUMNS)
@@ -58,7 +59,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is replaced by its kind in angle brackets; ``n_chars`` follows
-    the text (null for a null text)."""
+    the text (null for a null text). Every row stays, repeated ones and null ids, too."""
     found = pii.find_pii(docs, keep=("lang", "source"), mask=True)
     return found.select("doc_id", F.col("masked_text").alias("text"), "lang", "source",
                         F.length("masked_text").cast("bigint").alias("n_chars"))
@@ -66,7 +67,8 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def encode_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, lang, source, n_tokens, ids, round_trip): ``ids`` are the token ids
-    in order, and ``round_trip`` tells that they decode to the text's bytes."""
+    in order, and ``round_trip`` tells that they decode to the text's bytes. A null text
+    is encoded as an empty one; repeated rows and null ids stay; no rows give no rows."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     named = docs.select(*COLUMNS).withColumn("text_sha256", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
     keep = ("lang", "source", "text_sha256")
