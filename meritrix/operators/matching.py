@@ -28,6 +28,11 @@ def edits_of(length: Column) -> Column:
     return F.greatest(F.lit(2), F.round(length * 0.15).cast("int"))
 
 
+def edits_for(length: int) -> int:
+    """The same of a number."""
+    return max(2, int(length * 0.15 + 0.5))
+
+
 def max_edits(title: Column) -> Column:
     return edits_of(F.length(title))
 

@@ -1,9 +1,10 @@
 import random
+import re
 
 import pytest
 
 from meritrix.functions import lookups as L
-from meritrix.operators.resolver import resolve_soc, soc_stats
+from meritrix.operators.resolver import any_of, distinct_titles, resolve_soc, resolve_titles, soc_patterns, soc_seed, soc_stats
 
 GOLDEN = [
     ("Software Engineer", "software engineer", "15-1252", "exact", 1.0),
@@ -93,3 +94,24 @@ def test_own_tables_and_refresh(rows):
     again = resolve_soc(rows("job_title string", ("Zookeeper",), ("Nurse",)), existing=first,
                         seed=[("zookeeper", "39-2021", "Animal Caretakers")], patterns=[("nurse", "29-1141", "Nurses")])
     assert {(r.title_normalized, r.soc_code) for r in again.collect()} == {("zookeeper", "39-2021"), ("nurse", "29-1141")}
+
+
+def test_a_text_is_normalised_once(rows):
+    plan = distinct_titles(rows("job_title string", ("Nurse",)))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") == 1
+
+
+def test_frames_of_few_rows_need_no_joins(spark, rows):
+    titles = rows("title_normalized string, title_raw string, posting_count long", ("nurse", "Nurse", 1))
+    out = resolve_titles(titles, soc_seed(spark), soc_patterns(spark))
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert out.first().soc_code == "29-1141"
+
+
+def test_any_of_finds_what_contains_finds(spark, rows):
+    draw = random.Random(5)
+    texts = {"".join(draw.choice("ab-. é") for _ in range(draw.randint(1, 5))) for _ in range(12)}
+    titles = ["".join(draw.choice("ab-. éc") for _ in range(draw.randint(0, 12))) for _ in range(300)]
+    frame = rows("t string", *((t,) for t in titles))
+    got = {r.t: r.hit for r in frame.select("t", frame.t.rlike(any_of(texts)).alias("hit")).collect()}
+    assert got == {t: any(x in t for x in texts) for t in titles} and re.compile(any_of(texts)) and len(set(got.values())) == 2
