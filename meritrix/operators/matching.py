@@ -1,14 +1,18 @@
 """Fuzzy and substring matches against large lookups, as equi joins.
 
-Edit distance. Texts within k edits share a key: for short texts (k = 2) a string that is
-left of both after deleting at most two characters; for longer ones one of the k + 1
-even segments of the lookup text, which the title holds no further from its place
-than the edits allow. Only pairs that share a key meet, and the distance confirms them.
-
-Substrings. A text that contains a pattern contains the pattern's rarest trigram, which
-is the join key; patterns of one or two characters are keys themselves.
-
-All keys are built by column expressions, so no lookup has to fit into one task.
+Edit distance. Texts within two edits share a string that is left of both after deleting
+at most two characters. Titles that have no text so near, and may be further off, are
+met by one of the k + 1 even segments of the lookup text, which the title holds no
+further from its place than the edits allow. Only pairs that share a key meet, and the
+distance confirms them. So a title whose text is near does not meet the many that
+have a common word in the same place.
+
+Substrings. The keys of a title are its substrings of the lengths that patterns have, so
+what meets is contained.
+
+All keys are built by column expressions, so no lookup has to fit into one task. The
+planner takes exploded keys to be as few as the rows that they come from, so the joins
+on them ask for a merge join; a broadcast would go through the driver.
 """
 
 from __future__ import annotations
@@ -16,11 +20,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from meritrix.session import stored
+
 MIN_FUZZY_LENGTH, MAX_FUZZY_LENGTH = 4, 60
 #: Edits that deletion keys cover; titles up to SHORT characters allow no more.
 SHORT_EDITS, SHORT = 2, 16
-#: Characters of a substring key.
-GRAM = 3
 
 
 def edits_of(length: Column) -> Column:
@@ -49,10 +53,10 @@ def _without(text: Column, at: Column) -> Column:
 def deletion_keys(text: Column) -> Column:
     """All strings left after deleting up to two characters of a non-empty text."""
     places = F.sequence(F.lit(0), F.length(text) - 1)
-    once = F.transform(places, lambda i: _without(text, _int(i)))
-    twice = F.flatten(F.transform(places, lambda i: F.transform(
-        F.filter(places, lambda j: j < i), lambda j: _without(_without(text, _int(i)), _int(j)))))
-    return F.array_distinct(F.concat(F.array(text), once, twice))
+    once = F.transform(places, lambda i: F.struct(i.alias("at"), _without(text, _int(i)).alias("left")))
+    twice = F.flatten(F.transform(once, lambda s: F.transform(  # the second one stands before the first
+        F.slice(places, F.lit(1), s["at"]), lambda j: _without(s["left"], _int(j)))))
+    return F.array_distinct(F.concat(F.array(text), once["left"], twice))
 
 
 def _segment(length: Column, edits: Column, i: Column) -> tuple[Column, Column]:
@@ -81,9 +85,9 @@ def segment_keys(text: Column) -> Column:
     return F.flatten(F.transform(edits, keys))
 
 
-def probe_keys(title: Column) -> Column:
+def probe_keys(title: Column, sizes: Column) -> Column:
     """Keys under which a lookup text within the title's allowance is found: for each
-    length that it may have and each of its segments, the substrings of the title at
+    length of ``sizes`` that it may have and each of its segments, the substrings of the title at
     most as far from the segment's place as the edits before and after it allow."""
     length, k = F.length(title), max_edits(title)
 
@@ -98,7 +102,38 @@ def probe_keys(title: Column) -> Column:
                 size.alias("size"), k.alias("edits"), i.alias("segment"), F.substr(title, s + 1, width).alias("piece")))
         return F.flatten(F.transform(F.sequence(F.lit(0), k), of_segment))
 
-    return F.array_distinct(F.flatten(F.transform(F.sequence(length - k, length + k), of_size)))
+    return F.array_distinct(F.flatten(F.transform(F.filter(sizes, lambda n: F.abs(n - length) <= k), of_size)))
+
+
+def _lengths(lookup: DataFrame, most: int | None = None) -> Column:
+    """The lengths that the texts of a lookup have, as a constant."""
+    length = F.length("text")
+    rows = (lookup if most is None else lookup.where(length <= most)).select(length.alias("n")).distinct().collect()
+    return F.lit(sorted(r.n for r in rows)).cast("array<int>") if rows else F.array().cast("array<int>")
+
+
+def _by_text(lookup: DataFrame) -> DataFrame:
+    """One row per text that is not empty: the smallest code and label."""
+    rows = lookup.where(F.length("text") > 0).groupBy("text")
+    return rows.agg(F.min(F.struct("code", "label")).alias("v")).select("text", "v.*")
+
+
+def _spread(rows: DataFrame, by: Column) -> DataFrame:
+    """Rows whose keys take long to make, over all cores: by their bytes they would be few
+    tasks. They are dealt by a hash, as a second deal by the same column is left out."""
+    spark = rows.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return rows.repartition(parts, F.xxhash64(by))
+
+
+def _closest(asked: DataFrame, asked_keys: Column, texts: DataFrame, text_keys: Column, allowed: Column) -> DataFrame:
+    """(title_normalized, near): edits and text of the closest of those that share a key."""
+    title, text = F.col("title_normalized"), F.col("text")
+    a = _spread(asked, title).select(title, F.explode(asked_keys).alias("_k")).select(title, F.xxhash64("_k").alias("key"))
+    b = _spread(texts, text).select(text, F.explode(text_keys).alias("_k")).select(text, F.xxhash64("_k").alias("key"))
+    edits = F.call_function("levenshtein", title, text, allowed)  # -1: more than allowed
+    return a.join(b.hint("merge"), "key").select(title, F.struct(edits.alias("edits"), text.alias("text")).alias("near")).where(
+        F.col("near.edits") >= 0).groupBy(title).agg(F.min("near").alias("near"))
 
 
 def nearest(titles: DataFrame, lookup: DataFrame) -> DataFrame:
@@ -108,24 +143,26 @@ def nearest(titles: DataFrame, lookup: DataFrame) -> DataFrame:
     edits count find nothing. A lookup text of up to two characters or none is near
     short titles only, as its distance says."""
     title, text = F.col("title_normalized"), F.col("text")
-    asked = titles.select("title_normalized").where(F.length(title).between(MIN_FUZZY_LENGTH, MAX_FUZZY_LENGTH))
-    known = lookup.where(F.length(text) > 0)
-    sides = [
-        (asked.where(F.length(title) <= SHORT).withColumn("key", F.explode(deletion_keys(title))),
-         known.where(F.length(text) <= SHORT + SHORT_EDITS).withColumn("key", F.explode(deletion_keys(text)))),
-        (asked.where(F.length(title) > SHORT).withColumn("key", F.explode(probe_keys(title))),
-         known.withColumn("key", F.explode(segment_keys(text)))),
-    ]
-    found = [a.join(b, "key").select("title_normalized", F.struct(
-        F.levenshtein(title, text).alias("edits"), "text", "code", "label").alias("near")) for a, b in sides]
-    close = found[0].union(found[1]).where(F.col("near.edits") <= max_edits(title))
-    return close.groupBy("title_normalized").agg(F.min("near").alias("near")).select("title_normalized", "near.*")
-
-
-def _grams(text: Column, n: int) -> Column:
+    length, known = F.length(title), _by_text(lookup)
+    sizes = _lengths(known, MAX_FUZZY_LENGTH + edits_for(MAX_FUZZY_LENGTH))
+
+    def within(edits) -> Column:
+        return F.exists(sizes, lambda n: F.abs(n - length) <= edits)
+
+    asked = titles.select(title).where(length.between(MIN_FUZZY_LENGTH, MAX_FUZZY_LENGTH) & within(max_edits(title)))
+    texts = known.select(text)
+    first = stored(_closest(
+        asked.where(within(SHORT_EDITS)), deletion_keys(title),
+        texts.where(F.length(text) <= MAX_FUZZY_LENGTH + SHORT_EDITS), deletion_keys(text), F.lit(SHORT_EDITS)))
+    further = asked.where(length > SHORT).join(first.select(title), "title_normalized", "left_anti")
+    found = first.unionByName(_closest(further, probe_keys(title, sizes), texts, segment_keys(text), max_edits(title)))
+    return found.select(title, "near.*").join(known, "text").select(title, "edits", "text", "code", "label")
+
+
+def _grams(text: Column, n: Column) -> Column:
     """Distinct substrings of n characters; none of a shorter text."""
     return F.when(F.length(text) >= n, F.array_distinct(F.transform(
-        F.sequence(F.lit(1), F.length(text) - (n - 1)), lambda i: F.substr(text, i, F.lit(n))))).otherwise(
+        F.sequence(F.lit(1), F.length(text) - (n - 1)), lambda i: F.substr(text, i, n)))).otherwise(
             F.array().cast("array<string>"))
 
 
@@ -133,16 +170,9 @@ def contained(titles: DataFrame, lookup: DataFrame) -> DataFrame:
     """(title_normalized, text, code, label): the longest text of ``lookup`` (text, code,
     label) inside each title (ties: alphabetical, then code, label). An empty text is in
     every title and no match."""
-    title, text = F.col("title_normalized"), F.col("text")
-    known = lookup.where(F.length(text) > 0)
-    grams = known.select("text", F.explode(_grams(text, GRAM)).alias("key")).distinct()
-    counts = grams.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    rarest = grams.join(counts, "key").groupBy("text").agg(F.min(F.struct("n", "key")).alias("rare")).select("text", "rare.key")
-    keyed = known.join(rarest, "text", "left").withColumn("key", F.coalesce("key", "text"))
-    asked = titles.select("title_normalized", F.explode(F.array_distinct(F.flatten(F.array(
-        *(_grams(title, n) for n in range(1, GRAM + 1)))))).alias("key"))
-    used = keyed.select("key").distinct()  # keys of one or two characters only where a pattern is that short
-    hits = asked.join(used, "key", "left_semi").join(keyed, "key").where(F.contains(title, text))
-    best = hits.groupBy("title_normalized").agg(F.min(F.struct(
-        (-F.length(text)).alias("rank"), "text", "code", "label")).alias("hit"))
-    return best.select("title_normalized", "hit.text", "hit.code", "hit.label")
+    title, known = F.col("title_normalized"), _by_text(lookup)
+    parts = F.array_distinct(F.flatten(F.transform(_lengths(known), lambda n: _grams(title, n))))
+    asked = titles.select(title, F.explode(parts).alias("text"))
+    hits = asked.join(known.select("text").hint("merge"), "text")
+    best = hits.groupBy(title).agg(F.min(F.struct((-F.length("text")).alias("rank"), "text")).alias("hit"))
+    return best.select(title, "hit.text").join(known, "text").select(title, "text", "code", "label")

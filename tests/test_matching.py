@@ -116,3 +116,21 @@ def test_empty_lookups(spark, rows):
     none = resolve_soc(postings, seed=soc_seed(spark).limit(0), patterns=soc_patterns(spark).limit(0)).collect()
     assert {r.match_method for r in none} == {"unmapped"} and len(none) == 2
     assert resolve_soc(postings.limit(0), seed=soc_seed(spark), patterns=soc_patterns(spark)).count() == 0
+
+
+def test_keys_of_rows_are_not_broadcast(spark, rows):
+    """The planner counts the keys of a small file as its rows; a broadcast of them fills the driver."""
+    titles, lookup = rows("title_normalized string", ("goods clerk no 17",)), rows(LOOKUP, ("goods clerk no 18", "c", "l"))
+    for frame in (M.nearest(titles, lookup), M.contained(titles, lookup)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan
+        for part in plan.split("BroadcastExchange")[1:]:
+            assert "Generate" not in part.split("Exchange hashpartitioning")[0].split("Join")[0]
+
+
+def test_a_title_in_a_crowd_meets_few_texts(spark, rows):
+    """Thousands of texts have the same words at the same place; only keys of the whole text are met."""
+    lookup = spark.range(3_000).selectExpr("concat('large ring economy no ', 10000 + id) AS text", "'c' AS code", "'l' AS label")
+    titles = lookup.selectExpr("concat('xy', text) AS title_normalized")
+    got = M.nearest(titles, lookup).collect()
+    assert len(got) == 3_000 and all(r.edits == 2 and "xy" + r.text == r.title_normalized for r in got)
