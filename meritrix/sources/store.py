@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meritrix.operators.clustering import clustered
-from meritrix.operators.merge import merge_counts, new_rows, null_key_rows, one_per_key, upsert
+from meritrix.operators.merge import new_rows, null_key_rows, one_per_key, upsert
+from meritrix.operators.windows import any_row
 from meritrix.schemas import BUCKET_KEYS, LAYOUT, ROWS_PER_BUCKET
 from meritrix.session import scratch
 
@@ -426,39 +427,45 @@ class StoredTable:
         return {"written": self.rows_in(found), "replaced": before}
 
     def append_new(self, src: DataFrame, keys, order=None, rejects: str | None = None,
-                   load_columns=LOAD_COLUMNS) -> dict[str, int]:
+                   load_columns=LOAD_COLUMNS, lasting: bool = False) -> dict[str, int]:
         """Insert-if-absent; see the function of this name."""
         keys = list(keys)
         with scratch(self.spark) as keep:
-            rows = keep(src)
-            refused = null_key_rows(rows, keys)
-            lost = refused.count()
+            rows = src if lasting else keep(src)
+            counted = keep(_counted(rows, keys))
+            lost = null_key_rows(counted, keys).agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
             if lost:
                 if rejects is None:
                     raise ValueError(f"{lost} rows without a key and no table for rejects")
-                _append_rejects(self.spark, rejects, refused, load_columns)
-            batch = keep(one_per_key(rows, keys, order))
+                _append_rejects(self.spark, rejects, null_key_rows(rows, keys), load_columns)
+            batch = counted.dropna(subset=keys)
             target, _ = self.candidates(batch, keys)
-            new = keep(new_rows(target, batch, keys, unique=True))
+            new = keep(new_rows(target, batch, keys, unique=True))  # keys only
             inserted = new.count()
             if inserted:
-                self.append(new)
+                self.append(_best_of(rows, new, keys, order))
             return {"inserted": inserted, "skipped": batch.count() - inserted, "rejected": lost}
 
-    def upsert(self, src: DataFrame, keys, order=None, merge=upsert, derived: dict[str, int] | None = None) -> dict[str, int]:
+    def upsert(self, src: DataFrame, keys, order=None, merge=upsert, derived: dict[str, int] | None = None,
+               lasting: bool = False) -> dict[str, int]:
         """Merges a batch. Partitions that hold its keys now are written anew; rows
         that are new go beside those that their partitions have. ``merge`` is a function of
-        (target, source, keys, unique=True). Returns the counts of the merge."""
+        (target, source, keys, unique=True). Returns the counts of the merge, from one
+        join of the keys. ``lasting``: see the function ``append_new``."""
         keys, p = list(keys), self.pointer
         with scratch(self.spark) as keep:
-            batch = keep(one_per_key(src, keys, order))
-            target, parts = self.candidates(batch, keys)
+            rows = src if lasting else keep(src)
+            counted = keep(_counted(rows.dropna(subset=keys), keys))
+            batch = _best_of(rows, counted, keys, order, every=True)
+            batch = rows.dropna(subset=keys) if batch is None else keep(batch)
+            target, parts = self.candidates(counted, keys)
+            hit = target.join(counted.select(*keys), keys, "left_semi")
+            held = keep(hit.groupBy(*p.folders_by).agg(F.count(F.lit(1)).alias("_n")))  # a row per folder
+            updated = held.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
             if p.folders_by:
-                held = target.join(batch.select(*keys), keys, "left_semi").select(*p.folders_by)
-                parts = self.parts_of(keep(held.distinct()))
-            part = self.read(parts)
-            counts = keep(merge_counts(part, batch, keys)).first().asDict()
-            self._put(merge(part, batch, keys, unique=True), parts, derived)
+                parts = self.parts_of(held.select(*p.folders_by))
+            counts = {"inserted": counted.count() - updated, "updated": updated, "unchanged": self.rows_in(parts) - updated}
+            self._put(merge(self.read(parts), batch, keys, unique=True), parts, derived)
         return counts
 
     def delete(self, condition: Column) -> dict[str, int]:
@@ -570,8 +577,8 @@ def partition_columns(spark: SparkSession, path: str) -> list[str]:
     return list(StoredTable(spark, path).pointer.partition_by)
 
 
-def append_new(spark: SparkSession, path: str, src: DataFrame, keys, order=None,
-               rejects: str | None = None, load_columns=LOAD_COLUMNS) -> dict[str, int]:
+def append_new(spark: SparkSession, path: str, src: DataFrame, keys, order=None, rejects: str | None = None,
+               load_columns=LOAD_COLUMNS, lasting: bool = False) -> dict[str, int]:
     """Insert-if-absent on a stored table: only new rows are written. Running the same
     source again finds its keys present and writes nothing. Returns the counts of
     inserted and skipped keys, and of rows without a key.
@@ -581,9 +588,28 @@ def append_new(spark: SparkSession, path: str, src: DataFrame, keys, order=None,
     as content. Without such a table they are an error: a landing loses nothing.
 
     The batch is stored first: its plan (a stream's, say) has no known size,
-    but its files do, and that lets the planner broadcast its keys.
+    but its files do, and that lets the planner broadcast its keys. ``lasting`` tells that
+    it reads stored files and gives the same rows each time, so that it needs no copy.
+    Whole rows are read once more, those of new keys; all else is done on the keys.
     """
-    return StoredTable(spark, path).append_new(src, keys, order, rejects, load_columns)
+    return StoredTable(spark, path).append_new(src, keys, order, rejects, load_columns, lasting)
+
+
+def _counted(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The distinct keys with the number of their rows."""
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def _best_of(rows: DataFrame, counted: DataFrame, keys: list[str], order=None, every: bool = False) -> DataFrame | None:
+    """One row for each counted key. Only the rows of keys that occur more than once are
+    ranked, as whole rows; the others pass as they are. None if the keys
+    are ``every`` one of the rows and none occurs twice: then nothing is to be done."""
+    repeated = counted.where("_n > 1").select(*keys)
+    if repeated.isEmpty():
+        return None if every else rows.join(counted.select(*keys), keys, "left_semi").select(*rows.columns)
+    single = counted.where("_n = 1").select(*keys)
+    best = one_per_key(rows.join(repeated, keys, "left_semi").select(*rows.columns), keys, order or [any_row(rows)])
+    return rows.join(single, keys, "left_semi").select(*rows.columns).unionByName(best)
 
 
 def _append_rejects(spark: SparkSession, path: str, rows: DataFrame, load_columns) -> None:
@@ -664,9 +690,9 @@ class SnapshotStore:
         table.overwrite(df)
         return table.read()
 
-    def merge(self, name: str, batch: DataFrame, keys, order=None) -> dict[str, int]:
+    def merge(self, name: str, batch: DataFrame, keys, order=None, lasting: bool = False) -> dict[str, int]:
         """Upsert: only partitions that hold keys of the batch are rewritten."""
-        return self.table(name).upsert(batch, keys, order)
+        return self.table(name).upsert(batch, keys, order, lasting=lasting)
 
     def prune(self, name: str, keep: int = 2) -> None:
         """Delete all but the newest ``keep`` versions, and what failed writes left."""

@@ -259,3 +259,25 @@ def test_rejects_differ_by_their_dates(spark, rows, tmp_path):
     more = rows(schema, (None, DAY, at + datetime.timedelta(days=1)))
     append_new(spark, path, more, ["k"], rejects=rejects)
     assert {r.day: r.copies for r in read_table(spark, rejects).collect()} == {DAY: 2, None: 1}
+
+
+def test_only_repeated_keys_are_ranked(spark, tmp_path, monkeypatch):
+    """A batch without repeated keys is not sorted as whole rows; of one with some, only these rows are."""
+    table = StoredTable.create(spark, str(tmp_path / "t"), T.StructType.fromDDL("k bigint, v string, p string"), partition_by=["p"])
+    ranked = []
+    whole = store.one_per_key
+    monkeypatch.setattr(store, "one_per_key", lambda rows, *given: ranked.append(rows.count()) or whole(rows, *given))
+    first = spark.sql("SELECT id AS k, 'a' AS v, IF(id < 50, 'x', 'y') AS p FROM range(100)")
+    assert table.append_new(first, ["k"]) == {"inserted": 100, "skipped": 0, "rejected": 0}
+    more = spark.sql("SELECT id AS k, 'b' AS v, 'x' AS p FROM range(90, 110)")
+    assert table.append_new(more, ["k"], lasting=True) == {"inserted": 10, "skipped": 10, "rejected": 0}
+    assert table.upsert(more.where("k < 100"), ["k"], lasting=True) == {"inserted": 0, "updated": 10, "unchanged": 40}
+    assert ranked == []
+    twice = more.unionByName(spark.sql("SELECT 109 AS k, 'c' AS v, 'x' AS p UNION ALL SELECT NULL, 'd', 'x' UNION ALL SELECT 110, 'e', 'x' UNION ALL SELECT 110, 'f', 'x'"))
+    assert table.upsert(twice, ["k"], [F.desc("v")]) == {"inserted": 1, "updated": 20, "unchanged": 50}
+    late = spark.sql("SELECT 200 AS k, 'g' AS v, 'y' AS p UNION ALL SELECT 200, 'h', 'y' UNION ALL SELECT 109, 'i', 'y' UNION ALL SELECT 109, 'i', 'y'")
+    assert table.append_new(late, ["k"], [F.asc("v")]) == {"inserted": 1, "skipped": 1, "rejected": 0}
+    assert ranked == [4, 2]
+    found = {r.k: r.v for r in table.read().where("k >= 90").collect()}
+    assert found == {**{k: "b" for k in range(90, 109)}, 109: "c", 110: "f", 200: "g"}
+    assert table.read().count() == 112
