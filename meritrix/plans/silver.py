@@ -120,17 +120,19 @@ def qcew_rows(bronze: DataFrame, ranges=None) -> DataFrame:
     """One row per area, industry, ownership and quarter.
 
     Where a key occurs at several aggregation levels, the smallest level wins;
-    its measures are column-wise maxima over repeated loads. One aggregation says
-    both: the maximum of (minus the level, measure), where a NULL level or measure
-    is the smallest. It combines before its only shuffle, so a key loaded very
-    often costs no more than others; the text key is built last.
+    its measures are column-wise maxima over repeated loads. Maxima per key and level
+    come first: their buffers are numbers, so that they are hashed and combined
+    before the shuffle, and a key loaded very often costs no more than others. Of these
+    few rows the maximum of (minus the level, measure) is taken, where a NULL level or
+    measure is the smallest; the text key is built last.
     """
     measures = ["qtrly_estabs", "month1_emplvl", "month2_emplvl", "month3_emplvl",
                 "total_qtrly_wages", "avg_wkly_wage", "ingestion_timestamp"]
     level = (-F.col("agglvl_code")).alias("level")
     best = (
-        disclosed(bronze).dropna(subset=QCEW_KEY).groupBy(*QCEW_KEY)
-        .agg(F.max(-F.col("agglvl_code")).alias("level"), *(F.max(F.struct(level, m)).alias(m) for m in measures))
+        disclosed(bronze).dropna(subset=QCEW_KEY).groupBy(*QCEW_KEY, "agglvl_code")
+        .agg(*(F.max(m).alias(m) for m in measures))
+        .groupBy(*QCEW_KEY).agg(F.max(-F.col("agglvl_code")).alias("level"), *(F.max(F.struct(level, m)).alias(m) for m in measures))
         .select(*QCEW_KEY, (-F.col("level")).alias("agglvl_code"), *(F.col(m)[m].alias(m) for m in measures))
     )
     return best.select(

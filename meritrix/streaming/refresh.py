@@ -150,9 +150,9 @@ def _statistics(tables: SnapshotStore, bronze: str, batch: DataFrame) -> dict[st
         named = keep(build(batch).select(key).distinct())
         touched = raw.read(raw.parts_of(batch.select(*periods).dropna()))
         rows = keep(build(touched).join(named, key, "left_semi"))
-        report = {silver_name: tables.merge(silver_name, rows, [key])}
+        report = {silver_name: tables.merge(silver_name, rows, [key], lasting=True)}
         if tables.exists(fact_name):
-            report[fact_name] = tables.merge(fact_name, build_fact(tables, rows), [key])
+            report[fact_name] = tables.merge(fact_name, build_fact(tables, rows), [key], lasting=True)
     return report
 
 

@@ -89,3 +89,15 @@ def test_a_small_batch_leaves_a_large_target_in_place(spark, tmp_path, merge):
     for part in text.split("Exchange hashpartitioning")[1:]:  # what each shuffle is fed from
         first_scan = part[part.index("FileScan"):]
         assert "/b]" in first_scan[:first_scan.index("]", first_scan.index("Location")) + 1] or "BroadcastHashJoin" in part[:part.index("FileScan")]
+
+
+def test_employment_records_are_hashed_not_sorted(spark):
+    """The aggregation over all records hashes them; NULL levels and measures are the smallest."""
+    lowest = [line for line in physical(silver.qcew_rows(C.adapter(spark, SF, "qcew_raw"))).splitlines() if "Aggregate" in line][-1]
+    assert "HashAggregate" in lowest
+    given = spark.sql("""SELECT '06000' AS area_fips, 5 AS own_code, k AS industry_code, level AS agglvl_code, 2020 AS year, 1 AS qtr,
+ '' AS disclosure_code, n AS qtrly_estabs, 3 AS month1_emplvl, 3 AS month2_emplvl, 3 AS month3_emplvl, w AS total_qtrly_wages,
+ 1.0D AS avg_wkly_wage, TIMESTAMP '2024-01-01' AS ingestion_timestamp FROM VALUES ('a', 50, 1, 9.0D), ('a', 50, 7, NULL), ('a', 70, 9, 99.0D),
+ ('a', NULL, 10, 100.0D), ('b', NULL, 2, 5.0D), ('b', NULL, NULL, 6.0D), ('c', 30, NULL, 1.0D), ('c', 50, 4, 2.0D) AS t (k, level, n, w)""")
+    got = {r.industry_code: (r.qtrly_estabs, r.total_qtrly_wages) for r in silver.qcew_rows(given).collect()}
+    assert got == {"a": (7, 9.0), "b": (2, 6.0), "c": (None, 1.0)}
