@@ -101,7 +101,7 @@ def refresh_batch(tables: SnapshotStore, bronze: str, batch: DataFrame) -> dict[
         keys = silver.POSTING_KEYS
         before = tables.read("jobs_unified").join(jobs.select(*keys), keys, "left_semi")
         changed = keep(jobs.unionByName(before))  # the labels of now and of before
-        report["jobs_unified"] = tables.merge("jobs_unified", jobs, keys)
+        report["jobs_unified"] = tables.merge("jobs_unified", jobs, keys, lasting=True)
         postings = tables.read("jobs_unified")
         for name, columns, natural, build in DIMENSIONS:
             carried = postings.join(changed.select(*columns).dropna().distinct(), columns, "left_semi")
