@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meritrix.operators.joins import NO_KEY_PARTS, hot_key_salts
+from meritrix.operators.joins import NO_KEY_PARTS, fits, hot_key_salts
+from meritrix.session import stored
 
 #: Largest k for which Spark cuts a key's rows before the shuffle
 #: (``spark.sql.optimizer.windowGroupLimitThreshold``).
@@ -42,6 +43,26 @@ def keep_best(df: DataFrame, keys, order) -> DataFrame:
     return top_k_per_group(df, keys, order, 1)
 
 
+def best_of_repeated(df: DataFrame, keys, order) -> DataFrame:
+    """``keep_best`` for rows of which most have a key of their own: only those of repeated
+    keys are shuffled and ranked, the others pass where they lie.
+
+    Keys are counted by a hash first, which reads the key columns alone. Keys that share
+    a hash are ranked for nothing, and lose no row. With more repeated keys than a
+    broadcast takes, all rows are ranked.
+    """
+    mark = F.xxhash64(*keys)
+    counted = df.groupBy(mark.alias("_mark")).agg(F.count(F.lit(1)).alias("_n"))
+    repeated = stored(counted.where("_n > 1").select("_mark"))
+    if repeated.isEmpty():
+        return df
+    if not fits(repeated):
+        return keep_best(df, keys, order)
+    marked, few = df.withColumn("_mark", mark), F.broadcast(repeated)
+    ranked = keep_best(marked.join(few, "_mark", "left_semi").drop("_mark"), keys, order)
+    return marked.join(few, "_mark", "left_anti").drop("_mark").unionByName(ranked)
+
+
 def any_row(df: DataFrame) -> Column:
     """Tie-breaker that makes an order repeatable at the cost of one sort key."""
     return F.xxhash64(*df.columns)

@@ -9,7 +9,7 @@ from meritrix.functions import derive as D
 from meritrix.functions.aggregates import mean_of_months
 from meritrix.operators.filters import disclosed, has_occupation
 from meritrix.operators.merge import upsert, upsert_if_newer
-from meritrix.operators.windows import any_row, keep_best
+from meritrix.operators.windows import any_row, best_of_repeated, keep_best
 from meritrix.schemas import JOBS_UNIFIED, OEWS_MEASURES
 
 POSTING_KEYS = ["source", "job_id"]
@@ -101,9 +101,10 @@ def usajobs_to_posting(bronze: DataFrame) -> DataFrame:
 
 
 def latest_payloads(bronze: DataFrame, key: str) -> DataFrame:
-    """One payload per key, the freshest; done before parsing, on three columns."""
+    """One payload per key, the freshest; done before parsing, on three columns. Payloads
+    of keys that were landed once, most of them, are not shuffled."""
     rows = bronze.select(key, "raw_data", "ingestion_timestamp").dropna(subset=[key])
-    return keep_best(rows, [key], [F.desc_nulls_last("ingestion_timestamp"), F.asc("raw_data")])
+    return best_of_repeated(rows, [key], [F.desc_nulls_last("ingestion_timestamp"), F.asc("raw_data")])
 
 
 def transform_adzuna(bronze: DataFrame, target: DataFrame | None = None) -> DataFrame:

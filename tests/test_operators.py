@@ -1,3 +1,5 @@
+from datetime import datetime
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +9,7 @@ from meritrix.operators import filters as FL
 from meritrix.operators import joins as J
 from meritrix.operators import windows as W
 from meritrix.operators.quantiles import group_quantiles
-from meritrix.plans import quality
+from meritrix.plans import quality, silver
 
 
 def plan(df) -> str:
@@ -171,3 +173,23 @@ def test_recency(spark):
     assert FL.since(df, "2024-08-31", months=6).agg(F.min("posted_date")).first()[0].isoformat() == "2024-02-29"
     assert FL.date_between(df, "2024-03-01", "2024-03-02").count() == 2
     assert FL.date_between(df).count() == 366
+
+
+def test_only_repeated_keys_are_ranked(spark, rows):
+    schema = "k string, j int, v int"
+    data = [("a", 1, 5), ("a", 1, 7), ("a", 2, 1), (None, 1, 3), (None, 1, 2), ("", None, 4), ("b", 1, None), ("b", 1, 0)]
+    order = [F.desc_nulls_last("v")]
+    for some in (data, data[2:4], []):
+        df = spark.createDataFrame(some, schema)
+        got = sorted(map(str, W.best_of_repeated(df, ["k", "j"], order).collect()))
+        assert got == sorted(map(str, W.keep_best(df, ["k", "j"], order).collect()))
+
+
+def test_payloads_of_single_keys_are_not_shuffled(spark, rows):
+    schema = "job_id string, raw_data string, ingestion_timestamp timestamp"
+    once = rows(schema, ("1", "{}", None), ("2", "{}", None), (None, "{}", None))
+    best = silver.latest_payloads(once, "job_id")
+    assert "Exchange" not in best._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.job_id for r in best.collect()) == ["1", "2"]
+    twice = silver.latest_payloads(once.union(rows(schema, ("2", '{"a":1}', datetime(2024, 1, 1)))), "job_id")
+    assert sorted((r.job_id, r.raw_data) for r in twice.collect()) == [("1", "{}"), ("2", '{"a":1}')]
