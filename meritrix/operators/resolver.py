@@ -203,7 +203,7 @@ def resolve_soc(postings: DataFrame, seed=None, patterns=None, existing: DataFra
     """One row per normalised title; re-running refreshes ``existing``."""
     resolved = resolve_titles(distinct_titles(postings), seed, patterns)
     return resolved if existing is None else upsert(
-        existing, resolved, ["title_normalized"], unique=True)
+        existing, stored(resolved), ["title_normalized"], unique=True)
 
 
 def soc_stats(resolved: DataFrame) -> DataFrame:

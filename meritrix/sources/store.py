@@ -260,8 +260,8 @@ class StoredTable:
             if roots:
                 read = self.spark.read.schema(T.StructType(fields)).option("basePath", self.path).parquet(*roots)
                 frames.append(read.select(*(decode[c].alias(c) if c in decode else f"`{c}`" for c in names)))
-        if not frames:
-            return self.spark.createDataFrame([], T.StructType(fields))
+        if not frames:  # the limit tells the optimizer that there are no rows, so that joins with them go
+            return self.spark.createDataFrame([], T.StructType(fields)).limit(0)
         return reduce(DataFrame.unionByName, frames)
 
     def read(self, parts: Iterable[str] | None = None) -> DataFrame:

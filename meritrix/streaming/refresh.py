@@ -5,28 +5,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from meritrix.functions import derive as D
-from meritrix.operators.merge import merge_counts
+from meritrix.operators.merge import merge_counts, upsert
 from meritrix.operators.resolver import resolve_soc
 from meritrix.plans import gold, silver
+from meritrix.schemas import ROWS_PER_BUCKET
 from meritrix.session import scratch
 from meritrix.sources.store import SnapshotStore
 
 POSTING_SOURCES = {"raw_adzuna": silver.transform_adzuna, "raw_usajobs_current": silver.transform_usajobs}
 
 
-def _jobs(tables: SnapshotStore, old: DataFrame | None, changed: set[str]) -> DataFrame:
+def _jobs(tables: SnapshotStore, old: DataFrame | None, changed: set[str]) -> None:
+    """Merges each changed source, so that partitions without its keys keep their
+    files. A table that has outgrown its key buckets is written whole."""
+    name, keys = "jobs_unified", silver.POSTING_KEYS
     for bronze, transform in POSTING_SOURCES.items():
-        if bronze in changed:
-            old = transform(tables.read(bronze), old)
-    return old
+        if bronze not in changed:
+            continue
+        raw = tables.table(bronze)
+        rows = transform(raw.read())
+        if not tables.exists(name):
+            tables.write(name, rows, buckets=raw.rows_in() // ROWS_PER_BUCKET)
+            continue
+        table = tables.table(name)
+        if table.rows_in() // ROWS_PER_BUCKET >= 2 * max(table.pointer.buckets, 1):
+            tables.write(name, upsert(table.read(), rows, keys, unique=True))
+        else:
+            table.upsert(rows, keys, lasting=True)
 
 
 def _posting_fact(tables: SnapshotStore, old: DataFrame | None) -> DataFrame:
     """Build and occupation back-fill in one go, so the fact is written once."""
-    jobs = tables.read("jobs_unified")
     dims = {n: tables.read(f"dim_{n}") for n in ("location", "company", "category")}
-    fact = gold.fact_job_postings(jobs, dims, old)
-    return gold.update_postings_soc(fact, jobs, tables.read("dim_occupation_soc"), tables.read("dim_occupation"))
+    titles = tables.read("dim_occupation_soc"), tables.read("dim_occupation")
+    return gold.fact_of_jobs(tables.read("jobs_unified"), dims, titles, old)
 
 
 def _from(name: str, build):
@@ -34,7 +46,8 @@ def _from(name: str, build):
     return lambda tables, old, changed: build(tables.read(name), old)
 
 
-# (table, tables whose change triggers it, build); dimensions before facts
+# (table, tables whose change triggers it, build); dimensions before facts. A build
+# returns the new content, or None where it has written it.
 STEPS = [
     ("jobs_unified", tuple(POSTING_SOURCES), _jobs),
     ("bls_qcew_quarterly", ("raw_bls_qcew",), _from("raw_bls_qcew", silver.transform_qcew)),
@@ -69,7 +82,8 @@ def refresh(tables: SnapshotStore, changed, calendar=("1990-01-01", "2030-12-31"
             continue
         old = tables.read_or_none(name)
         before = 0 if old is None else old.count()
-        rows = tables.write(name, build(tables, old, changed)).count()
+        content = build(tables, old, changed)
+        rows = (tables.read(name) if content is None else tables.write(name, content)).count()
         report[name] = {"rows": rows, "inserted": rows - before}
         changed.add(name)
     return report

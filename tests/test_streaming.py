@@ -2,6 +2,8 @@ import json
 
 from pyspark.sql import functions as F
 
+from meritrix.plans import gold
+from meritrix.schemas import FACT_JOB_POSTINGS
 from meritrix.sources.readers import select_files
 from meritrix.sources.store import SnapshotStore, read_table
 from meritrix.streaming.ingest import load_year, pending_files, refresh_years, stream_ingest
@@ -86,6 +88,63 @@ def test_refresh_is_idempotent_and_keeps_keys(spark, tmp_path):
     assert refresh(tables, ["unrelated"]) == {}
 
 
+def federal(spark, *numbers, title="Nurse"):
+    rows = [(str(i), json.dumps({"MatchedObjectDescriptor": {"PositionTitle": title, "OrganizationName": f"a{i}"}})) for i in numbers]
+    return spark.createDataFrame(rows, "control_number string, raw_data string").withColumn(
+        "ingestion_timestamp", F.lit("2024-06-01").cast("timestamp"))
+
+
+def test_refresh_of_one_source_leaves_the_files_of_the_other(spark, tmp_path):
+    tables = SnapshotStore(spark, str(tmp_path / "wh"))
+    tables.write("raw_adzuna", bronze(spark, payload(1), payload(2, "Zzzz"), payload(3)))
+    tables.write("raw_usajobs_current", federal(spark, 1, 2))
+    refresh(tables, ["raw_adzuna"], calendar=("2024-01-01", "2024-12-31"))
+    before = tables.table("jobs_unified").pointer.parts
+    for numbers, inserted in ((2, 2), (3, 1)):  # new keys, then some that are there
+        tables.write("raw_usajobs_current", federal(spark, *range(numbers)))
+        assert refresh(tables, ["raw_usajobs_current"])["jobs_unified"] == {"rows": 3 + numbers, "inserted": inserted}
+        after = tables.table("jobs_unified").pointer.parts
+        assert after["sector=private"] == before["sector=private"] and len(after["sector=federal"]) == 1
+    assert {r.posting_key for r in tables.read("fact_job_postings").collect()} == {
+        *(f"adzuna::adzuna_{i}" for i in (1, 2, 3)), *(f"usajobs_current::usajobs_{i}" for i in (0, 1, 2))}
+
+
+def test_first_refresh_lays_postings_out_and_later_ones_grow_them(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("meritrix.streaming.refresh.ROWS_PER_BUCKET", 2)
+    monkeypatch.setattr("meritrix.sources.store.ROWS_PER_BUCKET", 2)
+    tables = SnapshotStore(spark, str(tmp_path / "wh"))
+    tables.write("raw_adzuna", bronze(spark, *map(payload, range(4))), buckets=0)
+    refresh(tables, ["raw_adzuna"], calendar=("2024-01-01", "2024-12-31"))
+    assert tables.table("jobs_unified").pointer.buckets == 2
+    tables.write("raw_adzuna", bronze(spark, *map(payload, range(9))), buckets=0)
+    refresh(tables, ["raw_adzuna"])
+    tables.write("raw_adzuna", bronze(spark, *map(payload, range(1, 10))), buckets=0)
+    refresh(tables, ["raw_adzuna"])
+    assert tables.table("jobs_unified").pointer.buckets == 4 and tables.read("jobs_unified").count() == 10
+    assert tables.read("fact_job_postings").count() == 10
+
+
+def test_fact_of_jobs_is_the_fact_with_its_back_fill(spark, tmp_path):
+    tables = SnapshotStore(spark, str(tmp_path / "wh"))
+    tables.write("raw_adzuna", bronze(spark, *(payload(i, t) for i, t in enumerate(["Nurse", "Zzzz", None, "", "Data Analyst", None]))))
+    refresh(tables, ["raw_adzuna"], calendar=("2024-01-01", "2024-12-31"))
+    jobs, old = tables.read("jobs_unified"), tables.read("fact_job_postings")
+    dims = {n: tables.read(f"dim_{n}") for n in ("location", "company", "category")}
+    titles = tables.read("dim_occupation_soc"), tables.read("dim_occupation")
+
+    def plain(postings, existing):
+        return gold.update_postings_soc(gold.fact_job_postings(postings, dims, existing), postings, *titles)
+
+    def content(df):
+        return sorted(map(str, df.select(*FACT_JOB_POSTINGS.fieldNames()).collect()))
+
+    assert content(old) == content(plain(jobs, None)) and old.filter("occupation_key IS NULL").count() == 2
+    held = old.withColumns({"occupation_key": F.lit(77).cast("bigint"), "company_key": F.lit(5).cast("bigint")})
+    for existing in (old, held, old.limit(0)):
+        for postings in (jobs, jobs.filter("job_id <> 'adzuna_0'"), jobs.filter("job_title IS NOT NULL"), jobs.union(jobs), jobs.limit(0)):
+            assert content(gold.fact_of_jobs(postings, dims, titles, existing)) == content(plain(postings, existing))
+
+
 def test_a_batch_touches_its_own_partitions_and_labels(spark, tmp_path):
     tables = SnapshotStore(spark, str(tmp_path / "wh"))
     tables.write("raw_adzuna", bronze(spark, payload(1), payload(2, "Zzzz"), payload(3)))
