@@ -134,3 +134,64 @@ def test_a_title_in_a_crowd_meets_few_texts(spark, rows):
     titles = lookup.selectExpr("concat('xy', text) AS title_normalized")
     got = M.nearest(titles, lookup).collect()
     assert len(got) == 3_000 and all(r.edits == 2 and "xy" + r.text == r.title_normalized for r in got)
+
+
+def test_two_edits_leave_all_but_two_segments():
+    """A title and a text within two edits share a key, however the text is cut."""
+    draw = random.Random(11)
+
+    def kept(text, pieces):
+        return {(of, text[:head], text[at - 1:at - 1 + width], text[tail - 1:]) for of, head, at, width, tail in pieces}
+
+    for _ in range(20_000):
+        text = "".join(draw.choice("abc") for _ in range(draw.randint(1, 16)))
+        bounds = [0, *sorted(draw.randint(0, len(text)) for _ in range(draw.choice(M.SEGMENTS) - 1)), len(text)]
+        title = changed(draw, text, draw.randint(0, 2), "abcd")
+        assert kept(text, M.text_pieces(bounds)) & kept(title, M.title_pieces(len(title), {len(text): bounds})), (text, title, bounds)
+
+
+def test_segments_are_cut_where_texts_differ():
+    bounds = M.cuts(1_000_000, [0.5] + [0.0] * 17 + [3.3] * 7)
+    assert bounds[0] == 0 and bounds[-1] == 25 and sorted(bounds) == bounds and sum(b >= 18 for b in bounds) >= 4
+    assert M.cuts(1, [0.0]) == [*sorted(M.cuts(1, [0.0]))] and M.cuts(1, [0.0])[-1] == 1
+
+
+def test_keys_are_few(spark, monkeypatch):
+    """The keys of a row take the disk: of a text of 25 characters 326 are left by two deletions."""
+    counts, closest = [], M._closest
+
+    def counted(asked, asked_keys, texts, text_keys, allowed):
+        counts.append([f.select(F.avg(F.size(k))).first()[0] for f, k in ((asked, asked_keys), (texts, text_keys))])
+        return closest(asked, asked_keys, texts, text_keys, allowed)
+
+    monkeypatch.setattr(M, "_closest", counted)
+    lookup = spark.range(5_000).selectExpr("concat('large ring economy no ', 10000 + id) AS text", "'c' AS code", "'l' AS label")
+    assert M.nearest(lookup.selectExpr("concat('xy', text) AS title_normalized"), lookup).count() == 5_000
+    of_title, of_text = counts[0]
+    assert of_title < 120 and of_text < 40
+
+
+def test_texts_are_asked_for_only_where_titles_are_left(spark, monkeypatch):
+    """No title is left after two edits: no text gets keys for more."""
+    asked, closest = [], M._closest
+
+    def seen(titles, title_keys, texts, text_keys, allowed):
+        asked.append((titles.count(), texts.count()))
+        return closest(titles, title_keys, texts, text_keys, allowed)
+
+    monkeypatch.setattr(M, "_closest", seen)
+    lookup = spark.range(50).selectExpr("concat('large ring economy no ', 10000 + id) AS text", "'c' AS code", "'l' AS label")
+    assert M.nearest(lookup.selectExpr("concat('xy', text) AS title_normalized"), lookup).count() == 50
+    assert asked == [(50, 50), (0, 0)]
+
+
+def test_many_beginnings_are_not_listed(rows, monkeypatch):
+    """Titles get the same matches where texts begin in too many ways to be listed."""
+    known, titles = sample(5, 120, 200)
+    lookup, asked = rows(LOOKUP, *((t, "c", "l") for t in known)), rows("title_normalized string", *((t,) for t in titles))
+    short = lookup.where("length(text) < 9")
+    listed = [sorted(map(tuple, f.collect())) for f in (M.nearest(asked, lookup), M.contained(asked, short))]
+    for most in (0, 4):
+        monkeypatch.setattr(M, "BEGINNINGS", most)
+        assert listed == [sorted(map(tuple, f.collect())) for f in (M.nearest(asked, lookup), M.contained(asked, short))]
+    assert all(listed)
