@@ -33,7 +33,7 @@ MIN_FUZZY_LENGTH, MAX_FUZZY_LENGTH = 4, 60
 #: Edits that the keys of all but two segments cover; titles up to SHORT characters allow no more.
 SHORT_EDITS, SHORT = 2, 16
 #: Segments that a text may be cut into; cost of meeting a text, where a key costs 1.
-SEGMENTS, MEETING = range(3, 10), 1.0
+SEGMENTS, MEETING = range(3, 10), 0.7
 #: Characters by which a character is foreseen when segments are cut.
 CONTEXT = 2
 #: Beginnings that titles are asked for before they get keys: so many at most, and of patterns so long.
